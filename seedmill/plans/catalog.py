@@ -1,0 +1,138 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per SURVEY §2 row.
+
+Each query builds its inputs from the given tables (``plans.fixtures``) and
+applies the library operators. Names match the keys of ``oracle_sql()``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seedmill.functions import vocab
+from seedmill.plans import fixtures as fx
+from seedmill.operators import combos as cmb
+
+DIMS = vocab.DIMENSIONS
+QUERIES: dict = {}
+
+
+def query(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+# ------------------------------------------------------------------ combos
+def _types_present(spark, sf) -> DataFrame:
+    return fx.concepts(spark, sf).select("concept_type").distinct()
+
+
+@query("combo_product")
+def combo_product(spark: SparkSession, sf: str) -> DataFrame:
+    """Full product of the four dimension lists for each concept type present."""
+    return cmb.combo_product(_types_present(spark, sf)).select("concept_type", *DIMS)
+
+
+@query("combo_prune")
+def combo_prune(spark, sf) -> DataFrame:
+    """Combos surviving the ban rules, per concept type present."""
+    rules = cmb.rules_table(spark)
+    space = cmb.combo_space(rules)
+    t = cmb.rule_key(_types_present(spark, sf), rules)
+    return t.join(F.broadcast(space), "rule_type").select("concept_type", *DIMS)
+
+
+@query("combo_sample")
+def combo_sample(spark, sf) -> DataFrame:
+    """700 combos per concept, stable hash rank."""
+    return fx.sampled_combos(spark, sf).select("concept_id", *DIMS, "combo_id", "sample_rank")
+
+
+@query("scan_validity_done")
+def scan_validity_done(spark, sf) -> DataFrame:
+    """Earlier verdict rows; blank ``is_valid`` rows are partial writes."""
+    from seedmill.sources.files import completed_rows
+    return completed_rows(fx.validity_done(spark, sf)).select(
+        "concept_id", *DIMS, "is_valid", "reason")
+
+
+@query("combo_resume")
+def combo_resume(spark, sf) -> DataFrame:
+    """Sampled combos minus the finished ones, renumbered into batches."""
+    from seedmill.sources.files import completed_rows
+    left = cmb.resume_filter(fx.sampled_combos(spark, sf), completed_rows(fx.validity_done(spark, sf)))
+    return cmb.number_batches(left).select("concept_id", *DIMS, "sample_rank", "batch_no", "slot")
+
+
+def _fresh_batches(spark, sf) -> DataFrame:
+    return cmb.collect_batches(fx.validity_batches(spark, sf))
+
+
+@query("micro_batch")
+def micro_batch(spark, sf) -> DataFrame:
+    """X5 + P12: batches of 10 combos per concept with the rendered combo list."""
+    return _fresh_batches(spark, sf).select("batch_id", "concept_id", "batch_no", "batch_size",
+                                            "combos_text")
+
+
+@query("render_validity_prompt")
+def render_validity_prompt(spark, sf) -> DataFrame:
+    """The user message of each validity request."""
+    return _fresh_batches(spark, sf).select("batch_id", cmb.validity_prompt().alias("prompt"))
+
+
+@query("model_route")
+def model_route(spark, sf) -> DataFrame:
+    """60/40 model choice per request, stable."""
+    b = _fresh_batches(spark, sf)
+    return (b.select("batch_id", cmb.route_model("batch_id").alias("model"))
+            .groupBy("model").agg(F.count(F.lit(1)).alias("requests")))
+
+
+@query("fixed_batches")
+def fixed_batches(spark, sf) -> DataFrame:
+    """Seeds in chunks of 32 per domain, in seed order."""
+    s = fx.seeds(spark, sf)
+    return cmb.number_batches(s, key="domain", order=("doc_id",), size=32).select(
+        "seed_id", "domain", "batch_no", "slot")
+
+
+@query("work_estimate")
+def work_estimate(spark, sf) -> DataFrame:
+    """A5: remaining validations and calls per domain, exact."""
+    from seedmill.sources.files import completed_rows
+    rules = cmb.rules_table(spark)
+    return cmb.work_estimate(fx.concepts(spark, sf), cmb.combo_space(rules),
+                             completed_rows(fx.validity_done(spark, sf)), rules=rules)
+
+
+@query("rule_count")
+def rule_count(spark, sf) -> DataFrame:
+    """Ban rules that apply to each concept type present, and to its concepts."""
+    rules = cmb.rules_table(spark)
+    per_type = rules.groupBy("concept_type").agg(F.count(F.lit(1)).alias("n_rules"))
+    c = fx.concepts(spark, sf).groupBy("concept_type").agg(F.count(F.lit(1)).alias("n_concepts"))
+    return (c.join(F.broadcast(per_type), "concept_type", "left")
+            .select("concept_type", "n_concepts", F.coalesce("n_rules", F.lit(0)).alias("n_rules")))
+
+
+@query("prune_yield")
+def prune_yield(spark, sf) -> DataFrame:
+    """Surviving combos per concept type, per concept and in total."""
+    rules = cmb.rules_table(spark)
+    pool = cmb.combo_space(rules).groupBy("rule_type").agg(F.count(F.lit(1)).alias("pool"))
+    c = cmb.rule_key(fx.concepts(spark, sf), rules).join(F.broadcast(pool), "rule_type")
+    return (c.groupBy("concept_type")
+            .agg(F.count(F.lit(1)).alias("n_concepts"), F.max("pool").alias("pool_per_concept"),
+                 F.sum("pool").alias("pool_total"),
+                 F.sum(F.least(F.col("pool"), F.lit(vocab.SAMPLES_PER_CONCEPT))).alias("sampled_total")))
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Request table of the validity step: one routed, rendered request per batch."""
+    b = _fresh_batches(spark, sf)
+    return b.select("batch_id", "concept_id", "batch_no", "batch_size",
+                    cmb.route_model("batch_id").alias("model"),
+                    cmb.validity_prompt().alias("prompt"))
