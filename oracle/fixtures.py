@@ -151,3 +151,39 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     if body[:5].upper() == "WITH ":
         return head + ",\n" + body[5:]
     return head + "\n" + body
+
+cte("fx_seed_lines", """
+SELECT unnest(CASE WHEN doc_id % 5 = 0 THEN [line, '   '] ELSE [line] END) AS value FROM (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '  ' || cast(doc_id AS varchar) || chr(9)
+                      WHEN doc_id % 3 = 1 THEN cast(doc_id AS varchar) || ' '
+                      ELSE cast(doc_id AS varchar) END AS line
+  FROM documents)""")
+
+cte("fx_started", "SELECT * FROM fx_ledger WHERE trim(status) = 'STARTED'")
+
+cte("fx_draft_state", """
+SELECT l.run_id, l.seed_id, l.domain, l.doc_id,
+       l.doc_id % 43 <> 0 AS has_draft,
+       CASE WHEN l.doc_id % 43 = 0 THEN 'no_draft'
+            WHEN l.doc_id % 29 = 0 THEN 'no_drafts'
+            WHEN l.doc_id % 17 = 0 THEN 'invalid_json'
+            WHEN l.doc_id % 19 = 0 THEN 'empty'
+            WHEN l.doc_id % 23 = 0 THEN 'null_input'
+            WHEN l.doc_id % 31 = 0 THEN 'invalid_json'
+            WHEN l.doc_id % 37 = 0 THEN 'invalid_json'
+            WHEN l.doc_id % 6 = 0 THEN 'no_concepts' END AS reason,
+       CASE WHEN l.doc_id % 29 = 0 THEN 'null_input'
+            WHEN l.doc_id % 17 = 0 THEN 'invalid_json'
+            WHEN l.doc_id % 19 = 0 THEN 'empty'
+            WHEN l.doc_id % 23 = 0 THEN 'null_input'
+            WHEN l.doc_id % 31 = 0 OR l.doc_id % 37 = 0 THEN 'invalid_json' END AS parse_error
+FROM fx_started l""")
+
+cte("fx_extracted", """
+SELECT c.run_id, c.seed_id,
+       CASE WHEN c.doc_id % 41 = 0 AND c.doc_id % 13 <> 0 THEN c.domain ELSE upper(c.domain) END AS domain,
+       c.pos, c.concept_name,
+       CASE WHEN c.doc_id % 47 = 0 AND c.pos = 0 THEN 'Other' ELSE c.concept_type END AS concept_type,
+       c.concept_definition, c.doc_id % 41 = 0 AND c.doc_id % 13 <> 0 AS domain_from_ledger, c.concept_id
+FROM fx_concepts c JOIN fx_draft_state s ON s.run_id = c.run_id
+WHERE s.reason IS NULL""")

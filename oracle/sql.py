@@ -91,3 +91,67 @@ FROM fx_concepts c
 JOIN (SELECT rule_type, count(*) AS pool FROM fx_space GROUP BY 1) p
   ON p.rule_type = {RULE_TYPE.format(t='c.concept_type')}
 GROUP BY c.concept_type""")
+
+# --------------------------------------------------------------- extraction
+sql("scan_seed_ids", r"""
+SELECT regexp_replace(value, '^\s+|\s+$', '', 'g') AS seed_id FROM fx_seed_lines
+WHERE regexp_replace(value, '^\s+|\s+$', '', 'g') <> ''""")
+
+sql("scan_runs_started", """
+SELECT run_id, seed_id, domain, target_concepts_range FROM fx_started""")
+
+sql("ledger_status", """
+SELECT seed_id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE md5('run|' || seed_id) END AS run_id,
+       CASE WHEN doc_id % 10 = 0 THEN 'FAILED_CREATE' WHEN doc_id % 10 = 1 THEN 'FAILED_START'
+            ELSE 'STARTED' END AS status
+FROM fx_seeds""")
+
+sql("target_range", """
+SELECT s.seed_id, s.domain, cast(split_part(r.target_concepts_range, '-', 1) AS integer) AS target_min,
+       cast(split_part(r.target_concepts_range, '-', 2) AS integer) AS target_max,
+       r.domain IS NOT NULL AS range_ok
+FROM fx_seeds s LEFT JOIN fx_ranges r ON r.domain = s.domain""")
+
+sql("seed_by_range", """
+SELECT s.seed_id, s.domain, r.target_concepts_range,
+       cast(split_part(r.target_concepts_range, '-', 1) AS integer) AS target_min,
+       cast(split_part(r.target_concepts_range, '-', 2) AS integer) AS target_max
+FROM fx_seeds s JOIN fx_ranges r ON r.domain = s.domain""")
+
+sql("join_runs_drafts", "SELECT run_id, seed_id, has_draft FROM fx_draft_state")
+
+sql("parse_json_strict", """
+SELECT run_id, parse_error IS NULL AS ok, parse_error AS error FROM fx_draft_state WHERE has_draft""")
+
+sql("explode_concepts", """
+SELECT run_id, seed_id, domain, pos, concept_name, concept_type, concept_definition FROM fx_extracted""")
+
+sql("concept_fields", "SELECT run_id, pos, domain, domain_from_ledger FROM fx_extracted")
+
+sql("sink_rejects", """
+SELECT 'extraction' AS stage, run_id AS key, reason FROM fx_draft_state WHERE reason IS NOT NULL""")
+
+sql("v_concepts", """
+SELECT run_id, n_concepts, array_to_string(list_filter([
+         CASE WHEN n_concepts < 1 OR n_concepts > hi THEN 'count_out_of_range' END,
+         CASE WHEN doc_id % 47 = 0 AND n_concepts > 0 THEN 'bad_type' END,
+         CASE WHEN doc_id % 53 = 0 THEN 'missing_summary' END], lambda x: x IS NOT NULL), ',') AS violations,
+       NOT (n_concepts < 1 OR n_concepts > hi OR (doc_id % 47 = 0 AND n_concepts > 0) OR doc_id % 53 = 0) AS passed
+FROM (SELECT s.run_id, s.doc_id, cast(s.doc_id % 6 AS integer) AS n_concepts,
+             cast(split_part(r.target_concepts_range, '-', 2) AS integer) AS hi
+      FROM fx_draft_state s JOIN fx_ranges r ON r.domain = s.domain
+      WHERE s.has_draft AND s.parse_error IS NULL)""")
+
+sql("concept_counts", """
+SELECT domain, count(*) AS concepts, count(DISTINCT seed_id) AS seeds FROM fx_extracted GROUP BY domain""")
+
+sql("ledger_status_counts", r"""
+SELECT domain, regexp_replace(status, '^\s+|\s+$', '', 'g') AS status, count(*) AS runs
+FROM fx_ledger GROUP BY 1, 2""")
+
+sql("concepts_in_range", """
+SELECT s.run_id, coalesce(e.n, 0) AS n_concepts,
+       coalesce(e.n, 0) BETWEEN cast(split_part(r.target_concepts_range, '-', 1) AS integer)
+                            AND cast(split_part(r.target_concepts_range, '-', 2) AS integer) AS in_range
+FROM fx_started s JOIN fx_ranges r ON r.domain = s.domain
+LEFT JOIN (SELECT run_id, count(*) AS n FROM fx_extracted GROUP BY 1) e ON e.run_id = s.run_id""")

@@ -136,3 +136,120 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("batch_id", "concept_id", "batch_no", "batch_size",
                     cmb.route_model("batch_id").alias("model"),
                     cmb.validity_prompt().alias("prompt"))
+
+
+# --------------------------------------------------------------- extraction
+from seedmill.operators import extraction as ext  # noqa: E402
+from seedmill.sources import files  # noqa: E402
+
+
+@query("scan_seed_ids")
+def scan_seed_ids(spark, sf) -> DataFrame:
+    """One id per line, stripped, blanks dropped."""
+    return files.clean_seed_ids(fx.seed_lines(spark, sf))
+
+
+@query("scan_runs_started")
+def scan_runs_started(spark, sf) -> DataFrame:
+    """Ledger rows whose stripped status is STARTED."""
+    return files.started_runs(fx.ledger(spark, sf)).select(
+        "run_id", "seed_id", "domain", "target_concepts_range")
+
+
+@query("ledger_status")
+def ledger_status(spark, sf) -> DataFrame:
+    """Ledger status from the run service's create/start answers."""
+    return ext.ledger_status(fx.run_calls(spark, sf)).select("seed_id", "run_id", "status")
+
+
+@query("target_range")
+def target_range(spark, sf) -> DataFrame:
+    """Domain -> target range, split into bounds."""
+    return ext.attach_range(fx.seeds(spark, sf), ext.ranges_table(spark)).select(
+        "seed_id", "domain", "target_min", "target_max", "range_ok")
+
+
+@query("seed_by_range")
+def seed_by_range(spark, sf) -> DataFrame:
+    """Extraction requests with the target range attached."""
+    return ext.extraction_requests(fx.seeds(spark, sf), ext.ranges_table(spark), strict=True).select(
+        "seed_id", "domain", "target_concepts_range", "target_min", "target_max")
+
+
+@query("request_payload_run")
+def request_payload_run(spark, sf) -> DataFrame:
+    """Nested run-creation request JSON per seed (rows-only check)."""
+    return ext.extraction_requests(fx.seeds(spark, sf), ext.ranges_table(spark)).select(
+        "seed_id", "payload")
+
+
+def _runs_ranged(spark, sf) -> DataFrame:
+    runs = files.started_runs(fx.ledger(spark, sf)).drop("target_concepts_range")
+    return ext.attach_range(runs, ext.ranges_table(spark))
+
+
+def _parsed(spark, sf) -> DataFrame:
+    return ext.parse_drafts(_runs_ranged(spark, sf), fx.drafts(spark, sf))
+
+
+@query("join_runs_drafts")
+def join_runs_drafts(spark, sf) -> DataFrame:
+    """STARTED runs met with their drafts; runs without one are flagged."""
+    return _parsed(spark, sf).select("run_id", "seed_id", "has_draft")
+
+
+@query("parse_json_strict")
+def parse_json_strict(spark, sf) -> DataFrame:
+    """P4+P5: strict parse of each stored draft (fence stripped first)."""
+    return _parsed(spark, sf).filter("has_draft").select(
+        "run_id", F.col("parsed.ok").alias("ok"), F.col("parsed.error").alias("error"))
+
+
+@query("explode_concepts")
+def explode_concepts(spark, sf) -> DataFrame:
+    """One row per concept of the first usable draft."""
+    return ext.concepts_from(_parsed(spark, sf)).select(
+        "run_id", "seed_id", "domain", "pos", "concept_name", "concept_type", "concept_definition")
+
+
+@query("concept_fields")
+def concept_fields(spark, sf) -> DataFrame:
+    """The answer's domain wins; the ledger's is the fallback."""
+    return ext.concepts_from(_parsed(spark, sf)).select("run_id", "pos", "domain", "domain_from_ledger")
+
+
+@query("sink_rejects")
+def sink_rejects(spark, sf) -> DataFrame:
+    """K5: dead-letter rows for runs whose draft is unusable."""
+    return ext.rejects_from(_parsed(spark, sf)).select("stage", "key", "reason")
+
+
+@query("v_concepts")
+def v_concepts(spark, sf) -> DataFrame:
+    """V1: extraction answer contract (count in range, types, non-empty fields)."""
+    return ext.check_concepts(_parsed(spark, sf)).select(
+        "run_id", "n_concepts", F.array_join("violations", ",").alias("violations"), "passed")
+
+
+@query("concept_counts")
+def concept_counts(spark, sf) -> DataFrame:
+    """A1: concept rows and distinct seeds per domain."""
+    c = ext.concepts_from(_parsed(spark, sf))
+    return c.groupBy("domain").agg(F.count(F.lit(1)).alias("concepts"),
+                                   F.countDistinct("seed_id").alias("seeds"))
+
+
+@query("ledger_status_counts")
+def ledger_status_counts(spark, sf) -> DataFrame:
+    """A3: ledger rows per domain and stripped status."""
+    from seedmill.functions.text import py_strip
+    return (fx.ledger(spark, sf).withColumn("status", py_strip("status"))
+            .groupBy("domain", "status").agg(F.count(F.lit(1)).alias("runs")))
+
+
+@query("concepts_in_range")
+def concepts_in_range(spark, sf) -> DataFrame:
+    """Concepts per STARTED run against its target range."""
+    p = _parsed(spark, sf)
+    return ext.concepts_in_range(ext.concepts_from(p), p).select(
+        "run_id", "n_concepts", "in_range")

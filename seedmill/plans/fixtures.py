@@ -120,7 +120,9 @@ def drafts(spark, sf_dir) -> DataFrame:
 
     First match wins: d%43 no row at all, d%17 truncated, d%19 empty, d%23 NULL,
     d%29 no drafts, d%31 prose after the JSON, d%37 single quotes, d%13 code
-    fence (must parse), d%41 no ``domain`` key.
+    fence (must parse), d%41 no ``domain`` key. Independently of those:
+    d%29 has an empty drafts list, the answer's domain is upper-cased,
+    d%47 gives the first concept the type 'Other', d%53 an empty summary.
     """
     d = F.col("doc_id")
     started = ledger(spark, sf_dir).filter(F.trim("status") == vocab.STATUS_STARTED)
@@ -134,9 +136,11 @@ def drafts(spark, sf_dir) -> DataFrame:
     cs = F.transform(F.coalesce("cs", F.array_repeat(F.lit(None), 0).cast(
         "array<struct<pos:int,name:string,definition:string,type:string>>")),
         lambda x: F.struct(x["name"].alias("name"), x["definition"].alias("definition"),
-                           x["type"].alias("type")))
-    summary = F.concat(F.lit("Concepts found in seed "), F.col("seed_id"))
-    full = F.to_json(F.struct(F.col("domain").alias("domain"), summary.alias("summary"), cs.alias("concepts")))
+                           F.when((d % 47 == 0) & (x["pos"] == 0), F.lit("Other"))
+                            .otherwise(x["type"]).alias("type")))
+    summary = F.when(d % 53 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("Concepts found in seed "), F.col("seed_id")))
+    full = F.to_json(F.struct(F.upper("domain").alias("domain"), summary.alias("summary"), cs.alias("concepts")))
     nodom = F.to_json(F.struct(summary.alias("summary"), cs.alias("concepts")))
     resp = (F.when(d % 17 == 0, F.substring(full, 1, (F.length(full) / 2).cast("int")))
             .when(d % 19 == 0, F.lit(""))
