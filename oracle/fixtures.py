@@ -30,11 +30,13 @@ def vals(rows) -> str:
     return ", ".join("(" + ", ".join(q(x) for x in r) + ")" for r in rows)
 
 
-PSTRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+WS = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+WS_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in WS) + ")"
 
 
 def pstrip(x: str) -> str:
-    return PSTRIP.format(x=x)
+    """Python str.strip() in DuckDB."""
+    return f"trim({x}, {WS_SQL})"
 
 
 DIMS = vocab.DIMENSIONS
@@ -187,3 +189,18 @@ SELECT c.run_id, c.seed_id,
        c.concept_definition, c.doc_id % 41 = 0 AND c.doc_id % 13 <> 0 AS domain_from_ledger, c.concept_id
 FROM fx_concepts c JOIN fx_draft_state s ON s.run_id = c.run_id
 WHERE s.reason IS NULL""")
+
+cte("fx_batch_fault", f"""
+SELECT *, {H('batch_id')} % 50 AS f, max(slot) OVER (PARTITION BY batch_id) AS last_slot FROM fx_batches""")
+
+cte("fx_aligned", f"""
+SELECT batch_id, slot, concept_id, concept_type, format, audience, angle, cognitive_operation,
+       CASE WHEN f = 4 OR (f = 0 AND slot = last_slot) THEN NULL
+            ELSE {H('concept_id', 'format', 'audience', 'angle', 'cognitive_operation')} % 100 < 40 END AS is_valid,
+       CASE WHEN f = 4 OR (f = 0 AND slot = last_slot) THEN NULL
+            WHEN f = 3 THEN 'Parse error fallback' ELSE 'reason for ' || slot END AS reason,
+       CASE WHEN f = 4 THEN 'unparsable' WHEN f = 0 AND slot = last_slot THEN 'missing_slot' ELSE 'ok' END AS outcome
+FROM fx_batch_fault
+UNION ALL
+SELECT batch_id, cast(max(slot) + 1 AS integer), NULL, NULL, NULL, NULL, NULL, NULL, true, 'extra', 'extra_id'
+FROM fx_batch_fault WHERE f = 5 GROUP BY batch_id""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.fixtures import H, with_ctes
+from oracle.fixtures import H, pstrip, with_ctes
 
 SQL: dict[str, str] = {}
 
@@ -31,9 +31,9 @@ sql("combo_sample", """
 SELECT concept_id, format, audience, angle, cognitive_operation, combo_id, cast(sample_rank AS integer) AS sample_rank
 FROM fx_sample""")
 
-sql("scan_validity_done", r"""
+sql("scan_validity_done", f"""
 SELECT concept_id, format, audience, angle, cognitive_operation, is_valid, reason
-FROM fx_done WHERE regexp_replace(is_valid, '^\s+|\s+$', '', 'g') <> ''""")
+FROM fx_done WHERE {pstrip('is_valid')} <> ''""")
 
 sql("combo_resume", """
 SELECT concept_id, format, audience, angle, cognitive_operation, cast(sample_rank AS integer) AS sample_rank,
@@ -93,9 +93,8 @@ JOIN (SELECT rule_type, count(*) AS pool FROM fx_space GROUP BY 1) p
 GROUP BY c.concept_type""")
 
 # --------------------------------------------------------------- extraction
-sql("scan_seed_ids", r"""
-SELECT regexp_replace(value, '^\s+|\s+$', '', 'g') AS seed_id FROM fx_seed_lines
-WHERE regexp_replace(value, '^\s+|\s+$', '', 'g') <> ''""")
+sql("scan_seed_ids", f"""
+SELECT {pstrip('value')} AS seed_id FROM fx_seed_lines WHERE {pstrip('value')} <> ''""")
 
 sql("scan_runs_started", """
 SELECT run_id, seed_id, domain, target_concepts_range FROM fx_started""")
@@ -145,8 +144,8 @@ FROM (SELECT s.run_id, s.doc_id, cast(s.doc_id % 6 AS integer) AS n_concepts,
 sql("concept_counts", """
 SELECT domain, count(*) AS concepts, count(DISTINCT seed_id) AS seeds FROM fx_extracted GROUP BY domain""")
 
-sql("ledger_status_counts", r"""
-SELECT domain, regexp_replace(status, '^\s+|\s+$', '', 'g') AS status, count(*) AS runs
+sql("ledger_status_counts", f"""
+SELECT domain, {pstrip('status')} AS status, count(*) AS runs
 FROM fx_ledger GROUP BY 1, 2""")
 
 sql("concepts_in_range", """
@@ -155,3 +154,38 @@ SELECT s.run_id, coalesce(e.n, 0) AS n_concepts,
                             AND cast(split_part(r.target_concepts_range, '-', 2) AS integer) AS in_range
 FROM fx_started s JOIN fx_ranges r ON r.domain = s.domain
 LEFT JOIN (SELECT run_id, count(*) AS n FROM fx_extracted GROUP BY 1) e ON e.run_id = s.run_id""")
+
+# ----------------------------------------------------------------- verdicts
+sql("join_verdict_align", """
+SELECT batch_id, slot, concept_id, format, audience, angle, cognitive_operation, is_valid, reason, outcome
+FROM fx_aligned""")
+
+sql("verdict_default", """
+SELECT batch_id, slot, is_valid, reason FROM fx_aligned WHERE reason = 'Parse error fallback'""")
+
+sql("strip_code_fence", f"""
+SELECT DISTINCT batch_id, {H('batch_id', "'fence'")} % 11 = 0 AS fenced, f <> 4 AS ok FROM fx_batch_fault""")
+
+sql("v_validity", """
+SELECT DISTINCT batch_id,
+       CASE f WHEN 4 THEN 'unparsable' WHEN 0 THEN 'missing_id' WHEN 5 THEN 'unknown_id'
+              WHEN 1 THEN 'out_of_order' WHEN 2 THEN 'missing_flag' WHEN 3 THEN 'missing_reason'
+              ELSE '' END AS violations,
+       f > 5 AS passed
+FROM fx_batch_fault""")
+
+sql("valid_filter", """
+SELECT concept_id, format, audience, angle, cognitive_operation FROM fx_aligned
+WHERE outcome = 'ok' AND is_valid""")
+
+sql("run_counters", "SELECT outcome, count(*) AS combos FROM fx_aligned GROUP BY outcome")
+
+sql("verdict_rate", """
+SELECT dim, value, count(*) AS answered, sum(cast(is_valid AS integer))::bigint AS valid,
+       round(sum(cast(is_valid AS integer)) / count(*), 4) AS valid_rate
+FROM (SELECT 'concept_type' AS dim, concept_type AS value, is_valid FROM fx_aligned WHERE outcome = 'ok'
+      UNION ALL SELECT 'format', format, is_valid FROM fx_aligned WHERE outcome = 'ok'
+      UNION ALL SELECT 'audience', audience, is_valid FROM fx_aligned WHERE outcome = 'ok'
+      UNION ALL SELECT 'angle', angle, is_valid FROM fx_aligned WHERE outcome = 'ok'
+      UNION ALL SELECT 'cognitive_operation', cognitive_operation, is_valid FROM fx_aligned WHERE outcome = 'ok')
+GROUP BY dim, value""")

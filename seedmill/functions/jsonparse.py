@@ -39,3 +39,28 @@ def parse_strict(c, ddl: str) -> Column:
            .when(py_strip(col) == "", F.lit("empty"))
            .when(~ok, F.lit("invalid_json")))
     return F.struct(ok.alias("ok"), F.when(ok, parsed["w"][0]).alias("value"), err.alias("error"))
+
+
+def with_parsed(df, text, ddl: str, out: str = "parsed"):
+    """DataFrame form of :func:`parse_strict` that evaluates each costly step once.
+
+    The text expression, the JSON read and the checks land in separate
+    projections; Catalyst keeps them apart because the costly columns are
+    referenced more than once, so neither the text preparation (fence strip)
+    nor ``from_json`` runs twice per row.
+    """
+    from pyspark.sql import DataFrame  # noqa: F401
+
+    col = F.col(text) if isinstance(text, str) else text
+    df = df.withColumn("_pj_text", col)
+    wrapped = F.concat(F.lit('{"w":['), F.col("_pj_text"), F.lit("]}"))
+    df = df.withColumn("_pj_raw", F.from_json(wrapped, f"w array<{ddl}>, _cr string", _OPTS))
+    t, raw = F.col("_pj_text"), F.col("_pj_raw")
+    ok = F.coalesce(t.isNotNull() & raw["_cr"].isNull()
+                    & (F.coalesce(F.size(raw["w"]), F.lit(0)) == 1), F.lit(False))
+    err = (F.when(t.isNull(), F.lit("null_input"))
+           .when(py_strip(t) == "", F.lit("empty"))
+           .when(~ok, F.lit("invalid_json")))
+    return (df.withColumn(out, F.struct(ok.alias("ok"), F.when(ok, raw["w"][0]).alias("value"),
+                                        err.alias("error")))
+            .drop("_pj_raw", "_pj_text"))

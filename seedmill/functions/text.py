@@ -12,9 +12,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.isspace() accepts (built from that rule).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def py_strip(c) -> Column:
-    """Strip leading/trailing whitespace of every kind (SQL ``trim`` only strips spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: both ends, every whitespace character.
+
+    SQL ``trim`` strips only spaces; ``btrim`` with the whitespace set is a
+    plain scan of the two ends (a regex would scan the whole text).
+    """
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def dedup_text(name="concept_name", definition="concept_definition") -> Column:

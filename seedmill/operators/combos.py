@@ -113,20 +113,45 @@ def sample_combos(concepts: DataFrame, space: DataFrame, n: int = vocab.SAMPLES_
     """Up to ``n`` combos per concept, without replacement, ranked by a stable hash.
 
     ``concepts`` needs ``concept_id`` and ``concept_type`` (or ``rule_type``).
-    Returns the concept columns plus the four dimensions, ``combo_id`` and
-    ``sample_rank`` (1-based).
+    Returns narrow rows ``concept_id, <dims>, combo_id, sample_rank`` (1-based),
+    hash-partitioned by ``concept_id``; attach concept attributes afterwards,
+    ideally per batch (:func:`attach_concepts`), so the per-concept sort only
+    moves narrow rows.
+
+    Plan: shuffle the concept keys once on ``concept_id``; broadcast-join the
+    size-checked combo space; window ``row_number`` per concept with a group
+    limit (no further exchange).
     """
     if "rule_type" not in concepts.columns:
         concepts = rule_key(concepts, rules)
-    parts = partitions or concepts.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    clustered = concepts.repartition(int(parts), "concept_id")
-    joined = clustered.join(_checked_broadcast(space), "rule_type").drop("rule_type")
+    parts = int(partitions or concepts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = concepts.select("concept_id", "rule_type").repartition(parts, "concept_id")
+    joined = keys.join(_checked_broadcast(space), "rule_type").drop("rule_type")
     joined = joined.withColumn("combo_id", combo_id())
     w = Window.partitionBy("concept_id").orderBy("combo_id", *DIMS)
     return (joined.withColumn("sample_rank", F.row_number().over(w))
             .filter(F.col("sample_rank") <= n))
 
 
+def attach_concepts(df: DataFrame, concepts: DataFrame,
+                    cols=("run_id", "seed_id", "domain", "concept_name", "concept_type",
+                          "concept_definition")) -> DataFrame:
+    """Join concept attributes back on ``concept_id`` (an equi-join; with both
+    sides hash-partitioned on concept_id the sample side is not re-shuffled)."""
+    cols = [c for c in cols if c in concepts.columns and c not in df.columns]
+    return df.join(concepts.select("concept_id", *cols), "concept_id")
+
+
+def batches_from_rank(df: DataFrame, size: int = vocab.BATCH_SIZE, rank: str = "sample_rank",
+                      key: str = "concept_id") -> DataFrame:
+    """X5 on a fresh sample: chunk number and slot follow from the rank (no window)."""
+    r = F.col(rank) - 1
+    return (df.withColumn("batch_no", (r / size).cast("int"))
+            .withColumn("slot", (r % size).cast("int"))
+            .withColumn("batch_id", F.md5(F.concat_ws("|", F.col(key).cast("string"),
+                                                      F.col("batch_no").cast("string")))))
+
+
 def resume_filter(sampled: DataFrame, done: DataFrame) -> DataFrame:
     """Drop combos already answered (key: concept_id + the four dimensions)."""
     keys = ["concept_id", *DIMS]
@@ -155,12 +180,16 @@ def render_combo_line() -> Column:
 
 
 def collect_batches(batched: DataFrame, carry=("domain", "concept_name", "concept_type",
-                                               "concept_definition")) -> DataFrame:
-    """One row per batch with its slots in order and the P12 combos text."""
+                                               "concept_definition"), slot_cols=()) -> DataFrame:
+    """One row per batch with its slots in order and the P12 combos text.
+
+    Grouping keys start with ``concept_id``, on which the sample is already
+    partitioned, so this aggregation adds no shuffle.
+    """
     carry = [c for c in carry if c in batched.columns]
     slots = F.array_sort(F.collect_list(F.struct(
-        "slot", "combo_id", *DIMS, render_combo_line().alias("line"))))
-    return (batched.groupBy("batch_id", "concept_id", "batch_no", *carry)
+        "slot", *slot_cols, "combo_id", *DIMS, render_combo_line().alias("line"))))
+    return (batched.groupBy("concept_id", "batch_no", "batch_id", *carry)
             .agg(slots.alias("slots"))
             .withColumn("batch_size", F.size("slots"))
             .withColumn("combos_text", F.array_join(F.transform("slots", lambda s: s["line"]), "\n")))

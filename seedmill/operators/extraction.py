@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedmill.functions import vocab
-from seedmill.functions.jsonparse import parse_strict
+from seedmill.functions.jsonparse import with_parsed
 from seedmill.functions.text import py_strip, strip_code_fence
 
 DRAFT_DDL = ("struct<domain:string,summary:string,"
@@ -97,8 +97,8 @@ def parse_drafts(runs: DataFrame, drafts: DataFrame, ddl: str = DRAFT_DDL) -> Da
     j = runs.join(d, "run_id", "left")
     raw = F.try_element_at(F.col("drafts"), F.lit(1))["teacher_output"]["candidate_response"]
     j = (j.withColumn("has_draft", F.col("drafts").isNotNull())
-         .withColumn("raw", raw)
-         .withColumn("parsed", parse_strict(strip_code_fence(F.col("raw")), ddl)))
+         .withColumn("raw", raw))
+    j = with_parsed(j, strip_code_fence(F.col("raw")), ddl)
     n = F.coalesce(F.size(F.col("parsed.value.concepts")), F.lit(0))
     reason = (F.when(~F.col("has_draft"), F.lit("no_draft"))
               .when(F.size("drafts") == 0, F.lit("no_drafts"))

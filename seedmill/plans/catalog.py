@@ -47,7 +47,7 @@ def combo_prune(spark, sf) -> DataFrame:
 @query("combo_sample")
 def combo_sample(spark, sf) -> DataFrame:
     """700 combos per concept, stable hash rank."""
-    return fx.sampled_combos(spark, sf).select("concept_id", *DIMS, "combo_id", "sample_rank")
+    return fx.sampled_combos(spark, sf, narrow=True).select("concept_id", *DIMS, "combo_id", "sample_rank")
 
 
 @query("scan_validity_done")
@@ -62,12 +62,14 @@ def scan_validity_done(spark, sf) -> DataFrame:
 def combo_resume(spark, sf) -> DataFrame:
     """Sampled combos minus the finished ones, renumbered into batches."""
     from seedmill.sources.files import completed_rows
-    left = cmb.resume_filter(fx.sampled_combos(spark, sf), completed_rows(fx.validity_done(spark, sf)))
+    left = cmb.resume_filter(fx.sampled_combos(spark, sf, narrow=True),
+                             completed_rows(fx.validity_done(spark, sf)))
     return cmb.number_batches(left).select("concept_id", *DIMS, "sample_rank", "batch_no", "slot")
 
 
 def _fresh_batches(spark, sf) -> DataFrame:
-    return cmb.collect_batches(fx.validity_batches(spark, sf))
+    b = cmb.collect_batches(fx.validity_batches(spark, sf))
+    return cmb.attach_concepts(b, fx.concepts(spark, sf))
 
 
 @query("micro_batch")
@@ -253,3 +255,76 @@ def concepts_in_range(spark, sf) -> DataFrame:
     p = _parsed(spark, sf)
     return ext.concepts_in_range(ext.concepts_from(p), p).select(
         "run_id", "n_concepts", "in_range")
+
+
+# ----------------------------------------------------------------- verdicts
+from seedmill.operators import verdicts as vd  # noqa: E402
+
+
+def _requests(spark, sf) -> DataFrame:
+    """The request table as stored when the batches were sent (one row per batch)."""
+    b = cmb.collect_batches(fx.validity_batches(spark, sf), slot_cols=("concept_id",))
+    return cmb.attach_concepts(b, fx.concepts(spark, sf), cols=("concept_type",))
+
+
+def _aligned(spark, sf) -> DataFrame:
+    req = _requests(spark, sf).select("batch_id", "concept_type", "slots")
+    return vd.align(req, vd.parse_answers(fx.verdict_answers(spark, sf)))
+
+
+@query("join_verdict_align")
+def join_verdict_align(spark, sf) -> DataFrame:
+    """Answers aligned to their combos by id; gaps and extras kept as outcomes."""
+    return _aligned(spark, sf).select("batch_id", "slot", "concept_id", *DIMS,
+                                      "is_valid", "reason", "outcome")
+
+
+@query("verdict_default")
+def verdict_default(spark, sf) -> DataFrame:
+    """Answered slots that needed the default flag or reason."""
+    a = _aligned(spark, sf)
+    return a.filter(F.col("reason") == vocab.DEFAULT_REASON).select("batch_id", "slot", "is_valid", "reason")
+
+
+@query("strip_code_fence")
+def strip_code_fence_q(spark, sf) -> DataFrame:
+    """Fenced answers are unwrapped before parsing."""
+    ans = fx.verdict_answers(spark, sf)
+    p = vd.parse_answers(ans)
+    fenced = ans.select(F.col("request_id").alias("batch_id"),
+                        F.col("content").startswith("```").alias("fenced"))
+    return fenced.join(p.select("batch_id", "ok"), "batch_id")
+
+
+@query("v_validity")
+def v_validity(spark, sf) -> DataFrame:
+    """V2: validity answer contract per batch."""
+    sizes = fx.validity_batches(spark, sf).groupBy("batch_id").agg(
+        F.count(F.lit(1)).cast("int").alias("batch_size"))
+    v = vd.check_answers(vd.parse_answers(fx.verdict_answers(spark, sf)), sizes)
+    return v.select("batch_id", F.array_join("violations", ",").alias("violations"), "passed")
+
+
+@query("valid_filter")
+def valid_filter(spark, sf) -> DataFrame:
+    """Combos judged valid go to generation."""
+    return vd.valid_only(_aligned(spark, sf)).select("concept_id", *DIMS)
+
+
+@query("run_counters")
+def run_counters(spark, sf) -> DataFrame:
+    """A4: combos written and failed, by outcome."""
+    return vd.run_counters(_aligned(spark, sf))
+
+
+@query("verdict_rate")
+def verdict_rate(spark, sf) -> DataFrame:
+    """A10: valid share per value of each dimension and per concept type."""
+    return vd.verdict_rate(_aligned(spark, sf))
+
+
+@query("request_payload_chat")
+def request_payload_chat(spark, sf) -> DataFrame:
+    """Chat request JSON per validity batch (rows-only check)."""
+    b = flagship(spark, sf)
+    return b.select("batch_id", vd.chat_payload("model").alias("payload"))

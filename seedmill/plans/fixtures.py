@@ -157,10 +157,11 @@ def drafts(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------ validity answers
-def sampled_combos(spark, sf_dir, n: int = vocab.SAMPLES_PER_CONCEPT) -> DataFrame:
+def sampled_combos(spark, sf_dir, n: int = vocab.SAMPLES_PER_CONCEPT, narrow: bool = False) -> DataFrame:
     c = concepts(spark, sf_dir)
     space = cmb.combo_space(cmb.rules_table(spark))
-    return cmb.sample_combos(c, space, n, rules=cmb.rules_table(spark))
+    s = cmb.sample_combos(c, space, n, rules=cmb.rules_table(spark))
+    return s if narrow else cmb.attach_concepts(s, c)
 
 
 def validity_done(spark, sf_dir) -> DataFrame:
@@ -182,8 +183,7 @@ def validity_done(spark, sf_dir) -> DataFrame:
 
 def validity_batches(spark, sf_dir) -> DataFrame:
     """The micro-batches of a fresh run (no resume)."""
-    s = sampled_combos(spark, sf_dir)
-    return cmb.number_batches(s)
+    return cmb.batches_from_rank(sampled_combos(spark, sf_dir, narrow=True))
 
 
 def verdict_answers(spark, sf_dir) -> DataFrame:

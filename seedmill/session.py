@@ -25,6 +25,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM
+        conf["spark.driver.memory"] = os.environ.get("SEEDMILL_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
