@@ -126,6 +126,11 @@ SELECT *, md5(concept_id || '|' || cast(batch_no AS varchar)) AS batch_id FROM (
   FROM fx_sample)""")
 
 
+# CTEs read more than once by some statements: computed once.
+HEAVY = {"fx_sample", "fx_batches", "fx_batch_fault", "fx_aligned", "fx_sh", "fx_reps", "fx_sig",
+         "fx_band", "fx_cand", "fx_jac", "fx_concepts", "fx_dd"}
+
+
 def _deps(sql: str) -> list[str]:
     return [n for n in CTES if re.search(rf"\b{n}\b", sql)]
 
@@ -148,8 +153,11 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
         visit(n)
     if not order:
         return sql
-    head = "WITH " + ",\n".join(f"{n} AS ({pool[n]})" for n in order)
+    head = "WITH " + ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in HEAVY else ''}({pool[n]})" for n in order)
     body = sql.lstrip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + head[5:] + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":
         return head + ",\n" + body[5:]
     return head + "\n" + body
@@ -204,3 +212,59 @@ FROM fx_batch_fault
 UNION ALL
 SELECT batch_id, cast(max(slot) + 1 AS integer), NULL, NULL, NULL, NULL, NULL, NULL, true, 'extra', 'extra_id'
 FROM fx_batch_fault WHERE f = 5 GROUP BY batch_id""")
+
+cte("fx_dd", f"""
+SELECT concept_id, run_id, seed_id, domain, concept_name, concept_type, concept_definition, pos,
+       {pstrip(pstrip("coalesce(concept_name, '')") + " || ' ' || " + pstrip("coalesce(concept_definition, '')"))} AS dedup_text,
+       seed_id || chr(1) || run_id || chr(1) || lpad(cast(pos AS varchar), 5, '0') AS order_key
+FROM fx_concepts""")
+
+cte("fx_sh", """
+SELECT DISTINCT concept_id, substr(lt, i, 3) AS s FROM (
+  SELECT concept_id, lower(dedup_text) AS lt, unnest(range(1, length(lower(dedup_text)) - 1)) AS i FROM fx_dd)""")
+
+cte("fx_reps", """
+SELECT * FROM (SELECT d.*, row_number() OVER (PARTITION BY domain, dedup_text ORDER BY order_key) AS rn
+               FROM fx_dd d WHERE concept_id IN (SELECT concept_id FROM fx_sh)) WHERE rn = 1""")
+
+cte("fx_perm", f"""
+SELECT k, {H("'a'", 'k')} % 2147483646 + 1 AS a, {H("'b'", 'k')} % 2147483647 AS b FROM range(0, 128) t(k)""")
+
+cte("fx_sig", f"""
+SELECT h.concept_id, p.k, min((p.a * h.hv + p.b) % 2147483647) AS v
+FROM (SELECT concept_id, {H('s')} % 2147483647 AS hv FROM fx_sh
+      WHERE concept_id IN (SELECT concept_id FROM fx_reps)) h, fx_perm p
+GROUP BY h.concept_id, p.k""")
+
+cte("fx_band", f"""
+SELECT r.concept_id, r.domain, r.order_key, g.band,
+       {H('g.str', 'g.band')} AS bucket
+FROM (SELECT concept_id, k // 5 AS band, string_agg(cast(v AS varchar), ',' ORDER BY k) AS str
+      FROM fx_sig WHERE k < 125 GROUP BY concept_id, k // 5) g
+JOIN fx_reps r USING (concept_id)""")
+
+cte("fx_cand", """
+SELECT DISTINCT x.concept_id AS a, y.concept_id AS b
+FROM fx_band x JOIN fx_band y ON x.domain = y.domain AND x.band = y.band AND x.bucket = y.bucket
+ AND x.order_key < y.order_key""")
+
+cte("fx_jac", """
+SELECT c.a, c.b, i.n * 1.0 / (na.n + nb.n - i.n) AS jaccard
+FROM fx_cand c
+JOIN (SELECT concept_id, count(*) AS n FROM fx_sh GROUP BY 1) na ON na.concept_id = c.a
+JOIN (SELECT concept_id, count(*) AS n FROM fx_sh GROUP BY 1) nb ON nb.concept_id = c.b
+JOIN (SELECT c2.a, c2.b, count(*) AS n FROM fx_cand c2
+      JOIN fx_sh x ON x.concept_id = c2.a JOIN fx_sh y ON y.concept_id = c2.b AND y.s = x.s
+      GROUP BY 1, 2) i ON i.a = c.a AND i.b = c.b""")
+
+cte("fx_vecn", """
+SELECT id, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-10)) AS nv FROM (
+  SELECT vec_id AS id, cast(embedding AS DOUBLE[]) AS v FROM embeddings)""")
+
+cte("fx_planted", """
+SELECT id, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-10)) AS nv FROM (
+  SELECT vec_id AS id, cast(embedding AS DOUBLE[]) AS v FROM embeddings
+  UNION ALL
+  SELECT 1000000 + vec_id, list_transform(cast(embedding AS DOUBLE[]),
+         lambda x, i: CASE WHEN i - 1 = vec_id % 64 THEN x + 0.2 * (1 + vec_id % 3) ELSE x END)
+  FROM embeddings WHERE vec_id % 5 = 0)""")

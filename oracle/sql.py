@@ -189,3 +189,92 @@ FROM (SELECT 'concept_type' AS dim, concept_type AS value, is_valid FROM fx_alig
       UNION ALL SELECT 'angle', angle, is_valid FROM fx_aligned WHERE outcome = 'ok'
       UNION ALL SELECT 'cognitive_operation', cognitive_operation, is_valid FROM fx_aligned WHERE outcome = 'ok')
 GROUP BY dim, value""")
+
+
+# -------------------------------------------------------------------- dedup
+def greedy(nodes: str, edges: str, select: str = "SELECT gn.grp, gn.id") -> str:
+    """Sequential keep-first as a recursive CTE: walk rows in order per group,
+    carrying the kept list; a row is kept unless an earlier neighbour is kept.
+    ``nodes``: grp, id, ord. ``edges``: grp, a, b (a earlier than b)."""
+    return f"""
+WITH RECURSIVE gn AS MATERIALIZED (SELECT grp, id, row_number() OVER (PARTITION BY grp ORDER BY ord) AS rn FROM ({nodes})),
+ge AS MATERIALIZED (SELECT e.grp, nb.rn AS rb, na.rn AS ra FROM ({edges}) e
+       JOIN gn na ON na.grp = e.grp AND na.id = e.a JOIN gn nb ON nb.grp = e.grp AND nb.id = e.b),
+nbr AS MATERIALIZED (SELECT grp, rb AS rn, list(ra) AS earlier FROM ge GROUP BY grp, rb),
+gmax AS MATERIALIZED (SELECT grp, max(rn) AS mx FROM gn GROUP BY grp),
+walk(grp, rn, kept) AS (
+  SELECT grp, cast(0 AS bigint), cast([] AS bigint[]) FROM gmax
+  UNION ALL
+  SELECT w.grp, w.rn + 1,
+         CASE WHEN list_has_any(w.kept, coalesce(n.earlier, cast([] AS bigint[]))) THEN w.kept
+              ELSE list_append(w.kept, w.rn + 1) END
+  FROM walk w JOIN gmax m ON m.grp = w.grp AND w.rn < m.mx
+  LEFT JOIN nbr n ON n.grp = w.grp AND n.rn = w.rn + 1),
+kept AS (SELECT gn.grp, gn.id FROM (SELECT w.grp, unnest(w.kept) AS rn FROM walk w
+                                    JOIN gmax m ON m.grp = w.grp AND w.rn = m.mx) k
+         JOIN gn ON gn.grp = k.grp AND gn.rn = k.rn)
+"""
+
+
+sql("dedup_text", "SELECT concept_id, dedup_text FROM fx_dd")
+
+sql("dedup_exact", """
+SELECT concept_id, domain FROM (
+  SELECT concept_id, domain, row_number() OVER (PARTITION BY domain, dedup_text ORDER BY order_key) AS rn FROM fx_dd)
+WHERE rn = 1""")
+
+sql("char_shingles", """
+SELECT d.concept_id, cast(coalesce(s.n, 0) AS integer) AS n_shingles
+FROM fx_dd d LEFT JOIN (SELECT concept_id, count(*) AS n FROM fx_sh GROUP BY 1) s USING (concept_id)""")
+
+sql("minhash_signature", """
+SELECT concept_id, string_agg(cast(v AS varchar), ',' ORDER BY k) AS sig FROM fx_sig GROUP BY concept_id""")
+
+sql("lsh_candidates", "SELECT a, b FROM fx_cand")
+
+sql("jaccard_verify", "SELECT a, b FROM fx_jac WHERE jaccard >= 0.5")
+
+MINHASH_KEPT = greedy(
+    "SELECT domain AS grp, concept_id AS id, order_key AS ord FROM fx_reps",
+    "SELECT r.domain AS grp, j.a, j.b FROM fx_jac j JOIN fx_reps r ON r.concept_id = j.a WHERE j.jaccard >= 0.5")
+MINHASH_ALL = ("mh AS (SELECT id AS concept_id FROM kept UNION ALL "
+               "SELECT concept_id FROM fx_dd WHERE concept_id NOT IN (SELECT concept_id FROM fx_sh))")
+
+sql("dedup_minhash", MINHASH_KEPT + "," + MINHASH_ALL + """
+SELECT d.concept_id, d.domain FROM fx_dd d JOIN mh USING (concept_id)""")
+
+sql("join_seed_lost", MINHASH_KEPT + "," + MINHASH_ALL + """
+SELECT DISTINCT seed_id FROM fx_dd
+WHERE seed_id NOT IN (SELECT d.seed_id FROM fx_dd d JOIN mh USING (concept_id))""")
+
+sql("dedup_summary", MINHASH_KEPT + "," + MINHASH_ALL + """,
+ex AS (SELECT concept_id FROM (SELECT concept_id, row_number() OVER (PARTITION BY domain, dedup_text
+                                                                    ORDER BY order_key) AS rn FROM fx_dd) WHERE rn = 1),
+res AS (SELECT 'exact' AS method, d.seed_id FROM fx_dd d JOIN ex USING (concept_id)
+        UNION ALL SELECT 'minhash', d.seed_id FROM fx_dd d JOIN mh USING (concept_id)),
+per AS (SELECT method, seed_id, count(*) AS c FROM res GROUP BY 1, 2)
+SELECT method, cast(sum(c) AS bigint) AS kept, cast((SELECT count(*) FROM fx_dd) - sum(c) AS bigint) AS removed,
+       cast((SELECT count(DISTINCT seed_id) FROM fx_dd) - count(*) AS bigint) AS seeds_lost,
+       median(c) AS median_per_seed
+FROM per GROUP BY method""")
+
+COS_PAIRS = "SELECT x.id AS a, y.id AS b, list_dot_product(x.nv, y.nv) AS sim FROM {t} x JOIN {t} y ON x.id < y.id"
+
+sql("cosine_pairs", f"SELECT a, b FROM ({COS_PAIRS.format(t='fx_vecn')}) WHERE sim >= 0.30")
+
+sql("greedy_keep_first", greedy(
+    "SELECT 1 AS grp, id, id AS ord FROM fx_vecn",
+    f"SELECT 1 AS grp, a, b FROM ({COS_PAIRS.format(t='fx_vecn')}) WHERE sim >= 0.30") + """
+SELECT id AS vec_id FROM kept""")
+
+sql("dedup_semantic", greedy(
+    "SELECT 1 AS grp, id, id AS ord FROM fx_planted",
+    f"SELECT 1 AS grp, a, b FROM ({COS_PAIRS.format(t='fx_planted')}) WHERE sim >= 0.90") + """
+SELECT id AS vec_id FROM kept""")
+
+sql("dedup_sweep", greedy(
+    "SELECT t.label AS grp, p.id, p.id AS ord FROM fx_planted p, "
+    "(VALUES ('0.80'), ('0.90'), ('0.95')) t(label)",
+    f"SELECT t.label AS grp, a, b FROM ({COS_PAIRS.format(t='fx_planted')}) c, "
+    "(VALUES ('0.80', 0.80), ('0.90', 0.90), ('0.95', 0.95)) t(label, th) WHERE c.sim >= t.th") + """
+SELECT grp AS label, count(*) AS kept FROM kept GROUP BY grp""")

@@ -328,3 +328,117 @@ def request_payload_chat(spark, sf) -> DataFrame:
     """Chat request JSON per validity batch (rows-only check)."""
     b = flagship(spark, sf)
     return b.select("batch_id", vd.chat_payload("model").alias("payload"))
+
+
+# -------------------------------------------------------------------- dedup
+from seedmill.operators import dedup as dd  # noqa: E402
+
+
+def _dd(spark, sf) -> DataFrame:
+    return fx.dedup_concepts(spark, sf)
+
+
+def _reps(spark, sf) -> DataFrame:
+    x = _dd(spark, sf).withColumn("_sh", dd.char_shingles("dedup_text"))
+    return dd.dedup_exact(x.filter(F.size("_sh") > 0), "dedup_text", ["order_key"], ["domain"])
+
+
+def _sigs(spark, sf) -> DataFrame:
+    return (_reps(spark, sf).withColumn("_hs", dd.shingle_hashes("_sh"))
+            .withColumn("_sig", dd.minhash_signature("_hs")))
+
+
+@query("dedup_text")
+def dedup_text_q(spark, sf) -> DataFrame:
+    """Name + ' ' + definition, stripped (type left out)."""
+    return _dd(spark, sf).select("concept_id", "dedup_text")
+
+
+@query("dedup_exact")
+def dedup_exact_q(spark, sf) -> DataFrame:
+    """First row per distinct dedup text within a domain."""
+    return dd.dedup_exact(_dd(spark, sf), "dedup_text", ["order_key"], ["domain"]).select("concept_id", "domain")
+
+
+@query("char_shingles")
+def char_shingles_q(spark, sf) -> DataFrame:
+    """Distinct lower-cased character 3-grams per concept text."""
+    return _dd(spark, sf).select("concept_id", F.size(dd.char_shingles("dedup_text")).alias("n_shingles"))
+
+
+@query("minhash_signature")
+def minhash_signature_q(spark, sf) -> DataFrame:
+    """D3: 128-permutation MinHash signature per representative text."""
+    return _sigs(spark, sf).select("concept_id", F.array_join(F.col("_sig").cast("array<string>"), ",").alias("sig"))
+
+
+@query("lsh_candidates")
+def lsh_candidates_q(spark, sf) -> DataFrame:
+    """Pairs sharing a band bucket (25 bands x 5 rows), per domain."""
+    return dd.lsh_candidates(_sigs(spark, sf), "concept_id", "order_key", "_sig", part=["domain"])
+
+
+@query("jaccard_verify")
+def jaccard_verify_q(spark, sf) -> DataFrame:
+    """Candidate pairs with exact 3-gram Jaccard >= 0.5."""
+    s = _sigs(spark, sf)
+    cand = dd.lsh_candidates(s, "concept_id", "order_key", "_sig", part=["domain"])
+    return dd.verify_jaccard(cand, s, "concept_id", "_sh", vocab.MINHASH_THRESHOLD).select("a", "b")
+
+
+def _minhash_kept(spark, sf) -> DataFrame:
+    return dd.minhash_dedup(_dd(spark, sf), "concept_id", "dedup_text", "order_key", part=["domain"])
+
+
+@query("dedup_minhash")
+def dedup_minhash_q(spark, sf) -> DataFrame:
+    """Keep-first over verified MinHash pairs, per domain."""
+    return _minhash_kept(spark, sf).select("concept_id", "domain")
+
+
+@query("join_seed_lost")
+def join_seed_lost(spark, sf) -> DataFrame:
+    """Seeds with concepts before and none after MinHash dedup."""
+    return dd.seeds_lost(_dd(spark, sf), _minhash_kept(spark, sf))
+
+
+@query("dedup_summary")
+def dedup_summary_q(spark, sf) -> DataFrame:
+    """A2: kept, removed, seeds lost and median concepts per surviving seed, per method."""
+    d = _dd(spark, sf)
+    return dd.dedup_summary(d, {
+        "exact": dd.dedup_exact(d, "dedup_text", ["order_key"], ["domain"]),
+        "minhash": _minhash_kept(spark, sf)})
+
+
+def _emb(spark, sf) -> DataFrame:
+    return fx.table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+@query("cosine_pairs")
+def cosine_pairs_q(spark, sf) -> DataFrame:
+    """All embedding pairs with cosine >= 0.30 (exact, tiled)."""
+    return dd.cosine_pairs(_emb(spark, sf), "vec_id", "vec_id", "embedding", 0.30).select("a", "b")
+
+
+@query("greedy_keep_first")
+def greedy_keep_first_q(spark, sf) -> DataFrame:
+    """Keep-first survivors over the cosine >= 0.30 graph."""
+    e = _emb(spark, sf)
+    pairs = dd.cosine_pairs(e, "vec_id", "vec_id", "embedding", 0.30)
+    return dd.greedy_keep_first(e.select("vec_id"), pairs, "vec_id")
+
+
+@query("dedup_semantic")
+def dedup_semantic_q(spark, sf) -> DataFrame:
+    """Semantic dedup of the planted-copy vectors at cosine 0.90."""
+    v = fx.planted_vectors(spark, sf)
+    return dd.semantic_dedup(v, "vec_id", "vec_id", "embedding", 0.90).select("vec_id")
+
+
+@query("dedup_sweep")
+def dedup_sweep_q(spark, sf) -> DataFrame:
+    """Survivors per threshold (0.80 / 0.90 / 0.95), pairs computed once."""
+    v = fx.planted_vectors(spark, sf)
+    s = dd.semantic_sweep(v, "vec_id", "vec_id", "embedding", [0.80, 0.90, 0.95])
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("kept"))

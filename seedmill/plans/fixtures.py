@@ -220,3 +220,30 @@ def verdict_answers(spark, sf_dir) -> DataFrame:
     fenced = F.pmod(stable_hash("batch_id", F.lit("fence")), F.lit(11)) == 0
     text = F.when(fenced, F.concat(F.lit("```json\n"), text, F.lit("\n```"))).otherwise(text)
     return g.select(F.col("batch_id").alias("request_id"), text.alias("content"))
+
+
+# ------------------------------------------------------------------ dedup inputs
+def dedup_concepts(spark, sf_dir) -> DataFrame:
+    """fx_dd: concepts with the P1 dedup text and the keep order key
+    (seed_id, run_id, pos as one sortable string; keep-first is per domain)."""
+    from seedmill.functions.text import dedup_text
+    c = concepts(spark, sf_dir)
+    return c.select("concept_id", "run_id", "seed_id", "domain", "concept_name", "concept_type",
+                    "concept_definition", "pos",
+                    dedup_text().alias("dedup_text"),
+                    F.concat_ws("\u0001", "seed_id", "run_id", F.lpad(F.col("pos").cast("string"), 5, "0"))
+                    .alias("order_key"))
+
+
+def planted_vectors(spark, sf_dir) -> DataFrame:
+    """fx_vec_planted: the embeddings plus, for vec_id % 5 = 0, a copy with id
+    1000000 + vec_id whose element (vec_id % 64) gets + 0.2 * (1 + vec_id % 3)."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    bump = F.lit(0.2) * (1 + F.col("vec_id") % 3)
+    # the bumped embedding is computed before the id changes (a lambda in the
+    # same select would resolve ``vec_id`` to the new alias)
+    copies = (e.filter(F.col("vec_id") % 5 == 0)
+              .withColumn("embedding", F.transform("embedding", lambda x, i: F.when(
+                  i == F.col("vec_id") % 64, x + bump).otherwise(x)))
+              .withColumn("vec_id", F.lit(1000000) + F.col("vec_id")))
+    return e.unionByName(copies)
