@@ -268,3 +268,16 @@ SELECT id, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v))
   SELECT 1000000 + vec_id, list_transform(cast(embedding AS DOUBLE[]),
          lambda x, i: CASE WHEN i - 1 = vec_id % 64 THEN x + 0.2 * (1 + vec_id % 3) ELSE x END)
   FROM embeddings WHERE vec_id % 5 = 0)""")
+
+cte("fx_stage", f"""
+SELECT s.run_id, t.stage, {H('s.run_id', 't.stage')} % 100 < 85 AS passed
+FROM fx_started s, (VALUES {vals(list(enumerate(vocab.GATE_STAGES)))}) t(si, stage)
+WHERE NOT ({H('s.run_id')} % 40 = 0 AND t.si = {H('s.run_id')} % 5)""")
+
+cte("fx_pivot", "SELECT run_id, " + ", ".join(
+    f"bool_or(passed) FILTER (WHERE stage = '{s}') AS {s}" for s in vocab.GATE_STAGES)
+    + " FROM fx_stage GROUP BY run_id")
+
+cte("fx_fest", """
+SELECT DISTINCT n.n_name AS region, p.p_brand AS value
+FROM nation n JOIN part p ON p.p_partkey % 25 = n.n_nationkey""")

@@ -278,3 +278,121 @@ sql("dedup_sweep", greedy(
     f"SELECT t.label AS grp, a, b FROM ({COS_PAIRS.format(t='fx_planted')}) c, "
     "(VALUES ('0.80', 0.80), ('0.90', 0.90), ('0.95', 0.95)) t(label, th) WHERE c.sim >= t.th") + """
 SELECT grp AS label, count(*) AS kept FROM kept GROUP BY grp""")
+
+
+# ------------------------------------------------------------------- gates
+from seedmill.functions import vocab as _v  # noqa: E402
+from oracle.fixtures import vals as _vals  # noqa: E402
+
+sql("gate_pivot", "SELECT * FROM fx_pivot")
+
+sql("gate_accept", "SELECT run_id, " + " AND ".join(f"coalesce({s}, false)" for s in _v.GATE_STAGES)
+    + " AS accepted FROM fx_pivot")
+
+_alive = []
+_fun = []
+for _i, _s in enumerate(_v.GATE_STAGES):
+    _entered = " AND ".join(_alive) if _alive else "true"
+    _alive.append(f"coalesce({_s}, false)")
+    _fun.append(f"SELECT {_i} AS step, '{_s}' AS stage, cast(sum(CASE WHEN {_entered} THEN 1 ELSE 0 END) AS bigint) AS entered, "
+                f"cast(sum(CASE WHEN {' AND '.join(_alive)} THEN 1 ELSE 0 END) AS bigint) AS passed FROM fx_pivot")
+sql("gate_funnel", " UNION ALL ".join(_fun))
+
+sql("term_screen", """
+SELECT doc_id, array_to_string(list_filter([
+  CASE WHEN regexp_matches(text, '(?i)\\bMIT License\\b') THEN 'MIT License' END,
+  CASE WHEN regexp_matches(text, '(?i)\\bApache License\\b') THEN 'Apache License' END,
+  CASE WHEN regexp_matches(text, '(?i)\\bLicensed\\b') THEN 'Licensed' END], lambda x: x IS NOT NULL), ',') AS terms_found
+FROM documents
+WHERE regexp_matches(text, '(?i)\\bMIT License\\b') OR regexp_matches(text, '(?i)\\bApache License\\b')
+   OR regexp_matches(text, '(?i)\\bLicensed\\b')""")
+
+sql("safety_scores", """
+SELECT s.seed_id, l.quality, l.toxic, coalesce(l.quality >= 1, false) AND coalesce(l.toxic <= 0, false) AS safe
+FROM fx_seeds s JOIN labels l ON l.doc_id = s.doc_id""")
+
+# ------------------------------------------------------- fan-out, rendering
+sql("render_seed_default", "SELECT seed_id, coalesce(nullif(ground_truth, ''), 'not provided') AS ground_truth FROM fx_seeds")
+
+sql("render_tag", """
+SELECT seed_id, coalesce(nullif(tags[1], ''), 'general') AS tag0, coalesce(nullif(tags[2], ''), 'any') AS tag1
+FROM fx_seeds""")
+
+sql("render_prompt", """
+SELECT seed_id, 'Language: ' || language || ' | Tag: ' || coalesce(nullif(tags[1], ''), 'general') ||
+       ' | Domain: ' || domain || chr(10) || text AS prompt FROM fx_seeds""")
+
+sql("fanout_single", """
+SELECT c.concept_id, t.task FROM fx_concepts c, (VALUES ('analogy'), ('misconception'), ('qa_concept')) t(task)""")
+
+sql("fanout_pairs", """
+SELECT 'unordered' AS kind, a.seed_id, a.concept_id AS concept_id_a, b.concept_id AS concept_id_b
+FROM fx_concepts a JOIN fx_concepts b ON a.seed_id = b.seed_id AND a.pos < b.pos
+UNION ALL
+SELECT 'ordered', a.seed_id, a.concept_id, b.concept_id
+FROM fx_concepts a JOIN fx_concepts b ON a.seed_id = b.seed_id AND a.pos <> b.pos""")
+
+_DESC = " ".join(
+    f"JOIN (VALUES {_vals(list(m.items()))}) d_{d}(k, {d}_description) ON d_{d}.k = v.{d}"
+    for d, m in _v.DESCRIPTIONS.items())
+_VALID = ("(SELECT a.concept_id, a.format, a.audience, a.angle, a.cognitive_operation, c.concept_name, "
+          "c.concept_definition FROM fx_aligned a JOIN fx_concepts c USING (concept_id) "
+          "WHERE a.outcome = 'ok' AND a.is_valid) v")
+
+sql("join_descriptions", f"""
+SELECT v.concept_id, v.format, v.audience, v.angle, v.cognitive_operation, format_description,
+       audience_description, angle_description, cognitive_operation_description
+FROM {_VALID} {_DESC}""")
+
+_GEN = ("'Write a ' || v.format || ' (' || format_description || ') for a ' || v.audience || ' reader (' || "
+        "audience_description || '), taking the ' || v.angle || ' angle (' || angle_description || "
+        "') and asking them to ' || v.cognitive_operation || ' (' || cognitive_operation_description || "
+        "'). Concept: ' || v.concept_name || '. ' || v.concept_definition")
+
+sql("generation_requests", f"""
+SELECT v.concept_id, v.format, v.audience, v.angle, v.cognitive_operation, {_GEN} AS prompt
+FROM {_VALID} {_DESC}""")
+
+_SCEN = f"""
+SELECT concept_id, slot, 'Scenario: ' || line AS prompt FROM (
+  SELECT c.concept_id, cast(i AS integer) AS slot, {pstrip('string_split(s.text, chr(10))[i + 1]')} AS line
+  FROM fx_concepts c JOIN fx_seeds s USING (seed_id),
+       LATERAL (SELECT unnest(range(0, len(string_split(s.text, chr(10))))) AS i))
+WHERE line <> ''"""
+
+sql("scenario_requests", _SCEN)
+
+sql("union_requests", f"""
+SELECT 'combo' AS kind, count(*) AS requests FROM {_VALID} {_DESC}
+UNION ALL SELECT 'scenario', count(*) FROM ({_SCEN})""")
+
+sql("rephrase_requests", """
+SELECT s.seed_id, o.operator, t.style FROM fx_seeds s,
+ (VALUES ('simplify'), ('formalize'), ('summarize')) o(operator),
+ (VALUES ('textbook'), ('conversational'), ('news')) t(style)""")
+
+sql("cot_requests", """
+SELECT s.seed_id, r.reasoning_style, t.topology FROM fx_seeds s,
+ (VALUES ('deductive'), ('abductive')) r(reasoning_style), (VALUES ('chain'), ('tree')) t(topology)""")
+
+sql("translate_requests", """
+SELECT s.seed_id, t.target_language, lower(s.language) = lower(t.target_language) AS low_quality
+FROM fx_seeds s, (VALUES ('en'), ('fr'), ('de'), ('es'), ('hi')) t(target_language)""")
+
+sql("rotate_exhaust", f"""
+SELECT seed_id, rk AS rotation_rank,
+       (SELECT list(r_name ORDER BY r_regionkey) FROM region)[rk % (SELECT count(*) FROM region) + 1] AS value
+FROM (SELECT seed_id, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")
+
+sql("rotate_region", """
+SELECT s.seed_id, n.n_name AS region, f.value AS festival
+FROM fx_seeds s JOIN nation n ON n.n_nationkey = s.doc_id % 25 JOIN fx_fest f ON f.region = n.n_name""")
+
+sql("scan_rotation", """
+SELECT 'regions' AS variable, NULL AS region, cast(row_number() OVER (ORDER BY n_nationkey) - 1 AS integer) AS pos,
+       n_name AS value FROM nation
+UNION ALL
+SELECT 'audiences', NULL, cast(row_number() OVER (ORDER BY r_regionkey) - 1 AS integer), r_name FROM region
+UNION ALL
+SELECT 'festivals_by_region', region, cast(row_number() OVER (PARTITION BY region ORDER BY value) - 1 AS integer),
+       value FROM fx_fest""")

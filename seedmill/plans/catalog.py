@@ -442,3 +442,207 @@ def dedup_sweep_q(spark, sf) -> DataFrame:
     v = fx.planted_vectors(spark, sf)
     s = dd.semantic_sweep(v, "vec_id", "vec_id", "embedding", [0.80, 0.90, 0.95])
     return s.groupBy("label").agg(F.count(F.lit(1)).alias("kept"))
+
+
+# ------------------------------------------------------------------- gates
+from seedmill.operators import gates as gt  # noqa: E402
+
+
+def _pivot(spark, sf) -> DataFrame:
+    return gt.gate_pivot(fx.stage_verdicts(spark, sf))
+
+
+@query("gate_pivot")
+def gate_pivot_q(spark, sf) -> DataFrame:
+    """G1: one column per evaluator stage."""
+    return _pivot(spark, sf)
+
+
+@query("gate_accept")
+def gate_accept_q(spark, sf) -> DataFrame:
+    """Accepted iff every stage passed (missing verdict = fail)."""
+    return gt.gate_accept(_pivot(spark, sf))
+
+
+@query("gate_funnel")
+def gate_funnel_q(spark, sf) -> DataFrame:
+    """Rows entering and passing each stage in order."""
+    return gt.gate_funnel(_pivot(spark, sf))
+
+
+SCREEN_TERMS = ["MIT License", "Apache License", "Licensed"]
+
+
+@query("term_screen")
+def term_screen_q(spark, sf) -> DataFrame:
+    """Documents containing screened terms as whole words."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "text")
+    s = gt.term_screen(d, "text", SCREEN_TERMS)
+    return s.filter(F.size("terms_found") > 0).select("doc_id", F.array_join("terms_found", ",").alias("terms_found"))
+
+
+@query("safety_scores")
+def safety_scores_q(spark, sf) -> DataFrame:
+    """Classifier scores per seed with a threshold per category."""
+    seeds = fx.seeds(spark, sf).select("doc_id", "seed_id")
+    return gt.safety_scores(seeds, fx.table(spark, sf, "labels"), "doc_id",
+                            {"quality": (">=", 1), "toxic": ("<=", 0)}).select(
+        "seed_id", "quality", "toxic", "safe")
+
+
+# ------------------------------------------------------- fan-out, rendering
+from seedmill.operators import fanout as fo  # noqa: E402
+from seedmill.functions.text import or_default, tag_or_default  # noqa: E402
+
+
+@query("render_seed_default")
+def render_seed_default(spark, sf) -> DataFrame:
+    """Ground truth or a literal default (empty counts as missing)."""
+    return fx.seeds(spark, sf).select("seed_id", or_default("ground_truth", "not provided").alias("ground_truth"))
+
+
+@query("render_tag")
+def render_tag(spark, sf) -> DataFrame:
+    """P10: first / second tag, else a default."""
+    return fx.seeds(spark, sf).select("seed_id", tag_or_default("tags", 0, "general").alias("tag0"),
+                                      tag_or_default("tags", 1, "any").alias("tag1"))
+
+
+PROMPT_TEMPLATE = "Language: {{ seed.language }} | Tag: {tag} | Domain: {domain}\n{{ seed.text }}"
+
+
+@query("render_prompt")
+def render_prompt(spark, sf) -> DataFrame:
+    """Template compiled to a concat expression."""
+    s = fx.seeds(spark, sf)
+    expr = fo.compile_template(PROMPT_TEMPLATE, {"seed.language": "language", "seed.text": "text",
+                                                 "tag": tag_or_default("tags", 0, "general"),
+                                                 "domain": "domain"})
+    return s.select("seed_id", expr.alias("prompt"))
+
+
+@query("fanout_single")
+def fanout_single_q(spark, sf) -> DataFrame:
+    """Concept x single-concept task."""
+    return fo.fanout_single(fx.concepts(spark, sf).select("concept_id")).select("concept_id", "task")
+
+
+@query("fanout_pairs")
+def fanout_pairs_q(spark, sf) -> DataFrame:
+    """Concept pairs within a seed, unordered and ordered (causal)."""
+    c = fx.concepts(spark, sf).select("seed_id", "concept_id", "pos")
+    u = fo.fanout_pairs(c).select(F.lit("unordered").alias("kind"), "seed_id", "concept_id_a", "concept_id_b")
+    o = fo.fanout_pairs(c, ordered=True).select(F.lit("ordered").alias("kind"), "seed_id", "concept_id_a", "concept_id_b")
+    return u.unionByName(o)
+
+
+def _valid_combos(spark, sf) -> DataFrame:
+    return cmb.attach_concepts(vd.valid_only(_aligned(spark, sf)).select("concept_id", *DIMS),
+                               fx.concepts(spark, sf), cols=("concept_name", "concept_definition"))
+
+
+@query("join_descriptions")
+def join_descriptions_q(spark, sf) -> DataFrame:
+    """Valid combos with the four dimension descriptions."""
+    return fo.join_descriptions(_valid_combos(spark, sf)).select(
+        "concept_id", *DIMS, *[f"{d}_description" for d in DIMS])
+
+
+GEN_TEMPLATE = ("Write a {format} ({format_d}) for a {audience} reader ({audience_d}), "
+                "taking the {angle} angle ({angle_d}) and asking them to {op} ({op_d}). "
+                "Concept: {name}. {definition}")
+
+
+def _generation_requests(spark, sf) -> DataFrame:
+    g = fo.join_descriptions(_valid_combos(spark, sf))
+    expr = fo.compile_template(GEN_TEMPLATE, {
+        "format": "format", "format_d": "format_description", "audience": "audience",
+        "audience_d": "audience_description", "angle": "angle", "angle_d": "angle_description",
+        "op": "cognitive_operation", "op_d": "cognitive_operation_description",
+        "name": "concept_name", "definition": "concept_definition"})
+    return g.select("concept_id", *DIMS, expr.alias("prompt"))
+
+
+@query("generation_requests")
+def generation_requests(spark, sf) -> DataFrame:
+    """One generation request per valid combo."""
+    return _generation_requests(spark, sf)
+
+
+def _scenario_requests(spark, sf) -> DataFrame:
+    from seedmill.functions.text import py_strip
+    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
+    s = fx.seeds(spark, sf).select("seed_id", F.split("text", "\n").alias("lines"))
+    e = c.join(s, "seed_id").select("concept_id", F.posexplode("lines").alias("slot", "scenario"))
+    e = e.withColumn("scenario", py_strip("scenario")).filter(F.col("scenario") != "")
+    return e.select("concept_id", F.col("slot").cast("int").alias("slot"),
+                    F.concat(F.lit("Scenario: "), F.col("scenario")).alias("prompt"))
+
+
+@query("scenario_requests")
+def scenario_requests(spark, sf) -> DataFrame:
+    """One request per (concept, scenario); scenarios are the seed's lines."""
+    return _scenario_requests(spark, sf)
+
+
+@query("union_requests")
+def union_requests(spark, sf) -> DataFrame:
+    """Combo-driven and scenario-driven requests in one table."""
+    a = _generation_requests(spark, sf).select(F.lit("combo").alias("kind"), "concept_id", "prompt")
+    b = _scenario_requests(spark, sf).select(F.lit("scenario").alias("kind"), "concept_id", "prompt")
+    return a.unionByName(b).groupBy("kind").agg(F.count(F.lit(1)).alias("requests"))
+
+
+REPHRASE_OPS = ["simplify", "formalize", "summarize"]
+REPHRASE_STYLES = ["textbook", "conversational", "news"]
+COT_STYLES = ["deductive", "abductive"]
+COT_TOPOLOGIES = ["chain", "tree"]
+OUT_LANGUAGES = ["en", "fr", "de", "es", "hi"]
+
+
+@query("rephrase_requests")
+def rephrase_requests(spark, sf) -> DataFrame:
+    """Seed x operator x style."""
+    s = fx.seeds(spark, sf).select("seed_id")
+    return fo.explode_values(fo.explode_values(s, "operator", REPHRASE_OPS), "style", REPHRASE_STYLES)
+
+
+@query("cot_requests")
+def cot_requests(spark, sf) -> DataFrame:
+    """Seed x reasoning style x topology."""
+    s = fx.seeds(spark, sf).select("seed_id")
+    return fo.explode_values(fo.explode_values(s, "reasoning_style", COT_STYLES), "topology", COT_TOPOLOGIES)
+
+
+@query("translate_requests")
+def translate_requests(spark, sf) -> DataFrame:
+    """Seed x output language; same source and target is flagged low quality."""
+    s = fx.seeds(spark, sf).select("seed_id", "language")
+    t = fo.explode_values(s, "target_language", OUT_LANGUAGES)
+    return t.select("seed_id", "target_language",
+                    (F.lower("language") == F.lower("target_language")).alias("low_quality"))
+
+
+@query("rotate_exhaust")
+def rotate_exhaust_q(spark, sf) -> DataFrame:
+    """One region name per seed, each used once before any repeats (order: h(seed_id))."""
+    from seedmill.functions.hashing import stable_hash
+    names = [r[0] for r in fx.table(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()]
+    s = fx.seeds(spark, sf).select("seed_id")
+    r = fo.rotate_exhaust(s, F.struct(stable_hash("seed_id"), F.col("seed_id")), names, "value")
+    return r.select("seed_id", "rotation_rank", "value")
+
+
+@query("rotate_region")
+def rotate_region(spark, sf) -> DataFrame:
+    """Each seed's region (nation by doc_id % 25) joined to that region's festivals only."""
+    n = fx.table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("region"))
+    s = fx.seeds(spark, sf).select("seed_id", (F.col("doc_id") % 25).alias("n_nationkey"))
+    s = s.join(F.broadcast(n), "n_nationkey")
+    return s.join(fx.festivals_by_region(spark, sf), "region").select("seed_id", "region", F.col("value").alias("festival"))
+
+
+@query("scan_rotation")
+def scan_rotation(spark, sf) -> DataFrame:
+    """A rotation document flattened to long form."""
+    return files.rotation_long(fx.rotation_document(spark, sf)).select("variable", "region", "pos", "value")

@@ -247,3 +247,49 @@ def planted_vectors(spark, sf_dir) -> DataFrame:
                   i == F.col("vec_id") % 64, x + bump).otherwise(x)))
               .withColumn("vec_id", F.lit(1000000) + F.col("vec_id")))
     return e.unionByName(copies)
+
+
+# ------------------------------------------------------------------ gates, rotation
+def stage_verdicts(spark, sf_dir) -> DataFrame:
+    """fx_stage_verdicts: five stages per STARTED run; passed = h(run_id, stage) % 100 < 85;
+    when h(run_id) % 40 = 0 the stage at index h(run_id) % 5 gave no verdict."""
+    from seedmill.sources.files import started_runs
+    r = started_runs(ledger(spark, sf_dir)).select("run_id")
+    st = F.posexplode(F.array(*[F.lit(s) for s in vocab.GATE_STAGES]))
+    e = r.select("run_id", st.alias("si", "stage"))
+    hr = stable_hash("run_id")
+    missing = (F.pmod(hr, F.lit(40)) == 0) & (F.col("si") == F.pmod(hr, F.lit(5)))
+    return (e.filter(~missing)
+            .withColumn("passed", F.pmod(stable_hash("run_id", "stage"), F.lit(100)) < 85)
+            .select("run_id", "stage", "passed"))
+
+
+def festivals_by_region(spark, sf_dir) -> DataFrame:
+    """Region-keyed vocabulary: region = nation name; values = the distinct part
+    brands of parts with p_partkey % 25 = n_nationkey."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("region"))
+    p = table(spark, sf_dir, "part").select((F.col("p_partkey") % 25).alias("n_nationkey"), "p_brand")
+    return n.join(p, "n_nationkey").select("region", F.col("p_brand").alias("value")).distinct()
+
+
+def rotation_document(spark, sf_dir) -> DataFrame:
+    """A rotation document (one JSON text) built from nation/region/part by a
+    single global aggregation over a union of tagged rows (no joins)."""
+    f = festivals_by_region(spark, sf_dir).groupBy("region").agg(F.array_sort(F.collect_list("value")).alias("v"))
+    none_arr = F.lit(None).cast("array<string>")
+    u = (table(spark, sf_dir, "nation").select(F.lit("n").alias("kind"), F.col("n_nationkey").cast("long").alias("k"),
+                                               F.col("n_name").alias("s"), none_arr.alias("arr"))
+         .unionByName(table(spark, sf_dir, "region").select(F.lit("r").alias("kind"), F.col("r_regionkey").cast("long").alias("k"),
+                                                            F.col("r_name").alias("s"), none_arr.alias("arr")))
+         .unionByName(f.select(F.lit("f").alias("kind"), F.lit(0).cast("long").alias("k"),
+                               F.col("region").alias("s"), F.col("v").alias("arr"))))
+
+    def ordered(kind):
+        return F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("k", "s")))),
+                           lambda x: x["s"])
+    doc = u.agg(ordered("n").alias("regions"), ordered("r").alias("audiences"),
+                F.map_from_entries(F.collect_list(F.when(F.col("kind") == "f", F.struct("s", "arr"))))
+                .alias("festivals_by_region"))
+    return doc.select(F.to_json(F.struct(
+        F.struct("regions", "audiences").alias("global_variables"),
+        F.struct("festivals_by_region").alias("regional_variables"))).alias("value"))
