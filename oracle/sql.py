@@ -396,3 +396,7 @@ SELECT 'audiences', NULL, cast(row_number() OVER (ORDER BY r_regionkey) - 1 AS i
 UNION ALL
 SELECT 'festivals_by_region', region, cast(row_number() OVER (PARTITION BY region ORDER BY value) - 1 AS integer),
        value FROM fx_fest""")
+
+sql("stream_progress_batch", """
+SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, event_type, count(*) AS n
+FROM events GROUP BY 1, 2""")

@@ -646,3 +646,105 @@ def rotate_region(spark, sf) -> DataFrame:
 def scan_rotation(spark, sf) -> DataFrame:
     """A rotation document flattened to long form."""
     return files.rotation_long(fx.rotation_document(spark, sf)).select("variable", "region", "pos", "value")
+
+
+# --------------------------------------------------------- streaming, sinks
+import uuid  # noqa: E402
+
+from seedmill.session import ensure_checkpoint_dir  # noqa: E402
+from seedmill.streaming import ingest as st  # noqa: E402
+from seedmill.sinks import tables as sk  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/seedmill-{name}-{uuid.uuid4().hex}"
+
+
+def _answer_files(spark, sf, path: str, repeat_bucket: int | None = None) -> None:
+    """fx_stream: the verdict answers split into files by h(batch_id) % 8; optionally one
+    bucket's answers are written a second time (retries: same request ids)."""
+    from seedmill.functions.hashing import stable_hash
+    a = (fx.verdict_answers(spark, sf)
+         .withColumn("_b", F.pmod(stable_hash("request_id"), F.lit(8)))
+         .withColumn("received_ts", F.timestamp_seconds(F.lit(1704067200) + F.col("_b") * 60)))
+    a.repartition(8, "_b").drop("_b").write.mode("overwrite").parquet(path)
+    if repeat_bucket is not None:
+        a.filter(F.col("_b") == repeat_bucket).drop("_b").write.mode("append").parquet(path)
+
+
+@query("stream_ingest")
+def stream_ingest(spark, sf) -> DataFrame:
+    """Answer files -> aligned verdict rows, incremental and exactly once (rows-only)."""
+    root = _scratch(spark, "t1")
+    _answer_files(spark, sf, f"{root}/answers")
+    req = _requests(spark, sf).select("batch_id", "concept_type", "slots")
+    out = st.ingest_answers(spark, f"{root}/answers", req, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(out).select("batch_id", "slot", "concept_id", *DIMS, "is_valid", "reason", "outcome")
+
+
+@query("stream_dedup_keys")
+def stream_dedup_keys(spark, sf) -> DataFrame:
+    """Retried answers (same request id) kept once within the watermark (rows-only)."""
+    root = _scratch(spark, "t2")
+    _answer_files(spark, sf, f"{root}/answers", repeat_bucket=3)
+    out = st.dedup_answers(spark, f"{root}/answers", f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(out).select("request_id")
+
+
+@query("stream_progress")
+def stream_progress_q(spark, sf) -> DataFrame:
+    """Event-time windowed counts with a watermark, streamed from event files (rows-only)."""
+    root = _scratch(spark, "t3")
+    # watermarks need TIMESTAMP (the table stores TIMESTAMP_NTZ; the session zone is UTC)
+    ev = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    (ev.withColumn("_day", F.to_date("ts")).repartition("_day").sortWithinPartitions("ts").drop("_day")
+     .write.mode("overwrite").parquet(f"{root}/events"))
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    out = st.stream_progress(spark, f"{root}/events", schema, f"{root}/out", f"{root}/ckpt", delay="1 day")
+    return spark.read.parquet(out)
+
+
+@query("stream_progress_batch")
+def stream_progress_batch(spark, sf) -> DataFrame:
+    """T3 batch twin: the same windowed counts over the whole events table."""
+    return st.progress_counts(fx.table(spark, sf, "events"))
+
+
+@query("sink_by_domain")
+def sink_by_domain(spark, sf) -> DataFrame:
+    """K1: concepts written one folder per lower-cased domain, read back (rows-only)."""
+    path = _scratch(spark, "k1")
+    sk.write_by_domain(fx.concepts(spark, sf), path)
+    return spark.read.parquet(path).groupBy("domain_dir").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sink_threshold_sweep")
+def sink_threshold_sweep(spark, sf) -> DataFrame:
+    """K2: semantic sweep survivors written one folder per threshold (rows-only)."""
+    path = _scratch(spark, "k2")
+    v = fx.planted_vectors(spark, sf)
+    s = dd.semantic_sweep(v, "vec_id", "vec_id", "embedding", [0.80, 0.90, 0.95])
+    sk.write_threshold_sweep(s.drop("label"), path)
+    return spark.read.parquet(path).groupBy("label").agg(F.count(F.lit(1)).alias("kept"))
+
+
+@query("sink_append_ledger")
+def sink_append_ledger(spark, sf) -> DataFrame:
+    """K3: ledger rows appended batch by batch (rows-only)."""
+    path = _scratch(spark, "k3")
+    led = fx.ledger(spark, sf)
+    for b in range(2):
+        sk.append_rows(led.filter(F.col("doc_id") % 2 == b), path)
+    return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sink_resume_append")
+def sink_resume_append(spark, sf) -> DataFrame:
+    """K4: resume append; the second run adds 0 rows (rows-only)."""
+    path = _scratch(spark, "k4")
+    rows = fx.validity_done(spark, sf).select("concept_id", *DIMS, "is_valid")
+    first = sk.append_new(rows, path, ["concept_id", *DIMS])
+    second = sk.append_new(rows, path, ["concept_id", *DIMS])
+    return spark.createDataFrame([(1, first), (2, second)], "run int, added long")
