@@ -400,3 +400,36 @@ SELECT 'festivals_by_region', region, cast(row_number() OVER (PARTITION BY regio
 sql("stream_progress_batch", """
 SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, event_type, count(*) AS n
 FROM events GROUP BY 1, 2""")
+
+# --------------------------------------------------------------- curriculum
+_CH = """(SELECT r.r_name AS topic, n.n_regionkey AS rk, n.n_nationkey,
+         row_number() OVER (PARTITION BY n.n_regionkey ORDER BY n.n_nationkey) AS c,
+         count(*) OVER (PARTITION BY n.n_regionkey) AS last_c,
+         first(n.n_name) OVER (PARTITION BY n.n_regionkey ORDER BY n.n_nationkey) AS first_name, n.n_name
+        FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey)"""
+_CHN = f"""(SELECT topic, n_nationkey, cast(CASE WHEN rk = 3 AND c = last_c THEN c + 1 ELSE c END AS integer) AS chapter,
+          CASE WHEN rk = 1 AND c = 2 THEN first_name WHEN rk = 2 AND c = last_c THEN 'Introduction'
+               ELSE n_name END AS name FROM {_CH})"""
+
+sql("v_chapters", f"""
+SELECT topic, count(*) AS n_chapters, array_to_string(list_filter([
+  CASE WHEN list_sort(list(chapter)) <> range(1, count(*) + 1) THEN 'bad_ids' END,
+  CASE WHEN count(*) < 3 OR count(*) > 12 THEN 'count_out_of_range' END,
+  CASE WHEN count(DISTINCT lower(name)) < count(*) THEN 'duplicate_name' END,
+  CASE WHEN bool_or(name IN ('Introduction', 'Conclusion', 'Overview', 'Summary')) THEN 'generic_name' END],
+  lambda x: x IS NOT NULL), ',') AS violations
+FROM {_CHN} GROUP BY topic""")
+
+sql("order_curriculum", f"""
+SELECT topic, section_id, cast(row_number() OVER (PARTITION BY topic ORDER BY chapter, s) AS integer) AS ord
+FROM (SELECT topic, chapter, s, cast(chapter AS varchar) || '.' || cast(s AS varchar) AS section_id
+      FROM {_CHN}, LATERAL (SELECT unnest(range(1, n_nationkey % 4 + 10)) AS s))""")
+
+sql("running_context", f"""
+SELECT topic, chapter,
+       coalesce(array_to_string(list(name) OVER (PARTITION BY topic ORDER BY chapter
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ', '), '') AS earlier,
+       lag(name) OVER (PARTITION BY topic ORDER BY chapter) AS previous
+FROM {_CHN}""")
+
+sql("parse_dialogue", "SELECT conv_id, turn, role, text FROM conversations")

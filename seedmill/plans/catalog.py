@@ -748,3 +748,33 @@ def sink_resume_append(spark, sf) -> DataFrame:
     first = sk.append_new(rows, path, ["concept_id", *DIMS])
     second = sk.append_new(rows, path, ["concept_id", *DIMS])
     return spark.createDataFrame([(1, first), (2, second)], "run int, added long")
+
+
+# --------------------------------------------------------------- curriculum
+from seedmill.operators import curriculum as cu  # noqa: E402
+
+
+@query("v_chapters")
+def v_chapters(spark, sf) -> DataFrame:
+    """Chapter map per topic checked (ids 1..n, count range, distinct, not generic)."""
+    return cu.check_chapters(cu.explode_chapters(fx.chapters_json(spark, sf)))
+
+
+@query("order_curriculum")
+def order_curriculum(spark, sf) -> DataFrame:
+    """O2: section ids ordered numerically per topic."""
+    return cu.order_sections(fx.sections(spark, sf)).select("topic", "section_id", "ord")
+
+
+@query("running_context")
+def running_context_q(spark, sf) -> DataFrame:
+    """Earlier chapters and the previous chapter per topic."""
+    ch = cu.explode_chapters(fx.chapters_json(spark, sf))
+    return cu.running_context(ch).select("topic", "chapter", "earlier", "previous")
+
+
+@query("parse_dialogue")
+def parse_dialogue_q(spark, sf) -> DataFrame:
+    """Conversations rendered as labelled text, then parsed back to turns."""
+    conv = fx.table(spark, sf, "conversations")
+    return cu.parse_dialogue(cu.render_dialogue(conv))

@@ -10,7 +10,7 @@ Let d = ``doc_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seedmill.functions import vocab
@@ -293,3 +293,34 @@ def rotation_document(spark, sf_dir) -> DataFrame:
     return doc.select(F.to_json(F.struct(
         F.struct("regions", "audiences").alias("global_variables"),
         F.struct("festivals_by_region").alias("regional_variables"))).alias("value"))
+
+
+# ------------------------------------------------------------------ curriculum
+def chapters(spark, sf_dir) -> DataFrame:
+    """fx_curriculum chapters: topic = region, chapters = its nations by key, with
+    planted faults: topic 1 repeats chapter 1's name as chapter 2, topic 2 calls
+    its last chapter 'Introduction', topic 3 numbers its last chapter n+1."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("topic"))
+    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
+    c = (n.withColumn("chapter", F.row_number().over(w)).join(r, "n_regionkey")
+         .withColumn("first_name", F.first("n_name").over(w)))
+    last = F.max("chapter").over(Window.partitionBy("n_regionkey"))
+    name = (F.when((F.col("n_regionkey") == 1) & (F.col("chapter") == 2), F.col("first_name"))
+            .when((F.col("n_regionkey") == 2) & (F.col("chapter") == last), F.lit("Introduction"))
+            .otherwise(F.col("n_name")))
+    cid = F.when((F.col("n_regionkey") == 3) & (F.col("chapter") == last), F.col("chapter") + 1).otherwise(F.col("chapter"))
+    return c.select("topic", cid.cast("int").alias("chapter"), name.alias("name"), "n_nationkey")
+
+
+def chapters_json(spark, sf_dir) -> DataFrame:
+    c = chapters(spark, sf_dir)
+    return c.groupBy("topic").agg(F.to_json(F.map_from_entries(F.collect_list(
+        F.struct(F.col("chapter").cast("string"), F.col("name"))))).alias("chapters_json"))
+
+
+def sections(spark, sf_dir) -> DataFrame:
+    """Sections 1..(nation key % 4 + 9) per chapter, ids 'chapter.section' (so 1.10 exists)."""
+    c = chapters(spark, sf_dir)
+    e = c.withColumn("s", F.explode(F.sequence(F.lit(1), (F.col("n_nationkey") % 4 + 9).cast("int"))))
+    return e.select("topic", F.concat_ws(".", F.col("chapter").cast("string"), F.col("s").cast("string")).alias("section_id"))
