@@ -433,3 +433,35 @@ SELECT topic, chapter,
 FROM {_CHN}""")
 
 sql("parse_dialogue", "SELECT conv_id, turn, role, text FROM conversations")
+
+# ------------------------------------------------- evidence, reports, shapes
+_EV = f"""(SELECT cast(doc_id AS varchar) AS seed_id, cast(doc_id AS varchar) || ':' || cast(k AS varchar) AS chunk_id,
+           ({H("cast(doc_id AS varchar) || ':' || cast(k AS varchar)")} % 1000) / 1000.0 AS score
+    FROM (SELECT doc_id, unnest(range(0, greatest(cast(ceil(length(text) / 200) AS bigint), 1))) AS k FROM documents))"""
+_TOPK = f"""(SELECT * FROM (SELECT c.concept_id, e.chunk_id,
+             cast(row_number() OVER (PARTITION BY c.concept_id ORDER BY e.score DESC, e.chunk_id) AS integer) AS rank
+           FROM fx_concepts c JOIN {_EV} e USING (seed_id)) WHERE rank <= 3)"""
+
+sql("topk_evidence", f"SELECT concept_id, rank, chunk_id FROM {_TOPK}")
+
+sql("join_evidence", f"""
+SELECT concept_id, string_agg(chunk_id, ',' ORDER BY rank) AS evidence FROM {_TOPK} GROUP BY concept_id""")
+
+sql("template_usage", """
+SELECT t.task, s.language, count(*) AS requests
+FROM fx_concepts c, (VALUES ('analogy'), ('misconception'), ('qa_concept')) t(task), fx_seeds s
+WHERE s.seed_id = c.seed_id
+GROUP BY ROLLUP (t.task, s.language)""")
+
+sql("word_count_target", f"""
+SELECT seed_id, cast(CASE WHEN {pstrip('text')} = '' THEN 0
+                          ELSE len(string_split_regex({pstrip('text')}, '\\s+')) END AS integer) AS words,
+       CASE WHEN {pstrip('text')} = '' THEN 0 ELSE len(string_split_regex({pstrip('text')}, '\\s+')) END
+         BETWEEN 300 AND 800 AS in_target
+FROM fx_seeds""")
+
+sql("answer_shape", """
+SELECT cast(doc_id AS varchar) AS seed_id, doc_id % 43 = 0 AS rejected,
+       doc_id % 43 <> 0 AND doc_id % 47 = 0 AS low_quality,
+       doc_id % 43 <> 0 AND (doc_id % 47 = 0 OR doc_id % 5 <> 0) AS json_only
+FROM documents""")

@@ -778,3 +778,59 @@ def parse_dialogue_q(spark, sf) -> DataFrame:
     """Conversations rendered as labelled text, then parsed back to turns."""
     conv = fx.table(spark, sf, "conversations")
     return cu.parse_dialogue(cu.render_dialogue(conv))
+
+
+# ------------------------------------------------- evidence, reports, shapes
+from pyspark.sql import Window  # noqa: E402
+
+
+def _topk_evidence(spark, sf, k: int = 3) -> DataFrame:
+    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
+    ev = fx.evidence_chunks(spark, sf).select("seed_id", "chunk_id", "score")
+    w = Window.partitionBy("concept_id").orderBy(F.col("score").desc(), "chunk_id")
+    return (c.join(ev, "seed_id").withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= k))
+
+
+@query("topk_evidence")
+def topk_evidence(spark, sf) -> DataFrame:
+    """O1: the 3 best evidence chunks per concept (score desc, chunk id)."""
+    return _topk_evidence(spark, sf).select("concept_id", "rank", "chunk_id")
+
+
+@query("join_evidence")
+def join_evidence(spark, sf) -> DataFrame:
+    """Evidence chunks per concept as one ordered list."""
+    t = _topk_evidence(spark, sf)
+    return (t.groupBy("concept_id")
+            .agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id"))).alias("_e"))
+            .select("concept_id", F.array_join(F.transform("_e", lambda x: x["chunk_id"]), ",").alias("evidence")))
+
+
+@query("template_usage")
+def template_usage(spark, sf) -> DataFrame:
+    """Requests per task and seed language, with rollup subtotals."""
+    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
+    s = fx.seeds(spark, sf).select("seed_id", "language")
+    r = fo.fanout_single(c).join(s, "seed_id")
+    return r.rollup("task", "language").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query("word_count_target")
+def word_count_target(spark, sf) -> DataFrame:
+    """Words per seed text and whether it lies in the 300-800 target."""
+    from seedmill.functions.text import word_count
+    s = fx.seeds(spark, sf)
+    wc = word_count("text")
+    return s.select("seed_id", wc.alias("words"), wc.between(300, 800).alias("in_target"))
+
+
+@query("answer_shape")
+def answer_shape(spark, sf) -> DataFrame:
+    """JSON-only shape, reject marker, low-quality flag (removed from the body)."""
+    from seedmill.functions.text import drop_quality_flag, has_quality_flag, is_reject, json_only_shape
+    a = fx.task_answers(spark, sf)
+    body = drop_quality_flag("answer")
+    return a.select("seed_id", is_reject("answer").alias("rejected"),
+                    has_quality_flag("answer").alias("low_quality"),
+                    json_only_shape(body).alias("json_only"))

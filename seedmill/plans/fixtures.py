@@ -324,3 +324,28 @@ def sections(spark, sf_dir) -> DataFrame:
     c = chapters(spark, sf_dir)
     e = c.withColumn("s", F.explode(F.sequence(F.lit(1), (F.col("n_nationkey") % 4 + 9).cast("int"))))
     return e.select("topic", F.concat_ws(".", F.col("chapter").cast("string"), F.col("s").cast("string")).alias("section_id"))
+
+
+# ------------------------------------------------------------------ evidence, task answers
+def evidence_chunks(spark, sf_dir, size: int = 200) -> DataFrame:
+    """fx_evidence: every document cut into consecutive 200-character chunks (whole text);
+    score = h(chunk_id) % 1000 / 1000."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.greatest(F.ceil(F.length("text") / size), F.lit(1)).cast("int")
+    e = d.select("doc_id", "text", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
+    cid = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("k").cast("string"))
+    return e.select(F.col("doc_id").cast("string").alias("seed_id"), cid.alias("chunk_id"),
+                    F.substring("text", F.col("k") * size + 1, size).alias("chunk"),
+                    (F.pmod(stable_hash(cid), F.lit(1000)) / 1000.0).alias("score"))
+
+
+def task_answers(spark, sf_dir) -> DataFrame:
+    """fx_task_responses (shape only): d%43 the reject marker, d%47 the low-quality
+    prefix before a JSON body, d%5 prose around JSON, else a bare JSON object."""
+    d = F.col("doc_id")
+    body = F.concat(F.lit('{"seed": "'), d.cast("string"), F.lit('", "answer": "ok"}'))
+    txt = (F.when(d % 43 == 0, F.lit(vocab.REJECT_MARKER))
+           .when(d % 47 == 0, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), body))
+           .when(d % 5 == 0, F.concat(F.lit("Here you go: "), body))
+           .otherwise(body))
+    return table(spark, sf_dir, "documents").select(d.cast("string").alias("seed_id"), txt.alias("answer"))
