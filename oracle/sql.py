@@ -465,3 +465,25 @@ SELECT cast(doc_id AS varchar) AS seed_id, doc_id % 43 = 0 AS rejected,
        doc_id % 43 <> 0 AND doc_id % 47 = 0 AS low_quality,
        doc_id % 43 <> 0 AND (doc_id % 47 = 0 OR doc_id % 5 <> 0) AS json_only
 FROM documents""")
+
+sql("scan_concepts", """
+SELECT run_id, seed_id, domain, concept_name, concept_type, concept_definition, 6 AS layout FROM fx_concepts
+UNION ALL
+SELECT run_id, seed_id, domain, concept_name, NULL, concept_definition, 5 FROM fx_concepts""")
+
+sql("scan_rules", f"""
+SELECT t.concept_type, p.pool
+FROM (SELECT DISTINCT concept_type FROM fx_concepts) t
+JOIN (SELECT rule_type, count(*) AS pool FROM fx_space GROUP BY 1) p ON p.rule_type = {RULE_TYPE.format(t='t.concept_type')}""")
+
+_WC = "CASE WHEN {x} = '' THEN 0 ELSE len(string_split_regex({x}, '\\s+')) END"
+sql("amplification", f"""
+WITH sw AS (SELECT domain, sum({_WC.format(x=pstrip('text'))}) AS seed_words FROM fx_seeds GROUP BY 1),
+     ow AS (SELECT c.domain, sum({_WC.format(x=pstrip('r.prompt'))}) AS output_words
+            FROM ({_SCEN}) r JOIN fx_concepts c USING (concept_id) GROUP BY 1)
+SELECT sw.domain, cast(sw.seed_words AS bigint) AS seed_words, cast(coalesce(ow.output_words, 0) AS bigint) AS output_words,
+       round(coalesce(ow.output_words, 0) / sw.seed_words, 4) AS ratio
+FROM sw LEFT JOIN ow USING (domain)""")
+
+sql("notation_conflicts", """
+SELECT p_name AS symbol, count(DISTINCT p_type) AS meanings FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")

@@ -69,3 +69,9 @@ def parse_dialogue(df: DataFrame, key: str = "conv_id", text: str = "dialogue",
     return e.select(key, F.col("turn").cast("long").alias("turn"),
                     F.lower(F.regexp_extract("_p", rf"^({alt}): ", 1)).alias("role"),
                     F.regexp_replace("_p", rf"^({alt}): ", "").alias("text"))
+
+
+def notation_conflicts(df: DataFrame, symbol: str = "symbol", meaning: str = "meaning") -> DataFrame:
+    """Symbols used with more than one meaning (a partial aggregate per symbol)."""
+    return (df.groupBy(symbol).agg(F.countDistinct(meaning).alias("meanings"))
+            .filter(F.col("meanings") > 1))

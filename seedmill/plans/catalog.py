@@ -834,3 +834,51 @@ def answer_shape(spark, sf) -> DataFrame:
     return a.select("seed_id", is_reject("answer").alias("rejected"),
                     has_quality_flag("answer").alias("low_quality"),
                     json_only_shape(body).alias("json_only"))
+
+
+@query("scan_concepts")
+def scan_concepts(spark, sf) -> DataFrame:
+    """S3: concept CSVs in both layouts (with and without concept_type), read back
+    with explicit schemas; definitions carry newlines, so the reader is multi-line."""
+    root = _scratch(spark, "s3")
+    c = fx.concepts(spark, sf)
+    six = ["run_id", "seed_id", "domain", "concept_name", "concept_type", "concept_definition"]
+    c.select(*six).write.option("header", "true").option("escape", '"').csv(f"{root}/six")
+    c.select(*[x for x in six if x != "concept_type"]).write.option("header", "true").option("escape", '"').csv(f"{root}/five")
+    a = files.read_concepts(spark, f"{root}/six").withColumn("layout", F.lit(6))
+    b = files.read_concepts(spark, f"{root}/five").withColumn("layout", F.lit(5))
+    return a.unionByName(b)
+
+
+@query("scan_rules")
+def scan_rules(spark, sf) -> DataFrame:
+    """Rules read from a JSON document, applied to the concepts' types (pool per type)."""
+    path = _scratch(spark, "s4") + "/rules.json"
+    spark.createDataFrame([(files.rules_json_text(vocab.BAN_RULES),)], "value string").coalesce(1) \
+        .write.text(path)
+    rules = files.read_rules(spark, path, required=True)
+    pool = cmb.combo_space(rules).groupBy("rule_type").agg(F.count(F.lit(1)).alias("pool"))
+    t = cmb.rule_key(_types_present(spark, sf), rules)
+    return t.join(F.broadcast(pool), "rule_type").select("concept_type", "pool")
+
+
+@query("amplification")
+def amplification(spark, sf) -> DataFrame:
+    """Words of scenario requests per seed word, per domain (words, not tokens)."""
+    from seedmill.functions.text import word_count
+    s = fx.seeds(spark, sf)
+    seed_words = s.groupBy("domain").agg(F.sum(word_count("text")).alias("seed_words"))
+    req = _scenario_requests(spark, sf).join(fx.concepts(spark, sf).select("concept_id", "domain"), "concept_id")
+    out_words = req.groupBy("domain").agg(F.sum(word_count("prompt")).alias("output_words"))
+    return (seed_words.join(out_words, "domain", "left")
+            .select("domain", F.col("seed_words").cast("bigint").alias("seed_words"),
+                    F.coalesce(F.col("output_words"), F.lit(0)).cast("bigint").alias("output_words"),
+                    F.round(F.try_divide(F.coalesce(F.col("output_words"), F.lit(0)), F.col("seed_words")), 4)
+                    .alias("ratio")))
+
+
+@query("notation_conflicts")
+def notation_conflicts(spark, sf) -> DataFrame:
+    """One symbol (part name) used with two or more meanings (part types)."""
+    p = fx.table(spark, sf, "part").select(F.col("p_name").alias("symbol"), F.col("p_type").alias("meaning"))
+    return cu.notation_conflicts(p)

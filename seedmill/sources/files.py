@@ -27,6 +27,15 @@ VALIDITY_SCHEMA = ("run_id string, seed_id string, domain string, concept_name s
                    "cognitive_operation string, is_valid string, reason string")
 
 
+def path_exists(spark: SparkSession, path: str | None) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS and object stores alike)."""
+    if not path:
+        return False
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 # S1 ------------------------------------------------------------------------
 def clean_seed_ids(lines: DataFrame, col: str = "value") -> DataFrame:
     """One id per line: strip all whitespace, drop blank lines."""
@@ -97,9 +106,8 @@ def rules_long(raw: DataFrame) -> DataFrame:
 
 def read_rules(spark: SparkSession, path: str | None, required: bool = False) -> DataFrame:
     """Read a rules JSON; a missing file means no rules (unless ``required``)."""
-    import os
     empty = spark.createDataFrame([], "dim string, concept_type string, value string")
-    if not path or (not path.startswith(("hdfs:", "s3", "gs:", "abfs")) and not os.path.exists(path)):
+    if not path_exists(spark, path):
         if required:
             raise FileNotFoundError(path)
         return empty
@@ -166,8 +174,7 @@ def completed_rows(done: DataFrame) -> DataFrame:
 
 
 def read_validity_done(spark: SparkSession, path: str | None) -> DataFrame:
-    import os
-    if not path or (not path.startswith(("hdfs:", "s3", "gs:", "abfs")) and not os.path.exists(path)):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], VALIDITY_SCHEMA)
     return completed_rows(spark.read.options(**CSV_OPTS).schema(VALIDITY_SCHEMA).csv(path))
 
