@@ -487,3 +487,25 @@ FROM sw LEFT JOIN ow USING (domain)""")
 
 sql("notation_conflicts", """
 SELECT p_name AS symbol, count(DISTINCT p_type) AS meanings FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
+
+_SEC = """(SELECT conv_id, chr(10) || CASE conv_id % 7
+     WHEN 1 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text
+     WHEN 2 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text
+     WHEN 3 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text
+     ELSE 'Diagnosis:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text END AS t
+   FROM conversations WHERE turn = 0)"""
+_CNT = "(length(t) - length(replace(t, chr(10) || '{l}:', ''))) // length(chr(10) || '{l}:')"
+_POS = "nullif(strpos(t, chr(10) || '{l}:'), 0)"
+sql("v_sections", "SELECT conv_id, array_to_string(list_filter([" + ", ".join(
+    [f"CASE WHEN {_CNT.format(l=l)} = 0 THEN 'missing:{l}' END, CASE WHEN {_CNT.format(l=l)} > 1 THEN 'duplicate:{l}' END"
+     for l in ["Diagnosis", "Steps", "Safety"]]) + """,
+  CASE WHEN NOT (coalesce(""" + _POS.format(l="Diagnosis") + " < " + _POS.format(l="Steps") + """, true)
+             AND coalesce(""" + _POS.format(l="Steps") + " < " + _POS.format(l="Safety") + """, true)) THEN 'out_of_order' END,
+  CASE WHEN coalesce(strpos(t, chr(10) || 'Steps:') > 0 AND (strpos(t, chr(10) || 'Diagnosis:') = 0 OR strpos(t, chr(10) || 'Steps:') < strpos(t, chr(10) || 'Diagnosis:')), false)
+         OR coalesce(strpos(t, chr(10) || 'Safety:') > 0 AND (strpos(t, chr(10) || 'Diagnosis:') = 0 OR strpos(t, chr(10) || 'Safety:') < strpos(t, chr(10) || 'Diagnosis:')), false)
+       THEN 'first_not:Diagnosis' END], lambda x: x IS NOT NULL), ',') AS violations FROM """ + _SEC)
+
+sql("rotate_bind", f"""
+SELECT seed_id, 'C8' AS task,
+       array_to_string(list_concat([(SELECT list(r_name ORDER BY r_regionkey) FROM region)[rk % (SELECT count(*) FROM region) + 1]], tags), ',') AS tags
+FROM (SELECT seed_id, tags, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")

@@ -882,3 +882,32 @@ def notation_conflicts(spark, sf) -> DataFrame:
     """One symbol (part name) used with two or more meanings (part types)."""
     p = fx.table(spark, sf, "part").select(F.col("p_name").alias("symbol"), F.col("p_type").alias("meaning"))
     return cu.notation_conflicts(p)
+
+
+@query("v_sections")
+def v_sections(spark, sf) -> DataFrame:
+    """Labelled sections present once, in order, the first one first."""
+    from seedmill.operators.sections import check_sections
+    a = fx.section_answers(spark, sf)
+    v = check_sections(a, "answer", fx.SECTION_LABELS, first="Diagnosis")
+    return v.select("conv_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("rotate_bind")
+def rotate_bind(spark, sf) -> DataFrame:
+    """X11: the rotated value bound into each seed's tags for a task (C8: audience)."""
+    from seedmill.functions.hashing import stable_hash
+    names = [r[0] for r in fx.table(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()]
+    s = fx.seeds(spark, sf).select("seed_id", "tags")
+    r = fo.rotate_exhaust(s, F.struct(stable_hash("seed_id"), F.col("seed_id")), names, "value")
+    return r.select("seed_id", F.lit("C8").alias("task"),
+                    F.array_join(F.concat(F.array("value"), "tags"), ",").alias("tags"))
+
+
+@query("dedup_generated")
+def dedup_generated(spark, sf) -> DataFrame:
+    """MinHash keep-first over generated answers (assistant turns, whole texts; rows-only)."""
+    a = (fx.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+         .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+                 "text", F.format_string("%012d:%06d", "conv_id", "turn").alias("ord")))
+    return dd.minhash_dedup(a, "id", "text", "ord").select("id")

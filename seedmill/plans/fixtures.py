@@ -349,3 +349,23 @@ def task_answers(spark, sf_dir) -> DataFrame:
            .when(d % 5 == 0, F.concat(F.lit("Here you go: "), body))
            .otherwise(body))
     return table(spark, sf_dir, "documents").select(d.cast("string").alias("seed_id"), txt.alias("answer"))
+
+
+SECTION_LABELS = ["Diagnosis", "Steps", "Safety"]
+
+
+def section_answers(spark, sf_dir) -> DataFrame:
+    """fx_sections: a three-section answer per conversation (body = its first turn);
+    conv_id % 7 = 1 drops 'Steps', = 2 swaps Steps and Safety, = 3 repeats Safety."""
+    c = table(spark, sf_dir, "conversations").filter(F.col("turn") == 0).select("conv_id", F.col("text").alias("b"))
+    k = F.col("conv_id") % 7
+    nl = F.lit("\n")
+
+    def sec(lab):
+        return F.concat(F.lit(lab + ":"), nl, F.col("b"))
+    d, s, f = sec("Diagnosis"), sec("Steps"), sec("Safety")
+    txt = (F.when(k == 1, F.concat_ws("\n", d, f))
+           .when(k == 2, F.concat_ws("\n", d, f, s))
+           .when(k == 3, F.concat_ws("\n", d, s, f, f))
+           .otherwise(F.concat_ws("\n", d, s, f)))
+    return c.select("conv_id", txt.alias("answer"))
