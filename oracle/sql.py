@@ -509,3 +509,19 @@ sql("rotate_bind", f"""
 SELECT seed_id, 'C8' AS task,
        array_to_string(list_concat([(SELECT list(r_name ORDER BY r_regionkey) FROM region)[rk % (SELECT count(*) FROM region) + 1]], tags), ',') AS tags
 FROM (SELECT seed_id, tags, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")
+
+# JSON task contracts: the expected code follows from the key rule only
+sql("v_c2_diagnosis", """
+SELECT cast(doc_id AS varchar) AS seed_id,
+       ['', 'empty_diagnosis', 'empty_scientific_reason', 'empty_rescue_fix', 'empty_prevention_tip'][doc_id % 5 + 1] AS violations
+FROM documents""")
+
+sql("v_c8_faq", """
+SELECT cast(doc_id AS varchar) AS seed_id,
+       ['', 'too_few_items', 'too_many_items', 'missing_storage', 'missing_equipment', 'missing_scaling'][doc_id % 6 + 1] AS violations
+FROM documents""")
+
+sql("v_c13_preservation", """
+SELECT cast(doc_id AS varchar) AS seed_id,
+       ['', 'method_mismatch', 'missing_storage_field', 'empty_warning'][doc_id % 4 + 1] AS violations
+FROM documents""")

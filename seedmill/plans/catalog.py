@@ -911,3 +911,18 @@ def dedup_generated(spark, sf) -> DataFrame:
          .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
                  "text", F.format_string("%012d:%06d", "conv_id", "turn").alias("ord")))
     return dd.minhash_dedup(a, "id", "text", "ord").select("id")
+
+
+def _contract_query(task: str):
+    def fn(spark, sf) -> DataFrame:
+        from seedmill.operators.contracts import CONTRACTS, check_contract
+        a = fx.contract_answers(spark, sf, task)
+        r = check_contract(a, "answer", CONTRACTS[task])
+        return r.select("seed_id", F.array_join("violations", ",").alias("violations"))
+    fn.__doc__ = f"JSON task contract {task} (violation codes per answer)."
+    return fn
+
+
+QUERIES["v_c2_diagnosis"] = _contract_query("c2_diagnosis")
+QUERIES["v_c8_faq"] = _contract_query("c8_faq")
+QUERIES["v_c13_preservation"] = _contract_query("c13_preservation")

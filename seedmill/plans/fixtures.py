@@ -369,3 +369,43 @@ def section_answers(spark, sf_dir) -> DataFrame:
            .when(k == 3, F.concat_ws("\n", d, s, f, f))
            .otherwise(F.concat_ws("\n", d, s, f)))
     return c.select("conv_id", txt.alias("answer"))
+
+
+# ------------------------------------------------------------------ task answers (contracts)
+def contract_answers(spark, sf_dir, task: str) -> DataFrame:
+    """fx_task_responses: per document one answer written by us; violation index
+    = d % (n_codes + 1) (0 = passing), each index breaking one rule."""
+    d = F.col("doc_id")
+    sid = d.cast("string")
+    base = table(spark, sf_dir, "documents").select("doc_id", sid.alias("seed_id"))
+    if task == "c2_diagnosis":
+        k = d % 5
+        f = [F.when(k == i + 1, F.lit("")).otherwise(F.concat(F.lit(n + " "), sid))
+             for i, n in enumerate(["diagnosis", "reason", "fix", "tip"])]
+        txt = F.format_string('{"diagnosis": "%s", "scientific_reason": "%s", "rescue_fix": "%s", "prevention_tip": "%s"}', *f)
+        return base.select("seed_id", txt.alias("answer"))
+    if task == "c8_faq":
+        k = d % 6
+        cats = (F.when(k == 3, F.array(*[F.lit(x) for x in ["taste", "equipment", "scaling", "timing", "serving"]]))
+                .when(k == 4, F.array(*[F.lit(x) for x in ["storage", "taste", "scaling", "timing", "serving"]]))
+                .when(k == 5, F.array(*[F.lit(x) for x in ["storage", "equipment", "taste", "timing", "serving"]]))
+                .when(k == 1, F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing"]]))
+                .when(k == 2, F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing", "serving",
+                                                            "taste", "cost", "origin"]]))
+                .otherwise(F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing", "serving", "taste"]])))
+        items = F.transform(cats, lambda c: F.struct(c.alias("category"), F.concat(F.lit("q "), c).alias("question"),
+                                                     F.concat(F.lit("a "), c).alias("answer")))
+        return base.select("seed_id", F.to_json(F.struct(items.alias("recipe_faq"))).alias("answer"))
+    if task == "c13_preservation":
+        k = d % 4
+        tag = F.concat(F.lit("method-"), (d % 3).cast("string"))
+        method = F.when(k == 1, F.lit("other-method")).otherwise(tag)
+        st = F.struct(F.lit("jar").alias("container"),
+                      F.when(k == 2, F.lit("")).otherwise(F.lit("cool")).alias("temperature"),
+                      F.lit("2 weeks").alias("duration"))
+        warn = F.when(k == 3, F.lit(" ")).otherwise(F.lit("keep sealed"))
+        js = F.to_json(F.struct(method.alias("method"), F.lit("acid").alias("science"),
+                                F.array(F.lit("salt")).alias("adjustments"), st.alias("storage_details"),
+                                warn.alias("safety_warning")))
+        return base.select("seed_id", tag.alias("bound_tag"), js.alias("answer"))
+    raise KeyError(task)
