@@ -525,3 +525,14 @@ sql("v_c13_preservation", """
 SELECT cast(doc_id AS varchar) AS seed_id,
        ['', 'method_mismatch', 'missing_storage_field', 'empty_warning'][doc_id % 4 + 1] AS violations
 FROM documents""")
+
+sql("v_c3_workflow", """
+SELECT cast(doc_id AS varchar) AS seed_id,
+       ['', 'bad_step_type', 'bad_time', 'bad_numbering'][doc_id % 4 + 1] AS violations FROM documents""")
+
+sql("v_c6_scraps", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'no_scraps', 'same_dish'][doc_id % 3 + 1] AS violations FROM documents""")
+
+sql("v_c11_tradition", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'empty_tradition', 'too_few_markers'][doc_id % 3 + 1] AS violations
+FROM documents""")

@@ -48,6 +48,32 @@ CONTRACTS = {
                     | _empty(v("storage_details.temperature")) | _empty(v("storage_details.duration"))),
                    ("empty_warning", lambda: _empty(v("safety_warning")))],
     },
+    # V6 (C3 workflow): step types active/passive, time_min > 0, steps numbered 1..n
+    "c3_workflow": {
+        "ddl": ("struct<mise_en_place:array<string>,"
+                "action_timeline:array<struct<step:int,type:string,time_min:double,action:string>>>"),
+        "checks": [("bad_step_type", lambda: F.exists(v("action_timeline"),
+                                                       lambda x: ~F.lower(x["type"]).isin("active", "passive"))),
+                   ("bad_time", lambda: F.exists(v("action_timeline"),
+                                                 lambda x: F.coalesce(x["time_min"] <= 0, F.lit(True)))),
+                   ("bad_numbering", lambda: F.transform(v("action_timeline"), lambda x: x["step"])
+                    != F.sequence(F.lit(1), F.size(v("action_timeline"))))],
+    },
+    # V9 (C6 zero waste): scraps listed; two distinct dishes
+    "c6_scraps": {
+        "ddl": "struct<scraps_identified:array<string>,scrap_mini_recipe:string,leftover_transformation:string>",
+        "checks": [("no_scraps", lambda: F.coalesce(F.size(v("scraps_identified")), F.lit(0)) == 0),
+                   ("same_dish", lambda: F.lower(py_strip(v("scrap_mini_recipe")))
+                    == F.lower(py_strip(v("leftover_transformation"))))],
+    },
+    # V14 (C11 regional tradition): at least two distinct evidence markers
+    "c11_tradition": {
+        "ddl": ("struct<identified_tradition:string,evidence_markers:array<string>,"
+                "signature_techniques:array<string>,ambiguity_note:string>"),
+        "checks": [("empty_tradition", lambda: _empty(v("identified_tradition"))),
+                   ("too_few_markers", lambda: F.size(F.array_distinct(
+                       F.transform(v("evidence_markers"), lambda x: F.lower(py_strip(x))))) < 2)],
+    },
 }
 
 

@@ -926,3 +926,6 @@ def _contract_query(task: str):
 QUERIES["v_c2_diagnosis"] = _contract_query("c2_diagnosis")
 QUERIES["v_c8_faq"] = _contract_query("c8_faq")
 QUERIES["v_c13_preservation"] = _contract_query("c13_preservation")
+QUERIES["v_c3_workflow"] = _contract_query("c3_workflow")
+QUERIES["v_c6_scraps"] = _contract_query("c6_scraps")
+QUERIES["v_c11_tradition"] = _contract_query("c11_tradition")

@@ -408,4 +408,29 @@ def contract_answers(spark, sf_dir, task: str) -> DataFrame:
                                 F.array(F.lit("salt")).alias("adjustments"), st.alias("storage_details"),
                                 warn.alias("safety_warning")))
         return base.select("seed_id", tag.alias("bound_tag"), js.alias("answer"))
+    if task == "c3_workflow":
+        k = d % 4
+        steps = F.array(*[F.struct(
+            F.when((k == 3) & (F.lit(i) == 2), F.lit(5)).otherwise(F.lit(i)).alias("step"),
+            F.when((k == 1) & (F.lit(i) == 1), F.lit("waiting")).otherwise(F.lit("active" if i % 2 else "passive")).alias("type"),
+            F.when((k == 2) & (F.lit(i) == 3), F.lit(0.0)).otherwise(F.lit(float(5 * i))).alias("time_min"),
+            F.lit(f"do step {i}").alias("action")) for i in (1, 2, 3)])
+        js = F.to_json(F.struct(F.array(F.lit("knife")).alias("mise_en_place"), steps.alias("action_timeline")))
+        return base.select("seed_id", js.alias("answer"))
+    if task == "c6_scraps":
+        k = d % 3
+        scraps = F.when(k == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("peel"), F.lit("stem")))
+        other = F.when(k == 2, F.lit("Peel Chips ")).otherwise(F.lit("stock"))
+        js = F.to_json(F.struct(scraps.alias("scraps_identified"), F.lit("peel chips").alias("scrap_mini_recipe"),
+                                other.alias("leftover_transformation")))
+        return base.select("seed_id", js.alias("answer"))
+    if task == "c11_tradition":
+        k = d % 3
+        trad = F.when(k == 1, F.lit("  ")).otherwise(F.concat(F.lit("tradition "), sid))
+        markers = F.when(k == 2, F.array(F.lit("Mustard seed"), F.lit("mustard seed "))).otherwise(
+            F.array(F.lit("mustard seed"), F.lit("curry leaf")))
+        js = F.to_json(F.struct(trad.alias("identified_tradition"), markers.alias("evidence_markers"),
+                                F.array(F.lit("tempering")).alias("signature_techniques"),
+                                F.lit("none").alias("ambiguity_note")))
+        return base.select("seed_id", js.alias("answer"))
     raise KeyError(task)
