@@ -536,3 +536,19 @@ SELECT cast(doc_id AS varchar) AS seed_id, ['', 'no_scraps', 'same_dish'][doc_id
 sql("v_c11_tradition", """
 SELECT cast(doc_id AS varchar) AS seed_id, ['', 'empty_tradition', 'too_few_markers'][doc_id % 3 + 1] AS violations
 FROM documents""")
+
+sql("v_scenarios", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'too_few', 'too_many', 'repeated'][doc_id % 4 + 1] AS violations
+FROM documents""")
+
+sql("v_c9_narrative", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'missing_sense', 'numbered_list'][doc_id % 3 + 1] AS violations
+FROM documents""")
+
+sql("v_c12_festive", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'festival_mismatch', 'dish_count', 'missing_note'][doc_id % 4 + 1] AS violations
+FROM documents""")
+
+sql("v_c14_nutrition", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'too_few_ingredients', 'incomplete_ayurvedic', ''][doc_id % 4 + 1] AS violations
+FROM documents""")

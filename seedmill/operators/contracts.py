@@ -74,14 +74,49 @@ CONTRACTS = {
                    ("too_few_markers", lambda: F.size(F.array_distinct(
                        F.transform(v("evidence_markers"), lambda x: F.lower(py_strip(x))))) < 2)],
     },
+    # V3 (scenarios): 8-12 items, distinct
+    "scenarios": {
+        "ddl": "struct<scenarios:array<string>>",
+        "checks": [("too_few", lambda: F.size(v("scenarios")) < 8),
+                   ("too_many", lambda: F.size(v("scenarios")) > 12),
+                   ("repeated", lambda: F.size(F.array_distinct(F.transform(
+                       v("scenarios"), lambda x: F.lower(py_strip(x))))) < F.size(v("scenarios")))],
+    },
+    # V12 (C9 narrative): five senses filled; narrative has no numbered list
+    "c9_narrative": {
+        "ddl": ("struct<cultural_context_applied:string,narrative_text:string,"
+                "sensory_elements:struct<sight:string,sound:string,smell:string,taste:string,touch:string>>"),
+        "checks": [("missing_sense", lambda: _empty(v("sensory_elements.sight")) | _empty(v("sensory_elements.sound"))
+                    | _empty(v("sensory_elements.smell")) | _empty(v("sensory_elements.taste"))
+                    | _empty(v("sensory_elements.touch"))),
+                   ("numbered_list", lambda: v("narrative_text").rlike(r"(?m)^\s*\d+[.)]\s"))],
+    },
+    # V15 (C12 festive plan): festival equals the bound tag; 3-5 dishes, each with a note
+    "c12_festive": {
+        "ddl": "struct<festival:string,anchor_dish:string,thali_meal_plan:array<struct<dish:string,note:string>>>",
+        "checks": [("festival_mismatch", lambda: F.lower(py_strip(v("festival"))) != F.lower(F.col("bound_tag"))),
+                   ("dish_count", lambda: (F.size(v("thali_meal_plan")) < 3) | (F.size(v("thali_meal_plan")) > 5)),
+                   ("missing_note", lambda: F.exists(v("thali_meal_plan"), lambda x: _empty(x["note"])))],
+    },
+    # V17 (C14 nutrition): >= 2 ingredients unless flagged low quality; inner struct complete
+    "c14_nutrition": {
+        "ddl": ("struct<ingredient_analysis:array<struct<ingredient:string,"
+                "ayurvedic:struct<dosha:string,rasa:string,guna:string>>>,overall_assessment:string>"),
+        "checks": [("too_few_ingredients", lambda: (F.size(v("ingredient_analysis")) < 2) & ~F.col("_lq")),
+                   ("incomplete_ayurvedic", lambda: F.exists(v("ingredient_analysis"), lambda x:
+                                                             _empty(x["ayurvedic"]["dosha"]) | _empty(x["ayurvedic"]["rasa"])
+                                                             | _empty(x["ayurvedic"]["guna"])))],
+    },
 }
 
 
 def check_contract(df: DataFrame, text: str, contract: dict) -> DataFrame:
     """Adds ``parse_ok`` and ``violations`` (``unparsable`` when the answer is not valid JSON)."""
+    from seedmill.functions.text import has_quality_flag
+    df = df.withColumn("_lq", has_quality_flag(F.col(text)))
     body = drop_quality_flag(strip_code_fence(F.col(text)))
     p = with_parsed(df, body, contract["ddl"], "_v")
     ok = F.col("_v.ok")
     codes = [F.when(ok & F.coalesce(chk(), F.lit(False)), F.lit(code)) for code, chk in contract["checks"]]
     viol = F.when(ok, F.filter(F.array(*codes), lambda x: x.isNotNull())).otherwise(F.array(F.lit("unparsable")))
-    return p.withColumn("parse_ok", ok).withColumn("violations", viol).drop("_v")
+    return p.withColumn("parse_ok", ok).withColumn("violations", viol).drop("_v", "_lq")

@@ -929,3 +929,7 @@ QUERIES["v_c13_preservation"] = _contract_query("c13_preservation")
 QUERIES["v_c3_workflow"] = _contract_query("c3_workflow")
 QUERIES["v_c6_scraps"] = _contract_query("c6_scraps")
 QUERIES["v_c11_tradition"] = _contract_query("c11_tradition")
+QUERIES["v_scenarios"] = _contract_query("scenarios")
+QUERIES["v_c9_narrative"] = _contract_query("c9_narrative")
+QUERIES["v_c12_festive"] = _contract_query("c12_festive")
+QUERIES["v_c14_nutrition"] = _contract_query("c14_nutrition")

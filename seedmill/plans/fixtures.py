@@ -433,4 +433,41 @@ def contract_answers(spark, sf_dir, task: str) -> DataFrame:
                                 F.array(F.lit("tempering")).alias("signature_techniques"),
                                 F.lit("none").alias("ambiguity_note")))
         return base.select("seed_id", js.alias("answer"))
+    if task == "scenarios":
+        k = d % 4
+        n = F.when(k == 1, F.lit(6)).when(k == 2, F.lit(14)).otherwise(F.lit(9))
+        items = F.transform(F.sequence(F.lit(1), n), lambda i: F.when((k == 3) & (i == 2), F.lit("Scenario 1 "))
+                            .otherwise(F.concat(F.lit("scenario "), i.cast("string"))))
+        return base.select("seed_id", F.to_json(F.struct(items.alias("scenarios"))).alias("answer"))
+    if task == "c9_narrative":
+        k = d % 3
+        senses = F.struct(F.lit("gold").alias("sight"), F.lit("sizzle").alias("sound"),
+                          F.when(k == 1, F.lit("")).otherwise(F.lit("smoke")).alias("smell"),
+                          F.lit("sweet").alias("taste"), F.lit("warm").alias("touch"))
+        text = F.when(k == 2, F.lit("The cook began.\n1. Heat oil\n2. Add seeds")).otherwise(
+            F.lit("The cook began, the oil shimmered, and the seeds popped."))
+        js = F.to_json(F.struct(F.lit("coastal").alias("cultural_context_applied"), text.alias("narrative_text"),
+                                senses.alias("sensory_elements")))
+        return base.select("seed_id", js.alias("answer"))
+    if task == "c12_festive":
+        k = d % 4
+        tag = F.concat(F.lit("festival-"), (d % 5).cast("string"))
+        fest = F.when(k == 1, F.lit("another-festival")).otherwise(tag)
+        n = F.when(k == 2, F.lit(6)).otherwise(F.lit(4))
+        plan = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
+            F.concat(F.lit("dish "), i.cast("string")).alias("dish"),
+            F.when((k == 3) & (i == 1), F.lit("")).otherwise(F.lit("why it fits")).alias("note")))
+        js = F.to_json(F.struct(fest.alias("festival"), F.lit("rice").alias("anchor_dish"), plan.alias("thali_meal_plan")))
+        return base.select("seed_id", tag.alias("bound_tag"), js.alias("answer"))
+    if task == "c14_nutrition":
+        k = d % 4
+        n = F.when((k == 1) | (k == 3), F.lit(1)).otherwise(F.lit(3))
+        items = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
+            F.concat(F.lit("ingredient "), i.cast("string")).alias("ingredient"),
+            F.struct(F.lit("vata").alias("dosha"),
+                     F.when((k == 2) & (i == 2), F.lit(None).cast("string")).otherwise(F.lit("sweet")).alias("rasa"),
+                     F.lit("heavy").alias("guna")).alias("ayurvedic")))
+        js = F.to_json(F.struct(items.alias("ingredient_analysis"), F.lit("balanced").alias("overall_assessment")))
+        js = F.when(k == 3, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), js)).otherwise(js)
+        return base.select("seed_id", js.alias("answer"))
     raise KeyError(task)
