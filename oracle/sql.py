@@ -552,3 +552,25 @@ FROM documents""")
 sql("v_c14_nutrition", """
 SELECT cast(doc_id AS varchar) AS seed_id, ['', 'too_few_ingredients', 'incomplete_ayurvedic', ''][doc_id % 4 + 1] AS violations
 FROM documents""")
+
+sql("v_c1_substitution", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'no_substitutions', 'original_not_in_seed', ''][doc_id % 4 + 1] AS violations
+FROM documents""")
+
+sql("v_c4_pairing", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'missing_side_dish', 'missing_grain_bread'][doc_id % 3 + 1] AS violations
+FROM documents""")
+
+sql("v_c5_scaling", """
+SELECT cast(doc_id AS varchar) AS seed_id,
+       CASE WHEN doc_id % 4 = 1 THEN 'wrong_multiplier'
+            WHEN doc_id % 6 + 1 = doc_id % 4 + 2 THEN 'unflagged_identity' ELSE '' END AS violations
+FROM documents""")
+
+sql("v_c7_dialogue", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'bad_speaker', 'no_error', 'bad_ending'][doc_id % 4 + 1] AS violations
+FROM documents""")
+
+sql("v_c10_translation", """
+SELECT cast(doc_id AS varchar) AS seed_id, ['', 'wrong_target', 'empty_translation'][doc_id % 3 + 1] AS violations
+FROM documents""")

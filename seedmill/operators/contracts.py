@@ -107,6 +107,45 @@ CONTRACTS = {
                                                              _empty(x["ayurvedic"]["dosha"]) | _empty(x["ayurvedic"]["rasa"])
                                                              | _empty(x["ayurvedic"]["guna"])))],
     },
+    # V4 (C1 substitution): substitutions present unless flagged; each original appears in the seed text
+    "c1_substitution": {
+        "ddl": ("struct<substitutions:array<struct<original:string,substitute:string,ratio:string,"
+                "flavor_impact:string>>>"),
+        "checks": [("no_substitutions", lambda: (F.coalesce(F.size(v("substitutions")), F.lit(0)) == 0) & ~F.col("_lq")),
+                   ("original_not_in_seed", lambda: F.exists(v("substitutions"), lambda x: ~F.lower(F.col("seed_text"))
+                                                             .contains(F.lower(py_strip(x["original"])))))],
+    },
+    # V7 (C4 pairing): both recommendation hops present
+    "c4_pairing": {
+        "ddl": "struct<flavor_profile:string,recommendations:struct<side_dish:string,grain_bread:string>>",
+        "checks": [("missing_side_dish", lambda: _empty(v("recommendations.side_dish"))),
+                   ("missing_grain_bread", lambda: _empty(v("recommendations.grain_bread")))],
+    },
+    # V8 (C5 scaling): multiplier = target / current (tolerance 0.01); multiplier 1 must be flagged
+    "c5_scaling": {
+        "ddl": ("struct<multiplier_value:double,non_linear_adjustments:array<string>,"
+                "adjusted_ingredient_list:array<string>>"),
+        "checks": [("wrong_multiplier", lambda: F.abs(v("multiplier_value")
+                                                      - F.col("scale_to") / F.col("scale_from")) > 0.01),
+                   ("unflagged_identity", lambda: (v("multiplier_value") == 1.0) & ~F.col("_lq"))],
+    },
+    # V10 (C7 dialogue): speakers novice/expert, an error made, last turn novice showing understanding
+    "c7_dialogue": {
+        "ddl": ("struct<novice_persona_match:boolean,conversation:array<struct<speaker:string,text:string,"
+                "error_made:boolean,demonstrated_understanding:boolean>>>"),
+        "checks": [("bad_speaker", lambda: F.exists(v("conversation"),
+                                                    lambda x: ~F.lower(x["speaker"]).isin("novice", "expert"))),
+                   ("no_error", lambda: ~F.exists(v("conversation"), lambda x: F.coalesce(x["error_made"], F.lit(False)))),
+                   ("bad_ending", lambda: ~F.coalesce(
+                       (F.lower(F.element_at(v("conversation"), -1)["speaker"]) == "novice")
+                       & F.element_at(v("conversation"), -1)["demonstrated_understanding"], F.lit(False)))],
+    },
+    # V13 (C10 translation): target language equals the request's
+    "c10_translation": {
+        "ddl": "struct<source_language:string,target_language:string,translated_recipe:string>",
+        "checks": [("wrong_target", lambda: F.lower(py_strip(v("target_language"))) != F.lower(F.col("requested"))),
+                   ("empty_translation", lambda: _empty(v("translated_recipe")))],
+    },
 }
 
 

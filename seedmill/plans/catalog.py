@@ -933,3 +933,8 @@ QUERIES["v_scenarios"] = _contract_query("scenarios")
 QUERIES["v_c9_narrative"] = _contract_query("c9_narrative")
 QUERIES["v_c12_festive"] = _contract_query("c12_festive")
 QUERIES["v_c14_nutrition"] = _contract_query("c14_nutrition")
+QUERIES["v_c1_substitution"] = _contract_query("c1_substitution")
+QUERIES["v_c4_pairing"] = _contract_query("c4_pairing")
+QUERIES["v_c5_scaling"] = _contract_query("c5_scaling")
+QUERIES["v_c7_dialogue"] = _contract_query("c7_dialogue")
+QUERIES["v_c10_translation"] = _contract_query("c10_translation")

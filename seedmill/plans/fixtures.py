@@ -470,4 +470,48 @@ def contract_answers(spark, sf_dir, task: str) -> DataFrame:
         js = F.to_json(F.struct(items.alias("ingredient_analysis"), F.lit("balanced").alias("overall_assessment")))
         js = F.when(k == 3, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), js)).otherwise(js)
         return base.select("seed_id", js.alias("answer"))
+    if task == "c1_substitution":
+        k = d % 4
+        docs = table(spark, sf_dir, "documents").select("doc_id", sid.alias("seed_id"), F.col("text").alias("seed_text"))
+        word = F.lower(F.regexp_extract("seed_text", r"(\p{L}{3,})", 1))
+        subs = F.when((k == 1) | (k == 3), F.array().cast("array<struct<original:string,substitute:string,ratio:string,flavor_impact:string>>")) \
+            .otherwise(F.array(F.struct(F.when(k == 2, F.lit("zzqx")).otherwise(word).alias("original"),
+                                        F.lit("other").alias("substitute"), F.lit("1:1").alias("ratio"),
+                                        F.lit("mild").alias("flavor_impact"))))
+        js = F.to_json(F.struct(subs.alias("substitutions")))
+        js = F.when(k == 3, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), js)).otherwise(js)
+        return docs.select("seed_id", "seed_text", js.alias("answer"))
+    if task == "c4_pairing":
+        k = d % 3
+        rec = F.struct(F.when(k == 1, F.lit("")).otherwise(F.lit("raita")).alias("side_dish"),
+                       F.when(k == 2, F.lit(None).cast("string")).otherwise(F.lit("naan")).alias("grain_bread"))
+        js = F.to_json(F.struct(F.lit("smoky").alias("flavor_profile"), rec.alias("recommendations")))
+        return base.select("seed_id", js.alias("answer"))
+    if task == "c5_scaling":
+        k = d % 4
+        frm, to = (d % 4 + 2).cast("double"), (d % 6 + 1).cast("double")
+        mult = F.when(k == 1, to / frm + 0.5).otherwise(to / frm)
+        js = F.to_json(F.struct(mult.alias("multiplier_value"), F.array(F.lit("salt to taste")).alias("non_linear_adjustments"),
+                                F.array(F.lit("rice")).alias("adjusted_ingredient_list")))
+        return base.select("seed_id", frm.alias("scale_from"), to.alias("scale_to"), js.alias("answer"))
+    if task == "c7_dialogue":
+        k = d % 4
+        turns = F.array(
+            F.struct(F.when(k == 1, F.lit("teacher")).otherwise(F.lit("novice")).alias("speaker"), F.lit("hi").alias("text"),
+                     F.when(k == 2, F.lit(False)).otherwise(F.lit(True)).alias("error_made"),
+                     F.lit(False).alias("demonstrated_understanding")),
+            F.struct(F.lit("expert").alias("speaker"), F.lit("fix").alias("text"), F.lit(False).alias("error_made"),
+                     F.lit(False).alias("demonstrated_understanding")),
+            F.struct(F.lit("novice").alias("speaker"), F.lit("got it").alias("text"), F.lit(False).alias("error_made"),
+                     F.when(k == 3, F.lit(False)).otherwise(F.lit(True)).alias("demonstrated_understanding")))
+        js = F.to_json(F.struct(F.lit(True).alias("novice_persona_match"), turns.alias("conversation")))
+        return base.select("seed_id", js.alias("answer"))
+    if task == "c10_translation":
+        k = d % 3
+        req = F.element_at(F.array(*[F.lit(x) for x in ["fr", "de", "es", "hi"]]), (d % 4 + 1).cast("int"))
+        tgt = F.when(k == 1, F.lit("en")).otherwise(F.upper(req))
+        rec = F.when(k == 2, F.lit("")).otherwise(F.lit("translated text"))
+        js = F.to_json(F.struct(F.lit("en").alias("source_language"), tgt.alias("target_language"),
+                                rec.alias("translated_recipe")))
+        return base.select("seed_id", req.alias("requested"), js.alias("answer"))
     raise KeyError(task)
