@@ -574,3 +574,11 @@ FROM documents""")
 sql("v_c10_translation", """
 SELECT cast(doc_id AS varchar) AS seed_id, ['', 'wrong_target', 'empty_translation'][doc_id % 3 + 1] AS violations
 FROM documents""")
+
+sql("validity_agreement", f"""
+SELECT concept_type, count(*) AS shared,
+       cast(sum(CASE WHEN {H("concept_id", "format", "audience", "angle", "cognitive_operation", "'b'")} % 7 = 0
+                THEN 0 ELSE 1 END) AS bigint) AS agree
+FROM fx_batches
+WHERE {H('batch_id')} % 10 = 0
+GROUP BY concept_type""")

@@ -64,3 +64,17 @@ def safety_scores(df: DataFrame, scores: DataFrame, key: str, rules: dict) -> Da
                 ">": F.col(c) > v}[op]
         ok = ok & F.coalesce(cond, F.lit(False))
     return j.withColumn("safe", ok)
+
+
+def model_agreement(verdicts: DataFrame, key: list, models=("model_a", "model_b"),
+                    by: str = "concept_type") -> DataFrame:
+    """Agreement of two routed models on combos both judged.
+
+    ``verdicts`` is long (key..., model, is_valid, by); pivot on the fixed
+    model list, keep combos both answered, count agreement per ``by``.
+    """
+    p = verdicts.groupBy(*key, by).pivot("model", list(models)).agg(F.first("is_valid"))
+    a, b = models
+    both = p.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return both.groupBy(by).agg(F.count(F.lit(1)).alias("shared"),
+                                F.sum((F.col(a) == F.col(b)).cast("int")).cast("bigint").alias("agree"))

@@ -938,3 +938,9 @@ QUERIES["v_c4_pairing"] = _contract_query("c4_pairing")
 QUERIES["v_c5_scaling"] = _contract_query("c5_scaling")
 QUERIES["v_c7_dialogue"] = _contract_query("c7_dialogue")
 QUERIES["v_c10_translation"] = _contract_query("c10_translation")
+
+
+@query("validity_agreement")
+def validity_agreement(spark, sf) -> DataFrame:
+    """Agreement of the two routed models on double-routed combos, per concept type."""
+    return gt.model_agreement(fx.double_routed_verdicts(spark, sf), ["concept_id", *DIMS])

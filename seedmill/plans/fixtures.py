@@ -515,3 +515,17 @@ def contract_answers(spark, sf_dir, task: str) -> DataFrame:
                                 rec.alias("translated_recipe")))
         return base.select("seed_id", req.alias("requested"), js.alias("answer"))
     raise KeyError(task)
+
+
+def double_routed_verdicts(spark, sf_dir) -> DataFrame:
+    """fx_double: batches with h(batch_id) % 10 = 0 were sent to both models.
+    model_a says h(concept_id, dims) % 100 < 40; model_b flips that when
+    h(concept_id, dims, 'b') % 7 = 0. Long form: one row per combo and model."""
+    b = validity_batches(spark, sf_dir).filter(F.pmod(stable_hash("batch_id"), F.lit(10)) == 0)
+    b = cmb.attach_concepts(b, concepts(spark, sf_dir), cols=("concept_type",))
+    va = F.pmod(stable_hash("concept_id", *DIMS), F.lit(100)) < 40
+    flip = F.pmod(stable_hash("concept_id", *DIMS, F.lit("b")), F.lit(7)) == 0
+    m = F.explode(F.array(F.struct(F.lit("model_a").alias("model"), va.alias("is_valid")),
+                          F.struct(F.lit("model_b").alias("model"), (va != flip).alias("is_valid"))))
+    return b.select("concept_id", *DIMS, "concept_type", m.alias("x")).select(
+        "concept_id", *DIMS, "concept_type", "x.model", "x.is_valid")
