@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, html_wrapper, ngram_join, secret_scan, toxicity, url_filter
+from . import chat_format, html_wrapper, line_dedup, ngram_join, nn_descent, packing, secret_scan, template_decontam, toxicity, url_filter
 from .common import rows, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"  # fixed value of the contract: conversation -7
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing query; the operators take any path."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 ids at most."""
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted; every column is read back from the formatted text."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -26,6 +37,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op3_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, verbatim or with its slots filled anew."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = template_decontam.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.where("consistent").select("doc_id", "item_id", "matched", "windows", "at", "slots")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every whole text; labels of held-out rows are never read into the fit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +59,11 @@ def op5_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every vector whose id is divisible by 100."""
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules of the contract; without a rule, canonical addresses that several rows carry are blocked."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -53,6 +76,17 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the numbers of the lines that an earlier line matches."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = line_dedup.removed_lines(docs)
+    lines = docs.select("doc_id", F.coalesce("doc_id", F.lit(line_dedup.LAST)).alias("doc"), F.xxhash64("text").alias("th"),
+                        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
+    found = F.coalesce("removed", F.array().cast("array<int>"))
+    return lines.join(gone, ["doc", "th"], "left").select("doc_id", "n_lines", F.size(found).cast("long").alias("n_removed"),
+                                                          F.array_join(found.cast("array<string>"), ",").alias("removed"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of the contract and the further rules' spans of every whole text."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -64,10 +98,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
+    "op3_template_decontam": op3_template_decontam,
     "op4_toxicity": op4_toxicity,
     "op5_html_wrapper": op5_html_wrapper,
+    "op6_nn_descent": op6_nn_descent,
     "op7_url_filter": op7_url_filter,
     "op8_ngram_join": op8_ngram_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -61,7 +61,8 @@ def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """(gram, doc_id) for the indexed trigrams that occur in a document, each pair once per row."""
     low = docs.where("doc_id is not null").select("doc_id", ascii_lower(text_or_empty("text")).alias("low"))
     hit = F.array_compact(F.array(*[F.when(F.contains(F.col("low"), F.lit(g)), F.lit(g)) for g in grams]))
-    return low.select("doc_id", F.explode(hit).alias("gram"))
+    # the outer form: the planner would add a filter on the array's size below, and search every text twice
+    return low.select("doc_id", F.explode_outer(hit).alias("gram")).where("gram is not null")
 
 
 def candidates(docs: DataFrame, rules=RULES) -> DataFrame:

@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,11 +220,26 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFra
     """(doc_id, score) for every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         table, cache = table.astype(np.float64), {}
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": score_texts(pdf["text"].tolist(), table, bias, cache)})
+        for batch in batches:
+            score = score_texts(batch.column("text").to_pylist(), table, bias, cache)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     typ = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {typ}, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {typ}, score double")
+
+
+def keep_clean(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bias = shared.value
+        table, cache = table.astype(np.float64), {}
+        for batch in batches:
+            score = score_texts(batch.column("text").to_pylist(), table, bias, cache)
+            yield batch.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -97,9 +97,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default: s
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     heads = F.array_distinct(F.array(*[F.expr(f"substring(p, 1, {n})") for n in lengths])) if lengths else F.array().cast("array<string>")
     prefix_keys = F.flatten(F.transform(suffixes, lambda s: F.transform(heads, lambda q: F.concat(s, q))))
-    keys = urls.select("url", F.explode(F.concat(
+    keys = urls.select("url", F.explode_outer(F.concat(
         F.when(F.col("h") != "", prefix_keys).otherwise(F.array().cast("array<string>")),
-        F.filter(F.array(F.concat(F.lit("="), F.col("c"))), lambda x: x.isNotNull()))).alias("key"))
+        F.filter(F.array(F.concat(F.lit("="), F.col("c"))), lambda x: x.isNotNull()))).alias("key")).where("key is not null")
     hits = possible_hits(keys, bloom_filter(listing.select("key"), blocks), blocks)
     found = hits.join(listing, "key").groupBy("url").agg(F.max("e").alias("e"))
     out = pages.select("page_id", "url").join(found, "url", "left")
