@@ -73,7 +73,7 @@ cte("fx_concepts", f"""
 SELECT md5('run|' || cast(s.doc_id AS varchar)) AS run_id, s.seed_id, s.domain,
        p.p_name AS concept_name,
        {lst(vocab.CONCEPT_TYPES)}[(s.doc_id + g.pos) % 7 + 1] AS concept_type,
-       {pstrip('substr(s.text, 1, 160)')} AS concept_definition,
+       {pstrip('substr(s.text, (length(s.text) * g.pos // (s.doc_id % 6))::int + 1, (length(s.text) * (g.pos + 1) // (s.doc_id % 6) - length(s.text) * g.pos // (s.doc_id % 6))::int)')} AS concept_definition,
        md5(s.seed_id || '|' || cast(g.pos AS varchar)) AS concept_id,
        cast(g.pos AS integer) AS pos, s.doc_id
 FROM fx_seeds s

@@ -169,9 +169,8 @@ SELECT DISTINCT batch_id, {H('batch_id', "'fence'")} % 11 = 0 AS fenced, f <> 4
 sql("v_validity", """
 SELECT DISTINCT batch_id,
        CASE f WHEN 4 THEN 'unparsable' WHEN 0 THEN 'missing_id' WHEN 5 THEN 'unknown_id'
-              WHEN 1 THEN 'out_of_order' WHEN 2 THEN 'missing_flag' WHEN 3 THEN 'missing_reason'
-              ELSE '' END AS violations,
-       f > 5 AS passed
+              WHEN 3 THEN 'missing_reason' ELSE '' END AS violations,
+       f NOT IN (0, 3, 4, 5) AS passed
 FROM fx_batch_fault""")
 
 sql("valid_filter", """
@@ -308,8 +307,9 @@ WHERE regexp_matches(text, '(?i)\\bMIT License\\b') OR regexp_matches(text, '(?i
    OR regexp_matches(text, '(?i)\\bLicensed\\b')""")
 
 sql("safety_scores", """
-SELECT s.seed_id, l.quality, l.toxic, coalesce(l.quality >= 1, false) AND coalesce(l.toxic <= 0, false) AS safe
-FROM fx_seeds s JOIN labels l ON l.doc_id = s.doc_id""")
+SELECT s.seed_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic, l.doc_id IS NOT NULL AS scored,
+       coalesce(l.quality >= 1, false) AND coalesce(l.toxic <= 0, false) AS safe
+FROM fx_seeds s LEFT JOIN labels l ON l.doc_id = s.doc_id""")
 
 # ------------------------------------------------------- fan-out, rendering
 sql("render_seed_default", "SELECT seed_id, coalesce(nullif(ground_truth, ''), 'not provided') AS ground_truth FROM fx_seeds")
@@ -488,15 +488,15 @@ FROM sw LEFT JOIN ow USING (domain)""")
 sql("notation_conflicts", """
 SELECT p_name AS symbol, count(DISTINCT p_type) AS meanings FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
 
-_SEC = """(SELECT conv_id, chr(10) || CASE conv_id % 7
+_SEC = """(SELECT conv_id, turn, chr(10) || CASE conv_id % 7
      WHEN 1 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text
      WHEN 2 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text
      WHEN 3 THEN 'Diagnosis:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text
      ELSE 'Diagnosis:' || chr(10) || text || chr(10) || 'Steps:' || chr(10) || text || chr(10) || 'Safety:' || chr(10) || text END AS t
-   FROM conversations WHERE turn = 0)"""
+   FROM conversations)"""
 _CNT = "(length(t) - length(replace(t, chr(10) || '{l}:', ''))) // length(chr(10) || '{l}:')"
 _POS = "nullif(strpos(t, chr(10) || '{l}:'), 0)"
-sql("v_sections", "SELECT conv_id, array_to_string(list_filter([" + ", ".join(
+sql("v_sections", "SELECT conv_id, turn, array_to_string(list_filter([" + ", ".join(
     [f"CASE WHEN {_CNT.format(l=l)} = 0 THEN 'missing:{l}' END, CASE WHEN {_CNT.format(l=l)} > 1 THEN 'duplicate:{l}' END"
      for l in ["Diagnosis", "Steps", "Safety"]]) + """,
   CASE WHEN NOT (coalesce(""" + _POS.format(l="Diagnosis") + " < " + _POS.format(l="Steps") + """, true)
@@ -511,69 +511,25 @@ SELECT seed_id, 'C8' AS task,
 FROM (SELECT seed_id, tags, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")
 
 # JSON task contracts: the expected code follows from the key rule only
-sql("v_c2_diagnosis", """
-SELECT cast(doc_id AS varchar) AS seed_id,
-       ['', 'empty_diagnosis', 'empty_scientific_reason', 'empty_rescue_fix', 'empty_prevention_tip'][doc_id % 5 + 1] AS violations
-FROM documents""")
-
-sql("v_c8_faq", """
-SELECT cast(doc_id AS varchar) AS seed_id,
-       ['', 'too_few_items', 'too_many_items', 'missing_storage', 'missing_equipment', 'missing_scaling'][doc_id % 6 + 1] AS violations
-FROM documents""")
-
-sql("v_c13_preservation", """
-SELECT cast(doc_id AS varchar) AS seed_id,
-       ['', 'method_mismatch', 'missing_storage_field', 'empty_warning'][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c3_workflow", """
-SELECT cast(doc_id AS varchar) AS seed_id,
-       ['', 'bad_step_type', 'bad_time', 'bad_numbering'][doc_id % 4 + 1] AS violations FROM documents""")
-
-sql("v_c6_scraps", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'no_scraps', 'same_dish'][doc_id % 3 + 1] AS violations FROM documents""")
-
-sql("v_c11_tradition", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'empty_tradition', 'too_few_markers'][doc_id % 3 + 1] AS violations
-FROM documents""")
-
-sql("v_scenarios", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'too_few', 'too_many', 'repeated'][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c9_narrative", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'missing_sense', 'numbered_list'][doc_id % 3 + 1] AS violations
-FROM documents""")
-
-sql("v_c12_festive", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'festival_mismatch', 'dish_count', 'missing_note'][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c14_nutrition", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'too_few_ingredients', 'incomplete_ayurvedic', ''][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c1_substitution", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'no_substitutions', 'original_not_in_seed', ''][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c4_pairing", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'missing_side_dish', 'missing_grain_bread'][doc_id % 3 + 1] AS violations
-FROM documents""")
-
-sql("v_c5_scaling", """
-SELECT cast(doc_id AS varchar) AS seed_id,
-       CASE WHEN doc_id % 4 = 1 THEN 'wrong_multiplier'
-            WHEN doc_id % 6 + 1 = doc_id % 4 + 2 THEN 'unflagged_identity' ELSE '' END AS violations
-FROM documents""")
-
-sql("v_c7_dialogue", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'bad_speaker', 'no_error', 'bad_ending'][doc_id % 4 + 1] AS violations
-FROM documents""")
-
-sql("v_c10_translation", """
-SELECT cast(doc_id AS varchar) AS seed_id, ['', 'wrong_target', 'empty_translation'][doc_id % 3 + 1] AS violations
-FROM documents""")
+for _name, _codes in {
+    "v_scenarios": "too_few too_many repeated empty_item too_long",
+    "v_c1_substitution": "no_substitutions empty_field original_not_in_seed",
+    "v_c2_diagnosis": "empty_diagnosis empty_scientific_reason empty_rescue_fix empty_prevention_tip",
+    "v_c3_workflow": "no_prep bad_prep bad_step_type bad_time bad_numbering empty_step",
+    "v_c4_pairing": "no_notes missing_side_dish missing_grain_bread",
+    "v_c5_scaling": "empty_calculation wrong_multiplier unflagged_identity bad_adjustment empty_list",
+    "v_c6_scraps": "no_scraps empty_mini_recipe empty_transformation same_dish",
+    "v_c7_dialogue": "empty_persona bad_speaker empty_text no_error no_correction bad_ending",
+    "v_c8_faq": "too_few_items too_many_items missing_storage missing_equipment missing_scaling empty_item",
+    "v_c9_narrative": "empty_context empty_narrative missing_sense numbered_list table",
+    "v_c10_translation": "empty_source wrong_target empty_translation lost_term unflagged_same",
+    "v_c11_tradition": "empty_tradition too_few_markers no_techniques empty_note",
+    "v_c12_festive": "festival_mismatch empty_anchor dish_count empty_dish missing_note no_serving_order",
+    "v_c13_preservation": "method_mismatch empty_science bad_adjustment missing_storage_field empty_warning",
+    "v_c14_nutrition": "too_few_ingredients empty_field incomplete_ayurvedic empty_assessment",
+}.items():
+    _all = ["", *_codes.split()]
+    sql(_name, f"SELECT cast(doc_id AS varchar) AS seed_id, {_all}[doc_id % {len(_all)} + 1] AS violations FROM documents")
 
 sql("validity_agreement", f"""
 SELECT concept_type, count(*) AS shared,

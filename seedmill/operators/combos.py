@@ -59,29 +59,24 @@ def combo_product(types: DataFrame, bundle="medicine") -> DataFrame:
     return _explode_dims(types, bundle)
 
 
-def rule_types(rules: DataFrame, limit: int = 10_000) -> list:
-    """Distinct concept types named by the rules (a parameter table, size-checked)."""
-    n = rules.count()
-    if n > limit:
-        raise ValueError(f"{n} ban rules, above the bound {limit}")
-    return sorted(r[0] for r in rules.select("concept_type").distinct().collect())
+def rule_types(rules: DataFrame) -> DataFrame:
+    """Distinct concept types named by the rules, and ``'*'`` for types that no rule names."""
+    any_type = rules.sparkSession.range(1).select(F.lit(ANY_TYPE).alias("concept_type"))
+    return rules.select("concept_type").distinct().unionByName(any_type)
 
 
 def combo_space(rules: DataFrame, bundle="medicine") -> DataFrame:
     """X1+X2: surviving combos per rule type (plus ``'*'``: no rule applies).
 
     Each ban touches one dimension, so pruning is applied to the value lists
-    *before* the product: per (type, dim) the banned values are removed by a
-    broadcast anti join, then the four lists are multiplied by ``explode``.
+    *before* the product: per (type, dim) the banned values are removed by an
+    anti join, then the four lists are multiplied by ``explode``.
     """
-    spark = rules.sparkSession
     b = _bundle(bundle)
-    types = rule_types(rules) + [ANY_TYPE]
-    base = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in types])).alias("concept_type"))
-    vals = base.select("concept_type", F.explode(F.array(*[
+    vals = rule_types(rules).select("concept_type", F.explode(F.array(*[
         F.struct(F.lit(d).alias("dim"), F.lit(i).alias("pos"), F.lit(v).alias("value"))
         for d in DIMS for i, v in enumerate(b[d])])).alias("x")).select("concept_type", "x.*")
-    allowed = vals.join(F.broadcast(rules), ["dim", "concept_type", "value"], "left_anti")
+    allowed = vals.join(rules, ["dim", "concept_type", "value"], "left_anti")
     lists = (allowed.groupBy("concept_type").pivot("dim", DIMS)
              .agg(F.array_sort(F.collect_list(F.struct("pos", "value")))))
     out = lists
@@ -93,17 +88,10 @@ def combo_space(rules: DataFrame, bundle="medicine") -> DataFrame:
 def rule_key(concepts: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach ``rule_type``: the concept type when some rule names it, else ``'*'``."""
     rt = rules.select(F.col("concept_type").alias("_rt")).distinct()
-    return (concepts.join(F.broadcast(rt), F.col("concept_type") == F.col("_rt"), "left")
+    return (concepts.join(rt, F.col("concept_type") == F.col("_rt"), "left")
             .withColumn("rule_type", F.coalesce(F.col("_rt"), F.lit(ANY_TYPE))).drop("_rt"))
 
 
-def _checked_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"combo space has {n} rows, above the broadcast bound {limit}")
-    return F.broadcast(df)
-
-
 def combo_id(*cols) -> Column:
     return stable_hash(*(cols or ("concept_id", *DIMS)))
 
@@ -118,15 +106,15 @@ def sample_combos(concepts: DataFrame, space: DataFrame, n: int = vocab.SAMPLES_
     ideally per batch (:func:`attach_concepts`), so the per-concept sort only
     moves narrow rows.
 
-    Plan: shuffle the concept keys once on ``concept_id``; broadcast-join the
-    size-checked combo space; window ``row_number`` per concept with a group
+    Plan: shuffle the concept keys once on ``concept_id``; join the combo space
+    (the planner broadcasts it when it is small); window ``row_number`` per concept with a group
     limit (no further exchange).
     """
     if "rule_type" not in concepts.columns:
         concepts = rule_key(concepts, rules)
     parts = int(partitions or concepts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = concepts.select("concept_id", "rule_type").repartition(parts, "concept_id")
-    joined = keys.join(_checked_broadcast(space), "rule_type").drop("rule_type")
+    joined = keys.join(space, "rule_type").drop("rule_type")
     joined = joined.withColumn("combo_id", combo_id())
     w = Window.partitionBy("concept_id").orderBy("combo_id", *DIMS)
     return (joined.withColumn("sample_rank", F.row_number().over(w))

@@ -41,14 +41,11 @@ def ranges_table(spark: SparkSession, ranges=None) -> DataFrame:
 def attach_range(df: DataFrame, ranges: DataFrame, strict: bool = False) -> DataFrame:
     """Domain -> ``target_concepts_range``, ``target_min``, ``target_max``.
 
-    The range table is a parameter (one row per domain) and is broadcast after a
-    size check. Unknown domains raise in strict mode; otherwise ``range_ok`` is false.
+    The range table is a parameter (one row per domain); the planner broadcasts it
+    when it is small. Unknown domains raise in strict mode; otherwise ``range_ok`` is false.
     """
-    n = ranges.count()
-    if n > MAX_RANGE_ROWS:
-        raise ValueError(f"range table has {n} rows, above {MAX_RANGE_ROWS}")
     r = ranges.select(F.col("domain").alias("_rd"), F.col("target_concepts_range").alias("_rr"))
-    out = df.join(F.broadcast(r), F.col("domain") == F.col("_rd"), "left")
+    out = df.join(r, F.col("domain") == F.col("_rd"), "left")
     rng = F.col("_rr")
     if strict:
         rng = F.when(F.col("_rd").isNull(),
@@ -132,7 +129,7 @@ def rejects_from(parsed: DataFrame, stage: str = "extraction") -> DataFrame:
     """K5: dead-letter rows ``stage, key, reason, raw`` for unusable drafts."""
     bad = parsed.filter(F.col("reason").isNotNull())
     return bad.select(F.lit(stage).alias("stage"), F.col("run_id").alias("key"), "reason",
-                      F.substring(F.col("raw"), 1, 300).alias("raw"))
+                      "raw")
 
 
 # V1 ---------------------------------------------------------------------------

@@ -56,8 +56,12 @@ def term_screen(df: DataFrame, text: str, terms) -> DataFrame:
 
 def safety_scores(df: DataFrame, scores: DataFrame, key: str, rules: dict) -> DataFrame:
     """Attach classifier scores (one column per category) and apply a
-    threshold per category; ``rules`` maps column -> (op, value)."""
-    j = df.join(scores, key)
+    threshold per category; ``rules`` maps column -> (op, value).
+
+    Rows without scores stay, marked ``scored = false``; like any missing score
+    they are not safe."""
+    j = (df.join(scores.withColumn("scored", F.lit(True)), key, "left")
+         .withColumn("scored", F.coalesce("scored", F.lit(False))))
     ok = F.lit(True)
     for c, (op, v) in rules.items():
         cond = {"<=": F.col(c) <= v, ">=": F.col(c) >= v, "==": F.col(c) == v, "<": F.col(c) < v,

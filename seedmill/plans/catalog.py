@@ -487,7 +487,7 @@ def safety_scores_q(spark, sf) -> DataFrame:
     seeds = fx.seeds(spark, sf).select("doc_id", "seed_id")
     return gt.safety_scores(seeds, fx.table(spark, sf, "labels"), "doc_id",
                             {"quality": (">=", 1), "toxic": ("<=", 0)}).select(
-        "seed_id", "quality", "toxic", "safe")
+        "seed_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"), "scored", "safe")
 
 
 # ------------------------------------------------------- fan-out, rendering
@@ -703,7 +703,7 @@ def stream_progress_q(spark, sf) -> DataFrame:
      .write.mode("overwrite").parquet(f"{root}/events"))
     schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
     out = st.stream_progress(spark, f"{root}/events", schema, f"{root}/out", f"{root}/ckpt", delay="1 day")
-    return spark.read.parquet(out)
+    return st.read_progress(spark, out)
 
 
 @query("stream_progress_batch")
@@ -890,7 +890,7 @@ def v_sections(spark, sf) -> DataFrame:
     from seedmill.operators.sections import check_sections
     a = fx.section_answers(spark, sf)
     v = check_sections(a, "answer", fx.SECTION_LABELS, first="Diagnosis")
-    return v.select("conv_id", F.array_join("violations", ",").alias("violations"))
+    return v.select("conv_id", "turn", F.array_join("violations", ",").alias("violations"))
 
 
 @query("rotate_bind")

@@ -91,7 +91,9 @@ def ledger(spark, sf_dir) -> DataFrame:
 
 
 def concepts(spark, sf_dir) -> DataFrame:
-    """fx_concepts: d % 6 concepts per STARTED run (what a clean draft would hold)."""
+    """fx_concepts: d % 6 concepts per STARTED run (what a clean draft would hold).
+
+    A seed's whole text is split evenly over its concepts' definitions; nothing of it is left out."""
     n_part = table(spark, sf_dir, "part").agg(F.count(F.lit(1))).first()[0]
     d = F.col("doc_id")
     s = seeds(spark, sf_dir).filter(~(d % 10).isin(0, 1))
@@ -105,7 +107,9 @@ def concepts(spark, sf_dir) -> DataFrame:
         "seed_id", "domain",
         F.col("p_name").alias("concept_name"),
         _pick(vocab.CONCEPT_TYPES, (d + F.col("pos")) % 7).alias("concept_type"),
-        py_strip(F.substring("text", 1, 160)).alias("concept_definition"),
+        py_strip(F.expr("substring(text, int(length(text) * pos div (doc_id % 6)) + 1, "
+                        "int(length(text) * (pos + 1) div (doc_id % 6)) - int(length(text) * pos div (doc_id % 6)))")
+                 ).alias("concept_definition"),
         F.md5(F.concat_ws("|", "seed_id", F.col("pos").cast("string"))).alias("concept_id"),
         F.col("pos").cast("int").alias("pos"), "doc_id")
 
@@ -355,9 +359,9 @@ SECTION_LABELS = ["Diagnosis", "Steps", "Safety"]
 
 
 def section_answers(spark, sf_dir) -> DataFrame:
-    """fx_sections: a three-section answer per conversation (body = its first turn);
+    """fx_sections: a three-section answer per conversation turn (body = its text);
     conv_id % 7 = 1 drops 'Steps', = 2 swaps Steps and Safety, = 3 repeats Safety."""
-    c = table(spark, sf_dir, "conversations").filter(F.col("turn") == 0).select("conv_id", F.col("text").alias("b"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("b"))
     k = F.col("conv_id") % 7
     nl = F.lit("\n")
 
@@ -368,153 +372,155 @@ def section_answers(spark, sf_dir) -> DataFrame:
            .when(k == 2, F.concat_ws("\n", d, f, s))
            .when(k == 3, F.concat_ws("\n", d, s, f, f))
            .otherwise(F.concat_ws("\n", d, s, f)))
-    return c.select("conv_id", txt.alias("answer"))
+    return c.select("conv_id", "turn", txt.alias("answer"))
 
 
 # ------------------------------------------------------------------ task answers (contracts)
+#: planted code per task: key rule k = d % (n + 1), 0 = conforming, k = the k-th code
+PLANTED = {
+    "scenarios": ["too_few", "too_many", "repeated", "empty_item", "too_long"],
+    "c1_substitution": ["no_substitutions", "empty_field", "original_not_in_seed"],
+    "c2_diagnosis": ["empty_diagnosis", "empty_scientific_reason", "empty_rescue_fix", "empty_prevention_tip"],
+    "c3_workflow": ["no_prep", "bad_prep", "bad_step_type", "bad_time", "bad_numbering", "empty_step"],
+    "c4_pairing": ["no_notes", "missing_side_dish", "missing_grain_bread"],
+    "c5_scaling": ["empty_calculation", "wrong_multiplier", "unflagged_identity", "bad_adjustment", "empty_list"],
+    "c6_scraps": ["no_scraps", "empty_mini_recipe", "empty_transformation", "same_dish"],
+    "c7_dialogue": ["empty_persona", "bad_speaker", "empty_text", "no_error", "no_correction", "bad_ending"],
+    "c8_faq": ["too_few_items", "too_many_items", "missing_storage", "missing_equipment", "missing_scaling", "empty_item"],
+    "c9_narrative": ["empty_context", "empty_narrative", "missing_sense", "numbered_list", "table"],
+    "c10_translation": ["empty_source", "wrong_target", "empty_translation", "lost_term", "unflagged_same"],
+    "c11_tradition": ["empty_tradition", "too_few_markers", "no_techniques", "empty_note"],
+    "c12_festive": ["festival_mismatch", "empty_anchor", "dish_count", "empty_dish", "missing_note", "no_serving_order"],
+    "c13_preservation": ["method_mismatch", "empty_science", "bad_adjustment", "missing_storage_field", "empty_warning"],
+    "c14_nutrition": ["too_few_ingredients", "empty_field", "incomplete_ayurvedic", "empty_assessment"],
+}
+
+
 def contract_answers(spark, sf_dir, task: str) -> DataFrame:
-    """fx_task_responses: per document one answer written by us; violation index
-    = d % (n_codes + 1) (0 = passing), each index breaking one rule."""
-    d = F.col("doc_id")
-    sid = d.cast("string")
-    base = table(spark, sf_dir, "documents").select("doc_id", sid.alias("seed_id"))
-    if task == "c2_diagnosis":
-        k = d % 5
-        f = [F.when(k == i + 1, F.lit("")).otherwise(F.concat(F.lit(n + " "), sid))
-             for i, n in enumerate(["diagnosis", "reason", "fix", "tip"])]
-        txt = F.format_string('{"diagnosis": "%s", "scientific_reason": "%s", "rescue_fix": "%s", "prevention_tip": "%s"}', *f)
-        return base.select("seed_id", txt.alias("answer"))
-    if task == "c8_faq":
-        k = d % 6
-        cats = (F.when(k == 3, F.array(*[F.lit(x) for x in ["taste", "equipment", "scaling", "timing", "serving"]]))
-                .when(k == 4, F.array(*[F.lit(x) for x in ["storage", "taste", "scaling", "timing", "serving"]]))
-                .when(k == 5, F.array(*[F.lit(x) for x in ["storage", "equipment", "taste", "timing", "serving"]]))
-                .when(k == 1, F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing"]]))
-                .when(k == 2, F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing", "serving",
-                                                            "taste", "cost", "origin"]]))
-                .otherwise(F.array(*[F.lit(x) for x in ["storage", "equipment", "scaling", "timing", "serving", "taste"]])))
-        items = F.transform(cats, lambda c: F.struct(c.alias("category"), F.concat(F.lit("q "), c).alias("question"),
-                                                     F.concat(F.lit("a "), c).alias("answer")))
-        return base.select("seed_id", F.to_json(F.struct(items.alias("recipe_faq"))).alias("answer"))
-    if task == "c13_preservation":
-        k = d % 4
-        tag = F.concat(F.lit("method-"), (d % 3).cast("string"))
-        method = F.when(k == 1, F.lit("other-method")).otherwise(tag)
-        st = F.struct(F.lit("jar").alias("container"),
-                      F.when(k == 2, F.lit("")).otherwise(F.lit("cool")).alias("temperature"),
-                      F.lit("2 weeks").alias("duration"))
-        warn = F.when(k == 3, F.lit(" ")).otherwise(F.lit("keep sealed"))
-        js = F.to_json(F.struct(method.alias("method"), F.lit("acid").alias("science"),
-                                F.array(F.lit("salt")).alias("adjustments"), st.alias("storage_details"),
-                                warn.alias("safety_warning")))
-        return base.select("seed_id", tag.alias("bound_tag"), js.alias("answer"))
-    if task == "c3_workflow":
-        k = d % 4
-        steps = F.array(*[F.struct(
-            F.when((k == 3) & (F.lit(i) == 2), F.lit(5)).otherwise(F.lit(i)).alias("step"),
-            F.when((k == 1) & (F.lit(i) == 1), F.lit("waiting")).otherwise(F.lit("active" if i % 2 else "passive")).alias("type"),
-            F.when((k == 2) & (F.lit(i) == 3), F.lit(0.0)).otherwise(F.lit(float(5 * i))).alias("time_min"),
-            F.lit(f"do step {i}").alias("action")) for i in (1, 2, 3)])
-        js = F.to_json(F.struct(F.array(F.lit("knife")).alias("mise_en_place"), steps.alias("action_timeline")))
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c6_scraps":
-        k = d % 3
-        scraps = F.when(k == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("peel"), F.lit("stem")))
-        other = F.when(k == 2, F.lit("Peel Chips ")).otherwise(F.lit("stock"))
-        js = F.to_json(F.struct(scraps.alias("scraps_identified"), F.lit("peel chips").alias("scrap_mini_recipe"),
-                                other.alias("leftover_transformation")))
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c11_tradition":
-        k = d % 3
-        trad = F.when(k == 1, F.lit("  ")).otherwise(F.concat(F.lit("tradition "), sid))
-        markers = F.when(k == 2, F.array(F.lit("Mustard seed"), F.lit("mustard seed "))).otherwise(
-            F.array(F.lit("mustard seed"), F.lit("curry leaf")))
-        js = F.to_json(F.struct(trad.alias("identified_tradition"), markers.alias("evidence_markers"),
-                                F.array(F.lit("tempering")).alias("signature_techniques"),
-                                F.lit("none").alias("ambiguity_note")))
-        return base.select("seed_id", js.alias("answer"))
+    """fx_task_responses: per document one answer in the task's format, its long text field the
+    document's whole text; every code of the task is planted on its share of the documents."""
+    codes = PLANTED[task]
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("seed_id"), F.col("text").alias("seed_text"))
+    d, k, text = F.col("doc_id"), F.col("doc_id") % (len(codes) + 1), F.col("seed_text")
+    lit = F.lit
+
+    def on(code, bad, good):
+        return F.when(k == codes.index(code) + 1, bad).otherwise(good)
+
+    def words(*xs):
+        return F.array(*[lit(x) for x in xs])
+
+    none = F.array().cast("array<string>")
+    more = {}
+    flag = lit(False)
     if task == "scenarios":
-        k = d % 4
-        n = F.when(k == 1, F.lit(6)).when(k == 2, F.lit(14)).otherwise(F.lit(9))
-        items = F.transform(F.sequence(F.lit(1), n), lambda i: F.when((k == 3) & (i == 2), F.lit("Scenario 1 "))
-                            .otherwise(F.concat(F.lit("scenario "), i.cast("string"))))
-        return base.select("seed_id", F.to_json(F.struct(items.alias("scenarios"))).alias("answer"))
-    if task == "c9_narrative":
-        k = d % 3
-        senses = F.struct(F.lit("gold").alias("sight"), F.lit("sizzle").alias("sound"),
-                          F.when(k == 1, F.lit("")).otherwise(F.lit("smoke")).alias("smell"),
-                          F.lit("sweet").alias("taste"), F.lit("warm").alias("touch"))
-        text = F.when(k == 2, F.lit("The cook began.\n1. Heat oil\n2. Add seeds")).otherwise(
-            F.lit("The cook began, the oil shimmered, and the seeds popped."))
-        js = F.to_json(F.struct(F.lit("coastal").alias("cultural_context_applied"), text.alias("narrative_text"),
-                                senses.alias("sensory_elements")))
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c12_festive":
-        k = d % 4
-        tag = F.concat(F.lit("festival-"), (d % 5).cast("string"))
-        fest = F.when(k == 1, F.lit("another-festival")).otherwise(tag)
-        n = F.when(k == 2, F.lit(6)).otherwise(F.lit(4))
-        plan = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-            F.concat(F.lit("dish "), i.cast("string")).alias("dish"),
-            F.when((k == 3) & (i == 1), F.lit("")).otherwise(F.lit("why it fits")).alias("note")))
-        js = F.to_json(F.struct(fest.alias("festival"), F.lit("rice").alias("anchor_dish"), plan.alias("thali_meal_plan")))
-        return base.select("seed_id", tag.alias("bound_tag"), js.alias("answer"))
-    if task == "c14_nutrition":
-        k = d % 4
-        n = F.when((k == 1) | (k == 3), F.lit(1)).otherwise(F.lit(3))
-        items = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-            F.concat(F.lit("ingredient "), i.cast("string")).alias("ingredient"),
-            F.struct(F.lit("vata").alias("dosha"),
-                     F.when((k == 2) & (i == 2), F.lit(None).cast("string")).otherwise(F.lit("sweet")).alias("rasa"),
-                     F.lit("heavy").alias("guna")).alias("ayurvedic")))
-        js = F.to_json(F.struct(items.alias("ingredient_analysis"), F.lit("balanced").alias("overall_assessment")))
-        js = F.when(k == 3, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), js)).otherwise(js)
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c1_substitution":
-        k = d % 4
-        docs = table(spark, sf_dir, "documents").select("doc_id", sid.alias("seed_id"), F.col("text").alias("seed_text"))
+        n = on("too_few", lit(6), on("too_many", lit(14), lit(9)))
+        ans = F.transform(F.sequence(lit(1), n), lambda i: F.when(
+            i == 2, on("repeated", lit("Scenario 1 "), on("empty_item", lit(" "), on("too_long", lit("One. Two! Three?"), lit("A cook waits. The pot boils over.")))))
+            .otherwise(F.concat(lit("scenario "), i.cast("string"))))
+    elif task == "c1_substitution":
         word = F.lower(F.regexp_extract("seed_text", r"(\p{L}{3,})", 1))
-        subs = F.when((k == 1) | (k == 3), F.array().cast("array<struct<original:string,substitute:string,ratio:string,flavor_impact:string>>")) \
-            .otherwise(F.array(F.struct(F.when(k == 2, F.lit("zzqx")).otherwise(word).alias("original"),
-                                        F.lit("other").alias("substitute"), F.lit("1:1").alias("ratio"),
-                                        F.lit("mild").alias("flavor_impact"))))
-        js = F.to_json(F.struct(subs.alias("substitutions")))
-        js = F.when(k == 3, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), js)).otherwise(js)
-        return docs.select("seed_id", "seed_text", js.alias("answer"))
-    if task == "c4_pairing":
-        k = d % 3
-        rec = F.struct(F.when(k == 1, F.lit("")).otherwise(F.lit("raita")).alias("side_dish"),
-                       F.when(k == 2, F.lit(None).cast("string")).otherwise(F.lit("naan")).alias("grain_bread"))
-        js = F.to_json(F.struct(F.lit("smoky").alias("flavor_profile"), rec.alias("recommendations")))
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c5_scaling":
-        k = d % 4
-        frm, to = (d % 4 + 2).cast("double"), (d % 6 + 1).cast("double")
-        mult = F.when(k == 1, to / frm + 0.5).otherwise(to / frm)
-        js = F.to_json(F.struct(mult.alias("multiplier_value"), F.array(F.lit("salt to taste")).alias("non_linear_adjustments"),
-                                F.array(F.lit("rice")).alias("adjusted_ingredient_list")))
-        return base.select("seed_id", frm.alias("scale_from"), to.alias("scale_to"), js.alias("answer"))
-    if task == "c7_dialogue":
-        k = d % 4
-        turns = F.array(
-            F.struct(F.when(k == 1, F.lit("teacher")).otherwise(F.lit("novice")).alias("speaker"), F.lit("hi").alias("text"),
-                     F.when(k == 2, F.lit(False)).otherwise(F.lit(True)).alias("error_made"),
-                     F.lit(False).alias("demonstrated_understanding")),
-            F.struct(F.lit("expert").alias("speaker"), F.lit("fix").alias("text"), F.lit(False).alias("error_made"),
-                     F.lit(False).alias("demonstrated_understanding")),
-            F.struct(F.lit("novice").alias("speaker"), F.lit("got it").alias("text"), F.lit(False).alias("error_made"),
-                     F.when(k == 3, F.lit(False)).otherwise(F.lit(True)).alias("demonstrated_understanding")))
-        js = F.to_json(F.struct(F.lit(True).alias("novice_persona_match"), turns.alias("conversation")))
-        return base.select("seed_id", js.alias("answer"))
-    if task == "c10_translation":
-        k = d % 3
-        req = F.element_at(F.array(*[F.lit(x) for x in ["fr", "de", "es", "hi"]]), (d % 4 + 1).cast("int"))
-        tgt = F.when(k == 1, F.lit("en")).otherwise(F.upper(req))
-        rec = F.when(k == 2, F.lit("")).otherwise(F.lit("translated text"))
-        js = F.to_json(F.struct(F.lit("en").alias("source_language"), tgt.alias("target_language"),
-                                rec.alias("translated_recipe")))
-        return base.select("seed_id", req.alias("requested"), js.alias("answer"))
-    raise KeyError(task)
+        word = F.when(word == "", F.lower(text)).otherwise(word)
+        one = F.struct(on("original_not_in_seed", lit("zzqx"), word).alias("original_ingredient"), on("empty_field", lit(""), lit("other")).alias("substitute"),
+                       text.alias("reasoning"), lit("bake longer").alias("technique_adjustment"))
+        ans = F.struct(on("no_substitutions", F.filter(F.array(one), lambda x: lit(False)), F.array(one)).alias("substitutions"))
+    elif task == "c2_diagnosis":
+        ans = F.struct(*[on(f"empty_{f}", lit(" "), F.concat(lit(f + " "), text)).alias(f) for f in ["diagnosis", "scientific_reason", "rescue_fix", "prevention_tip"]])
+    elif task == "c3_workflow":
+        prep = F.array(F.struct(lit("chop").alias("task"), on("bad_prep", lit(0.0), lit(4.0)).alias("time_min")))
+        steps = F.array(*[F.struct(
+            (on("bad_numbering", lit(5), lit(i)) if i == 2 else lit(i)).alias("step"),
+            (on("empty_step", lit(""), text) if i == 1 else lit(f"do step {i}")).alias("description"),
+            (on("bad_time", lit(0.0), lit(15.0)) if i == 3 else lit(5.0 * i)).alias("time_min"),
+            (on("bad_step_type", lit("waiting"), lit("active")) if i == 1 else lit("passive")).alias("type"), lit("none").alias("parallel_opportunity")) for i in (1, 2, 3)])
+        ans = F.struct(on("no_prep", F.filter(prep, lambda x: lit(False)), prep).alias("mise_en_place"), steps.alias("action_timeline"))
+    elif task == "c4_pairing":
+        dish = lambda code, name: F.struct(lit(name).alias("name"), text.alias("reasoning_hop_1"), on(code, lit(""), lit("acid cuts fat")).alias("reasoning_hop_2"))
+        ans = F.struct(F.struct(on("no_notes", none, words("smoky", "sour")).alias("dominant_notes")).alias("flavor_profile"),
+                       F.struct(dish("missing_side_dish", "raita").alias("side_dish"), dish("missing_grain_bread", "naan").alias("grain_bread")).alias("recommendations"))
+    elif task == "c5_scaling":
+        frm = (d % 4 + 2).cast("double")
+        to = on("unflagged_identity", frm, frm * (d % 3 + 1))
+        flag = (to == frm) & (k != codes.index("unflagged_identity") + 1)
+        adj = F.array(F.struct(lit("salt").alias("ingredient"), on("bad_adjustment", lit(""), lit("1 tsp")).alias("adjusted_amount"), text.alias("reasoning")))
+        # a wrong value stays away from 1, which would be a second fault
+        ans = F.struct(on("empty_calculation", lit(""), lit("target / current")).alias("multiplier_calculation"),
+                       on("wrong_multiplier", to / frm + 0.5, to / frm).alias("multiplier_value"), adj.alias("non_linear_adjustments"),
+                       on("empty_list", none, words("rice")).alias("adjusted_ingredient_list"))
+        more = {"scale_from": frm, "scale_to": to}
+    elif task == "c6_scraps":
+        ans = F.struct(on("no_scraps", none, words("peel", "stem")).alias("scraps_identified"),
+                       F.struct(lit("peel chips").alias("name"), on("empty_mini_recipe", lit(""), text).alias("method")).alias("scrap_mini_recipe"),
+                       F.struct(on("same_dish", lit("Peel Chips "), lit("stock")).alias("name"), on("empty_transformation", lit(""), lit("simmer")).alias("method"))
+                       .alias("leftover_transformation"))
+    elif task == "c7_dialogue":
+        turn = lambda who, said, error=None, fix=None, got=None: F.struct(
+            who.alias("speaker"), said.alias("text"), *[(lit(x).cast("string") if x is None or isinstance(x, str) else x).alias(n)
+                                                        for n, x in (("error_made", error), ("correction", fix), ("demonstrated_understanding", got))])
+        turns = F.array(turn(lit("novice"), text), turn(on("bad_speaker", lit("teacher"), lit("expert")), on("empty_text", lit(""), lit("Low heat."))),
+                        turn(lit("novice"), lit("So I boil it?"), error=on("no_error", lit(None).cast("string"), lit("boils it"))),
+                        turn(lit("expert"), lit("No, simmer."), fix=on("no_correction", lit(""), lit("simmer instead"))),
+                        turn(lit("novice"), lit("I simmer it."), got=on("bad_ending", lit(""), lit("says simmer"))))
+        ans = F.struct(on("empty_persona", lit(""), lit("plain words")).alias("novice_persona_match"), turns.alias("conversation"))
+    elif task == "c8_faq":
+        six = ["storage", "equipment", "scaling", "timing", "serving", "taste"]
+        cats = words(*six)
+        for c in six[:3]:
+            cats = on(f"missing_{c}", words(*[x for x in six if x != c]), cats)
+        cats = on("too_few_items", words(*six[:4]), on("too_many_items", words(*six, "cost", "origin"), cats))
+        ans = F.struct(F.transform(cats, lambda c: F.struct(c.alias("category"), F.concat(lit("How about "), c).alias("question"),
+                                                            F.when(c == "timing", on("empty_item", lit(" "), text)).otherwise(c).alias("answer"))).alias("recipe_faq"))
+    elif task == "c9_narrative":
+        told = on("empty_narrative", lit(""), on("numbered_list", F.concat(text, lit("\n1. Heat oil\n2. Add seeds")),
+                                                  on("table", F.concat(text, lit("\n| oil | seeds |")), text)))
+        ans = F.struct(on("empty_context", lit(""), lit("coastal")).alias("cultural_context_applied"), told.alias("narrative_text"),
+                       F.struct(*[(on("missing_sense", lit(""), lit(s)) if s == "texture" else lit(s)).alias(s) for s in ["smell", "texture", "color", "sound", "taste"]])
+                       .alias("sensory_elements"))
+    elif task == "c10_translation":
+        req = F.element_at(words("fr", "de", "es", "hi"), (d % 4 + 1).cast("int"))
+        docs = docs.withColumn("seed_text", F.concat("seed_text", lit(" Tadka on a tawa.")))
+        kept = F.concat(text, lit(" Tadka, tawa."))
+        ans = F.struct(on("empty_source", lit(""), on("unflagged_same", req, lit("en"))).alias("source_language"),
+                       on("wrong_target", lit("it"), F.upper(req)).alias("target_language"),
+                       on("empty_translation", lit(" "), on("lost_term", F.replace(kept, lit("Tadka"), lit("Seasoning")), kept)).alias("translated_recipe"))
+        ans = F.struct(*[ans[c].alias(c) for c in ["source_language", "target_language", "translated_recipe"]])
+        more = {"requested": req}
+    elif task == "c11_tradition":
+        ans = F.struct(on("empty_tradition", lit("  "), text).alias("identified_tradition"),
+                       on("too_few_markers", words("Mustard seed", "mustard seed ", ""), words("mustard seed", "curry leaf")).alias("evidence_markers"),
+                       on("no_techniques", none, words("tempering")).alias("signature_techniques"), on("empty_note", lit(""), lit("none")).alias("ambiguity_note"))
+    elif task == "c12_festive":
+        tag = F.concat(lit("festival-"), (d % 5).cast("string"))
+        plan = F.transform(F.sequence(lit(1), on("dish_count", lit(6), lit(4))), lambda i: F.struct(
+            F.when(i == 2, on("empty_dish", lit(""), lit("dal"))).otherwise(F.concat(lit("dish "), i.cast("string"))).alias("dish"),
+            F.when(i == 1, on("missing_note", lit(""), text)).otherwise(lit("fits")).alias("cultural_note")))
+        ans = F.struct(on("festival_mismatch", lit("another"), F.upper(tag)).alias("festival"), on("empty_anchor", lit(""), lit("rice")).alias("anchor_dish"),
+                       plan.alias("thali_meal_plan"), on("no_serving_order", none, words("starter", "main")).alias("serving_order"))
+        more = {"bound_tag": tag}
+    elif task == "c13_preservation":
+        tag = F.concat(lit("method-"), (d % 3).cast("string"))
+        adj = F.array(F.struct(lit("salt").alias("original"), on("bad_adjustment", lit(""), lit("more salt")).alias("adjusted"), lit("osmosis").alias("reasoning")))
+        ans = F.struct(on("method_mismatch", lit("other"), tag).alias("preservation_method"), on("empty_science", lit(""), text).alias("science_explanation"),
+                       adj.alias("ingredient_adjustments"),
+                       F.struct(on("missing_storage_field", lit(""), lit("cool")).alias("temperature"), lit("jar").alias("container_type"), lit("2 weeks").alias("max_duration"))
+                       .alias("storage_details"), on("empty_warning", lit(" "), lit("keep sealed")).alias("safety_warning"))
+        more = {"bound_tag": tag}
+    elif task == "c14_nutrition":
+        one = d % 7 == 3  # a flagged answer may have one ingredient
+        flag = one & (k != codes.index("too_few_ingredients") + 1)
+        n = F.when(flag, lit(1)).otherwise(on("too_few_ingredients", lit(1), lit(3)))
+        items = F.transform(F.sequence(lit(1), n), lambda i: F.struct(
+            F.concat(lit("ingredient "), i.cast("string")).alias("ingredient"), text.alias("macronutrient_role"),
+            F.when(i == 1, on("empty_field", lit(""), lit("iron"))).otherwise(lit("zinc")).alias("micronutrient_highlight"),
+            F.struct(lit("vata").alias("dosha"), F.when(i == 1, on("incomplete_ayurvedic", lit(None).cast("string"), lit("sweet"))).otherwise(lit("sour")).alias("rasa"),
+                     lit("heavy").alias("guna")).alias("ayurvedic"), lit("fits").alias("dietary_suitability")))
+        ans = F.struct(items.alias("ingredient_analysis"), on("empty_assessment", lit(""), lit("balanced")).alias("overall_assessment"))
+    else:
+        raise KeyError(task)
+    js = F.to_json(ans)
+    fenced = F.when(d % 2 == 0, F.concat(lit("```json\n"), js, lit("\n```"))).otherwise(js)
+    js = F.when(flag, F.concat(lit(vocab.LOW_QUALITY_PREFIX + "\n"), fenced)).otherwise(js)
+    return docs.select("seed_id", "seed_text", *[c.alias(n) for n, c in more.items()], js.alias("answer"))
 
 
 def double_routed_verdicts(spark, sf_dir) -> DataFrame:

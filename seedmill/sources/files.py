@@ -66,16 +66,20 @@ def read_runs_started(spark: SparkSession, path: str) -> DataFrame:
 
 # S3 ------------------------------------------------------------------------
 def read_concepts(spark: SparkSession, path: str) -> DataFrame:
-    """Concept CSV in either layout; ``concept_type`` is NULL when absent.
+    """Concept CSVs in either layout, also mixed in one folder; ``concept_type`` is NULL when absent.
 
-    The header decides the layout, so read once without a type column and
-    once with, keeping the layout whose header matches.
+    One read with six positional columns; each file's own header row says which
+    layout its rows have, and rows meet their header by file name.
     """
-    header = spark.read.text(path).limit(1).collect()
-    cols = [c.strip() for c in header[0][0].split(",")] if header else []
-    schema = CONCEPTS6_SCHEMA if "concept_type" in cols else CONCEPTS5_SCHEMA
-    df = spark.read.options(**CSV_OPTS).schema(schema).csv(path)
-    return normalize_concepts(df)
+    opts = {**CSV_OPTS, "header": "false"}
+    raw = (spark.read.options(**opts).schema(", ".join(f"c{i} string" for i in range(6))).csv(path)
+           .withColumn("_file", F.col("_metadata.file_path")))
+    is_header = (py_strip(F.regexp_replace("c0", "^\ufeff", "")) == "run_id") & (py_strip("c1") == "seed_id")
+    head = raw.filter(is_header).select("_file", (py_strip("c4") == "concept_type").alias("_six")).distinct()
+    rows = raw.filter(~F.coalesce(is_header, F.lit(False))).join(head, "_file")
+    return rows.select(F.col("c0").alias("run_id"), F.col("c1").alias("seed_id"), F.col("c2").alias("domain"),
+                       F.col("c3").alias("concept_name"), F.when(F.col("_six"), F.col("c4")).alias("concept_type"),
+                       F.when(F.col("_six"), F.col("c5")).otherwise(F.col("c4")).alias("concept_definition"))
 
 
 def normalize_concepts(df: DataFrame) -> DataFrame:

@@ -54,3 +54,11 @@ def test_stable_hash_matches_python(spark):
     got = [r[0] for r in df.select(stable_hash("s", "n")).collect()]
     exp = [int(hashlib.md5(f"{s or ''}|{n}".encode()).hexdigest()[:15], 16) for s, n in [("a", 1), ("é", 22), (None, 3)]]
     assert got == exp
+
+
+def test_concept_files_of_both_layouts_in_one_folder(spark, tmp_path):
+    from seedmill.sources.files import read_concepts
+    (tmp_path / "six.csv").write_text('run_id,seed_id,domain,concept_name,concept_type,concept_definition\nr1,s1,d,n1,Type,"a ""b"",\nc"\n')
+    (tmp_path / "five.csv").write_text('run_id,seed_id,domain,concept_name,concept_definition\nr2,s2,d,n2,plain\n')
+    got = {r.run_id: (r.concept_type, r.concept_definition) for r in read_concepts(spark, str(tmp_path)).collect()}
+    assert got == {"r1": ("Type", 'a "b",\nc'), "r2": (None, "plain")}
