@@ -531,6 +531,26 @@ for _name, _codes in {
     _all = ["", *_codes.split()]
     sql(_name, f"SELECT cast(doc_id AS varchar) AS seed_id, {_all}[doc_id % {len(_all)} + 1] AS violations FROM documents")
 
+# household answers: the expected code follows from the key rule only
+for _name, _codes in {
+    "v_h5_schedule": ["no_task:Weekly", "missing_system:hvac", "untagged_item", "out_of_order"], "v_h6_budget": ["empty:Discretionary", "reserve_percent"],
+    "v_h7_emergency": ["missing_number:101", "prevention_count", "missing:Hazard"], "v_h12_costs": ["uncosted_item", "missing:Mould / Pest Note"],
+    "v_h13_never": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "v_h14_myths": ["too_few_myths", "no_call"],
+    "v_h16_inaction": ["item_count", "missing_inaction"], "v_h17_budget": ["over_budget", "no_cost", "no_logic"],
+    "v_h18_level": ["bad_level", "age_mismatch", "no_boundary"], "v_h20_final": ["no_hard_stop", "bad_final"],
+    "v_dialogue_shape": ["bad_opening", "bad_closing", "unknown_speaker"], "v_dialogue_principles": ["bad_closing", "principles"],
+    "v_h1_sections": ["missing:Indian Home Note", "duplicate:Indian Home Note", "out_of_order"],
+    "v_h2_step0": ["missing:Local Note", "duplicate:Local Note", "out_of_order"],
+    "v_h3_sections": ["missing:Indian Home Note", "duplicate:Indian Home Note", "out_of_order"],
+    "v_h4_sections": ["missing:Hard-water note", "duplicate:Hard-water note", "out_of_order"],
+    "v_h8_sections": ["missing:Indian Laundry Note", "duplicate:Indian Laundry Note", "out_of_order"],
+    "v_h9_sections": ["missing:Immediate Declutter Rule", "duplicate:Immediate Declutter Rule", "out_of_order"],
+    "v_h11_sections": ["missing:Indian Riding Note", "duplicate:Indian Riding Note", "out_of_order"],
+    "v_h15_sections": ["missing:Pro-Tip", "duplicate:Pro-Tip", "out_of_order"],
+}.items():
+    _all = ["", *_codes]
+    sql(_name, f"SELECT cast(doc_id AS varchar) AS seed_id, {_all}[doc_id % {len(_all)} + 1] AS violations FROM documents")
+
 sql("validity_agreement", f"""
 SELECT concept_type, count(*) AS shared,
        cast(sum(CASE WHEN {H("concept_id", "format", "audience", "angle", "cognitive_operation", "'b'")} % 7 = 0

@@ -944,3 +944,24 @@ QUERIES["v_c10_translation"] = _contract_query("c10_translation")
 def validity_agreement(spark, sf) -> DataFrame:
     """Agreement of the two routed models on double-routed combos, per concept type."""
     return gt.model_agreement(fx.double_routed_verdicts(spark, sf), ["concept_id", *DIMS])
+
+
+# ------------------------------------------------------------------ household answers
+#: SURVEY name of the query of each task with rules of its own; the others go by their task.
+HOUSEHOLD_QUERIES = {"h2": "v_h2_step0", "h5": "v_h5_schedule", "h6": "v_h6_budget", "h7": "v_h7_emergency", "h13": "v_h13_never", "h14": "v_h14_myths",
+                     "h12": "v_h12_costs", "h16": "v_h16_inaction", "h17": "v_h17_budget", "h18": "v_h18_level", "h20": "v_h20_final",
+                     "h10": "v_dialogue_shape", "h19": "v_dialogue_principles", **{t: f"v_{t}_sections" for t in ("h1", "h3", "h4", "h8", "h9", "h11", "h15")}}
+
+
+def _household_query(task: str):
+    def fn(spark, sf) -> DataFrame:
+        from seedmill.operators import household as hh
+        a = fx.household_answers(spark, sf, task)
+        r = (hh.check_dialogue if task in hh.SPEAKERS else hh.check_household)(a, "answer", task)
+        return r.select("seed_id", F.array_join("violations", ",").alias("violations"))
+    fn.__doc__ = f"Household answer contract {task}: labels, order and own rules (violation codes per answer)."
+    return fn
+
+
+for _task, _name in HOUSEHOLD_QUERIES.items():
+    QUERIES[_name] = _household_query(_task)

@@ -535,3 +535,91 @@ def double_routed_verdicts(spark, sf_dir) -> DataFrame:
                           F.struct(F.lit("model_b").alias("model"), (va != flip).alias("is_valid"))))
     return b.select("concept_id", *DIMS, "concept_type", m.alias("x")).select(
         "concept_id", *DIMS, "concept_type", "x.model", "x.is_valid")
+
+
+# ------------------------------------------------------------------ household answers
+#: planted codes per task: key rule k = d % (n + 1), 0 = conforming, k = the k-th code
+HOUSEHOLD_PLANTED = {
+    "h5": ["no_task:Weekly", "missing_system:hvac", "untagged_item", "out_of_order"], "h6": ["empty:Discretionary", "reserve_percent"],
+    "h7": ["missing_number:101", "prevention_count", "missing:Hazard"], "h12": ["uncosted_item", "missing:Mould / Pest Note"],
+    "h13": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "h14": ["too_few_myths", "no_call"],
+    "h16": ["item_count", "missing_inaction"], "h17": ["over_budget", "no_cost", "no_logic"], "h18": ["bad_level", "age_mismatch", "no_boundary"],
+    "h20": ["no_hard_stop", "bad_final"], "h10": ["bad_opening", "bad_closing", "unknown_speaker"], "h19": ["bad_closing", "principles"],
+    **{t: ["missing", "duplicate", "out_of_order"] for t in ("h1", "h2", "h3", "h4", "h8", "h9", "h11", "h15")},
+}
+
+
+def household_answers(spark, sf_dir, task: str) -> DataFrame:
+    """fx_household: per document one answer in the task's labels, the document's whole text (on one line) as the body
+    of a section; every code of HOUSEHOLD_PLANTED is planted on its share."""
+    from seedmill.operators.household import LABELS
+    codes = HOUSEHOLD_PLANTED[task]
+    k = F.col("doc_id") % (len(codes) + 1)
+    text = F.regexp_replace("text", r"\s+", " ")
+
+    def on(code, bad, good):
+        return F.when(k == codes.index(code) + 1, bad).otherwise(good) if code in codes else good
+
+    def lit(x):
+        return F.lit(x) if isinstance(x, str) else x
+
+    def listed(*xs, mark="- "):
+        return F.concat_ws("\n", F.lit(""), *[F.concat(F.lit(mark if mark == "- " else f"{i}. "), lit(x)) for i, x in enumerate(xs, 1)])
+
+    if task in ("h10", "h19"):
+        a, b = ("Learner", "Expert") if task == "h10" else ("Home Owner", "Handyman")
+        say = lambda who, x: F.concat(lit(who), F.lit(": "), lit(x))
+        named = "Safety principle: isolate first."
+        turns = [say(on("unknown_speaker", F.lit("Teacher"), F.lit(b)), text), say(a, "Then this?"), say(b, named), say(a, "And that?"),
+                 say(b, on("principles", F.lit("Do it so."), F.lit(named)))]
+        closing = F.when(k == codes.index("bad_closing") + 1, F.lit(None).cast("string")).otherwise(say(a, "Isolate first, then work."))
+        body = F.concat_ws("\n", *turns, closing)
+        opening = say(a, "It is safe to touch.")
+        if "bad_opening" in codes:
+            opening = F.when(k == codes.index("bad_opening") + 1, F.lit(None).cast("string")).otherwise(opening)
+        return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("seed_id"), F.concat_ws("\n", opening, body).alias("answer"))
+
+    labels = LABELS[task]
+    own = {x: F.concat(F.lit(" "), F.lit("some words on it")) for x in labels}
+    own[labels[0]] = F.concat(F.lit(" "), text)
+    if task == "h5":
+        own = {"Daily": listed(F.concat(F.lit("check electrical, plumbing and structural parts "), text)), "Weekly": on("no_task:Weekly", F.lit(" none"), listed("plumbing look")),
+               "Monthly": listed(on("missing_system:hvac", F.lit("filters"), F.lit("HVAC filters"))), "Quarterly": listed("pest and damp round [Professional]"),
+               "Annual": listed(on("untagged_item", F.lit("paint"), F.lit("paint [DIY]"))), "Indian Climate Notes": listed("monsoon")}
+    elif task == "h6":
+        own |= {"Fixed Costs": listed(F.concat(F.lit("rent "), text)), "Variable Costs": listed("help: 2000"),
+                "Discretionary": on("empty:Discretionary", F.lit(" none"), listed("films")), "Maintenance Reserve": on("reserve_percent", F.lit(" 12%"), F.lit(" 1-2% of value"))}
+    elif task == "h7":
+        own |= {"Prevention Checklist": on("prevention_count", listed("a", "b"), listed("a", "b", "c")),
+                "Phase 3 — Recovery": listed("Call: 101", "Do not re-enter until: clear"),
+                "Emergency Numbers": on("missing_number:101", F.lit(" PESO: 1906 | Medical: 108"), F.lit(" PESO: 1906 | Fire: 101 | Medical: 108"))}
+    elif task == "h12":
+        own |= {"Pre-Monsoon Checklist": listed("clear drains — Free DIY", on("uncosted_item", F.lit("seal roof"), F.lit("seal roof — Professional")), mark="1")}
+    elif task == "h13":
+        own |= {"How to Detect a Leak": listed(F.concat(F.lit("smell of gas "), text), on("missing_sign:sound", F.lit("none"), F.lit("hissing sound"))),
+                "Emergency Sequence (IN ORDER)": on("not_numbered", listed("close valve"), listed("close valve", "open windows", mark="1")),
+                "NEVER do during a leak": on("too_few_never", listed("a", "b", mark="1"), listed("a", "b", "c", "d", "e", mark="1")),
+                "Emergency Numbers": on("missing_number:1906", F.lit(" Fire: 101 | Medical: 108"), F.lit(" PESO: 1906 | Fire: 101 | Medical: 108"))}
+        own["How to Detect a Leak"] = F.when(k == codes.index("missing_sign:sound") + 1, listed("smell of gas")).otherwise(own["How to Detect a Leak"])
+    elif task == "h14":
+        own |= {"DO NOT (Indian myths — dangerous)": on("too_few_myths", listed("oil", mark="1"), listed("oil", "venom", "ice", mark="1")), "Call 108 if": on("no_call", F.lit(""), F.lit(" it is deep"))}
+    elif task == "h16":
+        one = [f"check {i} — Cost of Inaction: loss" for i in range(3)]
+        last = on("missing_inaction", F.lit("check 2"), F.lit(one[2]))
+        own |= {"Maintenance Checklist": on("item_count", listed(*one[:2], mark="1"), listed(*one[:2], last, mark="1"))}
+    elif task == "h17":
+        own |= {"Materials Required": on("over_budget", F.lit(" wire Rs 150, tape Rs. 50"), on("no_cost", F.lit(" wire"), F.lit(" wire Rs 120, tape ₹30.5"))),
+                "Engineering Logic": on("no_logic", F.lit(""), F.concat(F.lit(" tension "), text))}
+    elif task == "h18":
+        own |= {"Age Group": on("bad_level", F.lit(" Level 7 (5-12)"), on("age_mismatch", F.lit(" Level 2 (20-40)"), F.lit(" Level 3 (20–40)"))),
+                "Safety Boundary": on("no_boundary", F.lit(""), F.concat(F.lit(" "), text))}
+    elif task == "h20":
+        own |= {"Hard Stops": on("no_hard_stop", F.lit(""), listed("wiring")), "Final Assessment": on("bad_final", F.lit(" Maybe"), F.lit(" Wait and save"))}
+    parts = [F.concat(F.lit(x + ":"), own[x]) for x in labels]
+    plain = F.concat_ws("\n", *parts)
+    for code in codes:
+        if code.startswith("missing:"):
+            plain = on(code, F.concat_ws("\n", *[p for x, p in zip(labels, parts) if x != code.split(":", 1)[1]]), plain)
+    plain = on("missing", F.concat_ws("\n", *parts[:-1]), on("duplicate", F.concat_ws("\n", *parts, parts[-1]), plain))
+    plain = on("out_of_order", F.concat_ws("\n", *parts[:-2], parts[-1], parts[-2]), plain)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("seed_id"), plain.alias("answer"))
