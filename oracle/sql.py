@@ -558,3 +558,32 @@ SELECT concept_type, count(*) AS shared,
 FROM fx_batches
 WHERE {H('batch_id')} % 10 = 0
 GROUP BY concept_type""")
+
+# free-text answers: the expected code follows from the key rule only
+for _name, _codes, _more in [
+    ("parse_qa_pairs", ["preamble", "pair_count", "bad_numbering", "empty_part", "repeated_question"], ", CASE WHEN doc_id % 6 = 2 THEN 1 ELSE 2 END AS n_pairs"),
+    ("v_cot_sets", ["preamble", "set_count", "empty_set", "repeated_question"], ""),
+    ("v_content_block", ["no_block", "many_blocks", "outside_text", "empty_block"], ""),
+    ("v_question_form", ["not_a_question", "no_answer", "labelled"], ""),
+]:
+    _all = ["", *_codes]
+    sql(_name, f"SELECT cast(doc_id AS varchar) AS seed_id, {_all}[doc_id % {len(_all)} + 1] AS violations{_more} FROM documents")
+
+sql("v_outline_flags", """
+SELECT conv_id, cast(count(*) AS integer) AS units,
+  cast(count(*) FILTER (turn % 3 <> 2 AND conv_id % 7 <> 0) AS integer) AS ok_units, cast(count(*) FILTER (turn % 3 = 2) AS integer) AS flagged_units,
+  coalesce(string_agg(cast(n AS varchar), ',' ORDER BY n) FILTER (turn % 3 = 2), '') AS unresolved,
+  array_to_string(list_filter([CASE WHEN count(*) FILTER (turn % 3 <> 2 AND conv_id % 7 = 0) > 0 THEN 'unmarked_unit' END,
+    CASE WHEN count(*) FILTER (turn % 3 = 2) > 0 THEN 'unresolved' END], lambda x: x IS NOT NULL), ',') AS violations
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) GROUP BY conv_id""")
+
+_T = "lower(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '\\s+', ' ', 'g'))"
+_W = f"' ' || regexp_replace({_T}, '[^\\p{{L}}\\p{{N}}'']+', ' ', 'g') || ' '"
+sql("v_style_phrases", f"""
+SELECT doc_id, array_to_string(list_filter([
+  CASE WHEN contains({_W}, ' licensed under ') THEN 'label:licensed under' END,
+  CASE WHEN regexp_matches({_T}, '^all rights reserved([^\\p{{L}}\\p{{N}}]|$)') THEN 'opener:all rights reserved' END,
+  CASE WHEN regexp_matches({_T}, '^of the([^\\p{{L}}\\p{{N}}]|$)') THEN 'opener:of the' END,
+  CASE WHEN regexp_matches({_T}, '^think of it as([^\\p{{L}}\\p{{N}}]|$)') THEN 'opener:think of it as' END,
+  CASE WHEN contains({_W}, ' and the ') THEN 'reference:and the' END], lambda x: x IS NOT NULL), ',') AS found
+FROM documents""")

@@ -965,3 +965,60 @@ def _household_query(task: str):
 
 for _task, _name in HOUSEHOLD_QUERIES.items():
     QUERIES[_name] = _household_query(_task)
+
+
+# ------------------------------------------------------------------ free-text answers
+from seedmill.operators import textchecks as tx  # noqa: E402
+
+
+def _joined(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select("seed_id", *cols, F.array_join("violations", ",").alias("violations"))
+
+
+@query("parse_qa_pairs")
+def parse_qa_pairs_q(spark, sf) -> DataFrame:
+    """Numbered question and answer pairs, codes per answer and the number of pairs read."""
+    return _joined(tx.parse_qa_pairs(fx.text_answers(spark, sf, "qa"), "answer").withColumn("n_pairs", F.size("pairs")), "n_pairs")
+
+
+@query("v_cot_sets")
+def v_cot_sets(spark, sf) -> DataFrame:
+    """Reasoning sets in the request's own format."""
+    return _joined(tx.check_cot_sets(fx.text_answers(spark, sf, "cot"), "answer"))
+
+
+@query("v_content_block")
+def v_content_block(spark, sf) -> DataFrame:
+    """One content block and nothing outside it."""
+    return _joined(tx.check_content_block(fx.text_answers(spark, sf, "content"), "answer"))
+
+
+@query("v_outline_flags")
+def v_outline_flags(spark, sf) -> DataFrame:
+    """A conversation's turns as the units of an outline; every third turn is flagged, every seventh conversation leaves turns unmarked."""
+    c = fx.table(spark, sf, "conversations")
+    mark = F.when(F.col("turn") % 3 == 2, F.lit("^^^ ")).when(F.col("conv_id") % 7 == 0, F.lit("")).otherwise(F.lit("[OK] "))
+    unit = F.concat(mark, F.regexp_replace("text", r"\s+", " "))
+    a = c.select("conv_id", F.struct("turn", unit.alias("u")).alias("x")).groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("xs")) \
+        .select("conv_id", F.array_join("xs.u", "\n\n").alias("answer"))
+    r = tx.outline_flags(a, "answer")
+    return r.select("conv_id", "units", "ok_units", "flagged_units", F.array_join(F.col("unresolved").cast("array<string>"), ",").alias("unresolved"),
+                    F.array_join("violations", ",").alias("violations"))
+
+
+STYLE_PHRASES = [("think of it as", "opening", "opener"), ("licensed under", "anywhere", "label"), ("all rights reserved", "opening", "opener"),
+                 ("and the", "anywhere", "reference"), ("of the", "opening", "opener")]
+
+
+@query("v_style_phrases")
+def v_style_phrases(spark, sf) -> DataFrame:
+    """Phrases of a caller's table that a text uses, by place."""
+    p = spark.createDataFrame(STYLE_PHRASES, "phrase string, place string, kind string")
+    r = tx.style_phrases(fx.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", p)
+    return r.select("doc_id", F.array_join("found", ",").alias("found"))
+
+
+@query("v_question_form")
+def v_question_form(spark, sf) -> DataFrame:
+    """The first sentence is the question, an answer follows, nothing is labelled."""
+    return _joined(tx.check_question_form(fx.text_answers(spark, sf, "question"), "answer"))

@@ -623,3 +623,36 @@ def household_answers(spark, sf_dir, task: str) -> DataFrame:
     plain = on("missing", F.concat_ws("\n", *parts[:-1]), on("duplicate", F.concat_ws("\n", *parts, parts[-1]), plain))
     plain = on("out_of_order", F.concat_ws("\n", *parts[:-2], parts[-1], parts[-2]), plain)
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("seed_id"), plain.alias("answer"))
+
+
+# ------------------------------------------------------------------ free-text answers
+TEXT_PLANTED = {
+    "qa": ["preamble", "pair_count", "bad_numbering", "empty_part", "repeated_question"], "cot": ["preamble", "set_count", "empty_set", "repeated_question"],
+    "content": ["no_block", "many_blocks", "outside_text", "empty_block"], "question": ["not_a_question", "no_answer", "labelled"],
+}
+
+
+def text_answers(spark, sf_dir, kind: str) -> DataFrame:
+    """fx_texts: per document one free-text answer that holds the document's whole text on one line; codes planted by key rule."""
+    codes = TEXT_PLANTED[kind]
+    k = F.col("doc_id") % (len(codes) + 1)
+    text = F.regexp_replace("text", r"\s+", " ")
+    lit, cat = F.lit, F.concat
+
+    def on(code, bad, good):
+        return F.when(k == codes.index(code) + 1, bad).otherwise(good)
+
+    if kind == "qa":
+        first = cat(lit("Q1:\nWhat links "), text, lit("?\n\nA1:\n"), on("empty_part", lit(" "), text))
+        second = cat(lit("\n\nQ"), on("bad_numbering", lit("3"), lit("2")), lit(":\nWhat links "), on("repeated_question", text, lit("them")), lit("?\n\nA2:\nBoth."))
+        ans = cat(on("preamble", lit("Here you go.\n"), lit("")), first, on("pair_count", lit(""), second))
+    elif kind == "cot":
+        one = cat(lit("Question 1: What follows?\nStep 1. "), text)
+        two = cat(lit("\nQuestion 2: "), on("repeated_question", lit("what  follows?"), lit("Why?")), on("empty_set", lit(""), lit("\nStep 1. So it is.")))
+        ans = cat(on("preamble", lit("Sure!\n"), lit("")), one, on("set_count", lit(""), two))
+    elif kind == "content":
+        ans = cat(on("outside_text", lit("Here it is. "), lit("")), on("no_block", lit(""), lit("<CONTENT>\n")), on("empty_block", lit(""), text),
+                  on("no_block", lit(""), lit("\n</CONTENT>")), on("many_blocks", lit("\n<CONTENT>more</CONTENT>"), lit("")))
+    else:
+        ans = cat(on("labelled", lit("Q: "), lit("")), lit("What does it say"), on("not_a_question", lit("."), lit("?")), on("no_answer", lit(""), cat(lit("\n\n"), text)))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("seed_id"), ans.alias("answer"))
