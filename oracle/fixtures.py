@@ -127,7 +127,7 @@ SELECT *, md5(concept_id || '|' || cast(batch_no AS varchar)) AS batch_id FROM (
 
 
 # CTEs read more than once by some statements: computed once.
-HEAVY = {"fx_sample", "fx_batches", "fx_batch_fault", "fx_aligned", "fx_sh", "fx_reps", "fx_sig",
+HEAVY = {"fx_sample", "fx_batches", "fx_batch_fault", "fx_aligned", "fx_shl", "fx_shs", "fx_sh", "fx_ds", "fx_reps", "fx_sig",
          "fx_band", "fx_cand", "fx_jac", "fx_concepts", "fx_dd"}
 
 
@@ -219,13 +219,24 @@ SELECT concept_id, run_id, seed_id, domain, concept_name, concept_type, concept_
        seed_id || chr(1) || run_id || chr(1) || lpad(cast(pos AS varchar), 5, '0') AS order_key
 FROM fx_concepts""")
 
-cte("fx_sh", """
-SELECT DISTINCT concept_id, substr(lt, i, 3) AS s FROM (
-  SELECT concept_id, lower(dedup_text) AS lt, unnest(range(1, length(lower(dedup_text)) - 1)) AS i FROM fx_dd)""")
+# the pair queries' texts: the seed text's opening
+cte("fx_ds", f"""
+SELECT d.concept_id, d.run_id, d.seed_id, d.domain, d.concept_name, d.concept_type, d.pos,
+       {pstrip(pstrip("coalesce(d.concept_name, '')") + " || ' ' || " + pstrip("coalesce(substr(s.text, 1, 160), '')"))} AS dedup_text,
+       d.order_key
+FROM fx_dd d JOIN fx_seeds s ON s.seed_id = d.seed_id""")
+
+# grams from a list of characters: substr() would walk every text from its start for each gram
+_GRAMS = """
+SELECT concept_id, list_distinct(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2])) AS grams
+FROM (SELECT concept_id, regexp_extract_all(lower(dedup_text), '(?s).') AS ch FROM {})"""
+cte("fx_shl", _GRAMS.format("fx_dd"))
+cte("fx_shs", _GRAMS.format("fx_ds"))
+cte("fx_sh", "SELECT concept_id, unnest(grams) AS s FROM fx_shs")
 
 cte("fx_reps", """
 SELECT * FROM (SELECT d.*, row_number() OVER (PARTITION BY domain, dedup_text ORDER BY order_key) AS rn
-               FROM fx_dd d WHERE concept_id IN (SELECT concept_id FROM fx_sh)) WHERE rn = 1""")
+               FROM fx_ds d WHERE concept_id IN (SELECT concept_id FROM fx_sh)) WHERE rn = 1""")
 
 cte("fx_perm", f"""
 SELECT k, {H("'a'", 'k')} % 2147483646 + 1 AS a, {H("'b'", 'k')} % 2147483647 AS b FROM range(0, 128) t(k)""")

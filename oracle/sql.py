@@ -222,9 +222,7 @@ SELECT concept_id, domain FROM (
   SELECT concept_id, domain, row_number() OVER (PARTITION BY domain, dedup_text ORDER BY order_key) AS rn FROM fx_dd)
 WHERE rn = 1""")
 
-sql("char_shingles", """
-SELECT d.concept_id, cast(coalesce(s.n, 0) AS integer) AS n_shingles
-FROM fx_dd d LEFT JOIN (SELECT concept_id, count(*) AS n FROM fx_sh GROUP BY 1) s USING (concept_id)""")
+sql("char_shingles", "SELECT concept_id, cast(coalesce(len(grams), 0) AS integer) AS n_shingles FROM fx_shl")
 
 sql("minhash_signature", """
 SELECT concept_id, string_agg(cast(v AS varchar), ',' ORDER BY k) AS sig FROM fx_sig GROUP BY concept_id""")
@@ -248,7 +246,7 @@ WHERE seed_id NOT IN (SELECT d.seed_id FROM fx_dd d JOIN mh USING (concept_id))"
 
 sql("dedup_summary", MINHASH_KEPT + "," + MINHASH_ALL + """,
 ex AS (SELECT concept_id FROM (SELECT concept_id, row_number() OVER (PARTITION BY domain, dedup_text
-                                                                    ORDER BY order_key) AS rn FROM fx_dd) WHERE rn = 1),
+                                                                    ORDER BY order_key) AS rn FROM fx_ds) WHERE rn = 1),
 res AS (SELECT 'exact' AS method, d.seed_id FROM fx_dd d JOIN ex USING (concept_id)
         UNION ALL SELECT 'minhash', d.seed_id FROM fx_dd d JOIN mh USING (concept_id)),
 per AS (SELECT method, seed_id, count(*) AS c FROM res GROUP BY 1, 2)

@@ -338,8 +338,12 @@ def _dd(spark, sf) -> DataFrame:
     return fx.dedup_concepts(spark, sf)
 
 
+def _ds(spark, sf) -> DataFrame:
+    return fx.dedup_concepts(spark, sf, opening=True)
+
+
 def _reps(spark, sf) -> DataFrame:
-    x = _dd(spark, sf).withColumn("_sh", dd.char_shingles("dedup_text"))
+    x = _ds(spark, sf).withColumn("_sh", dd.char_shingles("dedup_text"))
     return dd.dedup_exact(x.filter(F.size("_sh") > 0), "dedup_text", ["order_key"], ["domain"])
 
 
@@ -387,7 +391,7 @@ def jaccard_verify_q(spark, sf) -> DataFrame:
 
 
 def _minhash_kept(spark, sf) -> DataFrame:
-    return dd.minhash_dedup(_dd(spark, sf), "concept_id", "dedup_text", "order_key", part=["domain"])
+    return dd.minhash_dedup(_ds(spark, sf), "concept_id", "dedup_text", "order_key", part=["domain"])
 
 
 @query("dedup_minhash")
@@ -399,13 +403,13 @@ def dedup_minhash_q(spark, sf) -> DataFrame:
 @query("join_seed_lost")
 def join_seed_lost(spark, sf) -> DataFrame:
     """Seeds with concepts before and none after MinHash dedup."""
-    return dd.seeds_lost(_dd(spark, sf), _minhash_kept(spark, sf))
+    return dd.seeds_lost(_ds(spark, sf), _minhash_kept(spark, sf))
 
 
 @query("dedup_summary")
 def dedup_summary_q(spark, sf) -> DataFrame:
     """A2: kept, removed, seeds lost and median concepts per surviving seed, per method."""
-    d = _dd(spark, sf)
+    d = _ds(spark, sf)
     return dd.dedup_summary(d, {
         "exact": dd.dedup_exact(d, "dedup_text", ["order_key"], ["domain"]),
         "minhash": _minhash_kept(spark, sf)})

@@ -227,11 +227,18 @@ def verdict_answers(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dedup inputs
-def dedup_concepts(spark, sf_dir) -> DataFrame:
+def dedup_concepts(spark, sf_dir, opening: bool = False) -> DataFrame:
     """fx_dd: concepts with the P1 dedup text and the keep order key
-    (seed_id, run_id, pos as one sortable string; keep-first is per domain)."""
+    (seed_id, run_id, pos as one sortable string; keep-first is per domain).
+
+    ``opening`` (fx_ds): the definition is the seed text's opening, sentence-sized (160 characters), so
+    that concepts of one seed are near-duplicates. The pair queries take it: of the invented texts, nearly all long ones share half of their 3-grams, so on
+    whole definitions the fixture would be one near-duplicate class per language."""
     from seedmill.functions.text import dedup_text
     c = concepts(spark, sf_dir)
+    if opening:
+        s = seeds(spark, sf_dir).select("seed_id", py_strip(F.substring("text", 1, 160)).alias("concept_definition"))
+        c = c.drop("concept_definition").join(s, "seed_id")
     return c.select("concept_id", "run_id", "seed_id", "domain", "concept_name", "concept_type",
                     "concept_definition", "pos",
                     dedup_text().alias("dedup_text"),
