@@ -61,9 +61,8 @@ def test_components_equal_all_pairs(spark):
 def test_on_given_documents(spark):
     df = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
     docs = [(r["doc_id"], r["text"]) for r in df.collect()]
-    for k, percent in ((4, 85), (5, 80)):
-        got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in N.ngram_components(df, k, percent).collect()), key=str)
-        assert got == brute(docs, k, percent)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in N.ngram_components(df, 5, 80).collect()), key=str)
+    assert got == brute(docs, 5, 80)
 
 
 def test_word_hashes_cut_anywhere(monkeypatch):

@@ -1,19 +1,23 @@
 import corpus_pipeline as C
-from seedmill.llm.common import rows, table
+from seedmill.llm.common import rows, saved, table
 from tests.conftest import SF0001
 
 
-def test_stages_keep_columns_and_run(spark):
+def test_stages_keep_columns_and_run(spark, monkeypatch):
     docs = table(spark, SF0001, "documents")
     seen = docs.count()
-    for _, stage in C.STAGES[:-1]:
-        out = stage(spark, docs, SF0001)
+    for name, stage in C.STAGES[:-1]:
+        out = saved(stage(spark, docs, SF0001), name)
         assert out.schema.simpleString() == docs.schema.simpleString()
         n = out.count()
         assert 0 < n <= seen
         docs, seen = out, n
-    ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
-    assert {r["doc_id"] for r in C.run(spark, SF0001).select("doc_id").collect()} == ids
+    packed = C.STAGES[-1][1](spark, docs, SF0001)
+    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    # run() chains the stages over the table: here the two cheapest
+    monkeypatch.setattr(C, "STAGES", C.STAGES[3:])
+    clean = C.drop_contaminated(spark, table(spark, SF0001, "documents"), SF0001)
+    assert {r["doc_id"] for r in C.run(spark, SF0001).select("doc_id").collect()} == {r["doc_id"] for r in clean.select("doc_id").collect()}
 
 
 def test_planted_cases(spark):

@@ -38,7 +38,7 @@ def test_queries_from_rules():
 
 
 def test_index_skips_documents(spark):
-    docs = rows(spark, [(1, "no secrets here"), (2, "the token of"), (3, "tok oke ken")], "doc_id long, text string")
+    docs = rows(spark, [(1, "nothing to see here"), (2, "the token of"), (3, "tok oke ken")], "doc_id long, text string")
     got = {r["doc_id"]: set(r["kinds"]) for r in S.candidates(docs).collect()}
     assert got == {2: {"assign"}, 3: {"assign"}}
     assert S.scan_secrets(docs.limit(0)).count() == 0
