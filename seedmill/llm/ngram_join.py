@@ -30,17 +30,21 @@ rows that share a doc_id are judged each on its own text; a null doc_id never na
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
 from .components import components
 
 SKETCH, FRAGMENTS, BLOOM, CHUNKS = 1 << 19, 4, 1 << 26, 64
+HOT = 50_000  # a shingle counted more often is dealt over count / HOT parts
+LAST = (1 << 63) - 1
 PARITY = [f"w{i}" for i in range(8)]
 PART = 1 << 20  # bytes of a text hashed at once
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -128,22 +132,22 @@ def prefix_size(n: int, percent: int) -> int:
 
 def chunk_rows(array: np.ndarray, task: int) -> pd.DataFrame:
     parts = np.split(array, CHUNKS)
-    return pd.DataFrame({"chunk": range(CHUNKS), "task": task, "data": [p.tobytes() for p in parts]})
+    return pd.DataFrame({"chunk": range(CHUNKS), "task": task, "data": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
 
 def fold_arrays(df: DataFrame, dtype, join) -> np.ndarray:
     """Combine fixed-size arrays that tasks emitted as (chunk, task, data); two rounds keep groups small."""
 
     def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.frombuffer(pdf["data"].iloc[0], dtype=dtype).copy()
+        total = np.frombuffer(zlib.decompress(pdf["data"].iloc[0]), dtype=dtype).copy()
         for d in pdf["data"].iloc[1:]:
-            join(total, np.frombuffer(d, dtype=dtype), out=total)
-        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "task": [pdf["task"].iloc[0] % 64], "data": [total.tobytes()]})
+            join(total, np.frombuffer(zlib.decompress(d), dtype=dtype), out=total)
+        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "task": [pdf["task"].iloc[0] % 64], "data": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "chunk int, task long, data binary"
     once = df.groupBy("chunk", F.pmod("task", F.lit(64)).alias("part")).applyInPandas(lambda pdf: step(pdf), schema)
     got = once.groupBy("chunk").applyInPandas(lambda pdf: step(pdf), schema).collect()
-    parts = {r["chunk"]: np.frombuffer(r["data"], dtype=dtype) for r in got}
+    parts = {r["chunk"]: np.frombuffer(zlib.decompress(r["data"]), dtype=dtype) for r in got}
     return np.concatenate([parts[i] for i in range(CHUNKS)]) if parts else None
 
 
@@ -152,38 +156,38 @@ class NgramJoin:
 
     def __init__(self, docs: DataFrame, k: int = 4, percent: int = 85):
         self.k, self.percent = k, percent
-        self.docs = docs.select("doc_id", "text")
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
         self.spark = docs.sparkSession
 
     def digests(self) -> DataFrame:
-        """Rows (doc_id, n, node, check) of all documents, and rows (chunk, task, data) of the sketch, in one table."""
+        """Rows (doc_id, tag, n, node, check, parity) of all documents, and rows (chunk, task, data) of the sketch, in one table."""
         k = self.k
+        longs = ["doc_id", "tag", "n", "node", "check", *PARITY]
+        schema = ", ".join(f"{c} long" for c in longs) + ", chunk int, task long, data binary"
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
             sketch = np.zeros(SKETCH, np.int64)
             any_rows = False
-            for pdf in batches:
+            for batch in batches:
                 rows = []
-                for text in pdf["text"]:
+                for text in batch.column("text").to_pylist():
                     s = shingle_set(text, k)
-                    if len(s):
-                        sketch += np.bincount(counter(s), minlength=SKETCH) if len(s) > 50_000 else 0
-                        if len(s) <= 50_000:
-                            np.add.at(sketch, counter(s), 1)
+                    if len(s) > 50_000:
+                        sketch += np.bincount(counter(s), minlength=SKETCH)
+                    elif len(s):
+                        np.add.at(sketch, counter(s), 1)
                     rows.append((*digest(s), *parity(s)))
                 any_rows = any_rows or bool(rows)
-                out = pd.DataFrame(rows, columns=["n", "node", "check", *PARITY])
-                out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy(dtype=object))
-                yield out.assign(chunk=None, task=None, data=None)
+                found = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * (3 + len(PARITY))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), *found, pa.nulls(len(rows), pa.int32()),
+                                                  pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], [*longs, "chunk", "task", "data"])
             if any_rows:
-                task = TaskContext.get().partitionId()
-                own = ["doc_id", "n", "node", "check", *PARITY]
-                yield chunk_rows(sketch, task).assign(**dict.fromkeys(own))[[*own, "chunk", "task", "data"]]
+                part = chunk_rows(sketch, TaskContext.get().partitionId())
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(CHUNKS, pa.int64())] * len(longs), pa.array(part["chunk"], pa.int32()),
+                                                  pa.array(part["task"], pa.int64()), pa.array(part["data"], pa.binary())], [*longs, "chunk", "task", "data"])
 
-        words = ", ".join(f"{w} long" for w in PARITY)
-        schema = f"doc_id long, n long, node long, check long, {words}, chunk int, task long, data binary"
-        return saved(self.docs.mapInPandas(run, schema), "digests")
+        return saved(self.docs.mapInArrow(run, schema), "digests")
 
     def order(self, sketch: np.ndarray):
         """(counts, fragment of each counter): borders of equal load in the order of counts."""
@@ -198,15 +202,19 @@ class NgramJoin:
         return np.minimum(sketch, np.iinfo(np.int32).max).astype(np.int32), frag
 
     def postings(self, shared) -> DataFrame:
-        """(gram, node, n, pos) of each class's prefix; a gram that the sketch counts once joins nothing."""
+        """(gram, part, parts, node, n, pos) of each class's prefix; a gram that the sketch counts once joins nothing.
+
+        part: which of ``parts`` the row of a gram goes to; a gram has more than one if the sketch counts it often.
+        """
         k, percent = self.k, self.percent
+        names = ["gram", "part", "parts", "node", "n", "pos"]
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts, _ = shared.value
             seen: set[int] = set()
-            for pdf in batches:
-                grams, nodes, sizes, places = [], [], [], []
-                for text in pdf["text"]:
+            for batch in batches:
+                out: list[list[np.ndarray]] = [[] for _ in names]
+                for text in batch.column("text").to_pylist():
                     s = shingle_set(text, k)
                     n, node, _ = digest(s)
                     if not n or node in seen:
@@ -214,17 +222,29 @@ class NgramJoin:
                     if len(seen) < 200_000:
                         seen.add(node)
                     c = counts[counter(s)]
-                    p = prefix_size(n, percent)
-                    by = np.lexsort((s, c))[:p]
+                    by = np.lexsort((s, c))[:prefix_size(n, percent)]
                     keep = np.flatnonzero(c[by] > 1)
-                    grams.append(s[by][keep].view(np.int64))
-                    places.append(keep)
-                    nodes.append(np.full(len(keep), node))
-                    sizes.append(np.full(len(keep), n))
-                cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-                yield pd.DataFrame({"gram": cat(grams), "node": cat(nodes), "n": cat(sizes), "pos": cat(places)})
+                    parts = 1 + c[by][keep].astype(np.int64) // HOT
+                    size = len(keep)
+                    for column, value in zip(out, (s[by][keep].view(np.int64), node % parts, parts, np.full(size, node), np.full(size, n), keep)):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out], names)
 
-        return self.docs.mapInPandas(run, "gram long, node long, n long, pos long")
+        return self.docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+    def shared_postings(self, shared) -> DataFrame:
+        """(gram, node, n, pos, b, nb, pb) of the grams that several classes have; b: the gram's pivot class."""
+        post = self.postings(shared)
+        own = Window.partitionBy("gram", "part")
+        post = post.withColumn("p", F.min(F.struct("pos", "node", "n")).over(own)) \
+            .withColumn("lo", F.min("node").over(own)).withColumn("hi", F.max("node").over(own))
+        post = saved(post.where("lo <> hi or parts > 1"), "parts")
+        whole = post.where("parts = 1")
+        hot = post.where("parts > 1")
+        found = hot.groupBy("gram").agg(F.min("p").alias("p"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+        hot = hot.drop("p", "lo", "hi").join(found, "gram")
+        both = whole.unionByName(hot).select("gram", "node", "n", "pos", F.col("p.node").alias("b"), F.col("p.n").alias("nb"), F.col("p.pos").alias("pb"))
+        return both.distinct()
 
     def segments(self, shared, nodes: DataFrame) -> DataFrame:
         """(node, n, frag, grams) of the classes that the Bloom filter of ``nodes`` lets pass."""
@@ -292,13 +312,9 @@ class NgramJoin:
         table = self.digests()
         sketch = fold_arrays(table.where("chunk is not null").select("chunk", "task", "data"), np.int64, np.add)
         shared = self.spark.sparkContext.broadcast(self.order(sketch if sketch is not None else np.zeros(SKETCH, np.int64)))
-        docs = table.where("n is not null").select("doc_id", "n", "node", "check")
+        docs = table.where("n is not null").select("doc_id", "tag", "n", "node", "check")
         words = table.where("n > 0").groupBy("node").agg(F.first(F.struct(*PARITY)).alias("w"))
-        post = self.postings(shared)
-        first = F.struct("pos", "node", "n")
-        multi = post.groupBy("gram").agg(F.min(first).alias("p"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi") \
-            .select("gram", F.col("p.node").alias("b"), F.col("p.n").alias("nb"), F.col("p.pos").alias("pb"))
-        post = saved(post.join(multi, "gram"), "postings")
+        post = saved(self.shared_postings(shared), "postings")
         near = post.where("node <> b").where(self.bound("n", "pos", "nb", "pb"))
         near = near.select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb").distinct() \
             .join(words.select(F.col("node").alias("a"), F.col("w").alias("wa")), "a") \
@@ -306,11 +322,13 @@ class NgramJoin:
         pairs = saved(near.select("a", "b"), "pairs")
         links = saved(self.verify(pairs, shared), "links")
         comp = components(links)
-        # pairs of one posting that are still in different components
-        at = post.select("gram", "node", "n", "pos", "b").distinct().join(comp, "node", "left") \
-            .select("gram", "node", "n", "pos", "b", F.coalesce("root", "node").alias("root"))
+        # pairs of one posting, without its pivot, that are still in different components
+        at = post.where("node <> b").select("gram", "node", "n", "pos")
+        more = at.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("gram")
+        at = at.join(more, "gram", "left_semi").join(comp, "node", "left").select("gram", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+        at = saved(at, "open")
         mixed = at.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-        at = at.join(mixed, "gram", "left_semi").where("node <> b").join(words, "node")
+        at = at.join(mixed, "gram", "left_semi").join(words, "node")
         x = at.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), F.col("w").alias("wa"))
         y = at.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), F.col("w").alias("wb"))
         rest = x.join(y, "gram").where("a < b and ra <> rb").where(self.bound("na", "pa", "nb", "pb")) \
@@ -322,19 +340,44 @@ class NgramJoin:
         return docs, links, components(links)
 
 
+def judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, tag, n, node, component, first, links) per row: first is the (doc_id, tag) that stands for its component.
+
+    A null doc_id counts as the largest long here, so it names a component only where all its rows have none.
+    """
+    rows, links, comp = NgramJoin(docs, k, percent).run()
+    by_class = rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "tag")).alias("first"))
+    root = by_class.join(comp, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    named = root.groupBy("root").agg(F.min("first").alias("first"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    classes = root.select("node", "root").join(named, "root").join(degree, "node", "left").select("node", "first", F.coalesce("links", F.lit(0)).alias("links"))
+    return rows.join(classes, "node", "left")
+
+
 def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, links) for every row of docs.
 
     component_id: the smallest doc_id reachable by links; links: verified links of the row's class
     to classes with other sets that were needed to connect its component.
     """
-    rows, links, comp = NgramJoin(docs, k, percent).run()
-    by_class = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    root = by_class.join(comp, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    named = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    classes = root.join(named, "root").join(degree, "node", "left").select("node", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
-    out = rows.join(classes, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("doc_id").isNull(), F.col("component_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
-                      F.coalesce("links", F.lit(0)).alias("links"))
+    out = judged(docs, k, percent)
+    component = F.when(F.col("first.doc") < LAST, F.col("first.doc")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(component, "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of linked documents, the one with the smallest doc_id (null last); rows without words all stay."""
+    found = judged(docs, k, percent)
+    out = found.where(F.col("n") > 0).where((F.coalesce("doc_id", F.lit(LAST)) != F.col("first.doc")) | (F.col("tag") != F.col("first.tag")))
+    out = saved(out.select("doc_id", "tag").distinct(), "out")
+    same = docs["doc_id"].cast("long").eqNullSafe(out["doc_id"]) & (F.xxhash64(docs["text"]) == out["tag"])
+    left = docs.join(out, same, "left_anti")
+    # rows repeated as a whole: one of them (rows without words are never linked)
+    again = found.where(F.col("n") > 0).groupBy("doc_id", "tag").agg(F.count("*").alias("rows")).where("rows > 1")
+    again = saved(again.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag")), "again")
+    if again.isEmpty():
+        return left
+    key = left["doc_id"].cast("long").eqNullSafe(again["_doc"]) & (F.xxhash64(left["text"]) == again["_tag"])
+    twice = left.join(again, key)
+    first = twice.withColumn("_r", F.row_number().over(Window.partitionBy("_doc", "_tag").orderBy(F.lit(1)))).where("_r = 1")
+    return left.join(again, key, "left_anti").unionByName(first.select(*[left[c] for c in docs.columns]))
