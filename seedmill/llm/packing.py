@@ -38,7 +38,7 @@ from .common import saved
 WINDOW, END_ID = 4096, 2
 SHARD_TOKENS, TERMS = 1_500_000, 12
 K1, B = 1.2, 0.75
-CACHE = 400_000
+CACHE = 600_000  # entries of a worker's caches
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]
 _MARK = "\x01"  # ends a word where the faster library merges; texts that hold it go the plain way
@@ -50,7 +50,9 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.plain = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # by chunk between white space
+        self.words: dict[str, bytes] = {}  # by lower-cased word
+        self.tails: dict[str, bytes] = {}  # by end marks
         self.fast, self.ids, self.ends = self._merges(path)
 
     @staticmethod
@@ -90,36 +92,37 @@ class WordIds:
     def _whole(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
-    def _learn(self, chunks) -> None:
+    def _learn(self, chunks: set[str]) -> None:
+        """Put the ids of the chunks into the cache; each new word of plain letters is merged once, whatever its case and its end marks."""
         if len(self.cache) > CACHE:
             self.cache.clear()
-        simple: dict[str, list[tuple[str, str]]] = {}
-        for chunk in chunks:
-            if chunk in self.cache:
-                continue
+        if len(self.words) > CACHE:
+            self.words.clear()
+        fresh = chunks.difference(self.cache)
+        simple: list[tuple[str, str, str]] = []
+        for chunk in fresh:
             core = chunk.rstrip(".,;:!?")
-            if core.isalpha() and max(core) < "Ā":
-                simple.setdefault(core.lower(), []).append((chunk, chunk[len(core):]))
+            if core.isalpha() and (core.isascii() or max(core) < "Ā"):
+                simple.append((chunk, core.lower(), chunk[len(core):]))
             else:
                 self.cache[chunk] = self._whole(chunk)
-        if not simple:
-            return
-        ranks = self.fast.encode_to_numpy(_MARK.join(simple) + _MARK)
-        ids = self.ids[ranks].astype("<u2")
-        stops = np.flatnonzero(self.ends[ranks]) + 1
-        at = 0
-        for core, stop in zip(simple, stops.tolist()):
-            word = ids[at:stop].tobytes()
-            at = stop
-            for chunk, tail in simple[core]:
-                if tail and tail not in self.cache:
-                    self.cache[tail] = self._whole(tail)
-                self.cache[chunk] = word + self.cache[tail] if tail else word
+        if new := list({low for _, low, _ in simple}.difference(self.words)):
+            ranks = self.fast.encode_to_numpy(_MARK.join(new) + _MARK)
+            raw = self.ids[ranks].astype("<u2").tobytes()
+            stops = ((np.flatnonzero(self.ends[ranks]) + 1) * 2).tolist()
+            self.words.update(zip(new, (raw[i:j] for i, j in zip([0, *stops], stops))))
+        for chunk, low, tail in simple:
+            if not tail:
+                self.cache[chunk] = self.words[low]
+                continue
+            if tail not in self.tails:
+                self.tails[tail] = self._whole(tail)
+            self.cache[chunk] = self.words[low] + self.tails[tail]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         odd = [any(c in t for c in ("<|", "\x01", "\x1c", "\x1d", "\x1e", "\x1f")) for t in texts]
         words = [[] if o else t.split() for t, o in zip(texts, odd)]
-        self._learn({w for ws in words for w in ws})
+        self._learn(set().union(*words))
         get = self.cache.__getitem__
         return [self._whole(t) if o else b"".join(map(get, ws)) for t, ws, o in zip(texts, words, odd)]
 
