@@ -21,3 +21,10 @@ def test_stream_dedup_keeps_one_per_request(spark):
     import __spark_entry__ as E
     d = E.queries()["stream_dedup_keys"](spark, SF0001)
     assert d.count() == d.select("request_id").distinct().count()
+
+
+def test_stream_progress_equals_batch(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    key = lambda df: sorted((str(r.window_start), r.event_type, r.n) for r in df.collect())
+    assert key(q["stream_progress"](spark, SF0001)) == key(q["stream_progress_batch"](spark, SF0001))
