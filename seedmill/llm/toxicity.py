@@ -7,7 +7,7 @@ away; windows of ``WINDOW`` words at half steps cover the whole text. An unseen
 most n-grams with the word it comes from, and with them the score.
 
 Fitting: a bounded sample of labelled rows (``FIT_ROWS`` of each class at most in expectation, texts
-of at most ``FIT_CHARS`` characters, chosen by a hash of the text), weighted back to the share of
+of at most ``FIT_CHARS`` characters, chosen by a hash of the id), weighted back to the share of
 the classes, on the driver: embeddings and softmax by Adam on the log loss, first on all windows
 and then on each document's highest window.
 
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 BUCKETS, DIM, WINDOW = 1 << 18, 4, 12
 FIT_ROWS, FIT_CHARS = 2500, 20_000
 THRESHOLD = 0.3
+RATE, FLOOR = 0.1, 1e-7  # of Adam
 SLICE = 1 << 20  # characters read at once
 CACHE = 400_000  # words whose score a worker keeps
 WORD = re.compile(r"[^\W_]+")
@@ -147,7 +148,7 @@ def _summed(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(index, weights=v, minlength=n) for v in values]).astype(np.float32)
 
 
-def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int = 10, batch: int = 400, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, steps: int = 160, batch: int = 400, seed: int = 7) -> tuple[np.ndarray, float]:
     """Train embeddings (DIM x BUCKETS) and softmax (DIM x 2) jointly; return them as one number per bucket, and a bias."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(texts))
@@ -159,6 +160,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
     seen = np.zeros(BUCKETS, bool)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (E, W, B)]
     step = 0
+    epochs = -(-steps // max(len(parts), 1))  # small samples are passed over more often
     for epoch in range(epochs):
         for b in parts:
             step += 1
@@ -168,7 +170,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
             z = X.T @ W + B
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            if epoch < 3:  # first every window bears its document's label, then the highest alone
+            if 10 * epoch < 3 * epochs:  # first every window bears its document's label, then the highest alone
                 pick = b["weight"] / np.repeat(b["runs"], b["runs"])
             else:
                 margin = z[:, 1] - z[:, 0]
@@ -183,7 +185,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
             for (m, v), param, grad in zip(state, (E, W, B), (gE, gW, gB)):
                 m += 0.1 * (grad - m)
                 v += 0.01 * (grad * grad - v)
-                param -= (0.03 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)).astype(np.float32)
+                param -= (RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + FLOOR)).astype(np.float32)
     table = np.where(seen, (W[:, 1] - W[:, 0]) @ E, 0).astype(np.float32)
     return table, float(B[1] - B[0])
 
@@ -203,10 +205,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
         share = (count.get(1, 0) / total) if total else 0.0
         return np.zeros(BUCKETS, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     cut = F.when(F.col("toxic") == 1, F.lit(min(1.0, FIT_ROWS / count[1]))).otherwise(F.lit(min(1.0, FIT_ROWS / count[0])))
-    chosen = F.pmod(F.xxhash64(F.col("text")), F.lit(1 << 30)) < cut * (1 << 30)
-    sample = docs.select("doc_id", "text").where(f"length(text) between 1 and {FIT_CHARS}") \
-        .join(lab, "doc_id").where(chosen).select("text", "toxic") \
-        .groupBy("text", "toxic").agg(F.count("*").alias("n")).collect()
+    # labels are thinned first: about 2 * FIT_ROWS ids at any size of the tables, few enough to broadcast
+    chosen = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut * (1 << 30))
+    sample = docs.select("doc_id", "text").where(f"length(text) between 1 and {FIT_CHARS}").join(F.broadcast(chosen), "doc_id") \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic").collect()
     sample.sort(key=lambda r: (r["toxic"], r["text"]))
     y = np.array([r["toxic"] for r in sample])
     if len(set(y.tolist())) < 2 or not any(WORD.search(r["text"]) for r in sample):
