@@ -1,8 +1,8 @@
 """Line dedup by an exact set-similarity join over line tokens.
 
 A line is the set of its lower-cased words. A line goes when an earlier line (by doc_id, then line
-number) has a Jaccard similarity of at least ``percent`` / 100 with it. Lines of fewer than
-``min_tokens`` distinct words are kept: they carry too little to call them copies.
+number) has a Jaccard similarity of at least ``percent`` / 100 with it. Every line with a word takes
+part, however short; a line of a script without spaces is one word, so of those the exact repeats go.
 
 1. Words are counted in ``BUCKETS`` counters; a byte per counter (its logarithm) gives the rarity
    class. That table has a fixed size (256 KB) and goes into the plan as a literal.
@@ -14,7 +14,7 @@ number) has a Jaccard similarity of at least ``percent`` / 100 with it. Lines of
 4. Entries that no pivot removed are compared with all earlier entries of their tokens, under the
    same filters, so no match is missed; near copies of one line are not expanded into all pairs.
 
-Defined cases: null text is no line and stays null; empty lines are kept; a null doc_id comes last
+Defined cases: null text is no line and stays null; empty and blank lines are kept; a null doc_id comes last
 in the order; rows repeated as a whole count as one document and get the same result; rows that
 share a doc_id are ordered by a hash of their text; extra columns are ignored; empty tables are fine.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import saved
 from .url_filter import bloom_filter, possible_hits
 
-BUCKETS, MIN_TOKENS, PERCENT, BLOCKS = 1 << 18, 5, 90, 1 << 16
+BUCKETS, MIN_TOKENS, PERCENT, BLOCKS = 1 << 18, 1, 80, 1 << 16
 LAST = (1 << 63) - 1
 
 

@@ -66,3 +66,13 @@ def test_repeated_rows_and_null_ids(spark):
     got = sorted((str(r["doc_id"]), r["clean"]) for r in L.dedup_lines(df).collect())
     assert sum(c.startswith(t) for _, c in got) in (1, 2) and ("None", "") in got
     assert L.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_short_lines_unspaced_lines_and_changed_passages(spark):
+    words = [f"p{i}" for i in range(50)]
+    passage = " ".join(words)
+    changed = " ".join([*words[:10], "x", *words[11:20], "y", *words[21:30], "z", *words[31:]])  # Jaccard 47 / 53
+    unspaced = "\u6587\u5b57" * 40
+    docs = [(1, f"Read more\n{passage}\n{unspaced}\nMenu\n\n \t"), (2, f"read  more\n{changed}\n{unspaced}\nOwn\n\n \t"), (3, "Menu\nRead less\nMenu")]
+    out = {r["doc_id"]: (list(r["removed"]), r["clean"]) for r in L.dedup_lines(rows(spark, docs, "doc_id long, text string")).collect()}
+    assert out == {1: ([], docs[0][1]), 2: ([0, 1, 2], "Own\n\n \t"), 3: ([0, 2], "Read less")}
