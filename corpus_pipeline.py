@@ -27,11 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line matches, n_chars to suit.
 
-    A document that lost lines and keeps no line long enough to be compared goes as well.
+    A document that lost lines and has none but blank ones left goes as well.
     """
     done = line_dedup.dedup_lines(docs)
-    words = lambda s: F.size(F.array_distinct(F.filter(line_dedup.words_of(s), lambda w: w != "")))
-    kept = (F.size("removed") == 0) | F.exists(F.split("clean", "\n"), lambda s: words(s) >= line_dedup.MIN_TOKENS)
+    kept = (F.size("removed") == 0) | F.col("clean").rlike(r"\S")
     changed = {"text": F.col("clean"), "n_chars": F.when(F.size("removed") > 0, F.length("clean").cast("long")).otherwise(docs["n_chars"])}
     return done.where(kept).select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
 

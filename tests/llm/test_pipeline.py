@@ -37,3 +37,12 @@ def test_planted_cases(spark):
     assert 1 in left and 2 not in left and not {3, 4} <= left and {5, 6, 7, 8, 9} <= left
     left = {r["doc_id"] for r in C.drop_contaminated(spark, docs, SF0001).collect()}
     assert left == {1, 2, 3, 4, 5, 6, 8, 9}
+
+
+def test_short_unique_lines_stay_without_the_shared_one(spark):
+    shared = " ".join(f"s{i}" for i in range(30))
+    poem = "\n".join(f"verse {i}" for i in range(12))
+    docs = rows(spark, [(1, shared, "en", "s", 1), (2, poem + "\n" + shared, "en", "s", 1), (3, shared + "\n \n", "en", "s", 1), (4, " ", "en", "s", 1)],
+                "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in C.drop_repeated_lines(spark, docs, SF0001).collect()}
+    assert got == {1: (shared, 1), 2: (poem, len(poem)), 4: (" ", 1)}
