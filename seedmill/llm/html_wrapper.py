@@ -11,12 +11,14 @@ step: a wrapper is a union-free expression of tags, text constants, text slots,
    group on one side only becomes optional, a unit against its repetition becomes repeated.
 4. Wrappers of parts of a host are aligned with each other in the same way, in two rounds.
 
-``label`` then marks each text place of the wrapper as article or boilerplate by its enclosing
-tags and by whether its text is constant over the host, and ``extract`` reads every page with its
-host's labels. A place that the wrapper has not seen is judged by its enclosing tags alone.
-
-Scale: step 3 runs map-side per Arrow batch and emits one wrapper per (batch, host); equal
-wrappers collapse before the shuffle; a host is first merged in ``FAN`` parts, then the parts. A
+``label`` then marks each text place of the wrapper by whether its text is constant over the
+host's distinct pages, and ``extract`` reads every page with its host's labels. A page that marks its
+article itself gives what is inside; any other page gives its places outside boilerplate containers
+without the constant ones, or with them where it would be left without text. Headings next to
+varying text stay. Class words of elements around the article do not make it boilerplate.
+
+Scale: step 3 runs map-side per Arrow batch and emits one wrapper per (batch, host); a host is
+first merged in ``FAN`` parts, then the parts. A
 wrapper's size is that of the template, not of the host's pages. Pages join wrappers by host with
 the pages on the side that adaptive execution may split, so a hot host is spread.
 
@@ -27,12 +29,13 @@ and extra columns are fine.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import groupby, takewhile
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,6 +61,9 @@ SIDE_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "
               "newsletter", "notice", "pagination", "pager", "popup", "promo", "promoted", "related", "recommended", "replies", "reply", "search", "share",
               "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "contentinfo", "complementary", "alert"}
 MAIN_TAGS = {"article", "main"}
+#: A class or id with one of these words tells of a layout (with-sidebar, ad-free), not of a container.
+LAYOUT_WORDS = {"with", "without", "has", "no", "non", "free"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 TOKEN = re.compile(r"([^<]+)|(</?[a-zA-Z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>)|<!--.*?(?:-->|$)|<[!?][^>]*>?|(<)", re.S)
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
@@ -81,7 +87,9 @@ def words_of(attrs: str) -> tuple[str, ...]:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             found.append("hidden")
         elif name in ("class", "id", "role"):
-            found += [w for w in re.split(r"[^a-z]+", value) if w]
+            for one in value.split():
+                parts = [w for w in re.split(r"[^a-z]+", one) if w]
+                found += parts if len(parts) < 2 or LAYOUT_WORDS.isdisjoint(parts) else ["-".join(parts)]
     return tuple(found)
 
 
@@ -279,14 +287,19 @@ def places(items: list) -> dict[str, bool]:
     return found
 
 
-def is_side(path: str) -> bool:
-    """Whether an enclosing element is a boilerplate container; a header inside the article heads the article."""
-    steps = [s.split(".") for s in path.split("/") if s]
+def is_side(path: str, around: str = "") -> bool:
+    """Whether an enclosing element is a boilerplate container; a header inside the article heads the article.
+
+    Words of the elements that ``around`` names, those that the article lies in, do not count.
+    """
+    steps, spared = [s.split(".") for s in path.split("/") if s], [s.split(".") for s in around.split("/") if s]
     inside = next((i for i, s in enumerate(steps) if s[0] in MAIN_TAGS), len(steps))
     for i, s in enumerate(steps):
         if s[0] in SIDE_TAGS or "hidden" in s[1:] or s[0] == "header" and i < inside:
             return True
-        if s[0] not in ("html", "body", "article", "main") and side(w for w in s[1:] if not (i > inside and w == "header")):
+        if s[0] in ("html", "body", "article", "main") or steps[:i + 1] == spared[:i + 1]:
+            continue
+        if side(w for w in s[1:] if not (i > inside and w == "header")):
             return True
     return False
 
@@ -295,44 +308,74 @@ def in_main(path: str) -> bool:
     return any(s.split(".")[0] in MAIN_TAGS for s in path.split("/"))
 
 
-def label(items: list, pages: int) -> dict[str, bool]:
-    """path -> article or not. Where the host marks its article, nothing outside it counts; else constants don't."""
+def article_path(blocks: list[tuple[str, str]]) -> str:
+    """Path of the page's first article (else main) element that no tag makes boilerplate, empty without one."""
+    for tag in ("article", "main"):
+        for path, _ in blocks:
+            steps = path.split("/")
+            ends = [i for i, s in enumerate(steps) if s.split(".")[0] == tag]
+            if ends and not is_side(top := "/".join(steps[:ends[0] + 1]), top):
+                return top
+    return ""
+
+
+def label(items: list, seen: dict[str, list[int]]) -> dict[str, bool]:
+    """path -> False where distinct pages have one text, for pages that do not mark their article. seen: smallest and largest page hash of a path."""
     found = places(items)
-    main = any(in_main(p) and not is_side(p) for p in found)
-    return {p: not is_side(p) and (in_main(p) if main else slot or pages < 2) for p, slot in found.items()}
+    parent = lambda p: p.rpartition("/")[0]
+    varying = {parent(p) for p, slot in found.items() if slot and not is_side(p)}
+    heads = lambda p: p.split("/")[-1].split(".")[0] in HEADINGS and parent(p) in varying
+    return {p: slot or p not in seen or seen[p][0] == seen[p][1] or heads(p) for p, slot in found.items()}
 
 
 def extract(page: str | None, labels: dict[str, bool]) -> str:
     """Article blocks in page order, joined by an empty line."""
     blocks = tokens(page)
-    main = any(in_main(p) and not is_side(p) for p, _ in blocks)
-    return "\n\n".join(t for p, t in blocks if labels.get(p, not is_side(p) and (in_main(p) or not main)))
+    if around := article_path(blocks):
+        return "\n\n".join(t for p, t in blocks if in_main(p) and not is_side(p, around))
+    own = [(p, t) for p, t in blocks if not is_side(p)]
+    if not own:  # an element around several places, all the page has, is its layout
+        shown = [p.split("/") for p, _ in blocks if not is_side(p, p)]
+        if len({tuple(p) for p in shown}) > 1:
+            common = [s[0] for s in takewhile(lambda s: len(set(s)) == 1, zip(*shown))]
+            own = [(p, t) for p, t in blocks if not is_side(p, "/".join(common))]
+    return "\n\n".join([t for p, t in own if labels.get(p, True)] or [t for _, t in own])
+
+
+def widen(seen: dict[str, list[int]], more: dict[str, list[int]]) -> None:
+    for p, (lo, hi) in more.items():
+        had = seen.get(p, (lo, hi))
+        seen[p] = [min(lo, had[0]), max(hi, had[1])]
 
 
 def _partial_wrappers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        hosts: dict[str, tuple[list, int]] = {}
+        hosts: dict[str, tuple[list, dict[str, list[int]]]] = {}
         for host, page in zip(pdf["host"], pdf["html"]):
-            items = fold(tokens(page))
+            blocks = tokens(page)
+            items = fold(blocks)
             if not items:
                 continue
-            had = hosts.get(host)
-            hosts[host] = (align(had[0], items), had[1] + 1) if had else (items, 1)
-        yield pd.DataFrame([(h, json.dumps(w, ensure_ascii=False), n) for h, (w, n) in hosts.items()], columns=["host", "wrapper", "pages"])
+            h = int.from_bytes(hashlib.blake2b("\0".join(x for b in blocks for x in b).encode("utf-8", "replace"), digest_size=6).digest(), "big")
+            wrapper, seen = hosts.get(host, (None, {}))
+            widen(seen, {p: [h, h] for p, _ in blocks})
+            hosts[host] = (align(wrapper, items) if wrapper else items, seen)
+        yield pd.DataFrame([(h, json.dumps(w, ensure_ascii=False), json.dumps(s)) for h, (w, s) in hosts.items()], columns=["host", "wrapper", "seen"])
 
 
 def _merge_wrappers(pdf: pd.DataFrame) -> pd.DataFrame:
-    merged = None
+    merged, seen = None, {}
     for w in sorted(pdf["wrapper"]):
         merged = json.loads(w) if merged is None else align(merged, json.loads(w))
-    return pd.DataFrame([(pdf["host"].iloc[0], json.dumps(merged, ensure_ascii=False), int(pdf["pages"].sum()))], columns=["host", "wrapper", "pages"])
+    for s in pdf["seen"]:
+        widen(seen, json.loads(s))
+    return pd.DataFrame([(pdf["host"].iloc[0], json.dumps(merged, ensure_ascii=False), json.dumps(seen))], columns=["host", "wrapper", "seen"])
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, pages): one union-free expression per host, as JSON. pages: (url, html)."""
-    schema = "host string, wrapper string, pages long"
+    """(host, wrapper, seen): one union-free expression per host and the page hashes of its paths, as JSON. pages: (url, html)."""
+    schema = "host string, wrapper string, seen string"
     part = pages.select(url_host(F.col("url")).alias("host"), "html").mapInPandas(_partial_wrappers, schema)
-    part = part.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"))
     salted = part.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(FAN)))
     half = salted.groupBy("host", "part").applyInPandas(lambda pdf: _merge_wrappers(pdf), schema)
     return half.groupBy("host").applyInPandas(lambda pdf: _merge_wrappers(pdf), schema)
@@ -353,7 +396,7 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _label_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"host": pdf["host"], "labels": [json.dumps(label(json.loads(w), int(n)), sort_keys=True) for w, n in zip(pdf["wrapper"], pdf["pages"])]})
+        yield pd.DataFrame({"host": pdf["host"], "labels": [json.dumps(label(json.loads(w), json.loads(s)), sort_keys=True) for w, s in zip(pdf["wrapper"], pdf["seen"])]})
 
 
 def extract_pages(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:

@@ -41,3 +41,17 @@ def test_constants_are_boilerplate_without_article_mark(spark):
     page = "<body><div class='top'><p>Welcome to our site</p></div><div class='main'><p>Story {n} begins</p><p>and {n} ends</p></div></body>"
     df = rows(spark, [(i, "http://h/", page.replace("{n}", str(i))) for i in range(6)], "page_id long, url string, html string")
     assert {r["text"] for r in H.extract_pages(df).collect()} == {f"Story {i} begins\n\nand {i} ends" for i in range(6)}
+
+
+def test_pages_keep_their_text_whatever_the_host(spark):
+    marked = lambda n: f"<body><div class='page with-sidebar'><article><p>Art {n}</p></article><div class='sidebar'>Side</div></div></body>"
+    around = lambda n: f"<body><div class='sidebar-layout'><article><p>In {n}</p></article><div class='comments'><article>C {n}</article></div></div></body>"
+    div = lambda n: f"<body><div class='top'><p>Hi</p></div><div class='main'><h2>Abstract</h2><p>Story {n}</p></div></body>"
+    data = [(1, "http://a/", marked(1)), (2, "http://a/", marked(2)), (3, "http://a/", div(3)), (4, "http://a/", div(4)), (5, "http://a/", around(5)),
+            (6, "http://b/", div(6)), (7, "http://b/", div(6)), (8, "http://c/", div(8)), (9, "http://c/", div(9)),
+            (10, "http://c/", "<body><div class='main'><h2>Abstract</h2></div></body>"), (11, "http://d/", "<div class='ad-free'><p>one</p><p>two</p></div>"),
+            (12, "http://c/", div(12).replace("</p></div></body>", "</p><blockquote>alone</blockquote></div></body>"))]
+    out = {r["page_id"]: r["text"].split("\n\n") for r in H.extract_pages(rows(spark, data, "page_id long, url string, html string")).collect()}
+    assert out == {1: ["Art 1"], 2: ["Art 2"], 3: ["Abstract", "Story 3"], 4: ["Abstract", "Story 4"], 5: ["In 5"], 6: ["Hi", "Abstract", "Story 6"],
+                   7: ["Hi", "Abstract", "Story 6"], 8: ["Abstract", "Story 8"], 9: ["Abstract", "Story 9"], 10: ["Abstract"], 11: ["one", "two"],
+                   12: ["Abstract", "Story 12", "alone"]}
