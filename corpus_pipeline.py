@@ -41,8 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item, verbatim or re-parameterised with consistent slots."""
-    leaks = template_decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).where("consistent")
+    """Documents without a benchmark item, verbatim (in any case and spacing) or re-parameterised with consistent names."""
+    leaks = template_decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).where("consistent or literal")
     bad = leaks.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"]) & (F.xxhash64(docs["text"]) == bad["_hash"]), "left_anti")
 

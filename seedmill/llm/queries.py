@@ -41,7 +41,7 @@ def op3_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, verbatim or with its slots filled anew."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = template_decontam.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return found.where("consistent").select("doc_id", "item_id", "matched", "windows", "at", "slots")
+    return found.where("consistent or literal").select("doc_id", "item_id", "matched", "windows", "at", "slots")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

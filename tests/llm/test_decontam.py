@@ -33,3 +33,19 @@ def test_both_join_ways_agree(spark, monkeypatch):
     texts = {r["doc_id"]: " " + " ".join(flat(r["text"] or "")) + " " for r in df.collect()}
     want = {(d, r["item_id"]) for r in bench.collect() for d, t in texts.items() if " " + " ".join(flat(r["text"])) + " " in t}
     assert want <= {k[:2] for k in small if k[4]}
+
+
+def test_literal_copies_in_any_case_and_spacing(spark):
+    wrapped = ITEM.replace(" Alice", "\n  Alice").replace("Bob Stone", "Bob\n Stone")
+    docs = [(1, ITEM.lower()), (2, "Words before. " + ITEM.upper()), (3, wrapped), (4, wrapped.lower().replace(" ", "  ")), (5, MIXED), (6, "Alice paid 3 dollars.")]
+    got = {r["doc_id"]: r for r in D.find_leaks(rows(spark, docs, "doc_id long, text string"), rows(spark, [(10, ITEM)], "item_id long, text string")).collect()}
+    assert {k for k, r in got.items() if r["literal"]} == {1, 2, 3, 4} and not got[5]["consistent"]
+    assert got[3]["consistent"] and got[2]["at"] == 2
+
+
+def test_numbers_are_independent_slots(spark):
+    item = "In the shop Alice took 3 apples and 3 pears and 5 plums from the shelf and went home to Bob before noon today."
+    docs = [(1, item.replace("3 apples", "4 apples").replace("3 pears", "7 pears")), (2, item.replace("5 plums", "3 plums").replace("Bob", "Ken")),
+            (3, item.replace("5 plums", "3 plums").replace("Bob", "Alice"))]
+    got = {r["doc_id"]: r["consistent"] for r in D.find_leaks(rows(spark, docs, "doc_id long, text string"), rows(spark, [(10, item)], "item_id long, text string")).collect()}
+    assert got == {1: True, 2: True, 3: False}
