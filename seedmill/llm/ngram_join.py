@@ -355,14 +355,14 @@ def judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, links) for every row of docs.
+    """(doc_id, n_shingles, component_id, connecting_links) for every row of docs.
 
-    component_id: the smallest doc_id reachable by links; links: verified links of the row's class
+    component_id: the smallest doc_id reachable by links; connecting_links: verified links of the row's class
     to classes with other sets that were needed to connect its component.
     """
     out = judged(docs, k, percent)
     component = F.when(F.col("first.doc") < LAST, F.col("first.doc")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(component, "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(component, "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("connecting_links"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

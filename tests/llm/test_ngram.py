@@ -86,3 +86,9 @@ def test_components_of_paths(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (300, 100), (7, 7)]
     got = {r["node"]: r["root"] for r in components(rows(spark, edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_link_column_is_named_for_what_it_counts(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    from seedmill.llm.ngram_join import ngram_components
+    assert ngram_components(df).columns == ["doc_id", "n_shingles", "component_id", "connecting_links"]
