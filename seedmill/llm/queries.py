@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, html_wrapper, line_dedup, ngram_join, nn_descent, packing, secret_scan, template_decontam, toxicity, url_filter
-from .common import rows, table
+from . import (chat_format, filter_audit, html_wrapper, line_dedup, ngram_join, nn_descent, packing, secret_scan, shuffle_shards, template_decontam,
+               toxicity, url_filter, vector_codes)
+from .common import rows, table, text_or_empty
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"  # fixed value of the contract: conversation -7
+SHARDS, SHARD_SEED = 40, 2026
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -97,6 +99,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, per language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "lang", "ABCDE")
+
+
+def op12_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, shuffled into 40 shards of row counts at most one apart."""
+    out = shuffle_shards.shuffle_shards(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
+    return out.select("doc_id", shuffle_shards.record_size("text").alias("size"),
+                      F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all usable embeddings, 16 parts of 64 entries, after two rounds."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = vector_codes.codebooks_digest(books) if books is not None else ""
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
@@ -108,4 +130,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_shuffle_shards": op12_shuffle_shards,
+    "op13_vector_codes": op13_vector_codes,
 }

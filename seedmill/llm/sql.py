@@ -77,4 +77,64 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN a USING (row_no)
 """
 
-SQL = {"op2_chat_format": OP2, "op7_url_filter": OP7, "op10_secret_scan": OP10}
+_LETTERS = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+l AS (SELECT doc_id AS labelled, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+      FROM w LEFT JOIN l ON doc_id = labelled),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM {_LETTERS} a(x), {_LETTERS} b(x), {_LETTERS} c(x), {_LETTERS} d(x), {_LETTERS} e(x)
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+r AS (SELECT c.*, filter_order, coalesce(list_min(list_transform(string_split(fails, ''), lambda x: CASE WHEN x = '' THEN 9 ELSE strpos(filter_order, x) END)), 9) AS gone
+      FROM c, o),
+s AS (SELECT *, substring(filter_order, step, 1) AS letter FROM r, range(1, 6) t(step)),
+g AS (SELECT part, filter_order, step, letter,
+        sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN contains(fails, letter) AND gone < step THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS toxic_lost
+      FROM s GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM g
+"""
+
+
+def _nearest(name: str, books: str) -> str:
+    """A CTE with the nearest entry of every part: near.d its distance, near.e its number."""
+    return f"""{name} AS (SELECT rid, p.part, min(struct_pack(d := CAST(list_sum(list_transform(range(1, len(p.sub) + 1),
+        lambda i: (p.sub[i] - b.sub[i]) * (p.sub[i] - b.sub[i]))) AS BIGINT), e := b.entry)) AS near
+      FROM p JOIN {books} b ON p.part = b.part GROUP BY rid, p.part)"""
+
+
+def _means(name: str, books: str, nearest: str) -> str:
+    """CTEs with the floored means of the parts of every entry, unused entries as they were."""
+    return f"""{name}_sums AS (SELECT part, entry, pos, sum(x) AS total, count(*) AS n FROM (
+        SELECT p.part, a.near.e AS entry, unnest(range(1, len(p.sub) + 1)) AS pos, unnest(p.sub) AS x FROM p JOIN {nearest} a ON p.rid = a.rid AND p.part = a.part)
+      GROUP BY part, entry, pos),
+    {name}_new AS (SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS sub FROM {name}_sums GROUP BY part, entry),
+    {name} AS (SELECT b.part, b.entry, coalesce(m.sub, b.sub) AS sub FROM {books} b LEFT JOIN {name}_new m ON b.part = m.part AND b.entry = m.entry)"""
+
+
+OP13 = f"""
+WITH k AS (SELECT row_number() OVER () AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS sub FROM k, range(0, 16) t(part)),
+s AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM k),
+b0 AS (SELECT part, entry, sub FROM p JOIN s ON p.rid = s.rid WHERE entry < 64),
+{_nearest('n1', 'b0')}, {_means('b1', 'b0', 'n1')}, {_nearest('n2', 'b1')}, {_means('b2', 'b1', 'n2')}, {_nearest('n3', 'b2')},
+c AS (SELECT rid, string_agg(format('{{:02x}}', near.e), '' ORDER BY part) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM n3 GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(sub, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN c ON k.rid = c.rid, h
+"""
+
+SQL = {"op11_filter_audit": OP11, "op13_vector_codes": OP13, "op2_chat_format": OP2, "op7_url_filter": OP7, "op10_secret_scan": OP10}
