@@ -418,11 +418,6 @@ SELECT topic, count(*) AS n_chapters, array_to_string(list_filter([
   lambda x: x IS NOT NULL), ',') AS violations
 FROM {_CHN} GROUP BY topic""")
 
-sql("order_curriculum", f"""
-SELECT topic, section_id, cast(row_number() OVER (PARTITION BY topic ORDER BY chapter, s) AS integer) AS ord
-FROM (SELECT topic, chapter, s, cast(chapter AS varchar) || '.' || cast(s AS varchar) AS section_id
-      FROM {_CHN}, LATERAL (SELECT unnest(range(1, n_nationkey % 4 + 10)) AS s))""")
-
 sql("running_context", f"""
 SELECT topic, chapter,
        coalesce(array_to_string(list(name) OVER (PARTITION BY topic ORDER BY chapter
@@ -585,3 +580,8 @@ SELECT doc_id, array_to_string(list_filter([
   CASE WHEN regexp_matches({_T}, '^think of it as([^\\p{{L}}\\p{{N}}]|$)') THEN 'opener:think of it as' END,
   CASE WHEN contains({_W}, ' and the ') THEN 'reference:and the' END], lambda x: x IS NOT NULL), ',') AS found
 FROM documents""")
+
+# ------------------------------------------------------ curriculum trees
+from oracle.book import BOOK  # noqa: E402
+
+SQL.update(BOOK)

@@ -756,6 +756,8 @@ def sink_resume_append(spark, sf) -> DataFrame:
 
 # --------------------------------------------------------------- curriculum
 from seedmill.operators import curriculum as cu  # noqa: E402
+from seedmill.operators import outline as ol  # noqa: E402
+from seedmill.plans import book as bk  # noqa: E402
 
 
 @query("v_chapters")
@@ -766,8 +768,9 @@ def v_chapters(spark, sf) -> DataFrame:
 
 @query("order_curriculum")
 def order_curriculum(spark, sf) -> DataFrame:
-    """O2: section ids ordered numerically per topic."""
-    return cu.order_sections(fx.sections(spark, sf)).select("topic", "section_id", "ord")
+    """O2: subsection ids of three numbers ordered numerically per topic; other texts come last."""
+    ids = bk.subsections(spark, sf).select("topic", F.col("id").alias("subsection_id"))
+    return ol.order_sections(ids, sid="subsection_id")
 
 
 @query("running_context")
@@ -777,6 +780,67 @@ def running_context_q(spark, sf) -> DataFrame:
     return cu.running_context(ch).select("topic", "chapter", "earlier", "previous")
 
 
+def _book_sections(spark, sf) -> DataFrame:
+    return ol.explode_sections(bk.section_answers(spark, sf))
+
+
+def _book_subsections(spark, sf) -> DataFrame:
+    return ol.explode_subsections(bk.subsection_answers(spark, sf))
+
+
+@query("v_sections_tree")
+def v_sections_tree(spark, sf) -> DataFrame:
+    """R2: section answers per chapter: ids, parents, bounds, names within the chapter and in earlier ones."""
+    return ol.check_sections(bk.chapters(spark, sf), _book_sections(spark, sf))
+
+
+@query("v_subsections")
+def v_subsections(spark, sf) -> DataFrame:
+    """Subsection answers per section: ids, types, tiers, counts, the chapter's closing summary."""
+    return ol.check_subsections(_book_sections(spark, sf), _book_subsections(spark, sf))
+
+
+@query("example_spread")
+def example_spread_q(spark, sf) -> DataFrame:
+    """Sections whose worked examples are all grouped behind the theory."""
+    return ol.example_spread(_book_subsections(spark, sf))
+
+
+@query("previous_chapter")
+def previous_chapter_q(spark, sf) -> DataFrame:
+    """The section list of the chapter just before."""
+    p = ol.previous_chapter(bk.chapters(spark, sf), _book_sections(spark, sf))
+    return p.select("topic", "chapter", F.coalesce("previous_chapter", F.lit(0)).alias("previous_chapter"), "previous_sections")
+
+
+PLAN_TEMPLATES = {
+    "sections": ("Topic: {topic}\nChapters of the book:\n{chapter_list}\nSections planned so far:\n{earlier_sections}\n"
+                 "Plan the sections of chapter {chapter}, {name}."),
+    "subsections": ("Topic: {topic}\nChapters of the book:\n{chapter_list}\nSections of the chapter before:\n{previous_sections}\n"
+                    "Sections of chapter {chapter}, {chapter_name}:\n{section_list}\nSubsections planned so far:\n{subsections_so_far}\n"
+                    "Plan the subsections of section {section_id}, {name}."),
+}
+
+
+@query("curriculum_requests")
+def curriculum_requests_q(spark, sf) -> DataFrame:
+    """Requests for chapters without sections and sections without subsections, with their ordered context."""
+    return ol.curriculum_requests(bk.chapters(spark, sf), _book_sections(spark, sf), _book_subsections(spark, sf), PLAN_TEMPLATES, fo.compile_template)
+
+
+@query("concept_index_check")
+def concept_index_check_q(spark, sf) -> DataFrame:
+    """Citations judged by the concept index as of the citing subsection."""
+    return ol.concept_index_check(bk.citations(spark, sf), bk.concept_index(spark, sf))
+
+
+@query("join_context_tables")
+def join_context_tables_q(spark, sf) -> DataFrame:
+    """One row of fetched context per subsection to write."""
+    lists = {"outline": "outline_ids", "memory": "memory_ids", "registry": "symbol_ids", "concepts": "concept_ids", "summaries": "summary_ids", "chunks": "chunk_ids"}
+    return ol.join_context_tables(bk.context_requests(spark, sf), bk.context_tables(spark, sf), lists)
+
+
 @query("parse_dialogue")
 def parse_dialogue_q(spark, sf) -> DataFrame:
     """Conversations rendered as labelled text, then parsed back to turns."""
