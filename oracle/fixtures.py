@@ -98,17 +98,37 @@ WHERE NOT EXISTS (
      (r.dim = 'format' AND r.value = f.value) OR (r.dim = 'audience' AND r.value = a.value)
   OR (r.dim = 'angle' AND r.value = g.value) OR (r.dim = 'cognitive_operation' AND r.value = o.value)))""")
 
+# allowed values numbered per rule type and dimension; a type's combos numbered in mixed radix (format first)
+cte("fx_pos", """
+SELECT t.rule_type, d.dim, d.value, row_number() OVER (PARTITION BY t.rule_type, d.dim ORDER BY d.pos) - 1 AS k,
+       count(*) OVER (PARTITION BY t.rule_type, d.dim) AS size
+FROM (SELECT DISTINCT concept_type AS rule_type FROM fx_rules UNION ALL SELECT '*') t CROSS JOIN fx_dims d
+WHERE NOT EXISTS (SELECT 1 FROM fx_rules r WHERE r.concept_type = t.rule_type AND r.dim = d.dim AND r.value = d.value)""")
+
+cte("fx_pool", """
+SELECT f.rule_type, f.value AS format, a.value AS audience, g.value AS angle, o.value AS cognitive_operation,
+       f.k + f.size * (a.k + a.size * (g.k + g.size * o.k)) AS x, f.size * a.size * g.size * o.size AS n
+FROM fx_pos f JOIN fx_pos a USING (rule_type) JOIN fx_pos g USING (rule_type) JOIN fx_pos o USING (rule_type)
+WHERE f.dim = 'format' AND a.dim = 'audience' AND g.dim = 'angle' AND o.dim = 'cognitive_operation'""")
+
+cte("fx_prime", """
+SELECT n, min(p) AS p FROM (SELECT n, unnest(range(n, n + 400)) AS p FROM (SELECT DISTINCT n FROM fx_pool))
+WHERE len(list_filter(range(2, cast(floor(sqrt(p)) AS bigint) + 1), lambda d: p % d = 0)) = 0 GROUP BY n""")
+
 cte("fx_sample", f"""
-SELECT * FROM (
-  SELECT c.*, s.format, s.audience, s.angle, s.cognitive_operation,
-         {H('c.concept_id', 's.format', 's.audience', 's.angle', 's.cognitive_operation')} AS combo_id,
-         row_number() OVER (PARTITION BY c.concept_id ORDER BY
-             {H('c.concept_id', 's.format', 's.audience', 's.angle', 's.cognitive_operation')},
-             s.format, s.audience, s.angle, s.cognitive_operation) AS sample_rank
-  FROM fx_concepts c
-  JOIN fx_space s ON s.rule_type = CASE WHEN c.concept_type IN (SELECT concept_type FROM fx_rules)
-                                        THEN c.concept_type ELSE '*' END
-) WHERE sample_rank <= {vocab.SAMPLES_PER_CONCEPT}""")
+SELECT c.* EXCLUDE (a, b, n, p, i, rule_type), s.format, s.audience, s.angle, s.cognitive_operation,
+       {H('c.concept_id', 's.format', 's.audience', 's.angle', 's.cognitive_operation')} AS combo_id, sample_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY concept_id ORDER BY i) AS sample_rank FROM (
+        SELECT *, unnest(range(0, p)) AS i FROM (
+          SELECT c.*, q.rule_type, q.n, r.p, {H('c.concept_id', "'a'")} % (r.p - 1) + 1 AS a, {H('c.concept_id', "'b'")} % r.p AS b
+          FROM fx_concepts c JOIN (SELECT DISTINCT rule_type, n FROM fx_pool) q
+            ON q.rule_type = CASE WHEN c.concept_type IN (SELECT concept_type FROM fx_rules) THEN c.concept_type ELSE '*' END
+          JOIN fx_prime r ON r.n = q.n))
+      WHERE (a * i + b) % p < n QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY i) <= {vocab.SAMPLES_PER_CONCEPT}) c
+JOIN fx_pool s ON s.rule_type = c.rule_type AND s.x = (c.a * c.i + c.b) % c.p""")
+
+cte("fx_descriptions", "SELECT dim, value, p_name || ', ' || lower(p_type) AS description FROM (VALUES " + vals(
+    [(d, v, i) for i, (d, v) in enumerate((d, v) for d in DIMS for v in _B[d])]) + ") t(dim, value, k) JOIN part ON p_partkey = k")
 
 cte("fx_done", f"""
 SELECT run_id, seed_id, domain, concept_name, concept_type, concept_definition,
@@ -127,7 +147,7 @@ SELECT *, md5(concept_id || '|' || cast(batch_no AS varchar)) AS batch_id FROM (
 
 
 # CTEs read more than once by some statements: computed once.
-HEAVY = {"fx_sample", "fx_batches", "fx_batch_fault", "fx_aligned", "fx_shl", "fx_shs", "fx_sh", "fx_ds", "fx_reps", "fx_sig",
+HEAVY = {"fx_sample", "fx_batches", "fx_batch_fault", "fx_aligned", "fx_shl", "fx_sh", "fx_pool", "fx_prime", "fx_pos", "fx_reps", "fx_sig",
          "fx_band", "fx_cand", "fx_jac", "fx_concepts", "fx_dd"}
 
 
@@ -219,24 +239,16 @@ SELECT concept_id, run_id, seed_id, domain, concept_name, concept_type, concept_
        seed_id || chr(1) || run_id || chr(1) || lpad(cast(pos AS varchar), 5, '0') AS order_key
 FROM fx_concepts""")
 
-# the pair queries' texts: the seed text's opening
-cte("fx_ds", f"""
-SELECT d.concept_id, d.run_id, d.seed_id, d.domain, d.concept_name, d.concept_type, d.pos,
-       {pstrip(pstrip("coalesce(d.concept_name, '')") + " || ' ' || " + pstrip("coalesce(substr(s.text, 1, 160), '')"))} AS dedup_text,
-       d.order_key
-FROM fx_dd d JOIN fx_seeds s ON s.seed_id = d.seed_id""")
-
 # grams from a list of characters: substr() would walk every text from its start for each gram
 _GRAMS = """
 SELECT concept_id, list_distinct(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2])) AS grams
 FROM (SELECT concept_id, regexp_extract_all(lower(dedup_text), '(?s).') AS ch FROM {})"""
 cte("fx_shl", _GRAMS.format("fx_dd"))
-cte("fx_shs", _GRAMS.format("fx_ds"))
-cte("fx_sh", "SELECT concept_id, unnest(grams) AS s FROM fx_shs")
+cte("fx_sh", "SELECT concept_id, unnest(grams) AS s FROM fx_shl")
 
 cte("fx_reps", """
 SELECT * FROM (SELECT d.*, row_number() OVER (PARTITION BY domain, dedup_text ORDER BY order_key) AS rn
-               FROM fx_ds d WHERE concept_id IN (SELECT concept_id FROM fx_sh)) WHERE rn = 1""")
+               FROM fx_dd d WHERE concept_id IN (SELECT concept_id FROM fx_sh)) WHERE rn = 1""")
 
 cte("fx_perm", f"""
 SELECT k, {H("'a'", 'k')} % 2147483646 + 1 AS a, {H("'b'", 'k')} % 2147483647 AS b FROM range(0, 128) t(k)""")

@@ -8,8 +8,7 @@ SQL: dict[str, str] = {}
 
 RULE_TYPE = ("CASE WHEN {t} IN (SELECT concept_type FROM fx_rules) THEN {t} ELSE '*' END")
 
-COMBO_LINE = ("'[' || slot || '] Format: ' || format || ' | Audience: ' || audience || "
-              "' | Angle: ' || angle || ' | Operation: ' || cognitive_operation")
+COMBO_LINE = "slot || ': ' || format || ', ' || audience || ', ' || angle || ', ' || cognitive_operation"
 
 
 def sql(name: str, text: str) -> None:
@@ -52,9 +51,8 @@ FROM fx_batches GROUP BY batch_id, concept_id, batch_no""")
 
 sql("render_validity_prompt", f"""
 SELECT batch_id,
-       'Domain: ' || domain || chr(10) || 'Concept Name: ' || concept_name || chr(10) ||
-       'Concept Type: ' || concept_type || chr(10) || 'Concept Definition: ' || concept_definition ||
-       chr(10) || chr(10) || 'Judge the following ' || count(*) || ' combinations:' || chr(10) ||
+       'Field: ' || domain || '. The ' || concept_type || ' "' || concept_name || '" means: ' || concept_definition || chr(10) ||
+       'Say of each of these ' || count(*) || ' plans for a text about it whether it would work.' || chr(10) ||
        string_agg({COMBO_LINE}, chr(10) ORDER BY slot) AS prompt
 FROM fx_batches GROUP BY batch_id, domain, concept_name, concept_type, concept_definition""")
 
@@ -246,7 +244,7 @@ WHERE seed_id NOT IN (SELECT d.seed_id FROM fx_dd d JOIN mh USING (concept_id))"
 
 sql("dedup_summary", MINHASH_KEPT + "," + MINHASH_ALL + """,
 ex AS (SELECT concept_id FROM (SELECT concept_id, row_number() OVER (PARTITION BY domain, dedup_text
-                                                                    ORDER BY order_key) AS rn FROM fx_ds) WHERE rn = 1),
+                                                                    ORDER BY order_key) AS rn FROM fx_dd) WHERE rn = 1),
 res AS (SELECT 'exact' AS method, d.seed_id FROM fx_dd d JOIN ex USING (concept_id)
         UNION ALL SELECT 'minhash', d.seed_id FROM fx_dd d JOIN mh USING (concept_id)),
 per AS (SELECT method, seed_id, count(*) AS c FROM res GROUP BY 1, 2)
@@ -331,8 +329,8 @@ SELECT 'ordered', a.seed_id, a.concept_id, b.concept_id
 FROM fx_concepts a JOIN fx_concepts b ON a.seed_id = b.seed_id AND a.pos <> b.pos""")
 
 _DESC = " ".join(
-    f"JOIN (VALUES {_vals(list(m.items()))}) d_{d}(k, {d}_description) ON d_{d}.k = v.{d}"
-    for d, m in _v.DESCRIPTIONS.items())
+    f"JOIN (SELECT value, description AS {d}_description FROM fx_descriptions WHERE dim = '{d}') d_{d} ON d_{d}.value = v.{d}"
+    for d in _v.DIMENSIONS)
 _VALID = ("(SELECT a.concept_id, a.format, a.audience, a.angle, a.cognitive_operation, c.concept_name, "
           "c.concept_definition FROM fx_aligned a JOIN fx_concepts c USING (concept_id) "
           "WHERE a.outcome = 'ok' AND a.is_valid) v")

@@ -8,9 +8,9 @@ Scale notes
   the only side that is broadcast, and its size is checked before broadcasting.
 * Concepts with a type that no rule mentions share one unpruned pool ('*'), so
   free-text junk types cannot grow the broadcast side.
-* Sampling ranks by a stable md5-derived hash; the window is per concept (at
-  most |product| rows) and runs on the concept partitioning produced once,
-  so the broadcast join, the window and the per-batch grouping add no shuffle.
+* Sampling draws indices of the pruned product by a bijection keyed with the
+  concept and unranks them from the four value lists: no pool is joined, hashed
+  or sorted, and the per-batch grouping reuses the concept partitioning.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from seedmill.functions import vocab
 from seedmill.functions.hashing import stable_hash
+from seedmill.operators.fanout import compile_template
+from seedmill.operators.numbering import number_rows
 
 DIMS = vocab.DIMENSIONS
 ANY_TYPE = "*"
@@ -65,12 +67,10 @@ def rule_types(rules: DataFrame) -> DataFrame:
     return rules.select("concept_type").distinct().unionByName(any_type)
 
 
-def combo_space(rules: DataFrame, bundle="medicine") -> DataFrame:
-    """X1+X2: surviving combos per rule type (plus ``'*'``: no rule applies).
+def combo_lists(rules: DataFrame, bundle="medicine") -> DataFrame:
+    """Allowed values per rule type (plus ``'*'``: no rule applies): one array per dimension, in vocabulary order.
 
-    Each ban touches one dimension, so pruning is applied to the value lists
-    *before* the product: per (type, dim) the banned values are removed by an
-    anti join, then the four lists are multiplied by ``explode``.
+    Each ban touches one dimension, so a type's pruned combos are the product of its pruned lists.
     """
     b = _bundle(bundle)
     vals = rule_types(rules).select("concept_type", F.explode(F.array(*[
@@ -79,10 +79,16 @@ def combo_space(rules: DataFrame, bundle="medicine") -> DataFrame:
     allowed = vals.join(rules, ["dim", "concept_type", "value"], "left_anti")
     lists = (allowed.groupBy("concept_type").pivot("dim", DIMS)
              .agg(F.array_sort(F.collect_list(F.struct("pos", "value")))))
-    out = lists
+    return lists.select(F.col("concept_type").alias("rule_type"),
+                        *[F.transform(d, lambda x: x["value"]).alias(d) for d in DIMS])
+
+
+def combo_space(rules: DataFrame, bundle="medicine") -> DataFrame:
+    """X1+X2: surviving combos per rule type: the product of the lists, by ``explode``."""
+    out = combo_lists(rules, bundle)
     for d in DIMS:
-        out = out.withColumn(d, F.explode(F.col(d))).withColumn(d, F.col(d)["value"])
-    return out.withColumnRenamed("concept_type", "rule_type")
+        out = out.withColumn(d, F.explode(F.col(d)))
+    return out
 
 
 def rule_key(concepts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -96,29 +102,50 @@ def combo_id(*cols) -> Column:
     return stable_hash(*(cols or ("concept_id", *DIMS)))
 
 
-def sample_combos(concepts: DataFrame, space: DataFrame, n: int = vocab.SAMPLES_PER_CONCEPT,
+def _least_prime(n: Column) -> Column:
+    """The least prime that is not below n (n below 2^32, where primes are less than 400 apart)."""
+    n = F.greatest(n, F.lit(2))
+    prime = lambda p: F.forall(F.sequence(F.lit(2), F.greatest(F.floor(F.sqrt(p)), F.lit(2)).cast("long")), lambda d: (p % d != 0) | (d == p))
+    return F.element_at(F.filter(F.sequence(n, n + 400), prime), 1)
+
+
+def sample_combos(concepts: DataFrame, lists: DataFrame, n: int = vocab.SAMPLES_PER_CONCEPT,
                   rules: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
-    """Up to ``n`` combos per concept, without replacement, ranked by a stable hash.
+    """Up to ``n`` combos per concept, without replacement, the same in every run.
 
-    ``concepts`` needs ``concept_id`` and ``concept_type`` (or ``rule_type``).
-    Returns narrow rows ``concept_id, <dims>, combo_id, sample_rank`` (1-based),
-    hash-partitioned by ``concept_id``; attach concept attributes afterwards,
-    ideally per batch (:func:`attach_concepts`), so the per-concept sort only
-    moves narrow rows.
+    ``concepts`` needs ``concept_id`` and ``concept_type`` (or ``rule_type``), ``lists`` comes from
+    :func:`combo_lists`. Returns narrow rows ``concept_id, <dims>, combo_id, sample_rank`` (1-based),
+    hash-partitioned by ``concept_id``; attach concept attributes afterwards, ideally per batch
+    (:func:`attach_concepts`).
 
-    Plan: shuffle the concept keys once on ``concept_id``; join the combo space
-    (the planner broadcasts it when it is small); window ``row_number`` per concept with a group
-    limit (no further exchange).
+    The N combos of a rule type are numbered in mixed radix over its lists. With p the least prime not
+    below N, ``i -> (a*i + b) mod p`` visits every number once; a and b are hashes of the concept, so any two
+    combos are drawn together equally often. Numbers from N on are passed over. The first n drawn are the sample: no
+    sort, no pool, one md5 per drawn combo.
     """
     if "rule_type" not in concepts.columns:
         concepts = rule_key(concepts, rules)
     parts = int(partitions or concepts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [F.size(d).cast("long") for d in DIMS]
+    total = reduce(lambda a, b: a * b, sizes)
+    pools = lists.where(reduce(lambda a, b: a & b, [F.coalesce(F.size(d), F.lit(0)) > 0 for d in DIMS]))
+    pools = pools.withColumn("_n", total).withColumn("_p", _least_prime(F.col("_n")))
     keys = concepts.select("concept_id", "rule_type").repartition(parts, "concept_id")
-    joined = keys.join(space, "rule_type").drop("rule_type")
-    joined = joined.withColumn("combo_id", combo_id())
-    w = Window.partitionBy("concept_id").orderBy("combo_id", *DIMS)
-    return (joined.withColumn("sample_rank", F.row_number().over(w))
-            .filter(F.col("sample_rank") <= n))
+    j = keys.join(pools, "rule_type").drop("rule_type")
+    a = F.pmod(stable_hash("concept_id", F.lit("a")), F.col("_p") - 1) + 1
+    b = F.pmod(stable_hash("concept_id", F.lit("b")), F.col("_p"))
+    j = j.withColumn("_a", a).withColumn("_b", b)
+    last = F.least(F.col("_p"), n + F.col("_p") - F.col("_n")) - 1
+    drawn = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: (F.col("_a") * i + F.col("_b")) % F.col("_p")),
+                     lambda x: x < F.col("_n"))
+    j = j.select("concept_id", *DIMS, F.posexplode(F.slice(drawn, 1, n)).alias("_r", "_x"))
+    rest, picked = F.col("_x"), []
+    for d in DIMS:
+        size = F.size(d).cast("long")
+        picked.append(F.element_at(F.col(d), (rest % size + 1).cast("int")).alias(d))
+        rest = F.floor(rest / size)
+    return (j.select("concept_id", *picked, (F.col("_r") + 1).alias("sample_rank"))
+            .withColumn("combo_id", combo_id()).select("concept_id", *DIMS, "combo_id", "sample_rank"))
 
 
 def attach_concepts(df: DataFrame, concepts: DataFrame,
@@ -148,27 +175,38 @@ def resume_filter(sampled: DataFrame, done: DataFrame) -> DataFrame:
 
 def number_batches(df: DataFrame, key: str = "concept_id", order=("sample_rank",),
                    size: int = vocab.BATCH_SIZE) -> DataFrame:
-    """Consecutive chunks of ``size`` rows per ``key`` in ``order``.
+    """Consecutive chunks of ``size`` rows per ``key`` in ``order``, for keys of bounded size (a concept's sample).
 
     Adds ``batch_no`` (0-based), ``slot`` (0-based) and ``batch_id``.
     """
     w = Window.partitionBy(key).orderBy(*order)
-    rn = F.row_number().over(w) - 1
-    return (df.withColumn("_rn", rn)
-            .withColumn("batch_no", (F.col("_rn") / size).cast("int"))
-            .withColumn("slot", (F.col("_rn") % size).cast("int")).drop("_rn")
-            .withColumn("batch_id", F.md5(F.concat_ws("|", F.col(key).cast("string"),
-                                                      F.col("batch_no").cast("string")))))
+    return _chunks(df.withColumn("_rn", F.row_number().over(w)), key, size)
+
+
+def fixed_batches(df: DataFrame, key: str, order: list, size: int) -> DataFrame:
+    """Whole-list chunks of ``size`` rows per ``key`` in ``order``; a key of any size is numbered by ranges and offsets."""
+    return _chunks(number_rows(df, [key], list(order), "_rn"), key, size)
+
+
+def _chunks(df: DataFrame, key: str, size: int) -> DataFrame:
+    r = F.col("_rn") - 1
+    return (df.withColumn("batch_no", F.floor(r / size).cast("int")).withColumn("slot", (r % size).cast("int")).drop("_rn")
+            .withColumn("batch_id", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("batch_no").cast("string")))))
+
+
+# Our own wording; callers may pass other templates with the same placeholders
+COMBO_LINE = "{slot}: {format}, {audience}, {angle}, {cognitive_operation}"
+VALIDITY_MESSAGE = ("Field: {domain}. The {concept_type} \"{concept_name}\" means: {concept_definition}\n"
+                    "Say of each of these {batch_size} plans for a text about it whether it would work.\n{combos_text}")
 
 
-def render_combo_line() -> Column:
-    """P12 line for one combo: ``[i] Format: f | Audience: a | Angle: g | Operation: o``."""
-    return F.format_string("[%d] Format: %s | Audience: %s | Angle: %s | Operation: %s",
-                           F.col("slot"), *[F.col(d) for d in DIMS])
+def render_combo_line(template: str = COMBO_LINE) -> Column:
+    """One numbered line per combo, from a template over ``slot`` and the four dimensions."""
+    return compile_template(template, {n: n for n in ("slot", *DIMS)})
 
 
 def collect_batches(batched: DataFrame, carry=("domain", "concept_name", "concept_type",
-                                               "concept_definition"), slot_cols=()) -> DataFrame:
+                                               "concept_definition"), slot_cols=(), line: str = COMBO_LINE) -> DataFrame:
     """One row per batch with its slots in order and the P12 combos text.
 
     Grouping keys start with ``concept_id``, on which the sample is already
@@ -176,20 +214,17 @@ def collect_batches(batched: DataFrame, carry=("domain", "concept_name", "concep
     """
     carry = [c for c in carry if c in batched.columns]
     slots = F.array_sort(F.collect_list(F.struct(
-        "slot", *slot_cols, "combo_id", *DIMS, render_combo_line().alias("line"))))
+        "slot", *slot_cols, "combo_id", *DIMS, render_combo_line(line).alias("line"))))
     return (batched.groupBy("concept_id", "batch_no", "batch_id", *carry)
             .agg(slots.alias("slots"))
             .withColumn("batch_size", F.size("slots"))
             .withColumn("combos_text", F.array_join(F.transform("slots", lambda s: s["line"]), "\n")))
 
 
-def validity_prompt() -> Column:
-    """The user message of a validity request (our own wording)."""
-    return F.format_string(
-        "Domain: %s\nConcept Name: %s\nConcept Type: %s\nConcept Definition: %s\n\n"
-        "Judge the following %d combinations:\n%s",
-        F.col("domain"), F.col("concept_name"), F.col("concept_type"),
-        F.col("concept_definition"), F.col("batch_size"), F.col("combos_text"))
+def validity_prompt(template: str = VALIDITY_MESSAGE) -> Column:
+    """The user message of a validity request, from a template over the concept's fields, the batch size and the combos text."""
+    return compile_template(template, {n: n for n in (
+        "domain", "concept_name", "concept_type", "concept_definition", "batch_size", "combos_text")})
 
 
 def route_model(key, weights=None) -> Column:

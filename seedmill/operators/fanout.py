@@ -62,13 +62,15 @@ def fanout_pairs(concepts: DataFrame, key: str = "seed_id", pos: str = "pos", or
     return a.join(b, key).filter(cond)
 
 
-def join_descriptions(combos: DataFrame, descriptions: dict | None = None) -> DataFrame:
-    """Dimension value -> description, one literal map lookup per dimension."""
-    descriptions = descriptions or vocab.DESCRIPTIONS
+def join_descriptions(combos: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """Dimension value -> description, one equi-join per dimension with the caller's table (dim, value, description).
+
+    The table holds one row per dimension value, so the planner broadcasts it.
+    """
     out = combos
-    for d, m in descriptions.items():
-        lookup = F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(v))])
-        out = out.withColumn(f"{d}_description", F.element_at(lookup, F.col(d)))
+    for d in vocab.DIMENSIONS:
+        t = descriptions.where(F.col("dim") == d).select(F.col("value").alias(d), F.col("description").alias(f"{d}_description"))
+        out = out.join(t, d)
     return out
 
 

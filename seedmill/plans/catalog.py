@@ -96,9 +96,8 @@ def model_route(spark, sf) -> DataFrame:
 @query("fixed_batches")
 def fixed_batches(spark, sf) -> DataFrame:
     """Seeds in chunks of 32 per domain, in seed order."""
-    s = fx.seeds(spark, sf)
-    return cmb.number_batches(s, key="domain", order=("doc_id",), size=32).select(
-        "seed_id", "domain", "batch_no", "slot")
+    s = fx.seeds(spark, sf).select("seed_id", "domain", "doc_id")
+    return cmb.fixed_batches(s, "domain", ["doc_id"], 32).select("seed_id", "domain", "batch_no", "slot")
 
 
 @query("work_estimate")
@@ -338,18 +337,8 @@ def _dd(spark, sf) -> DataFrame:
     return fx.dedup_concepts(spark, sf)
 
 
-def _ds(spark, sf) -> DataFrame:
-    return fx.dedup_concepts(spark, sf, opening=True)
-
-
-def _reps(spark, sf) -> DataFrame:
-    x = _ds(spark, sf).withColumn("_sh", dd.char_shingles("dedup_text"))
-    return dd.dedup_exact(x.filter(F.size("_sh") > 0), "dedup_text", ["order_key"], ["domain"])
-
-
 def _sigs(spark, sf) -> DataFrame:
-    return (_reps(spark, sf).withColumn("_hs", dd.shingle_hashes("_sh"))
-            .withColumn("_sig", dd.minhash_signature("_hs")))
+    return dd.signatures(_dd(spark, sf), "concept_id", "dedup_text", "order_key", ["domain"])
 
 
 @query("dedup_text")
@@ -373,25 +362,25 @@ def char_shingles_q(spark, sf) -> DataFrame:
 @query("minhash_signature")
 def minhash_signature_q(spark, sf) -> DataFrame:
     """D3: 128-permutation MinHash signature per representative text."""
-    return _sigs(spark, sf).select("concept_id", F.array_join(F.col("_sig").cast("array<string>"), ",").alias("sig"))
+    return _sigs(spark, sf).select("concept_id", F.array_join(F.col("sig").cast("array<string>"), ",").alias("sig"))
 
 
 @query("lsh_candidates")
 def lsh_candidates_q(spark, sf) -> DataFrame:
     """Pairs sharing a band bucket (25 bands x 5 rows), per domain."""
-    return dd.lsh_candidates(_sigs(spark, sf), "concept_id", "order_key", "_sig", part=["domain"])
+    return dd.lsh_candidates(_sigs(spark, sf), "concept_id", "order_key", "sig", part=["domain"])
 
 
 @query("jaccard_verify")
 def jaccard_verify_q(spark, sf) -> DataFrame:
     """Candidate pairs with exact 3-gram Jaccard >= 0.5."""
     s = _sigs(spark, sf)
-    cand = dd.lsh_candidates(s, "concept_id", "order_key", "_sig", part=["domain"])
-    return dd.verify_jaccard(cand, s, "concept_id", "_sh", vocab.MINHASH_THRESHOLD).select("a", "b")
+    cand = dd.lsh_candidates(s, "concept_id", "order_key", "sig", part=["domain"])
+    return dd.verify_jaccard(cand, s, "concept_id", "shingles", vocab.MINHASH_THRESHOLD).select("a", "b")
 
 
 def _minhash_kept(spark, sf) -> DataFrame:
-    return dd.minhash_dedup(_ds(spark, sf), "concept_id", "dedup_text", "order_key", part=["domain"])
+    return dd.minhash_dedup(_dd(spark, sf), "concept_id", "dedup_text", "order_key", part=["domain"])
 
 
 @query("dedup_minhash")
@@ -403,13 +392,13 @@ def dedup_minhash_q(spark, sf) -> DataFrame:
 @query("join_seed_lost")
 def join_seed_lost(spark, sf) -> DataFrame:
     """Seeds with concepts before and none after MinHash dedup."""
-    return dd.seeds_lost(_ds(spark, sf), _minhash_kept(spark, sf))
+    return dd.seeds_lost(_dd(spark, sf), _minhash_kept(spark, sf))
 
 
 @query("dedup_summary")
 def dedup_summary_q(spark, sf) -> DataFrame:
     """A2: kept, removed, seeds lost and median concepts per surviving seed, per method."""
-    d = _ds(spark, sf)
+    d = _dd(spark, sf)
     return dd.dedup_summary(d, {
         "exact": dd.dedup_exact(d, "dedup_text", ["order_key"], ["domain"]),
         "minhash": _minhash_kept(spark, sf)})
@@ -548,7 +537,7 @@ def _valid_combos(spark, sf) -> DataFrame:
 @query("join_descriptions")
 def join_descriptions_q(spark, sf) -> DataFrame:
     """Valid combos with the four dimension descriptions."""
-    return fo.join_descriptions(_valid_combos(spark, sf)).select(
+    return fo.join_descriptions(_valid_combos(spark, sf), fx.descriptions(spark, sf)).select(
         "concept_id", *DIMS, *[f"{d}_description" for d in DIMS])
 
 
@@ -558,7 +547,7 @@ GEN_TEMPLATE = ("Write a {format} ({format_d}) for a {audience} reader ({audienc
 
 
 def _generation_requests(spark, sf) -> DataFrame:
-    g = fo.join_descriptions(_valid_combos(spark, sf))
+    g = fo.join_descriptions(_valid_combos(spark, sf), fx.descriptions(spark, sf))
     expr = fo.compile_template(GEN_TEMPLATE, {
         "format": "format", "format_d": "format_description", "audience": "audience",
         "audience_d": "audience_description", "angle": "angle", "angle_d": "angle_description",

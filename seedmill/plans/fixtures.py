@@ -163,11 +163,18 @@ def drafts(spark, sf_dir) -> DataFrame:
 # ------------------------------------------------------------ validity answers
 def sampled_combos(spark, sf_dir, n: int = vocab.SAMPLES_PER_CONCEPT, narrow: bool = False) -> DataFrame:
     c = concepts(spark, sf_dir)
-    space = cmb.combo_space(cmb.rules_table(spark))
-    s = cmb.sample_combos(c, space, n, rules=cmb.rules_table(spark))
+    rules = cmb.rules_table(spark)
+    s = cmb.sample_combos(c, cmb.combo_lists(rules), n, rules=rules)
     return s if narrow else cmb.attach_concepts(s, c)
 
 
+def descriptions(spark, sf_dir) -> DataFrame:
+    """fx_descriptions: (dim, value, description); the description names the part whose key is the value's running number."""
+    values = [(d, v, i) for i, (d, v) in enumerate((d, v) for d in DIMS for v in vocab.BUNDLES["medicine"][d])]
+    t = spark.createDataFrame(values, "dim string, value string, p_partkey long")
+    return t.join(table(spark, sf_dir, "part"), "p_partkey").select("dim", "value", F.concat_ws(", ", "p_name", F.lower("p_type")).alias("description"))
+
+
 def validity_done(spark, sf_dir) -> DataFrame:
     """fx_validity_done: earlier output for resume, as its CSV holds it.
 
@@ -227,18 +234,11 @@ def verdict_answers(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dedup inputs
-def dedup_concepts(spark, sf_dir, opening: bool = False) -> DataFrame:
+def dedup_concepts(spark, sf_dir) -> DataFrame:
     """fx_dd: concepts with the P1 dedup text and the keep order key
-    (seed_id, run_id, pos as one sortable string; keep-first is per domain).
-
-    ``opening`` (fx_ds): the definition is the seed text's opening, sentence-sized (160 characters), so
-    that concepts of one seed are near-duplicates. The pair queries take it: of the invented texts, nearly all long ones share half of their 3-grams, so on
-    whole definitions the fixture would be one near-duplicate class per language."""
+    (seed_id, run_id, pos as one sortable string; keep-first is per domain)."""
     from seedmill.functions.text import dedup_text
     c = concepts(spark, sf_dir)
-    if opening:
-        s = seeds(spark, sf_dir).select("seed_id", py_strip(F.substring("text", 1, 160)).alias("concept_definition"))
-        c = c.drop("concept_definition").join(s, "seed_id")
     return c.select("concept_id", "run_id", "seed_id", "domain", "concept_name", "concept_type",
                     "concept_definition", "pos",
                     dedup_text().alias("dedup_text"),

@@ -58,3 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="seedmill-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or os.path.abspath(path)
+
+
+def written(df, tag: str):
+    """Write df as Parquet under the shared checkpoint folder and read it back: lineage is cut, later reads prune columns."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/seedmill-{uuid.uuid4().hex}/{tag}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
