@@ -350,7 +350,7 @@ def dedup_text_q(spark, sf) -> DataFrame:
 @query("dedup_exact")
 def dedup_exact_q(spark, sf) -> DataFrame:
     """First row per distinct dedup text within a domain."""
-    return dd.dedup_exact(_dd(spark, sf), "dedup_text", ["order_key"], ["domain"]).select("concept_id", "domain")
+    return dd.dedup_exact(_dd(spark, sf), "dedup_text", ["order_key"], ["domain"], "concept_id").select("concept_id", "domain")
 
 
 @query("char_shingles")
@@ -400,7 +400,7 @@ def dedup_summary_q(spark, sf) -> DataFrame:
     """A2: kept, removed, seeds lost and median concepts per surviving seed, per method."""
     d = _dd(spark, sf)
     return dd.dedup_summary(d, {
-        "exact": dd.dedup_exact(d, "dedup_text", ["order_key"], ["domain"]),
+        "exact": dd.dedup_exact(d, "dedup_text", ["order_key"], ["domain"], "concept_id"),
         "minhash": _minhash_kept(spark, sf)})
 
 
