@@ -194,10 +194,12 @@ def greedy(nodes: str, edges: str, select: str = "SELECT gn.grp, gn.id") -> str:
     carrying the kept list; a row is kept unless an earlier neighbour is kept.
     ``nodes``: grp, id, ord. ``edges``: grp, a, b (a earlier than b)."""
     return f"""
-WITH RECURSIVE gn AS MATERIALIZED (SELECT grp, id, row_number() OVER (PARTITION BY grp ORDER BY ord) AS rn FROM ({nodes})),
-ge AS MATERIALIZED (SELECT e.grp, nb.rn AS rb, na.rn AS ra FROM ({edges}) e
-       JOIN gn na ON na.grp = e.grp AND na.id = e.a JOIN gn nb ON nb.grp = e.grp AND nb.id = e.b),
-nbr AS MATERIALIZED (SELECT grp, rb AS rn, list(ra) AS earlier FROM ge GROUP BY grp, rb),
+WITH RECURSIVE gall AS MATERIALIZED (SELECT grp, id, ord FROM ({nodes})),
+gedge AS MATERIALIZED ({edges}),
+gn AS MATERIALIZED (SELECT grp, id, row_number() OVER (PARTITION BY grp ORDER BY ord) AS rn FROM gall
+       WHERE id IN (SELECT a FROM gedge UNION ALL SELECT b FROM gedge)),
+nbr AS MATERIALIZED (SELECT e.grp, nb.rn, list(na.rn) AS earlier FROM gedge e
+       JOIN gn na ON na.grp = e.grp AND na.id = e.a JOIN gn nb ON nb.grp = e.grp AND nb.id = e.b GROUP BY e.grp, nb.rn),
 gmax AS MATERIALIZED (SELECT grp, max(rn) AS mx FROM gn GROUP BY grp),
 walk(grp, rn, kept) AS (
   SELECT grp, cast(0 AS bigint), cast([] AS bigint[]) FROM gmax
@@ -209,7 +211,8 @@ walk(grp, rn, kept) AS (
   LEFT JOIN nbr n ON n.grp = w.grp AND n.rn = w.rn + 1),
 kept AS (SELECT gn.grp, gn.id FROM (SELECT w.grp, unnest(w.kept) AS rn FROM walk w
                                     JOIN gmax m ON m.grp = w.grp AND w.rn = m.mx) k
-         JOIN gn ON gn.grp = k.grp AND gn.rn = k.rn)
+         JOIN gn ON gn.grp = k.grp AND gn.rn = k.rn
+         UNION ALL SELECT grp, id FROM gall WHERE id NOT IN (SELECT id FROM gn))
 """
 
 
