@@ -31,7 +31,7 @@ SELECT concept_id, format, audience, angle, cognitive_operation, combo_id, cast(
 FROM fx_sample""")
 
 sql("scan_validity_done", f"""
-SELECT concept_id, format, audience, angle, cognitive_operation, is_valid, reason
+SELECT run_id, concept_name, format, audience, angle, cognitive_operation, is_valid, reason
 FROM fx_done WHERE {pstrip('is_valid')} <> ''""")
 
 sql("combo_resume", """
@@ -97,6 +97,21 @@ SELECT {pstrip('value')} AS seed_id FROM fx_seed_lines WHERE {pstrip('value')} <
 sql("scan_runs_started", """
 SELECT run_id, seed_id, domain, target_concepts_range FROM fx_started""")
 
+sql("scan_drafts", """
+SELECT layout, run_id, CASE WHEN doc_id % 29 = 0 THEN 0 ELSE 1 END AS n_drafts,
+  doc_id % 29 <> 0 AND (doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 <> 0) AS has_response
+FROM fx_draft_state, (VALUES ('parquet'), ('json')) t(layout) WHERE has_draft""")
+
+sql("scan_embeddings", """
+SELECT cast(vec_id AS varchar) AS concept_id, cast(len(embedding) AS integer) AS dims, cast(embedding[1] AS double) AS first, cast(embedding[-1] AS double) AS last
+FROM embeddings""")
+
+_SAID = "string_agg(upper(role[1]) || lower(role[2:]) || ': ' || regexp_replace(text, '^(\\\\*(?:User|Assistant|System): )', '\\\\\\1', 'gm'), chr(10) ORDER BY turn)"
+sql("scan_templates", f"""
+SELECT conv_id, 'turns' || count(*) AS family, 'Write for {{{{ seed.language }}}} readers.' || chr(10) || {_SAID} || chr(10) || '{{style}} {{{{seed.language}}}}' AS template,
+  'seed.language,style' AS placeholders
+FROM conversations GROUP BY conv_id""")
+
 sql("ledger_status", """
 SELECT seed_id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE md5('run|' || seed_id) END AS run_id,
        CASE WHEN doc_id % 10 = 0 THEN 'FAILED_CREATE' WHEN doc_id % 10 = 1 THEN 'FAILED_START'
@@ -362,8 +377,8 @@ WHERE line <> ''"""
 sql("scenario_requests", _SCEN)
 
 sql("union_requests", f"""
-SELECT 'combo' AS kind, count(*) AS requests FROM {_VALID} {_DESC}
-UNION ALL SELECT 'scenario', count(*) FROM ({_SCEN})""")
+SELECT 'combo' AS kind, v.concept_id, {_GEN} AS prompt FROM {_VALID} {_DESC}
+UNION ALL SELECT 'scenario', concept_id, prompt FROM ({_SCEN})""")
 
 sql("rephrase_requests", """
 SELECT s.seed_id, o.operator, t.style FROM fx_seeds s,
@@ -384,8 +399,10 @@ SELECT seed_id, rk AS rotation_rank,
 FROM (SELECT seed_id, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")
 
 sql("rotate_region", """
-SELECT s.seed_id, n.n_name AS region, f.value AS festival
-FROM fx_seeds s JOIN nation n ON n.n_nationkey = s.doc_id % 25 JOIN fx_fest f ON f.region = n.n_name""")
+SELECT s.seed_id, n.n_name AS region, f.variable, f.value
+FROM fx_seeds s JOIN nation n ON n.n_nationkey = s.doc_id % 25 JOIN (
+  SELECT DISTINCT p_partkey % 25 AS k, 'festival' AS variable, p_brand AS value FROM part
+  UNION ALL SELECT DISTINCT p_partkey % 25, 'preservation_method', p_type FROM part) f ON f.k = n.n_nationkey""")
 
 sql("scan_rotation", """
 SELECT 'regions' AS variable, NULL AS region, cast(row_number() OVER (ORDER BY n_nationkey) - 1 AS integer) AS pos,
@@ -401,14 +418,10 @@ SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, event_type, count
 FROM events GROUP BY 1, 2""")
 
 # --------------------------------------------------------------- curriculum
-_CH = """(SELECT r.r_name AS topic, n.n_regionkey AS rk, n.n_nationkey,
-         row_number() OVER (PARTITION BY n.n_regionkey ORDER BY n.n_nationkey) AS c,
-         count(*) OVER (PARTITION BY n.n_regionkey) AS last_c,
-         first(n.n_name) OVER (PARTITION BY n.n_regionkey ORDER BY n.n_nationkey) AS first_name, n.n_name
-        FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey)"""
-_CHN = f"""(SELECT topic, n_nationkey, cast(CASE WHEN rk = 3 AND c = last_c THEN c + 1 ELSE c END AS integer) AS chapter,
-          CASE WHEN rk = 1 AND c = 2 THEN first_name WHEN rk = 2 AND c = last_c THEN 'Introduction'
-               ELSE n_name END AS name FROM {_CH})"""
+_CHN = """(SELECT 'book ' || o_custkey AS topic, cast(CASE WHEN o_custkey % 9 = 3 AND c = n THEN c + 1 ELSE c END AS integer) AS chapter,
+    CASE WHEN o_custkey % 5 = 1 AND c = 2 THEN first_name WHEN o_custkey % 7 = 2 AND c = n THEN 'Introduction' ELSE own END AS name
+  FROM (SELECT o_custkey, row_number() OVER w AS c, count(*) OVER (PARTITION BY o_custkey) AS n, 'Order ' || o_orderkey AS own,
+               'Order ' || first(o_orderkey) OVER w AS first_name FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)))"""
 
 sql("v_chapters", f"""
 SELECT topic, count(*) AS n_chapters, array_to_string(list_filter([
@@ -428,6 +441,15 @@ FROM {_CHN}""")
 
 sql("parse_dialogue", "SELECT conv_id, turn, role, text FROM conversations")
 
+sql("v_dialogue_turns", """
+WITH t AS (SELECT conv_id, turn, CASE WHEN conv_id % 5 = 1 AND turn = 1 THEN 'system' WHEN conv_id % 7 = 2 AND turn = 1 THEN 'user' ELSE role END AS role,
+             trim(text) = '' AS empty FROM conversations),
+u AS (SELECT *, role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS same FROM t)
+SELECT conv_id, count(*) + CASE WHEN conv_id % 9 = 3 THEN 1 ELSE 0 END AS n_turns, array_to_string(list_filter([
+  CASE WHEN conv_id % 9 = 3 THEN 'no_label' END, CASE WHEN bool_or(role = 'system') THEN 'unknown_speaker' END,
+  CASE WHEN bool_or(empty) THEN 'empty_turn' END, CASE WHEN bool_or(coalesce(same, false)) THEN 'not_alternating' END], lambda x: x IS NOT NULL), ',') AS violations
+FROM u GROUP BY conv_id""")
+
 # ------------------------------------------------- evidence, reports, shapes
 _EV = f"""(SELECT cast(doc_id AS varchar) AS seed_id, cast(doc_id AS varchar) || ':' || cast(k AS varchar) AS chunk_id,
            ({H("cast(doc_id AS varchar) || ':' || cast(k AS varchar)")} % 1000) / 1000.0 AS score
@@ -439,13 +461,23 @@ _TOPK = f"""(SELECT * FROM (SELECT c.concept_id, e.chunk_id,
 sql("topk_evidence", f"SELECT concept_id, rank, chunk_id FROM {_TOPK}")
 
 sql("join_evidence", f"""
-SELECT concept_id, string_agg(chunk_id, ',' ORDER BY rank) AS evidence FROM {_TOPK} GROUP BY concept_id""")
-
-sql("template_usage", """
-SELECT t.task, s.language, count(*) AS requests
-FROM fx_concepts c, (VALUES ('analogy'), ('misconception'), ('qa_concept')) t(task), fx_seeds s
-WHERE s.seed_id = c.seed_id
-GROUP BY ROLLUP (t.task, s.language)""")
+WITH ch AS (SELECT cast(doc_id AS varchar) AS seed_id, 'retrieved' AS source, cast(doc_id AS varchar) || ':' || k AS chunk_id,
+        substr(text, (k * 200 + 1)::int, 200) AS chunk, ({H("cast(doc_id AS varchar) || ':' || cast(k AS varchar)")} % 1000) / 1000.0 AS score
+    FROM (SELECT doc_id, text, unnest(range(0, greatest(cast(ceil(length(text) / 200) AS bigint), 1))) AS k FROM documents)
+  UNION ALL SELECT seed_id, 'seed', 'truth', ground_truth, 0.995 FROM fx_seeds
+  UNION ALL SELECT cast(page_id AS varchar), 'web', 'page ' || page_id, url, ({H("'page ' || cast(page_id AS varchar)")} % 1000) / 1000.0 FROM pages),
+best AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, source, chunk_id) AS rank FROM ch WHERE coalesce(chunk, '') <> ''
+         QUALIFY row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, source, chunk_id) <= 4)
+SELECT c.concept_id, coalesce(string_agg(source || '/' || chunk_id, ',' ORDER BY rank), '') AS evidence,
+  coalesce(string_agg(chunk, chr(10) || chr(10) ORDER BY rank), '') AS evidence_text
+FROM fx_concepts c LEFT JOIN best USING (seed_id) GROUP BY c.concept_id""")
+
+sql("template_usage", f"""
+WITH a AS (SELECT list(c_mktsegment ORDER BY c_mktsegment) AS names FROM (SELECT DISTINCT c_mktsegment FROM customer)),
+s AS (SELECT seed_id, language, names[(row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1) % len(names) + 1] AS value FROM fx_seeds, a)
+SELECT t.task, s.language, s.value, count(*) AS requests
+FROM fx_concepts c JOIN s USING (seed_id), (VALUES ('analogy'), ('misconception'), ('qa_concept')) t(task)
+GROUP BY ROLLUP (t.task, s.language, s.value)""")
 
 sql("word_count_target", f"""
 SELECT seed_id, cast(CASE WHEN {pstrip('text')} = '' THEN 0
@@ -499,10 +531,23 @@ sql("v_sections", "SELECT conv_id, turn, array_to_string(list_filter([" + ", ".j
          OR coalesce(strpos(t, chr(10) || 'Safety:') > 0 AND (strpos(t, chr(10) || 'Diagnosis:') = 0 OR strpos(t, chr(10) || 'Safety:') < strpos(t, chr(10) || 'Diagnosis:')), false)
        THEN 'first_not:Diagnosis' END], lambda x: x IS NOT NULL), ',') AS violations FROM """ + _SEC)
 
+_LIST = "(SELECT list({c} ORDER BY {o}) FROM (SELECT DISTINCT {c}, {o} AS o FROM {t}))"
+_LISTS = {"dietary": _LIST.format(c="p_type", o="p_type", t="part"), "audiences": _LIST.format(c="c_mktsegment", o="c_mktsegment", t="customer"),
+          "regions": _LIST.format(c="n_name", o="n_nationkey", t="nation"), "languages": _LIST.format(c="lang", o="lang", t="documents")}
+_TURN = {k: f"{v}[rk % len({v}) + 1]" for k, v in _LISTS.items()}
 sql("rotate_bind", f"""
-SELECT seed_id, 'C8' AS task,
-       array_to_string(list_concat([(SELECT list(r_name ORDER BY r_regionkey) FROM region)[rk % (SELECT count(*) FROM region) + 1]], tags), ',') AS tags
-FROM (SELECT seed_id, tags, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds)""")
+WITH r AS (SELECT *, row_number() OVER (ORDER BY {H('seed_id')}, seed_id) - 1 AS rk FROM fx_seeds),
+g AS (SELECT n_name AS region, list_sort(list(DISTINCT p_brand)) AS festivals, list_sort(list(DISTINCT p_type)) AS methods
+      FROM nation JOIN part ON p_partkey % 25 = n_nationkey GROUP BY n_name),
+x AS (SELECT r.*, {_TURN['regions']} AS region, {_TURN['dietary']} AS dietary, {_TURN['audiences']} AS audience, {_TURN['languages']} AS target,
+        rk // len({_LISTS['regions']}) AS again FROM r)
+SELECT seed_id, task, array_to_string(CASE task
+    WHEN 'C1' THEN [dietary] WHEN 'C14' THEN [dietary] WHEN 'C2' THEN CASE WHEN coalesce(ground_truth, '') = '' THEN [] ELSE [ground_truth] END
+    WHEN 'C3' THEN tags WHEN 'C6' THEN tags WHEN 'C4' THEN [x.region] WHEN 'C9' THEN [x.region] WHEN 'C11' THEN [x.region]
+    WHEN 'C5' THEN [['2', '4', '4', '6', '10'][rk % 5 + 1], ['4', '6', '10', '25', '50'][rk % 5 + 1]]
+    WHEN 'C7' THEN [audience] WHEN 'C8' THEN [audience] WHEN 'C10' THEN [language, target]
+    WHEN 'C12' THEN [festivals[again % len(festivals) + 1]] WHEN 'C13' THEN [methods[again % len(methods) + 1]] END, '|') AS tags
+FROM x LEFT JOIN g ON g.region = x.region, (VALUES {", ".join(f"('C{i}')" for i in range(1, 15))}) t(task)""")
 
 # JSON task contracts: the expected code follows from the key rule only
 for _name, _codes in {
@@ -528,8 +573,8 @@ for _name, _codes in {
 # household answers: the expected code follows from the key rule only
 for _name, _codes in {
     "v_h5_schedule": ["no_task:Weekly", "missing_system:hvac", "untagged_item", "out_of_order"], "v_h6_budget": ["empty:Discretionary", "reserve_percent"],
-    "v_h7_emergency": ["missing_number:101", "prevention_count", "missing:Hazard"], "v_h12_costs": ["uncosted_item", "missing:Mould / Pest Note"],
-    "v_h13_never": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "v_h14_myths": ["too_few_myths", "no_call"],
+    "v_h7_emergency": ["missing_number:101", "prevention_count", "missing:Hazard", "out_of_order,first_not:Phase 1 — Immediate (0-60 sec)"], "v_h12_costs": ["uncosted_item", "missing:Mould / Pest Note"],
+    "v_h13_never": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "v_h14_myths": ["too_few_myths", "no_call", "out_of_order,first_not:Step 0 — First 30 seconds"],
     "v_h16_inaction": ["item_count", "missing_inaction"], "v_h17_budget": ["over_budget", "no_cost", "no_logic"],
     "v_h18_level": ["bad_level", "age_mismatch", "no_boundary"], "v_h20_final": ["no_hard_stop", "bad_final"],
     "v_dialogue_shape": ["bad_opening", "bad_closing", "unknown_speaker"], "v_dialogue_principles": ["bad_closing", "principles"],

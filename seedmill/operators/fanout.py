@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedmill.functions import vocab
+from seedmill.operators.numbering import number_rows
 
 _PLACEHOLDER = re.compile(r"\{\{\s*([A-Za-z_][\w.]*)\s*\}\}|\{([A-Za-z_][\w.]*)\}")
 
@@ -49,13 +50,21 @@ def fanout_single(concepts: DataFrame, tasks=("analogy", "misconception", "qa_co
     return explode_values(concepts, "task", tasks)
 
 
-def fanout_pairs(concepts: DataFrame, key: str = "seed_id", pos: str = "pos", ordered: bool = False) -> DataFrame:
+MAX_CONCEPTS = 20  # the contract's largest target range
+
+
+def oversized_seeds(concepts: DataFrame, key: str = "seed_id", limit: int = MAX_CONCEPTS) -> DataFrame:
+    """Seeds with more concepts than the contract allows, with their count: rejects of the pair fan-out."""
+    return concepts.groupBy(key).agg(F.count(F.lit(1)).alias("concepts")).where(F.col("concepts") > limit)
+
+
+def fanout_pairs(concepts: DataFrame, key: str = "seed_id", pos: str = "pos", ordered: bool = False, limit: int = MAX_CONCEPTS) -> DataFrame:
     """Concept pairs within a seed (unordered: pos_a < pos_b; ordered: pos_a != pos_b).
 
-    An equi-join on the seed key; a seed holds at most the contract's target
-    maximum of concepts (20), checked upstream by V1, so a group yields at
-    most 190 unordered / 380 ordered pairs.
+    An equi-join on the seed key. Seeds with more than ``limit`` concepts break the extraction contract; they make no pairs and are
+    reported by :func:`oversized_seeds`, so a seed yields at most limit * (limit - 1) rows.
     """
+    concepts = concepts.join(oversized_seeds(concepts, key, limit).select(key), key, "left_anti")
     a = concepts.select(*[F.col(c).alias(f"{c}_a") if c != key else F.col(c) for c in concepts.columns])
     b = concepts.select(*[F.col(c).alias(f"{c}_b") if c != key else F.col(c) for c in concepts.columns])
     cond = (F.col(f"{pos}_a") != F.col(f"{pos}_b")) if ordered else (F.col(f"{pos}_a") < F.col(f"{pos}_b"))
@@ -100,3 +109,20 @@ def rotate_exhaust(df: DataFrame, order: Column, values, name: str = "value") ->
     arr = F.array(*[F.lit(v) for v in values])
     return (ranked.withColumn(name, F.element_at(arr, (F.col("rotation_rank") % n + 1).cast("int")))
             .drop("_o", "_pid", "_m", "_base", "_m0"))
+
+
+def rotate_bind(seeds: DataFrame, order: list, tasks: dict[str, Column]) -> DataFrame:
+    """X11: (the columns of ``seeds``, rotation_rank, task, bound): for every task the tags that the seed's turn binds.
+
+    ``tasks``: task -> array expression over the columns of ``seeds`` and ``rotation_rank`` (the seed's
+    place in ``order``, from 0). Ranks are numbered by ranges and offsets; one row per seed and task.
+    """
+    ranked = number_rows(seeds.withColumn("_all", F.lit(0)), ["_all"], order, "_rn").withColumn("rotation_rank", F.col("_rn") - 1)
+    bound = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), tags.alias("bound")) for t, tags in tasks.items()]))
+    return ranked.select(*seeds.columns, "rotation_rank", bound.alias("_t")).select(*seeds.columns, "rotation_rank", "_t.task", "_t.bound")
+
+
+def turn_of(values, rank: Column) -> Column:
+    """The value whose turn it is: every value once before any comes again. ``values``: literals, or an array column."""
+    arr = values if isinstance(values, Column) else F.array(*[F.lit(v) for v in values])
+    return F.try_element_at(arr, (rank % F.greatest(F.size(arr), F.lit(1)) + 1).cast("int"))

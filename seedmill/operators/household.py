@@ -36,8 +36,8 @@ LABELS = {
     "h18": ["Age Group", "Task", "Adapted Instructions", "Safety Boundary", "Next Step to Level Up"],
     "h20": ["Original Procedure Summary", "Budget Breakdown", "Missing Tool", "Adapted Steps", "Hard Stops", "Final Assessment"],
 }
-#: The containment step opens the answer.
-FIRST = {"h2": "Step 0 — Immediate Action"}
+#: The containment step comes first, behind the line that names the case (if the task has one).
+FIRST = {"h2": ("Step 0 — Immediate Action", None), "h7": ("Phase 1 — Immediate (0-60 sec)", "Hazard"), "h14": ("Step 0 — First 30 seconds", "Emergency")}
 #: Speakers (opening, other) of the dialogue tasks; the opening speaker also closes.
 SPEAKERS = {"h10": ("Learner", "Expert"), "h19": ("Home Owner", "Handyman")}
 EMERGENCY_NUMBERS = ["1906", "101", "108"]
@@ -109,7 +109,7 @@ def _rules(task: str, t: Column) -> list[tuple[str, Column]]:
 def check_household(df: DataFrame, text: str, task: str) -> DataFrame:
     """Adds ``violations``: missing:/duplicate:<label>, out_of_order, first_not:<label>, then the task's own codes."""
     answer = F.coalesce(F.col(text), F.lit(""))
-    out = check_sections(df.withColumn("_t", answer), "_t", LABELS[task], FIRST.get(task))
+    out = check_sections(df.withColumn("_t", answer), "_t", LABELS[task], *FIRST.get(task, (None, None)))
     own = [F.when(F.coalesce(c, F.lit(True)), F.lit(code)) for code, c in _rules(task, F.col("_t"))]
     if own:
         out = out.withColumn("violations", F.concat("violations", F.array_compact(F.array(*own))))

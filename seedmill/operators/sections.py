@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def check_sections(df: DataFrame, text: str, labels: list, first: str | None = None) -> DataFrame:
-    """Adds ``violations``: missing:<label>, duplicate:<label>, out_of_order,
-    and (when ``first`` is given) first_not:<first>."""
+def check_sections(df: DataFrame, text: str, labels: list, first: str | None = None, heading: str | None = None) -> DataFrame:
+    """Adds ``violations``: missing:<label>, duplicate:<label>, out_of_order, and (when ``first`` is given)
+    first_not:<first> where another section than the ``heading`` comes before it."""
     t = F.concat(F.lit("\n"), F.col(text))
     codes = []
     pos = []
@@ -29,7 +29,7 @@ def check_sections(df: DataFrame, text: str, labels: list, first: str | None = N
         ordered = ordered & F.coalesce(a < b, F.lit(True))
     codes.append(F.when(~ordered, F.lit("out_of_order")))
     if first:
-        others = [p for lab, p in zip(labels, pos) if lab != first]
+        others = [p for lab, p in zip(labels, pos) if lab not in (first, heading)]
         fpos = pos[labels.index(first)]
         before = F.lit(False)
         for p in others:

@@ -6,12 +6,16 @@ applies the library operators. Names match the keys of ``oracle_sql()``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedmill.functions import vocab
 from seedmill.plans import fixtures as fx
 from seedmill.operators import combos as cmb
+from seedmill.session import ensure_checkpoint_dir
+from seedmill.sources import files
 
 DIMS = vocab.DIMENSIONS
 QUERIES: dict = {}
@@ -50,12 +54,18 @@ def combo_sample(spark, sf) -> DataFrame:
     return fx.sampled_combos(spark, sf, narrow=True).select("concept_id", *DIMS, "combo_id", "sample_rank")
 
 
+def _scratch_path(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/seedmill-{name}-{uuid.uuid4().hex}"
+
+
 @query("scan_validity_done")
 def scan_validity_done(spark, sf) -> DataFrame:
-    """Earlier verdict rows; blank ``is_valid`` rows are partial writes."""
-    from seedmill.sources.files import completed_rows
-    return completed_rows(fx.validity_done(spark, sf)).select(
-        "concept_id", *DIMS, "is_valid", "reason")
+    """Earlier verdict output read from its CSV files; blank ``is_valid`` rows are partial writes."""
+    path = _scratch_path(spark, "s7")
+    columns = ["run_id", "seed_id", "domain", "concept_name", "concept_type", "concept_definition", *DIMS, "is_valid", "reason"]
+    fx.validity_done(spark, sf).select(*columns).write.option("header", "true").option("escape", '"').csv(path)
+    return files.read_validity_done(spark, path).select("run_id", "concept_name", *DIMS, "is_valid", "reason")
 
 
 @query("combo_resume")
@@ -146,15 +156,62 @@ from seedmill.sources import files  # noqa: E402
 
 @query("scan_seed_ids")
 def scan_seed_ids(spark, sf) -> DataFrame:
-    """One id per line, stripped, blanks dropped."""
-    return files.clean_seed_ids(fx.seed_lines(spark, sf))
+    """Seed ids from text files, one per line, stripped, blanks dropped."""
+    path = _scratch_path(spark, "s1")
+    fx.seed_lines(spark, sf).write.text(path)
+    return files.read_seed_ids(spark, path)
 
 
 @query("scan_runs_started")
 def scan_runs_started(spark, sf) -> DataFrame:
-    """Ledger rows whose stripped status is STARTED."""
-    return files.started_runs(fx.ledger(spark, sf)).select(
-        "run_id", "seed_id", "domain", "target_concepts_range")
+    """STARTED rows of a ledger read from its CSV files."""
+    path = _scratch_path(spark, "s2")
+    columns = [c.split()[0] for c in files.LEDGER_SCHEMA.split(", ")]
+    fx.ledger(spark, sf).select(*columns).write.option("header", "true").option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return files.read_runs_started(spark, path).select("run_id", "seed_id", "domain", "target_concepts_range")
+
+
+@query("scan_drafts")
+def scan_drafts(spark, sf) -> DataFrame:
+    """Stored drafts read from Parquet and from JSON lines: drafts per run, and whether the first has a response and how long it is."""
+    root = _scratch_path(spark, "s6")
+    d = fx.drafts(spark, sf)
+    d.write.parquet(f"{root}/parquet")
+    d.write.json(f"{root}/json")
+    response = F.try_element_at("drafts", F.lit(1))["teacher_output"]["candidate_response"]
+    one = lambda fmt: files.read_drafts(spark, f"{root}/{fmt}", fmt).select(
+        F.lit(fmt).alias("layout"), "run_id", F.size("drafts").alias("n_drafts"), F.coalesce(response.isNotNull(), F.lit(False)).alias("has_response"))
+    return one("parquet").unionByName(one("json"))
+
+
+@query("scan_embeddings")
+def scan_embeddings(spark, sf) -> DataFrame:
+    """Vectors read back from Parquet files in another order; rows are found by key, not by position."""
+    path = _scratch_path(spark, "s9")
+    e = fx.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("concept_id"), "embedding")
+    e.repartition(4, "concept_id").sortWithinPartitions(F.desc("concept_id")).write.parquet(path)
+    v = files.read_embeddings(spark, path)
+    at = lambda i: F.try_element_at("embedding", F.lit(i)).cast("double")
+    return v.select("concept_id", F.size("embedding").alias("dims"), at(1).alias("first"), at(-1).alias("last"))
+
+
+@query("scan_templates")
+def scan_templates(spark, sf) -> DataFrame:
+    """A folder of template files (family folder / task folder / file) read whole, with the names they leave open.
+
+    The files: one per conversation, its family the number of its turns, its text the labelled dialogue with two placeholders.
+    """
+    path = _scratch_path(spark, "s8")
+    conv = fx.table(spark, sf, "conversations")
+    n = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    text = F.concat(F.lit("Write for {{ seed.language }} readers.\n"), "dialogue", F.lit("\n{style} {{seed.language}}"))
+    t = cu.render_dialogue(conv).join(n, "conv_id").select(text.alias("value"), F.concat(F.lit("turns"), "turns").alias("family"), "conv_id")
+    t.write.partitionBy("family", "conv_id").text(path)
+    r = files.read_templates(spark, path)
+    parent = F.regexp_extract("path", r"conv_id=(-?[0-9]+)/[^/]+$", 1).cast("long")
+    return r.select(parent.alias("conv_id"), F.regexp_extract("path", r"family=([^/]+)/", 1).alias("family"),
+                    F.regexp_replace("template", r"\n$", "").alias("template"), F.array_join("placeholders", ",").alias("placeholders"))
 
 
 @query("ledger_status")
@@ -583,7 +640,7 @@ def union_requests(spark, sf) -> DataFrame:
     """Combo-driven and scenario-driven requests in one table."""
     a = _generation_requests(spark, sf).select(F.lit("combo").alias("kind"), "concept_id", "prompt")
     b = _scenario_requests(spark, sf).select(F.lit("scenario").alias("kind"), "concept_id", "prompt")
-    return a.unionByName(b).groupBy("kind").agg(F.count(F.lit(1)).alias("requests"))
+    return a.unionByName(b)
 
 
 REPHRASE_OPS = ["simplify", "formalize", "summarize"]
@@ -628,33 +685,28 @@ def rotate_exhaust_q(spark, sf) -> DataFrame:
 
 @query("rotate_region")
 def rotate_region(spark, sf) -> DataFrame:
-    """Each seed's region (nation by doc_id % 25) joined to that region's festivals only."""
+    """Each seed's region (nation by doc_id % 25) joined to that region's festivals and preservation methods only."""
     n = fx.table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("region"))
-    s = fx.seeds(spark, sf).select("seed_id", (F.col("doc_id") % 25).alias("n_nationkey"))
-    s = s.join(F.broadcast(n), "n_nationkey")
-    return s.join(fx.festivals_by_region(spark, sf), "region").select("seed_id", "region", F.col("value").alias("festival"))
+    s = fx.seeds(spark, sf).select("seed_id", (F.col("doc_id") % 25).alias("n_nationkey")).join(n, "n_nationkey")
+    v = fx.regional_values(spark, sf)
+    long = v.select("region", F.lit("festival").alias("variable"), F.explode("festivals").alias("value")).unionByName(
+        v.select("region", F.lit("preservation_method").alias("variable"), F.explode("methods").alias("value")))
+    return s.join(long, "region").select("seed_id", "region", "variable", "value")
 
 
 @query("scan_rotation")
 def scan_rotation(spark, sf) -> DataFrame:
-    """A rotation document flattened to long form."""
-    return files.rotation_long(fx.rotation_document(spark, sf)).select("variable", "region", "pos", "value")
+    """A rotation document read as one whole file and flattened to long form."""
+    path = _scratch_path(spark, "s5")
+    fx.rotation_document(spark, sf).coalesce(1).write.text(path)
+    return files.read_rotation(spark, path).select("variable", "region", "pos", "value")
 
 
 # --------------------------------------------------------- streaming, sinks
-import uuid  # noqa: E402
-
-from seedmill.session import ensure_checkpoint_dir  # noqa: E402
 from seedmill.streaming import ingest as st  # noqa: E402
 from seedmill.sinks import tables as sk  # noqa: E402
 
 
-def _scratch(spark, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/seedmill-{name}-{uuid.uuid4().hex}"
-
-
 def _answer_files(spark, sf, path: str, repeat_bucket: int | None = None) -> None:
     """fx_stream: the verdict answers split into files by h(batch_id) % 8; optionally one
     bucket's answers are written a second time (retries: same request ids)."""
@@ -670,7 +722,7 @@ def _answer_files(spark, sf, path: str, repeat_bucket: int | None = None) -> Non
 @query("stream_ingest")
 def stream_ingest(spark, sf) -> DataFrame:
     """Answer files -> aligned verdict rows, incremental and exactly once (rows-only)."""
-    root = _scratch(spark, "t1")
+    root = _scratch_path(spark, "t1")
     _answer_files(spark, sf, f"{root}/answers")
     req = _requests(spark, sf).select("batch_id", "concept_type", "slots")
     out = st.ingest_answers(spark, f"{root}/answers", req, f"{root}/out", f"{root}/ckpt")
@@ -680,7 +732,7 @@ def stream_ingest(spark, sf) -> DataFrame:
 @query("stream_dedup_keys")
 def stream_dedup_keys(spark, sf) -> DataFrame:
     """Retried answers (same request id) kept once within the watermark (rows-only)."""
-    root = _scratch(spark, "t2")
+    root = _scratch_path(spark, "t2")
     _answer_files(spark, sf, f"{root}/answers", repeat_bucket=3)
     out = st.dedup_answers(spark, f"{root}/answers", f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(out).select("request_id")
@@ -689,7 +741,7 @@ def stream_dedup_keys(spark, sf) -> DataFrame:
 @query("stream_progress")
 def stream_progress_q(spark, sf) -> DataFrame:
     """Event-time windowed counts with a watermark, streamed from event files (rows-only)."""
-    root = _scratch(spark, "t3")
+    root = _scratch_path(spark, "t3")
     # watermarks need TIMESTAMP (the table stores TIMESTAMP_NTZ; the session zone is UTC)
     ev = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     (ev.withColumn("_day", F.to_date("ts")).repartition("_day").sortWithinPartitions("ts").drop("_day")
@@ -708,7 +760,7 @@ def stream_progress_batch(spark, sf) -> DataFrame:
 @query("sink_by_domain")
 def sink_by_domain(spark, sf) -> DataFrame:
     """K1: concepts written one folder per lower-cased domain, read back (rows-only)."""
-    path = _scratch(spark, "k1")
+    path = _scratch_path(spark, "k1")
     sk.write_by_domain(fx.concepts(spark, sf), path)
     return spark.read.parquet(path).groupBy("domain_dir").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -716,7 +768,7 @@ def sink_by_domain(spark, sf) -> DataFrame:
 @query("sink_threshold_sweep")
 def sink_threshold_sweep(spark, sf) -> DataFrame:
     """K2: semantic sweep survivors written one folder per threshold (rows-only)."""
-    path = _scratch(spark, "k2")
+    path = _scratch_path(spark, "k2")
     v = fx.planted_vectors(spark, sf)
     s = dd.semantic_sweep(v, "vec_id", "vec_id", "embedding", [0.80, 0.90, 0.95])
     sk.write_threshold_sweep(s.drop("label"), path)
@@ -726,7 +778,7 @@ def sink_threshold_sweep(spark, sf) -> DataFrame:
 @query("sink_append_ledger")
 def sink_append_ledger(spark, sf) -> DataFrame:
     """K3: ledger rows appended batch by batch (rows-only)."""
-    path = _scratch(spark, "k3")
+    path = _scratch_path(spark, "k3")
     led = fx.ledger(spark, sf)
     for b in range(2):
         sk.append_rows(led.filter(F.col("doc_id") % 2 == b), path)
@@ -736,7 +788,7 @@ def sink_append_ledger(spark, sf) -> DataFrame:
 @query("sink_resume_append")
 def sink_resume_append(spark, sf) -> DataFrame:
     """K4: resume append; the second run adds 0 rows (rows-only)."""
-    path = _scratch(spark, "k4")
+    path = _scratch_path(spark, "k4")
     rows = fx.validity_done(spark, sf).select("concept_id", *DIMS, "is_valid")
     first = sk.append_new(rows, path, ["concept_id", *DIMS])
     second = sk.append_new(rows, path, ["concept_id", *DIMS])
@@ -837,40 +889,45 @@ def parse_dialogue_q(spark, sf) -> DataFrame:
     return cu.parse_dialogue(cu.render_dialogue(conv))
 
 
-# ------------------------------------------------- evidence, reports, shapes
-from pyspark.sql import Window  # noqa: E402
+@query("v_dialogue_turns")
+def v_dialogue_turns(spark, sf) -> DataFrame:
+    """Speakers and alternation of the parsed dialogues; conv_id % 5 = 1 gives turn 1 to a third speaker, % 7 = 2 repeats one,
+    % 9 = 3 opens without a label."""
+    k, t = F.col("conv_id"), F.col("turn")
+    role = F.when((k % 5 == 1) & (t == 1), F.lit("system")).when((k % 7 == 2) & (t == 1), F.lit("user")).otherwise(F.col("role"))
+    conv = fx.table(spark, sf, "conversations").withColumn("role", role)
+    d = cu.render_dialogue(conv).select("conv_id", F.when(k % 9 == 3, F.concat(F.lit("Well then\n"), "dialogue")).otherwise(F.col("dialogue")).alias("dialogue"))
+    return cu.check_turns(cu.parse_dialogue(d), ["user", "assistant"])
 
 
-def _topk_evidence(spark, sf, k: int = 3) -> DataFrame:
-    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
-    ev = fx.evidence_chunks(spark, sf).select("seed_id", "chunk_id", "score")
-    w = Window.partitionBy("concept_id").orderBy(F.col("score").desc(), "chunk_id")
-    return (c.join(ev, "seed_id").withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
+# ------------------------------------------------- evidence, reports, shapes
+from seedmill.operators import evidence as ev  # noqa: E402
 
 
 @query("topk_evidence")
 def topk_evidence(spark, sf) -> DataFrame:
-    """O1: the 3 best evidence chunks per concept (score desc, chunk id)."""
-    return _topk_evidence(spark, sf).select("concept_id", "rank", "chunk_id")
+    """O1: the 3 best chunks of each concept's seed text (score desc, chunk id)."""
+    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
+    best = ev.best_chunks(ev.union_sources({"retrieved": fx.evidence_chunks(spark, sf)}), 3)
+    return c.join(best, "seed_id").select("concept_id", "rank", "chunk_id")
 
 
 @query("join_evidence")
 def join_evidence(spark, sf) -> DataFrame:
-    """Evidence chunks per concept as one ordered list."""
-    t = _topk_evidence(spark, sf)
-    return (t.groupBy("concept_id")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id"))).alias("_e"))
-            .select("concept_id", F.array_join(F.transform("_e", lambda x: x["chunk_id"]), ",").alias("evidence")))
+    """Per concept the 4 best of three sources (ground truth, retrieved chunks, pages): ids and texts."""
+    c = fx.concepts(spark, sf).select("concept_id", "seed_id")
+    return ev.join_evidence(c, ev.union_sources(fx.evidence_sources(spark, sf)), 4).drop("seed_id")
 
 
 @query("template_usage")
 def template_usage(spark, sf) -> DataFrame:
-    """Requests per task and seed language, with rollup subtotals."""
+    """Requests per task, seed language and rotation value, with rollup subtotals."""
+    from seedmill.functions.hashing import stable_hash
     c = fx.concepts(spark, sf).select("concept_id", "seed_id")
-    s = fx.seeds(spark, sf).select("seed_id", "language")
+    names = fx.rotation_lists(spark, sf)["audiences"]
+    s = fo.rotate_exhaust(fx.seeds(spark, sf).select("seed_id", "language"), F.struct(stable_hash("seed_id"), F.col("seed_id")), names, "value")
     r = fo.fanout_single(c).join(s, "seed_id")
-    return r.rollup("task", "language").agg(F.count(F.lit(1)).alias("requests"))
+    return r.rollup("task", "language", "value").agg(F.count(F.lit(1)).alias("requests"))
 
 
 @query("word_count_target")
@@ -897,7 +954,7 @@ def answer_shape(spark, sf) -> DataFrame:
 def scan_concepts(spark, sf) -> DataFrame:
     """S3: concept CSVs in both layouts (with and without concept_type), read back
     with explicit schemas; definitions carry newlines, so the reader is multi-line."""
-    root = _scratch(spark, "s3")
+    root = _scratch_path(spark, "s3")
     c = fx.concepts(spark, sf)
     six = ["run_id", "seed_id", "domain", "concept_name", "concept_type", "concept_definition"]
     c.select(*six).write.option("header", "true").option("escape", '"').csv(f"{root}/six")
@@ -910,7 +967,7 @@ def scan_concepts(spark, sf) -> DataFrame:
 @query("scan_rules")
 def scan_rules(spark, sf) -> DataFrame:
     """Rules read from a JSON document, applied to the concepts' types (pool per type)."""
-    path = _scratch(spark, "s4") + "/rules.json"
+    path = _scratch_path(spark, "s4") + "/rules.json"
     spark.createDataFrame([(files.rules_json_text(vocab.BAN_RULES),)], "value string").coalesce(1) \
         .write.text(path)
     rules = files.read_rules(spark, path, required=True)
@@ -950,24 +1007,39 @@ def v_sections(spark, sf) -> DataFrame:
     return v.select("conv_id", "turn", F.array_join("violations", ",").alias("violations"))
 
 
+SCALES = [("2", "4"), ("4", "6"), ("4", "10"), ("6", "25"), ("10", "50")]
+
+
 @query("rotate_bind")
 def rotate_bind(spark, sf) -> DataFrame:
-    """X11: the rotated value bound into each seed's tags for a task (C8: audience)."""
+    """X11: the tags of every cooking task for every seed, each variable used up before it repeats (order: h(seed_id))."""
     from seedmill.functions.hashing import stable_hash
-    names = [r[0] for r in fx.table(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()]
-    s = fx.seeds(spark, sf).select("seed_id", "tags")
-    r = fo.rotate_exhaust(s, F.struct(stable_hash("seed_id"), F.col("seed_id")), names, "value")
-    return r.select("seed_id", F.lit("C8").alias("task"),
-                    F.array_join(F.concat(F.array("value"), "tags"), ",").alias("tags"))
+    lists = fx.rotation_lists(spark, sf)
+    rank = F.col("rotation_rank")
+    v = fx.regional_values(spark, sf)
+    turn = lambda name: F.array(fo.turn_of(lists[name], rank))
+    frm, to = ([p[i] for p in SCALES] for i in (0, 1))
+    again = F.floor(rank / len(lists["regions"]))
+    tasks = {
+        "C1": turn("dietary"), "C2": F.array_compact(F.array(F.nullif("ground_truth", F.lit("")))), "C3": F.col("tags"), "C4": turn("regions"),
+        "C5": F.array(fo.turn_of(frm, rank), fo.turn_of(to, rank)), "C6": F.col("tags"), "C7": turn("audiences"), "C8": turn("audiences"),
+        "C9": turn("regions"), "C10": F.array(F.col("language"), fo.turn_of(lists["languages"], rank)), "C11": turn("regions"),
+        "C12": turn("regions"), "C13": turn("regions"), "C14": turn("dietary")}
+    s = fx.seeds(spark, sf).select("seed_id", "language", "tags", "ground_truth", stable_hash("seed_id").alias("_h"))
+    r = fo.rotate_bind(s, ["_h", "seed_id"], tasks)
+    # festival and method come from the bound region's own lists, one further on each time the region has its turn
+    r = r.join(v.withColumnRenamed("region", "_region"), F.col("task").isin("C12", "C13") & (F.try_element_at("bound", F.lit(1)) == F.col("_region")), "left")
+    own = F.when(F.col("task") == "C12", F.array(fo.turn_of(F.col("festivals"), again))).when(F.col("task") == "C13", F.array(fo.turn_of(F.col("methods"), again)))
+    return r.select("seed_id", "task", F.array_join(F.array_compact(F.coalesce(own, F.col("bound"))), "|").alias("tags"))
 
 
 @query("dedup_generated")
 def dedup_generated(spark, sf) -> DataFrame:
-    """MinHash keep-first over generated answers (assistant turns, whole texts; rows-only)."""
+    """Generated answers (assistant turns, whole texts) kept by MinHash and then by the embedding filter (rows-only)."""
     a = (fx.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
          .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
                  "text", F.format_string("%012d:%06d", "conv_id", "turn").alias("ord")))
-    return dd.minhash_dedup(a, "id", "text", "ord").select("id")
+    return dd.generated_dedup(a, "id", "text", "ord").select("id")
 
 
 def _contract_query(task: str):

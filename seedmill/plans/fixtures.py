@@ -308,20 +308,17 @@ def rotation_document(spark, sf_dir) -> DataFrame:
 
 # ------------------------------------------------------------------ curriculum
 def chapters(spark, sf_dir) -> DataFrame:
-    """fx_curriculum chapters: topic = region, chapters = its nations by key, with
-    planted faults: topic 1 repeats chapter 1's name as chapter 2, topic 2 calls
-    its last chapter 'Introduction', topic 3 numbers its last chapter n+1."""
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("topic"))
-    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
-    c = (n.withColumn("chapter", F.row_number().over(w)).join(r, "n_regionkey")
-         .withColumn("first_name", F.first("n_name").over(w)))
-    last = F.max("chapter").over(Window.partitionBy("n_regionkey"))
-    name = (F.when((F.col("n_regionkey") == 1) & (F.col("chapter") == 2), F.col("first_name"))
-            .when((F.col("n_regionkey") == 2) & (F.col("chapter") == last), F.lit("Introduction"))
-            .otherwise(F.col("n_name")))
-    cid = F.when((F.col("n_regionkey") == 3) & (F.col("chapter") == last), F.col("chapter") + 1).otherwise(F.col("chapter"))
-    return c.select("topic", cid.cast("int").alias("chapter"), name.alias("name"), "n_nationkey")
+    """fx_curriculum chapters: topic = customer, chapters = its orders by key, with planted faults: customers of key % 5 = 1
+    repeat chapter 1's name as chapter 2, % 7 = 2 call the last chapter 'Introduction', % 9 = 3 number it n+1."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    k = F.col("o_custkey")
+    own = F.concat(F.lit("Order "), F.col("o_orderkey"))
+    c = table(spark, sf_dir, "orders").select("o_custkey", F.row_number().over(w).alias("c"), F.count(F.lit(1)).over(Window.partitionBy("o_custkey")).alias("n"),
+                                              own.alias("own"), F.first(own).over(w).alias("first_name"))
+    last = F.col("c") == F.col("n")
+    name = (F.when((k % 5 == 1) & (F.col("c") == 2), F.col("first_name")).when((k % 7 == 2) & last, F.lit("Introduction")).otherwise(F.col("own")))
+    cid = F.when((k % 9 == 3) & last, F.col("c") + 1).otherwise(F.col("c"))
+    return c.select(F.concat(F.lit("book "), k).alias("topic"), cid.cast("int").alias("chapter"), name.alias("name"))
 
 
 def chapters_json(spark, sf_dir) -> DataFrame:
@@ -330,13 +327,6 @@ def chapters_json(spark, sf_dir) -> DataFrame:
         F.struct(F.col("chapter").cast("string"), F.col("name"))))).alias("chapters_json"))
 
 
-def sections(spark, sf_dir) -> DataFrame:
-    """Sections 1..(nation key % 4 + 9) per chapter, ids 'chapter.section' (so 1.10 exists)."""
-    c = chapters(spark, sf_dir)
-    e = c.withColumn("s", F.explode(F.sequence(F.lit(1), (F.col("n_nationkey") % 4 + 9).cast("int"))))
-    return e.select("topic", F.concat_ws(".", F.col("chapter").cast("string"), F.col("s").cast("string")).alias("section_id"))
-
-
 # ------------------------------------------------------------------ evidence, task answers
 def evidence_chunks(spark, sf_dir, size: int = 200) -> DataFrame:
     """fx_evidence: every document cut into consecutive 200-character chunks (whole text);
@@ -350,11 +340,36 @@ def evidence_chunks(spark, sf_dir, size: int = 200) -> DataFrame:
                     (F.pmod(stable_hash(cid), F.lit(1000)) / 1000.0).alias("score"))
 
 
+def evidence_sources(spark, sf_dir) -> dict[str, DataFrame]:
+    """fx_sources: a seed's ground truth (score 0.995), its text's chunks, and the page of the same key (its address; score by hash)."""
+    truth = seeds(spark, sf_dir).select("seed_id", F.lit("truth").alias("chunk_id"), F.col("ground_truth").alias("chunk"), F.lit(0.995).alias("score"))
+    pid = F.col("page_id").cast("string")
+    web = table(spark, sf_dir, "pages").select(pid.alias("seed_id"), F.concat(F.lit("page "), pid).alias("chunk_id"), F.col("url").alias("chunk"),
+                                               (F.pmod(stable_hash(F.concat(F.lit("page "), pid)), F.lit(1000)) / 1000.0).alias("score"))
+    return {"seed": truth, "retrieved": evidence_chunks(spark, sf_dir).select("seed_id", "chunk_id", "chunk", "score"), "web": web}
+
+
+def rotation_lists(spark, sf_dir) -> dict:
+    """Rotation vocabularies from the given tables: sorted distinct values, a few dozen at most (part types, segments, nations, languages)."""
+    def column(name, col, order=None):
+        t = table(spark, sf_dir, name).select(col, *([order] if order else [])).where(F.col(col).isNotNull()).distinct().orderBy(order or col)
+        return [r[0] for r in t.collect()]
+    return {"dietary": column("part", "p_type"), "audiences": column("customer", "c_mktsegment"), "regions": column("nation", "n_name", "n_nationkey"),
+            "languages": column("documents", "lang")}
+
+
+def regional_values(spark, sf_dir) -> DataFrame:
+    """(region, festivals, methods): arrays of the distinct brands and types of the parts whose key % 25 is the nation's, sorted."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("region"))
+    p = table(spark, sf_dir, "part").select((F.col("p_partkey") % 25).alias("n_nationkey"), "p_brand", "p_type")
+    return n.join(p, "n_nationkey").groupBy("region").agg(F.array_sort(F.collect_set("p_brand")).alias("festivals"), F.array_sort(F.collect_set("p_type")).alias("methods"))
+
+
 def task_answers(spark, sf_dir) -> DataFrame:
-    """fx_task_responses (shape only): d%43 the reject marker, d%47 the low-quality
-    prefix before a JSON body, d%5 prose around JSON, else a bare JSON object."""
+    """fx_task_responses: d%43 the reject marker, d%47 the low-quality prefix before a JSON body, d%5 prose
+    around JSON, else a bare JSON object; the body's answer is the document's whole text."""
     d = F.col("doc_id")
-    body = F.concat(F.lit('{"seed": "'), d.cast("string"), F.lit('", "answer": "ok"}'))
+    body = F.to_json(F.struct(d.cast("string").alias("seed"), F.col("text").alias("answer")))
     txt = (F.when(d % 43 == 0, F.lit(vocab.REJECT_MARKER))
            .when(d % 47 == 0, F.concat(F.lit(vocab.LOW_QUALITY_PREFIX + "\n"), body))
            .when(d % 5 == 0, F.concat(F.lit("Here you go: "), body))
@@ -424,6 +439,7 @@ def contract_answers(spark, sf_dir, task: str) -> DataFrame:
         n = on("too_few", lit(6), on("too_many", lit(14), lit(9)))
         ans = F.transform(F.sequence(lit(1), n), lambda i: F.when(
             i == 2, on("repeated", lit("Scenario 1 "), on("empty_item", lit(" "), on("too_long", lit("One. Two! Three?"), lit("A cook waits. The pot boils over.")))))
+            .when(i == 3, F.concat(lit("scenario 3 "), F.translate(text, ".!?\u3002\uff01\uff1f\u0964", ",,,,,,,")))
             .otherwise(F.concat(lit("scenario "), i.cast("string"))))
     elif task == "c1_substitution":
         word = F.lower(F.regexp_extract("seed_text", r"(\p{L}{3,})", 1))
@@ -548,8 +564,8 @@ def double_routed_verdicts(spark, sf_dir) -> DataFrame:
 #: planted codes per task: key rule k = d % (n + 1), 0 = conforming, k = the k-th code
 HOUSEHOLD_PLANTED = {
     "h5": ["no_task:Weekly", "missing_system:hvac", "untagged_item", "out_of_order"], "h6": ["empty:Discretionary", "reserve_percent"],
-    "h7": ["missing_number:101", "prevention_count", "missing:Hazard"], "h12": ["uncosted_item", "missing:Mould / Pest Note"],
-    "h13": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "h14": ["too_few_myths", "no_call"],
+    "h7": ["missing_number:101", "prevention_count", "missing:Hazard", "late_containment"], "h12": ["uncosted_item", "missing:Mould / Pest Note"],
+    "h13": ["missing_sign:sound", "not_numbered", "too_few_never", "missing_number:1906"], "h14": ["too_few_myths", "no_call", "late_containment"],
     "h16": ["item_count", "missing_inaction"], "h17": ["over_budget", "no_cost", "no_logic"], "h18": ["bad_level", "age_mismatch", "no_boundary"],
     "h20": ["no_hard_stop", "bad_final"], "h10": ["bad_opening", "bad_closing", "unknown_speaker"], "h19": ["bad_closing", "principles"],
     **{t: ["missing", "duplicate", "out_of_order"] for t in ("h1", "h2", "h3", "h4", "h8", "h9", "h11", "h15")},
@@ -628,6 +644,7 @@ def household_answers(spark, sf_dir, task: str) -> DataFrame:
         if code.startswith("missing:"):
             plain = on(code, F.concat_ws("\n", *[p for x, p in zip(labels, parts) if x != code.split(":", 1)[1]]), plain)
     plain = on("missing", F.concat_ws("\n", *parts[:-1]), on("duplicate", F.concat_ws("\n", *parts, parts[-1]), plain))
+    plain = on("late_containment", F.concat_ws("\n", parts[0], parts[2], parts[1], *parts[3:]), plain)
     plain = on("out_of_order", F.concat_ws("\n", *parts[:-2], parts[-1], parts[-2]), plain)
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("seed_id"), plain.alias("answer"))
 

@@ -184,15 +184,25 @@ def read_validity_done(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 # S8 ------------------------------------------------------------------------
+_PLACEHOLDER = r"\{\{\s*([A-Za-z_][A-Za-z0-9_.]*)\s*\}\}|\{([A-Za-z_][A-Za-z0-9_.]*)\}"
+
+
 def read_templates(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """Template files with family and task id from the path (``<family>/<task>_*.txt``)."""
+    """Template files, one row per file: path, family (its folder), task_id (its name up to the first ``_``), template, placeholders.
+
+    A folder or file may be named ``key=value``, as Spark writes partitions; the value counts. ``placeholders``: the distinct
+    names of ``{name}`` and ``{{ a.b }}`` in order of first use.
+    """
     df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
           .text(root, wholetext=True)
           .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("template")))
+    value = lambda c: F.regexp_replace(c, "^[^=]*=", "")
+    names = F.transform(F.regexp_extract_all("template", F.lit(_PLACEHOLDER), F.lit(0)), lambda x: F.regexp_replace(x, r"[{}\s]", ""))
     return df.select(
         "path", "template",
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("family"),
-        F.regexp_extract("path", r"/([A-Za-z]+[0-9]+)_[^/]*$", 1).alias("task_id"))
+        value(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).alias("family"),
+        value(F.regexp_extract("path", r"/([^/_]+)[^/]*$", 1)).alias("task_id"),
+        F.array_distinct(names).alias("placeholders"))
 
 
 # S9 ------------------------------------------------------------------------
