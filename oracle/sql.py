@@ -531,7 +531,7 @@ sql("v_sections", "SELECT conv_id, turn, array_to_string(list_filter([" + ", ".j
          OR coalesce(strpos(t, chr(10) || 'Safety:') > 0 AND (strpos(t, chr(10) || 'Diagnosis:') = 0 OR strpos(t, chr(10) || 'Safety:') < strpos(t, chr(10) || 'Diagnosis:')), false)
        THEN 'first_not:Diagnosis' END], lambda x: x IS NOT NULL), ',') AS violations FROM """ + _SEC)
 
-_LIST = "(SELECT list({c} ORDER BY {o}) FROM (SELECT DISTINCT {c}, {o} AS o FROM {t}))"
+_LIST = "(SELECT list({c} ORDER BY o) FROM (SELECT DISTINCT {c}, {o} AS o FROM {t}))"
 _LISTS = {"dietary": _LIST.format(c="p_type", o="p_type", t="part"), "audiences": _LIST.format(c="c_mktsegment", o="c_mktsegment", t="customer"),
           "regions": _LIST.format(c="n_name", o="n_nationkey", t="nation"), "languages": _LIST.format(c="lang", o="lang", t="documents")}
 _TURN = {k: f"{v}[rk % len({v}) + 1]" for k, v in _LISTS.items()}
