@@ -1,35 +1,36 @@
 """Line dedup by an exact set-similarity join over line tokens.
 
 A line is the set of its lower-cased words. A line goes when an earlier line (by doc_id, then line
-number) has a Jaccard similarity of at least ``percent`` / 100 with it. Every line with a word takes
+number) has a Jaccard similarity of at least ``percent`` / 100 with it, whether or not that line stays itself; so of a
+chain of lines that change step by step only the first stays. Every line with a word takes
 part, however short; a line of a script without spaces is one word, so of those the exact repeats go.
 
 1. Words are counted in ``BUCKETS`` counters; a byte per counter (its logarithm) gives the rarity
-   class. That table has a fixed size (256 KB) and goes into the plan as a literal.
+   class. That table has a fixed size (1 MB) and goes into the plan as a literal.
 2. Lines with equal texts are one entry (first occurrence, 128-bit hash), with their tokens ordered
-   by rarity class and hash, of which the prefix n - ceil(t n) + 1 is kept.
-3. Prefix tokens that only one entry has are dropped by a pre-aggregated count. For every other
-   token one pivot entry (it stands first in its order) is paired with the rest, under length,
-   positional and parity filters, and pairs are verified on their words.
-4. Entries that no pivot removed are compared with all earlier entries of their tokens, under the
-   same filters, so no match is missed; near copies of one line are not expanded into all pairs.
-
-Defined cases: null text is no line and stays null; empty and blank lines are kept; a null doc_id comes last
-in the order; rows repeated as a whole count as one document and get the same result; rows that
-share a doc_id are ordered by a hash of their text; extra columns are ignored; empty tables are fine.
+   by rarity class and hash, of which the prefix n - ceil(t n) + 1 is kept. Lines of so few words that a similar
+   one must be equal as a set keep one key of the whole set.
+3. Entries meet by prefix token, dealt once: length and positional filters, then a signature (16 counters of
+   the tokens' hashes, whose differences the sets differ in at least). What is left is verified on its words.
+4. A token of more than ``HOT`` entries makes no pairs of all of them: the first entry is compared with the
+   rest, and only entries that no such first one removed are compared with all others of the token. No match is missed, and near
+   copies of one line are not expanded into all pairs.
+
+Defined cases: null text is no line and stays null; empty and blank lines are kept; very long texts and lines are read whole;
+a null doc_id comes last in the order; rows repeated as a whole count as one document and get the same result; rows that
+share a doc_id are ordered by a hash of their text; extra columns, whatever their names, are ignored and kept; empty tables are fine.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
 from .url_filter import bloom_filter, possible_hits
 
-BUCKETS, MIN_TOKENS, PERCENT, BLOCKS = 1 << 18, 1, 80, 1 << 16
+BUCKETS, MIN_TOKENS, PERCENT, BLOCKS, HOT = 1 << 20, 1, 80, 1 << 16, 1000
 LAST = (1 << 63) - 1
 
 
@@ -41,21 +42,30 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.lower(line), r"[ \t\r]")
+    """The words of a line, empty strings between them included (one plain separator: no regex engine)."""
+    return F.split(F.translate(F.lower(line), "\t\r", "  "), " ")
 
 
 def rarity(docs: DataFrame) -> bytes:
     """A byte per counter: 0 for counters without words, else more for more frequent words."""
-    words = docs.select(F.explode_outer(F.split(F.lower("text"), r"[ \t\r\n]")).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    table = bytearray(BUCKETS)
-    for r in counts.collect():  # one row per counter at most
-        table[r["b"]] = min(126, 1 + int(3 * math.log2(r["n"])))
-    return bytes(table)
+    words = docs.select(F.explode(F.split(F.translate(F.lower("text"), "\t\r\n", "   "), " ")).alias("w"))
+    keyed = words.select(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b"), F.when(F.col("w") != "", 1).otherwise(0).alias("k"))
+    found = keyed.groupBy("b").agg(F.sum("k").alias("n")).where("n > 0").toArrow()  # one row per counter at most
+    table = np.zeros(BUCKETS, np.uint8)
+    table[found.column("b").to_numpy()] = np.minimum(126, 1 + (3 * np.log2(found.column("n").to_numpy())).astype(np.int64))
+    return table.tobytes()
+
+
+def tiny(percent: int) -> int:
+    """The largest size whose similar sets must be equal: one token more or less is already too much."""
+    n = 1
+    while 100 * n < percent * (n + 1):
+        n += 1
+    return n - 1
 
 
 def entries(docs: DataFrame, table: bytes, min_tokens: int, percent: int) -> DataFrame:
-    """One row per distinct line text: h1, h2, first place (at), size n, parity word, prefix tokens."""
+    """One row per distinct line text: h1, h2, first place (at), occurrences, size n, signature, prefix keys (32 bits of the prefix tokens)."""
     lit = F.lit(table)
     low = line_rows(docs).select(F.struct("doc", "th", "line_no").alias("at"), F.xxhash64("line").alias("h1"),
                                  F.xxhash64("line", F.lit(1)).alias("h2"), words_of(F.col("line")).alias("w"), F.length("line").alias("chars")) \
@@ -68,18 +78,32 @@ def entries(docs: DataFrame, table: bytes, min_tokens: int, percent: int) -> Dat
 
     rows = low.select("at", "h1", "h2", F.array_sort(F.array_distinct(F.array_compact(F.transform("w", token)))).alias("t"))
     n = F.size("t")
-    head = n - F.ceil(n * percent / 100).cast("int") + 1
-    flip = lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int")))
-    rows = rows.select("at", "h1", "h2", n.alias("n"), F.aggregate("t", F.lit(0).cast("long"), flip).alias("odd"), F.slice("t", 1, head).alias("head"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("head").alias("head"))
+    left = lambda a, b: F.call_function("shiftleft", a, b)
+
+    def count(s, x):
+        at = (x.bitwiseAND(15) * 4).cast("int")
+        more = (F.call_function("shiftrightunsigned", s, at).bitwiseAND(15) + 1).bitwiseAND(15)
+        return s.bitwiseAND(F.bitwise_not(left(F.lit(15).cast("long"), at))).bitwiseOR(left(more, at))
+
+    head = F.transform(F.slice("t", 1, n - F.ceil(n * percent / 100).cast("int") + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
+    whole = F.xxhash64("t").bitwiseAND(0x7FFFFFFF).cast("int")
+    head = F.when(n <= tiny(percent), F.array(whole)).otherwise(head)
+    rows = rows.select("at", "h1", "h2", n.alias("n"), F.aggregate("t", F.lit(0).cast("long"), count).alias("sig"), head.alias("head"))
+    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("head").alias("head"))
     return found.where(F.col("n") >= min_tokens)  # after the aggregate, so that the tokens are not built twice for it
 
 
-def possible(percent: int, na: str, pa: str, oa: str, nb: str, pb: str, ob: str) -> Column:
-    """Length, positional and parity filters: whether entries with one token at these places can still be similar enough."""
+def possible(percent: int, na: str, pa: str, sa: str, nb: str, pb: str, sb: str) -> Column:
+    """Length, positional and signature filters: whether entries with one prefix key at these places can still be similar enough.
+
+    The signatures count tokens in 16 classes modulo 16; the sets differ in at least as many tokens as the counts do.
+    """
     a, b, t = F.col(na), F.col(nb), percent
     most = F.least(pa, pb) + 1 + F.least(a - F.col(pa) - 1, b - F.col(pb) - 1)
-    differ = F.bit_count(F.col(oa).bitwiseXOR(F.col(ob)))  # the sets differ in at least as many tokens
+    differ = F.lit(0).cast("long")
+    for i in range(0, 64, 4):
+        d = (F.shiftrightunsigned(sa, i).bitwiseAND(15) - F.shiftrightunsigned(sb, i).bitwiseAND(15)).bitwiseAND(15)
+        differ = differ + F.least(d, 16 - d)
     return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * most >= t * (a + b)) & ((100 + t) * differ <= (100 - t) * (a + b))
 
 
@@ -95,32 +119,39 @@ def similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("wa") + F.size("wb") - common)).select("a", "b")
 
 
-def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
-    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd")
-    shared = post.groupBy("token").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("token")
-    post = saved(post.join(shared, "token"), "postings")
-    pivot = post.groupBy("token").agg(F.min(F.struct("pos", "h1", "n", "odd")).alias("p")) \
-        .select("token", F.col("p.h1").alias("b"), F.col("p.pos").alias("pb"), F.col("p.n").alias("nb"), F.col("p.odd").alias("ob"))
-    near = post.join(pivot, "token").where("h1 <> b").where(possible(percent, "n", "pos", "odd", "nb", "pb", "ob"))
-    pairs = saved(near.select(F.col("h1").alias("a"), "b").distinct(), "pairs")
+def losers(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """(h1) of the later entry of every found pair."""
     place = lines.select("h1", "at")
+    f = found.join(place.select(F.col("h1").alias("a"), F.col("at").alias("at_a")), "a").join(place.select(F.col("h1").alias("b"), F.col("at").alias("at_b")), "b")
+    return f.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("h1")).distinct()
+
+
+def _pairs(x: DataFrame, y: DataFrame, percent: int, order: Column) -> DataFrame:
+    """Distinct (a, b) of postings x and y of one token that can be similar; the smaller h1 first."""
+    l = x.select("token", F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("sig").alias("sa"))
+    r = y.select("token", F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("sig").alias("sb"))
+    met = l.join(r, "token").where(order).where(possible(percent, "na", "pa", "sa", "nb", "pb", "sb"))
+    return met.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
 
-    def losers(found: DataFrame) -> DataFrame:
-        f = found.join(place.select(F.col("h1").alias("a"), F.col("at").alias("at_a")), "a").join(place.select(F.col("h1").alias("b"), F.col("at").alias("at_b")), "b")
-        return f.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("h1")).distinct()
 
-    gone = saved(losers(similar(docs, pairs, percent)), "gone")
-    # what no pivot removed, against all earlier entries of its tokens
-    at = post.join(place, "h1")
-    x = at.join(gone, "h1", "left_anti").select("token", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("odd").alias("oa"), F.col("at").alias("at_a"))
-    y = at.select("token", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("odd").alias("ob"), F.col("at").alias("at_b"))
-    rest = x.join(y, "token").where("at_b < at_a").where(possible(percent, "na", "pa", "oa", "nb", "pb", "ob")).select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti").join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    rest = saved(rest, "rest")
-    if rest.isEmpty():
-        return gone
-    return gone.unionByName(similar(docs, rest, percent).select(F.col("a").alias("h1"))).distinct()
+def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
+    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "sig")
+    post = post.select("token", "h1", "n", "pos", "sig").repartition("token")
+    sized = post.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1")
+    cold = sized.where(F.col("_size") <= HOT).drop("_size")
+    pairs = saved(_pairs(cold, cold, percent, F.col("ha") < F.col("hb")), "pairs")
+    hot = saved(sized.where(F.col("_size") > HOT).drop("_size"), "hot")
+    if not hot.isEmpty():
+        place = lines.select("h1", F.col("at.doc").alias("_doc"))
+        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "sig")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.sig")
+        met = saved(_pairs(hot, first, percent, F.col("ha") != F.col("hb")), "hot-first")
+        gone = saved(losers(lines, similar(docs, met, percent)), "hot-gone")
+        rest = hot.join(gone, "h1", "left_anti")
+        # a pair of two entries that are both left over is met from both sides; one of them, from one
+        pairs = saved(pairs.unionByName(_pairs(rest, hot, percent, F.col("ha") != F.col("hb"))).distinct(), "pairs")
+        return losers(lines, similar(docs, pairs, percent)).unionByName(gone).distinct()
+    return losers(lines, similar(docs, pairs, percent))
 
 
 def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, percent: int = PERCENT) -> DataFrame:
@@ -128,18 +159,28 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, percent: int =
     docs = docs.select("doc_id", "text")
     lines = saved(entries(docs, rarity(docs), min_tokens, percent), "lines")
     gone = saved(later_matches(docs, lines, percent), "gone")
-    first = lines.select("h1", "h2", "at").join(gone.withColumn("gone", F.lit(True)), "h1", "left") \
-        .select("h1", "h2", "at", F.coalesce("gone", F.lit(False)).alias("gone"))
-    rows = line_rows(docs).select("doc", "th", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
-    out = rows.join(first, ["h1", "h2"]).where(F.col("gone") | (F.struct("doc", "th", "line_no") != F.col("at")))
+    # only entries that go or that occur again decide about a line; a fixed-size filter keeps the others' lines in place
+    first = lines.select("h1", "h2", "at", "times").join(gone.withColumn("gone", F.lit(True)), "h1", "left")
+    first = saved(first.where("times > 1 OR gone").select(F.col("h1").alias("key"), "h2", "at", F.coalesce("gone", F.lit(False)).alias("gone")), "decided")
+    rows = line_rows(docs).select("doc", "th", "line_no", F.xxhash64("line").alias("key"), F.xxhash64("line", F.lit(1)).alias("h2"))
+    rows = possible_hits(rows, bloom_filter(first.select("key"), BLOCKS), BLOCKS)
+    out = rows.join(first, ["key", "h2"]).where(F.col("gone") | (F.struct("doc", "th", "line_no") != F.col("at")))
     return out.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs (any columns) with ``clean`` (text without the lines that go) and ``removed`` (their numbers)."""
-    gone = removed_lines(docs, min_tokens, percent).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("removed").alias("_removed"))
-    on = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)) == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_th"))
-    kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda s, i: ~F.array_contains(F.col("_removed"), i)), "\n")
-    joined = docs.join(gone, on, "left")
-    return joined.select(*[docs[c] for c in docs.columns], F.when(F.col("_removed").isNull(), docs["text"]).otherwise(kept).alias("clean"),
-                         F.coalesce("_removed", F.array().cast("array<int>")).alias("removed"))
+def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, percent: int = PERCENT, clean: str = "clean", removed: str = "removed") -> DataFrame:
+    """The rows of docs (any columns) with ``clean`` (text without the lines that go) and ``removed`` (their numbers).
+
+    The two names are the caller's; a column of docs that has one of them is an error.
+    """
+    clash = {clean, removed} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are what the operator adds; name them otherwise")
+    given = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    gone = removed_lines(docs, min_tokens, percent).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("removed").alias("_gone"))
+    on = (F.coalesce(at["doc_id"].cast("long"), F.lit(LAST)) == F.col("_doc")) & (F.xxhash64(at["text"]) == F.col("_th"))
+    kept = F.array_join(F.filter(F.split(at["text"], "\n"), lambda s, i: ~F.array_contains(F.col("_gone"), i)), "\n")
+    return given.join(gone, on, "left").select(
+        *[at[c].alias(c) for c in docs.columns], F.when(F.col("_gone").isNull(), at["text"]).otherwise(kept).alias(clean),
+        F.coalesce("_gone", F.array().cast("array<int>")).alias(removed))

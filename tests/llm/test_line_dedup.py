@@ -76,3 +76,27 @@ def test_short_lines_unspaced_lines_and_changed_passages(spark):
     docs = [(1, f"Read more\n{passage}\n{unspaced}\nMenu\n\n \t"), (2, f"read  more\n{changed}\n{unspaced}\nOwn\n\n \t"), (3, "Menu\nRead less\nMenu")]
     out = {r["doc_id"]: (list(r["removed"]), r["clean"]) for r in L.dedup_lines(rows(spark, docs, "doc_id long, text string")).collect()}
     assert out == {1: ([], docs[0][1]), 2: ([0, 1, 2], "Own\n\n \t"), 3: ([0, 2], "Read less")}
+
+
+def test_hot_tokens_lose_no_match(spark, monkeypatch):
+    """Every token that more than two entries share takes the way of the frequent ones."""
+    monkeypatch.setattr(L, "HOT", 2)
+    docs = made(9) + [(100 + i, f"one common line of words that many documents share, number {i} of them all") for i in range(60)]
+    out = {r["doc_id"]: list(r["removed"]) for r in L.dedup_lines(rows(spark, docs, "doc_id long, text string")).collect()}
+    assert out == brute(docs)
+
+
+def test_extra_columns_with_the_operators_names(spark):
+    docs = [(1, "a b c d e f g\nx"), (2, "A b c d e f g\ny"), (None, None)]
+    df = rows(spark, docs, "doc_id long, text string").selectExpr("*", "1 AS removed", "2 AS clean", "3 AS _doc", "4 AS h1", "5 AS c0", "6 AS _gone", "7 AS at")
+    out = L.dedup_lines(df, clean="kept_text", removed="lines")
+    assert out.columns == [*df.columns, "kept_text", "lines"]
+    assert {r["doc_id"]: (r["kept_text"], r["lines"], r["removed"], r["clean"], r["_doc"]) for r in out.collect()} == {
+        1: ("a b c d e f g\nx", [], 1, 2, 3), 2: ("y", [0], 1, 2, 3), None: (None, [], 1, 2, 3)}
+
+
+def test_sizes_that_need_equality():
+    assert L.tiny(80) == 3 and L.tiny(50) == 0 and L.tiny(90) == 8
+    for percent in (50, 80, 85, 90):
+        n = L.tiny(percent)
+        assert all(100 * a < percent * (a + 1) for a in range(1, n + 1)) and 100 * (n + 1) >= percent * (n + 2)
