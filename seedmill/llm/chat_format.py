@@ -1,21 +1,23 @@
 r"""Chat formatting of typed content parts.
 
 A message is (conv_id, turn, role, parts) with parts = array<struct<kind, text, uri, units>>.
-The visitor walks the parts of each message in order: text is escaped and kept; an image, audio
+The visitor walks the parts of each message in order: adjacent texts are joined, escaped and kept; an image, audio
 or document part becomes an ordered placeholder ``[[image:1]]`` and an attachment row
 (kind, ordinal within its kind, uri, expanded tokens). ``units`` is the size that expands to
 tokens: image tiles, audio seconds, document pages, at ``TOKENS_PER_UNIT`` each.
 
 A turn is written as ``### Role: `` + body + ``</turn>\n``. Texts are escaped reversibly, so no
 control string can occur in a body: the escape sign first, then each control string becomes an
-escape sign and a letter. ``parse_formatted`` reads turns back and undoes the escapes.
+escape sign and a letter. Texts are escaped as they will stand, joined with their neighbours, and a ``[`` just before a
+placeholder is escaped as well, so parts cannot form a control string together either. ``parse_formatted`` reads turns
+back and undoes the escapes.
 
 Everything is one shuffle by conversation and built-in functions. One conversation is one output
 row, so its turns must meet; nothing else is gathered.
 
 Defined cases: a null text or part list is empty; a null role is the empty role; turns sort by
 (turn, role, body) with null turns first, so repeated rows and ties have one order; a null conv_id
-is a conversation of its own. Extra columns are ignored.
+is a conversation of its own; texts of any length are kept whole; an empty table gives no row. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 HEAD, MID, END = "### ", ": ", "</turn>\n"
 #: control string -> letter after the escape sign; the escape sign itself comes first
 ESCAPES = [("\\", "b"), ("###", "h"), ("</turn>", "e"), ("[[", "o")]
+BRACKET = "\\s"  # a single [ before a placeholder
 TOKENS_PER_UNIT = {"image": 256, "audio": 25, "document": 800}
 
 
@@ -36,6 +39,7 @@ def escape(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
+    c = F.replace(c, F.lit(BRACKET), F.lit("["))
     for plain, letter in reversed(ESCAPES):
         c = F.replace(c, F.lit("\\" + letter), F.lit(plain))
     return c
@@ -64,13 +68,24 @@ def visit_parts(messages: DataFrame) -> DataFrame:
     def seen(kind, i):  # parts of that kind up to place i
         return F.size(F.filter(F.slice(F.col("parts"), F.lit(1), i + 1), lambda q: q["kind"] == kind))
 
-    def placeholder(p, i):
-        return F.concat(F.lit("[["), p["kind"], F.lit(":"), seen(p["kind"], i).cast("string"), F.lit("]]"))
+    # places of the attachments; the texts between two of them are one text
+    n = F.size("parts")
+    media = F.filter(F.transform("parts", lambda p, i: F.when(p["kind"].isin(kinds), i + 1)), lambda i: i.isNotNull())
+    stops = F.concat(F.array(F.lit(0)), media, F.array(n + 1))
 
-    text_only = F.size(F.filter("parts", lambda p: p["kind"].isin(kinds))) == 0
-    plain = F.array_join(F.transform("parts", lambda p: escape(F.coalesce(p["text"], F.lit("")))), "")
-    mixed = F.array_join(F.transform("parts", lambda p, i: F.when(p["kind"].isin(kinds), placeholder(p, i))
-                                     .otherwise(escape(F.coalesce(p["text"], F.lit(""))))), "")
+    def run(k):  # the text after the k-th attachment
+        first, last = F.element_at(stops, k + 1) + 1, F.element_at(stops, k + 2) - 1
+        text = escape(F.array_join(F.transform(F.slice("parts", first, last - first + 1), lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+        return F.when((last < n) & text.endswith("["), F.concat(F.substring(text, 1, F.length(text) - 1), F.lit(BRACKET))).otherwise(text)
+
+    def placeholder(at):
+        p = F.element_at("parts", at)
+        return F.concat(F.lit("[["), p["kind"], F.lit(":"), seen(p["kind"], at - 1).cast("string"), F.lit("]]"))
+
+    text_only = F.size(media) == 0
+    plain = escape(F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+    runs = F.transform(F.sequence(F.lit(0), F.size(media)), run)
+    mixed = F.array_join(F.zip_with(runs, F.concat(F.transform(media, placeholder), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     cost = F.create_map(*[F.lit(x) for kv in TOKENS_PER_UNIT.items() for x in kv])
     refs = F.filter(F.transform("parts", lambda p, i: F.when(p["kind"].isin(kinds), F.struct(
         p["kind"].alias("kind"), seen(p["kind"], i).alias("ordinal"), p["uri"].alias("uri"),

@@ -63,6 +63,11 @@ SIDE_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "banner", "
 MAIN_TAGS = {"article", "main"}
 #: A class or id with one of these words tells of a layout (with-sidebar, ad-free), not of a container.
 LAYOUT_WORDS = {"with", "without", "has", "no", "non", "free"}
+#: Words of SIDE_WORDS that also name content: in a compound (long-form, search-theory) they count only beside these.
+AMBIGUOUS = {"alert", "banner", "copyright", "footer", "form", "header", "menu", "notice", "related", "reply", "search", "share", "social"}
+BESIDE = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "contact", "container", "content", "feedback", "global", "icon", "icons", "inner", "item",
+          "items", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "site", "text", "title", "top",
+          "wrap", "wrapper"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 TOKEN = re.compile(r"([^<]+)|(</?[a-zA-Z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>)|<!--.*?(?:-->|$)|<[!?][^>]*>?|(<)", re.S)
@@ -79,6 +84,11 @@ def read_tag(tag: str) -> tuple[bool, str, bool, tuple[str, ...]]:
     return closing, m.group(2).lower(), attrs.rstrip().endswith("/"), () if closing or not attrs.strip() else words_of(attrs)
 
 
+@lru_cache(maxsize=100)
+def closing_tag(name: str) -> re.Pattern:
+    return re.compile(f"</{name}", re.I | re.A)
+
+
 def words_of(attrs: str) -> tuple[str, ...]:
     """Lower-case words of class, id and role; ``hidden`` for an element that is not shown."""
     found = []
@@ -89,7 +99,9 @@ def words_of(attrs: str) -> tuple[str, ...]:
         elif name in ("class", "id", "role"):
             for one in value.split():
                 parts = [w for w in re.split(r"[^a-z]+", one) if w]
-                found += parts if len(parts) < 2 or LAYOUT_WORDS.isdisjoint(parts) else ["-".join(parts)]
+                rest = [w for w in parts if w not in AMBIGUOUS]
+                told = not SIDE_WORDS.isdisjoint(rest) or BESIDE.issuperset(rest)
+                found += parts if len(parts) < 2 or told and LAYOUT_WORDS.isdisjoint(parts) else ["-".join(parts)]
     return tuple(found)
 
 
@@ -135,8 +147,8 @@ def tokens(page: str | None) -> list[tuple[str, str]]:
                 buffer.append(" ")
             continue
         if name in INLINE:
-            if not closing and words and (side(words) or "hidden" in words) and (end := page.lower().find(f"</{name}", at)) >= 0:
-                at = end
+            if not closing and words and (side(words) or "hidden" in words) and (end := closing_tag(name).search(page, at)):
+                at = end.start()
             continue
         flush()
         if closing:

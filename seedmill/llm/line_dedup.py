@@ -181,6 +181,6 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, percent: int = PE
     gone = removed_lines(docs, min_tokens, percent).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("removed").alias("_gone"))
     on = (F.coalesce(at["doc_id"].cast("long"), F.lit(LAST)) == F.col("_doc")) & (F.xxhash64(at["text"]) == F.col("_th"))
     kept = F.array_join(F.filter(F.split(at["text"], "\n"), lambda s, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return given.join(gone, on, "left").select(
-        *[at[c].alias(c) for c in docs.columns], F.when(F.col("_gone").isNull(), at["text"]).otherwise(kept).alias(clean),
-        F.coalesce("_gone", F.array().cast("array<int>")).alias(removed))
+    out = given.join(gone, on, "left").select(*at.values(), F.when(F.col("_gone").isNull(), at["text"]).otherwise(kept).alias("x0"),
+                                              F.coalesce("_gone", F.array().cast("array<int>")).alias("x1"))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("x0").alias(clean), F.col("x1").alias(removed))

@@ -1,11 +1,11 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs, then an exact hash join.
 
-The listing holds two kinds of entries, both reduced to one string key:
-* prefix rules (host, path, verdict): key ``host + path``, fits the host and its subdomains;
-* canonical URLs: key ``= + canonical``, fits every spelling with that canonical form.
+The listing holds two kinds of entries, both reduced to one string key that opens with the kind's letter:
+* prefix rules (host, path, verdict): key ``r + host + path``, fits the host and its subdomains;
+* canonical URLs: key ``u + canonical``, fits every spelling with that canonical form.
 
-A page offers the keys it could be listed under (host suffixes x the listed path lengths,
-and its canonical URL). The Bloom filter drops nearly all of them map-side; what passes goes
+A page offers the keys it could be listed under (host suffixes of as many labels as some rule's host has,
+x the listed path lengths, and its canonical URL), however long its host is. The Bloom filter drops nearly all of them map-side; what passes goes
 to an exact join, which removes the false positives. The longest prefix rule wins, then the
 canonical listing, then ``default``.
 
@@ -81,25 +81,27 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default: s
                listed_verdict: str = "block", blocks: int = 1 << 16) -> DataFrame:
     """Return page_id, host, path, rule, verdict for every row of ``pages`` (page_id, url).
 
-    rules: (host, path, verdict); listed: (canonical). The distinct lengths of the rules' paths are
-    read to the driver: their number is bounded by the longest path, not by the rules.
+    rules: (host, path, verdict); listed: (canonical). The distinct lengths of the rules' paths and the distinct label
+    counts of their hosts are read to the driver: their numbers are bounded by the longest path and host, not by the rules.
     """
     rules = rules.select(ascii_lower(F.col("host")).alias("h"), F.col("path").alias("p"), F.col("verdict").alias("v"))
     lengths = sorted(r[0] for r in rules.select(F.length("p")).distinct().collect() if r[0] is not None)
-    listing = rules.select(F.concat("h", "p").alias("key"), F.concat("h", "p").alias("found"), F.col("v"),
+    depths = sorted(r[0] for r in rules.select(F.size(F.split("h", r"\."))).distinct().collect() if r[0] is not None and r[0] > 0)
+    listing = rules.select(F.concat(F.lit("r"), "h", "p").alias("key"), F.concat("h", "p").alias("found"), F.col("v"),
                            F.length(F.concat("h", "p")).alias("size")) \
-        .unionByName(listed.select(F.concat(F.lit("="), F.col("canonical")).alias("key"), F.lit(None).cast("string").alias("found"),
+        .unionByName(listed.select(F.concat(F.lit("u"), F.col("canonical")).alias("key"), F.lit(None).cast("string").alias("found"),
                                    F.lit(listed_verdict).alias("v"), F.lit(0).alias("size"))) \
         .groupBy("key").agg(F.max(F.struct("size", "found", "v")).alias("e"))
     urls = pages.select("url").where("url is not null").distinct() \
         .select("url", url_host(F.col("url")).alias("h"), url_path(F.col("url")).alias("p"), canonical_url(F.col("url")).alias("c"))
     labels = F.split("h", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.array_compact(F.array(*[F.when(F.size(labels) >= n, F.array_join(F.slice(labels, -n, n), ".")) for n in depths])) if depths \
+        else F.array().cast("array<string>")
     heads = F.array_distinct(F.array(*[F.expr(f"substring(p, 1, {n})") for n in lengths])) if lengths else F.array().cast("array<string>")
-    prefix_keys = F.flatten(F.transform(suffixes, lambda s: F.transform(heads, lambda q: F.concat(s, q))))
+    prefix_keys = F.flatten(F.transform(suffixes, lambda s: F.transform(heads, lambda q: F.concat(F.lit("r"), s, q))))
     keys = urls.select("url", F.explode_outer(F.concat(
         F.when(F.col("h") != "", prefix_keys).otherwise(F.array().cast("array<string>")),
-        F.filter(F.array(F.concat(F.lit("="), F.col("c"))), lambda x: x.isNotNull()))).alias("key")).where("key is not null")
+        F.filter(F.array(F.concat(F.lit("u"), F.col("c"))), lambda x: x.isNotNull()))).alias("key")).where("key is not null")
     hits = possible_hits(keys, bloom_filter(listing.select("key"), blocks), blocks)
     found = hits.join(listing, "key").groupBy("url").agg(F.max("e").alias("e"))
     out = pages.select("page_id", "url").join(found, "url", "left")

@@ -55,3 +55,15 @@ def test_pages_keep_their_text_whatever_the_host(spark):
     assert out == {1: ["Art 1"], 2: ["Art 2"], 3: ["Abstract", "Story 3"], 4: ["Abstract", "Story 4"], 5: ["In 5"], 6: ["Hi", "Abstract", "Story 6"],
                    7: ["Hi", "Abstract", "Story 6"], 8: ["Abstract", "Story 8"], 9: ["Abstract", "Story 9"], 10: ["Abstract"], 11: ["one", "two"],
                    12: ["Abstract", "Story 12", "alone"]}
+
+
+def test_offsets_survive_letters_that_grow_in_lower_case():
+    page = "<article><p>" + "\u0130" * 40 + " one <span class=ad>gone</span> two three four.</p><p>five</p></article>"
+    assert H.extract(page, {}) == "\u0130" * 40 + " one two three four.\n\nfive"
+
+
+def test_compound_names_of_content_stay():
+    for name in ("long-form", "form-of-verbs", "search-theory", "header-files", "related-rates"):
+        assert H.extract(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>", {}) == "a\n\nb", name
+    for name in ("search-box", "contact-form", "cookie-notice", "ad-slot", "share", "related-posts", "comment_list", "site-footer"):
+        assert H.extract(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>", {}) == "a", name

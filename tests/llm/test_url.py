@@ -48,3 +48,21 @@ def test_empty_tables(spark):
     assert U.judge_urls(pages, rules, U.repeated_urls(pages)).count() == 0
     one = rows(spark, [(1, "http://net/")], "page_id long, url string")
     assert U.judge_urls(one, rules, U.repeated_urls(one)).collect()[0]["verdict"] == "allow"
+
+
+def test_kinds_of_entries_do_not_meet(spark):
+    """A host that spells like another kind's key fits no entry of that kind."""
+    rules = rows(spark, URL_RULES + [("u", "", "block")], "host string, path string, verdict string")
+    listed = rows(spark, [("evil.com/abc",), ("rnet",)], "canonical string")
+    urls = ["http://=evil.com/abc/x", "http://uevil.com/abc", "http://revil.com/abc/x", "http://evil.com/abc", "http://rnet/", "http://xnet/", "http://a.u/x"]
+    out = [r["verdict"] for r in U.judge_urls(rows(spark, list(enumerate(urls)), "page_id long, url string"), rules, listed).orderBy("page_id").collect()]
+    assert out == ["allow", "allow", "allow", "block", "block", "allow", "block"]
+
+
+def test_long_hosts(spark):
+    host = ".".join(["x"] * 50_000)
+    urls = [f"http://{host}.net/", f"http://{host}/", "http://" + "y" * 100_000 + ".example.com/de/"]
+    pages = rows(spark, list(enumerate(urls)), "page_id long, url string")
+    rules = rows(spark, URL_RULES, "host string, path string, verdict string")
+    out = {r["page_id"]: (r["rule"], r["verdict"]) for r in U.judge_urls(pages, rules, U.repeated_urls(pages)).collect()}
+    assert out == {0: ("net/", "block"), 1: (None, "allow"), 2: ("example.com/de/", "block")}
