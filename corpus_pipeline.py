@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir), works on every row of docs and returns a
 writes each stage's rows as Parquet in the shared folder and reads them back for the next one. All
 stages but the last return the columns of ``documents`` (others that docs had as well).
 
+Defined cases, in every stage: a null text counts as an empty one and stays null; texts of any length are read whole; rows that
+repeat are rows of their own until the near-duplicate stage keeps one of them; a null doc_id comes last where
+order decides; extra columns travel along, whatever their names; an empty table gives an empty one.
+
 No SQL can express the toxicity model, so ORACLE_SQL is None; tests hold the stages against
 brute-force versions.
 """
@@ -24,15 +28,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, with as many ``_`` in front as no column of docs has it."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line matches, n_chars to suit.
 
     A document that lost lines and has none but blank ones left goes as well.
     """
-    done = line_dedup.dedup_lines(docs)
-    kept = (F.size("removed") == 0) | F.col("clean").rlike(r"\S")
-    changed = {"text": F.col("clean"), "n_chars": F.when(F.size("removed") > 0, F.length("clean").cast("long")).otherwise(docs["n_chars"])}
-    return done.where(kept).select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
+    clean, removed = (_free(docs, name) for name in ("clean", "removed"))
+    done = line_dedup.dedup_lines(docs, clean=clean, removed=removed)
+    kept = (F.size(removed) == 0) | F.col(clean).rlike(r"\S")
+    changed = {"text": F.col(clean), "n_chars": F.when(F.size(removed) > 0, F.length(clean).cast("long")).otherwise(done["n_chars"])}
+    # in two steps, so that no name is read as an alias of the same select
+    out = done.where(kept).select(*[changed.get(c, done[c]).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    return out.toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
