@@ -370,14 +370,16 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = judged(docs, k, percent)
     out = found.where(F.col("n") > 0).where((F.coalesce("doc_id", F.lit(LAST)) != F.col("first.doc")) | (F.col("tag") != F.col("first.tag")))
     out = saved(out.select("doc_id", "tag").distinct(), "out")
-    same = docs["doc_id"].cast("long").eqNullSafe(out["doc_id"]) & (F.xxhash64(docs["text"]) == out["tag"])
-    left = docs.join(out, same, "left_anti")
+    # names of our own for all columns, so that none of docs' can clash
+    given = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    doc, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    match = lambda: doc.cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_tag"))
+    left = given.join(out.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag")), match(), "left_anti")
     # rows repeated as a whole: one of them (rows without words are never linked)
     again = found.where(F.col("n") > 0).groupBy("doc_id", "tag").agg(F.count("*").alias("rows")).where("rows > 1")
     again = saved(again.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag")), "again")
-    if again.isEmpty():
-        return left
-    key = left["doc_id"].cast("long").eqNullSafe(again["_doc"]) & (F.xxhash64(left["text"]) == again["_tag"])
-    twice = left.join(again, key)
-    first = twice.withColumn("_r", F.row_number().over(Window.partitionBy("_doc", "_tag").orderBy(F.lit(1)))).where("_r = 1")
-    return left.join(again, key, "left_anti").unionByName(first.select(*[left[c] for c in docs.columns]))
+    if not again.isEmpty():
+        twice = left.join(again, match())
+        first = twice.withColumn("_r", F.row_number().over(Window.partitionBy("_doc", "_tag").orderBy(F.lit(1)))).where("_r = 1")
+        left = left.join(again, match(), "left_anti").unionByName(first.select(*given.columns))
+    return left.toDF(*docs.columns)

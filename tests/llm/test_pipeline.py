@@ -46,3 +46,29 @@ def test_short_unique_lines_stay_without_the_shared_one(spark):
                 "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in C.drop_repeated_lines(spark, docs, SF0001).collect()}
     assert got == {1: (shared, 1), 2: (poem, len(poem)), 4: (" ", 1)}
+
+
+EXTRA = ("removed", "clean", "_clean", "_doc", "_hash", "_tag", "c0", "x0", "node", "first", "score", "key", "at", "n", "tag", "row", "links", "words")
+
+
+def test_stages_take_clashing_columns_nulls_repeats_and_empty_tables(spark):
+    t = " ".join(f"w{i}" for i in range(40))
+    base = [(1, t, "en", "s", 1), (1, t, "en", "s", 1), (2, t + " x", None, None, None), (None, None, None, None, None), (None, "", "en", "s", 0), (3, "long " * 100_000, "en", "s", 9),
+            (4, "x\ny\n\nx", "en", "s", 7), (5, None, "en", "s", None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = rows(spark, base, schema).selectExpr("*", *[f"'{c}' AS `{c}`" for c in EXTRA])
+    docs = saved(docs, "docs")
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF0001)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r[c] == c for r in got for c in EXTRA), name
+        left = [(r["doc_id"], r["text"]) for r in got]
+        assert (None, None) in left and (None, "") in left and (5, None) in left, name
+        assert len(got) == {"ngram_jaccard": 6}.get(name, len(got)), name
+        if name in ("toxicity", "decontamination"):
+            assert sorted(map(str, left)) == sorted(str(r[:2]) for r in base), name
+        assert stage(spark, docs.limit(0), SF0001).count() == 0, name
+    packed = C.STAGES[-1][1](spark, docs, SF0001)
+    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {1, 2, 3, 4, 5, None}
+    assert C.STAGES[-1][1](spark, docs.limit(0), SF0001).count() == 0
