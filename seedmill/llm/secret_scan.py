@@ -1,9 +1,9 @@
 """Secret scan through a trigram inverted index.
 
-Each rule is a regular expression, a Boolean trigram query derived from it, and a least length of
-its secret part. ``trigram_query`` walks a small description of the expression's mandatory
-literals (alternatives of literals, optional letters expanded) to OR-of-AND clauses of
-lower-cased trigrams. Only trigrams that some clause needs are indexed:
+Each rule is a regular expression and a least length of its secret part. ``trigram_query`` derives the
+Boolean query from the expression itself: walking its parse, it keeps the strings a part can match exactly while
+they are few, else those it can begin and end with, and collects the trigrams that any match must hold as
+OR-of-AND clauses (lower-cased, so a superset for either case). Only trigrams that some clause needs are indexed:
 
 1. postings (trigram, doc_id) of all documents, one scan;
 2. per clause the postings are intersected by counting distinct trigrams per document
@@ -15,13 +15,14 @@ Offsets are code points, found without leaving the JVM: the matches of ``regexp_
 the gaps of ``split`` by the same expression alternate, so running lengths give the starts.
 
 Defined cases: null text is empty; a null doc_id is verified by every rule (it cannot be looked up
-in the postings); repeated rows each keep their spans; empty tables give empty results; extra
-columns are ignored.
+in the postings); repeated rows each keep their spans; very long texts are searched whole; empty tables give empty
+results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from itertools import product
+from re import _parser
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,32 +30,116 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, rows, text_or_empty
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-#: kind, expression, group that must be long enough, its least length, mandatory literal
-#: (a list of alternatives at each place; an empty list of places: no mandatory literal)
+#: kind, expression, group that must be long enough, its least length
 RULES = [
-    ("assign", ASSIGN, 2, 8, [["password", "passwd", "secret", "token", "apikey", "api_key"]]),
-    ("access", r"AKIA[A-Z0-9]+", 0, 16, [["akia"]]),
-    ("hex", r"[0-9a-f]+", 0, 32, []),
-    ("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, [["gh"], ["p", "o", "u", "s", "r"], ["_"]]),
-    ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15, [["xox"], ["a", "b", "p", "r", "s"], ["-"]]),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, [["-----begin "]]),
+    ("assign", ASSIGN, 2, 8),
+    ("access", r"AKIA[A-Z0-9]+", 0, 16),
+    ("hex", r"[0-9a-f]+", 0, 32),
+    ("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
 ]
 BASE = ("assign", "access", "hex")
+FEW = 64  # strings, or clauses, that are kept apart; beyond, a weaker query that still holds for every match
+
+
+class Part(NamedTuple):
+    """What a part of an expression can match: all its strings if few (exact), what it begins and ends with, its clauses."""
+    exact: frozenset | None
+    begin: frozenset
+    end: frozenset
+    clauses: frozenset
+
+
+TRUE = frozenset([frozenset()])
+EMPTY = Part(frozenset([""]), frozenset([""]), frozenset([""]), TRUE)
+ANY = Part(None, frozenset([""]), frozenset([""]), TRUE)
+
+
+def _least(clauses) -> frozenset:
+    """Clauses without those that another one is part of."""
+    return frozenset(c for c in clauses if not any(d < c for d in clauses))
+
+
+def _and(a: frozenset, b: frozenset) -> frozenset:
+    both = _least({x | y for x in a for y in b})
+    return both if len(both) <= FEW else min(a, b, key=len)
+
+
+def _grams(strings) -> frozenset:
+    """One clause per string, of its trigrams; TRUE where some string has none."""
+    return _least({frozenset(x[i:i + 3] for i in range(len(x) - 2)) for x in strings})
+
+
+def _open(p: Part) -> Part:
+    """The part without its exact strings, what they tell kept in its clauses and ends."""
+    if p.exact is None:
+        return p
+    return Part(None, frozenset(x[:3] for x in p.exact), frozenset(x[-2:] for x in p.exact), _and(p.clauses, _grams(p.exact)))
+
+
+def _then(a: Part, b: Part) -> Part:
+    if a.exact is not None and b.exact is not None and len(a.exact) * len(b.exact) <= FEW:
+        exact = frozenset(x + y for x in a.exact for y in b.exact)
+        return Part(exact, exact, exact, _and(a.clauses, b.clauses))
+    over = frozenset(x + y for x in (a.exact or a.end) for y in (b.exact or b.begin))
+    clauses = _and(_and(_open(a).clauses, _open(b).clauses), _grams(over) if len(over) <= FEW else TRUE)
+    begin = frozenset((x + y)[:3] for x in a.exact for y in (b.exact or b.begin)) if a.exact is not None else a.begin
+    end = frozenset((x + y)[-2:] for x in (a.exact or a.end) for y in b.exact) if b.exact is not None else b.end
+    return Part(None, begin, end, clauses)
+
+
+def _either(parts: list[Part]) -> Part:
+    if all(p.exact is not None for p in parts) and len(exact := frozenset().union(*(p.exact for p in parts))) <= FEW:
+        return Part(exact, exact, exact, _least(frozenset().union(*(p.clauses for p in parts))))
+    parts = [_open(p) for p in parts]
+    clauses = _least(frozenset().union(*(p.clauses for p in parts)))
+    return Part(None, *(frozenset().union(*(p[i] for p in parts)) for i in (1, 2)), clauses if len(clauses) <= FEW else TRUE)
+
+
+def _walk(parsed) -> Part:
+    """The part that a parsed expression stands for; what the walk does not know may match anything."""
+    out = EMPTY
+    for op, value in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            one = frozenset([chr(value).lower()])
+            part = Part(one, one, one, TRUE)
+        elif kind == "IN":
+            chars: set[str] | None = set()
+            for what, x in value:
+                span = range(x, x + 1) if str(what) == "LITERAL" else range(x[0], x[1] + 1) if str(what) == "RANGE" else None
+                chars = None if chars is None or span is None or len(span) > FEW else chars | {chr(c).lower() for c in span}
+            few = frozenset(chars) if chars is not None and len(chars) <= 8 else None
+            part = Part(few, few, few, TRUE) if few else ANY
+        elif kind == "BRANCH":
+            part = _either([_walk(x) for x in value[1]])
+        elif kind == "SUBPATTERN":
+            part = _walk(value[-1])
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+            low, high, inner = value
+            one = _walk(inner)
+            part = EMPTY
+            for _ in range(min(low, 3)):
+                part = _then(part, one)
+            if (low, high) == (0, 1):
+                part = _either([EMPTY, one])
+            elif high > min(low, 3):
+                part = _then(part, ANY) if low else ANY
+        elif kind in ("AT", "ASSERT", "ASSERT_NOT"):
+            part = EMPTY
+        elif kind == "ATOMIC_GROUP":
+            part = _walk(value)
+        else:
+            part = ANY
+        out = _then(out, part)
+    return out
 
 
-def trigram_query(places: list[list[str]]) -> list[list[str]]:
-    """OR of ANDs: for each way through the places, the trigrams of the literal it spells.
-
-    A way shorter than three characters has no trigram, and then the rule has no query at all.
-    """
-    clauses = []
-    for way in product(*places) if places else []:
-        word = "".join(way).lower()
-        grams = sorted({word[i:i + 3] for i in range(len(word) - 2)})
-        if not grams:
-            return []
-        clauses.append(grams)
-    return [c for c in clauses if not any(set(d) < set(c) for d in clauses)]
+def trigram_query(pattern: str) -> list[list[str]]:
+    """OR of ANDs of lower-cased trigrams that every match holds; empty where a match need not hold any."""
+    clauses = _open(_walk(_parser.parse(pattern))).clauses
+    return [] if frozenset() in clauses else sorted(sorted(c) for c in clauses)
 
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
@@ -69,8 +154,8 @@ def candidates(docs: DataFrame, rules=RULES) -> DataFrame:
     """(doc_id, kinds): the rules whose trigram query a document satisfies."""
     spark = docs.sparkSession
     need, size = [], []
-    for kind, _, _, _, places in rules:
-        for i, clause in enumerate(trigram_query(places)):
+    for kind, pattern, _, _ in rules:
+        for i, clause in enumerate(trigram_query(pattern)):
             size.append((f"{kind}/{i}", kind, len(clause)))
             need += [(g, f"{kind}/{i}") for g in clause]
     grams = sorted({g for g, _ in need})
@@ -110,8 +195,8 @@ def scan_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
     d = d.join(c, "doc_id", "left")
     typ = "array<struct<start:int,ord:int,kind:string,end:int>>"
     parts = []
-    for order, (kind, pattern, group, least, places) in enumerate(rules):
-        full = not trigram_query(places)
+    for order, (kind, pattern, group, least) in enumerate(rules):
+        full = not trigram_query(pattern)
         if full and least > 1:
             pattern = at_least(pattern, least)
         spans = match_spans(F.col("text"), kind, pattern, group, least, order)

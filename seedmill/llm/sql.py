@@ -62,7 +62,7 @@ def _spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
 
 
 #: the shortest run is written into the expression where the whole match is one run of a class after fixed letters
-_SQL_RULES = [(k, p, g, n) for k, p, g, n, _ in RULES]
+_SQL_RULES = list(RULES)
 _SQL_RULES = [("hex", r"[0-9a-f]{32,}", 0, 32) if r[0] == "hex" else r for r in _SQL_RULES]
 OP10 = f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS row_no, coalesce(text, '') AS text FROM documents),
