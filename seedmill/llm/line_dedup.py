@@ -10,8 +10,8 @@ part, however short; a line of a script without spaces is one word, so of those
 2. Lines with equal texts are one entry (first occurrence, 128-bit hash), with their tokens ordered
    by rarity class and hash, of which the prefix n - ceil(t n) + 1 is kept. Lines of so few words that a similar
    one must be equal as a set keep one key of the whole set.
-3. Entries meet by prefix token, dealt once: length and positional filters, then a signature (16 counters of
-   the tokens' hashes, whose differences the sets differ in at least). What is left is verified on its words.
+3. Entries meet by prefix token, dealt once, and class of size: length and positional filters, then the parities of
+   128 classes of tokens, in as many of which the sets differ at least. What is left is verified on its words.
 4. A token of more than ``HOT`` entries makes no pairs of all of them: the first entry is compared with the
    rest, and only entries that no such first one removed are compared with all others of the token. No match is missed, and near
    copies of one line are not expanded into all pairs.
@@ -23,8 +23,12 @@ share a doc_id are ordered by a hash of their text; extra columns, whatever thei
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -34,6 +38,18 @@ BUCKETS, MIN_TOKENS, PERCENT, BLOCKS, HOT = 1 << 20, 1, 80, 1 << 16, 1000
 LAST = (1 << 63) - 1
 
 
+@contextmanager
+def partitioned_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
+    """Joins in this block keep sides that are already dealt by some of the join's keys, instead of shuffling them again."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc, th, line_no, line) of every line; doc: doc_id, or the largest long for null."""
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("th"), "text").where("text is not null")
@@ -78,33 +94,29 @@ def entries(docs: DataFrame, table: bytes, min_tokens: int, percent: int) -> Dat
 
     rows = low.select("at", "h1", "h2", F.array_sort(F.array_distinct(F.array_compact(F.transform("w", token)))).alias("t"))
     n = F.size("t")
-    left = lambda a, b: F.call_function("shiftleft", a, b)
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
 
-    def count(s, x):
-        at = (x.bitwiseAND(15) * 4).cast("int")
-        more = (F.call_function("shiftrightunsigned", s, at).bitwiseAND(15) + 1).bitwiseAND(15)
-        return s.bitwiseAND(F.bitwise_not(left(F.lit(15).cast("long"), at))).bitwiseOR(left(more, at))
+    def parity(half):  # of the 64 classes of this half
+        flip = lambda a, x: a.bitwiseXOR(F.when(x.bitwiseAND(64) == 64 * half, one(x)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate("t", F.lit(0).cast("long"), flip)
 
     head = F.transform(F.slice("t", 1, n - F.ceil(n * percent / 100).cast("int") + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     whole = F.xxhash64("t").bitwiseAND(0x7FFFFFFF).cast("int")
     head = F.when(n <= tiny(percent), F.array(whole)).otherwise(head)
-    rows = rows.select("at", "h1", "h2", n.alias("n"), F.aggregate("t", F.lit(0).cast("long"), count).alias("sig"), head.alias("head"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("head").alias("head"))
+    rows = rows.select("at", "h1", "h2", n.alias("n"), parity(0).alias("odd"), parity(1).alias("odd2"), head.alias("head"))
+    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("odd2").alias("odd2"), F.first("head").alias("head"))
     return found.where(F.col("n") >= min_tokens)  # after the aggregate, so that the tokens are not built twice for it
 
 
-def possible(percent: int, na: str, pa: str, sa: str, nb: str, pb: str, sb: str) -> Column:
-    """Length, positional and signature filters: whether entries with one prefix key at these places can still be similar enough.
+def possible(percent: int) -> Column:
+    """Length, positional and parity filters over the columns of ``_sides``: whether two entries with one prefix key can still be similar enough.
 
-    The signatures count tokens in 16 classes modulo 16; the sets differ in at least as many tokens as the counts do.
+    The parities count tokens in 128 classes modulo 2; the sets differ in at least as many tokens as the parities do.
     """
-    a, b, t = F.col(na), F.col(nb), percent
-    most = F.least(pa, pb) + 1 + F.least(a - F.col(pa) - 1, b - F.col(pb) - 1)
-    differ = F.lit(0).cast("long")
-    for i in range(0, 64, 4):
-        d = (F.shiftrightunsigned(sa, i).bitwiseAND(15) - F.shiftrightunsigned(sb, i).bitwiseAND(15)).bitwiseAND(15)
-        differ = differ + F.least(d, 16 - d)
-    return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * most >= t * (a + b)) & ((100 + t) * differ <= (100 - t) * (a + b))
+    a, b, t = F.col("na"), F.col("nb"), percent
+    most = F.least("pa", "pb") + 1 + F.least(a - F.col("pa") - 1, b - F.col("pb") - 1)
+    differ = F.bit_count(F.col("oa").bitwiseXOR(F.col("ob"))) + F.bit_count(F.col("oa2").bitwiseXOR(F.col("ob2")))
+    return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * differ <= (100 - t) * (a + b)) & ((100 + t) * most >= t * (a + b))
 
 
 def similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -126,30 +138,50 @@ def losers(lines: DataFrame, found: DataFrame) -> DataFrame:
     return f.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("h1")).distinct()
 
 
-def _pairs(x: DataFrame, y: DataFrame, percent: int, order: Column) -> DataFrame:
-    """Distinct (a, b) of postings x and y of one token that can be similar; the smaller h1 first."""
-    l = x.select("token", F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("sig").alias("sa"))
-    r = y.select("token", F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("sig").alias("sb"))
-    met = l.join(r, "token").where(order).where(possible(percent, "na", "pa", "sa", "nb", "pb", "sb"))
+def _sides(x: DataFrame, y: DataFrame, keys: list) -> DataFrame:
+    def side(df, end):
+        return df.select(*keys, F.col("h1").alias(f"h{end}"), F.col("n").alias(f"n{end}"), F.col("pos").alias(f"p{end}"),
+                         F.col("odd").alias(f"o{end}"), F.col("odd2").alias(f"o{end}2"))
+    return side(x, "a").join(side(y, "b"), keys)
+
+
+def _met(pairs: DataFrame, order: Column, percent: int) -> DataFrame:
+    """Distinct (a, b), the smaller h1 first, of the joined postings that can be similar."""
+    met = pairs.where(order).where(possible(percent))
     return met.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
 
 
+def _cold_pairs(cold: DataFrame, percent: int) -> DataFrame:
+    """Possible pairs of entries that share a token, the larger set on the left.
+
+    Sizes fall into classes a factor of 1 / threshold wide, so a similar smaller set is in the same class or the one below:
+    it comes once for either. The classes are made behind the exchange by token, which the join keeps.
+    """
+    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
+    size_class = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
+    x = cold.withColumn("class", size_class)
+    y = cold.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
+    larger = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ha") > F.col("hb")))
+    return _met(_sides(x, y, ["token", "class"]), larger, percent)
+
+
 def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
-    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "sig")
-    post = post.select("token", "h1", "n", "pos", "sig").repartition("token")
+    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd", "odd2")
+    post = post.where("n is not null").repartition("token")
     sized = post.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1")
-    cold = sized.where(F.col("_size") <= HOT).drop("_size")
-    pairs = saved(_pairs(cold, cold, percent, F.col("ha") < F.col("hb")), "pairs")
+    with partitioned_by_part_of_keys(docs.sparkSession):
+        pairs = saved(_cold_pairs(sized.where(F.col("_size") <= HOT).drop("_size"), percent), "pairs")
     hot = saved(sized.where(F.col("_size") > HOT).drop("_size"), "hot")
     if not hot.isEmpty():
+        other = F.col("ha") != F.col("hb")
         place = lines.select("h1", F.col("at.doc").alias("_doc"))
-        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "sig")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.sig")
-        met = saved(_pairs(hot, first, percent, F.col("ha") != F.col("hb")), "hot-first")
+        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd", "odd2")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.odd", "p.odd2")
+        met = saved(_met(_sides(hot, first, ["token"]), other, percent), "hot-first")
         gone = saved(losers(lines, similar(docs, met, percent)), "hot-gone")
         rest = hot.join(gone, "h1", "left_anti")
         # a pair of two entries that are both left over is met from both sides; one of them, from one
-        pairs = saved(pairs.unionByName(_pairs(rest, hot, percent, F.col("ha") != F.col("hb"))).distinct(), "pairs")
+        pairs = saved(pairs.unionByName(_met(_sides(rest, hot, ["token"]), other, percent)).distinct(), "pairs")
         return losers(lines, similar(docs, pairs, percent)).unionByName(gone).distinct()
     return losers(lines, similar(docs, pairs, percent))
 
