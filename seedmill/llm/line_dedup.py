@@ -11,7 +11,8 @@ part, however short; a line of a script without spaces is one word, so of those
    by rarity class and hash, of which the prefix n - ceil(t n) + 1 is kept. Lines of so few words that a similar
    one must be equal as a set keep one key of the whole set.
 3. Entries meet by prefix token, dealt once, and class of size: length and positional filters, then the parities of
-   128 classes of tokens, in as many of which the sets differ at least. What is left is verified on its words.
+   64 classes of tokens, in as many of which the sets differ at least, and the number of prefix tokens that similar sets share at least.
+   What is left is verified on its words.
 4. A token of more than ``HOT`` entries makes no pairs of all of them: the first entry is compared with the
    rest, and only entries that no such first one removed are compared with all others of the token. No match is missed, and near
    copies of one line are not expanded into all pairs.
@@ -96,26 +97,23 @@ def entries(docs: DataFrame, table: bytes, min_tokens: int, percent: int) -> Dat
     n = F.size("t")
     one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
 
-    def parity(half):  # of the 64 classes of this half
-        flip = lambda a, x: a.bitwiseXOR(F.when(x.bitwiseAND(64) == 64 * half, one(x)).otherwise(F.lit(0).cast("long")))
-        return F.aggregate("t", F.lit(0).cast("long"), flip)
-
+    flip = lambda a, x: a.bitwiseXOR(one(x))
     head = F.transform(F.slice("t", 1, n - F.ceil(n * percent / 100).cast("int") + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     whole = F.xxhash64("t").bitwiseAND(0x7FFFFFFF).cast("int")
     head = F.when(n <= tiny(percent), F.array(whole)).otherwise(head)
-    rows = rows.select("at", "h1", "h2", n.alias("n"), parity(0).alias("odd"), parity(1).alias("odd2"), head.alias("head"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("odd2").alias("odd2"), F.first("head").alias("head"))
+    rows = rows.select("at", "h1", "h2", n.alias("n"), F.aggregate("t", F.lit(0).cast("long"), flip).alias("odd"), head.alias("head"))
+    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("head").alias("head"))
     return found.where(F.col("n") >= min_tokens)  # after the aggregate, so that the tokens are not built twice for it
 
 
 def possible(percent: int) -> Column:
     """Length, positional and parity filters over the columns of ``_sides``: whether two entries with one prefix key can still be similar enough.
 
-    The parities count tokens in 128 classes modulo 2; the sets differ in at least as many tokens as the parities do.
+    The parities count tokens in 64 classes modulo 2; the sets differ in at least as many tokens as the parities do.
     """
     a, b, t = F.col("na"), F.col("nb"), percent
     most = F.least("pa", "pb") + 1 + F.least(a - F.col("pa") - 1, b - F.col("pb") - 1)
-    differ = F.bit_count(F.col("oa").bitwiseXOR(F.col("ob"))) + F.bit_count(F.col("oa2").bitwiseXOR(F.col("ob2")))
+    differ = F.bit_count(F.col("oa").bitwiseXOR(F.col("ob")))
     return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * differ <= (100 - t) * (a + b)) & ((100 + t) * most >= t * (a + b))
 
 
@@ -141,7 +139,7 @@ def losers(lines: DataFrame, found: DataFrame) -> DataFrame:
 def _sides(x: DataFrame, y: DataFrame, keys: list) -> DataFrame:
     def side(df, end):
         return df.select(*keys, F.col("h1").alias(f"h{end}"), F.col("n").alias(f"n{end}"), F.col("pos").alias(f"p{end}"),
-                         F.col("odd").alias(f"o{end}"), F.col("odd2").alias(f"o{end}2"))
+                         F.col("odd").alias(f"o{end}"))
     return side(x, "a").join(side(y, "b"), keys)
 
 
@@ -151,8 +149,18 @@ def _met(pairs: DataFrame, order: Column, percent: int) -> DataFrame:
     return met.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
 
 
-def _cold_pairs(cold: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs of entries that share a token, the larger set on the left.
+def shared_least(percent: int, na: Column, nb: Column) -> Column:
+    """How many prefix tokens two similar sets share at least.
+
+    With an overlap of o, the k-th common token stands at most n - o places further back than k in a set, so common tokens
+    up to the (prefix length - (n - o))-th are in both prefixes.
+    """
+    o = F.ceil((na + nb) * percent / (100 + percent))
+    return o + 1 - F.ceil(F.greatest(na, nb) * percent / 100)
+
+
+def _cold_pairs(cold: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """Possible pairs (a, b) of entries that share a token, the larger set as a; with ``counted``, that share as many as similar sets must.
 
     Sizes fall into classes a factor of 1 / threshold wide, so a similar smaller set is in the same class or the one below:
     it comes once for either. The classes are made behind the exchange by token, which the join keeps.
@@ -162,21 +170,25 @@ def _cold_pairs(cold: DataFrame, percent: int) -> DataFrame:
     x = cold.withColumn("class", size_class)
     y = cold.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
     larger = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ha") > F.col("hb")))
-    return _met(_sides(x, y, ["token", "class"]), larger, percent)
+    met = _sides(x, y, ["token", "class"]).where(larger).where(possible(percent))
+    pairs = met.groupBy(F.col("ha").alias("a"), F.col("hb").alias("b"), "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    return pairs.where(F.col("shared") >= shared_least(percent, F.col("na"), F.col("nb")) if counted else F.lit(True)).select("a", "b")
 
 
 def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
-    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd", "odd2")
+    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd")
     post = post.where("n is not null").repartition("token")
     sized = post.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1")
-    with partitioned_by_part_of_keys(docs.sparkSession):
-        pairs = saved(_cold_pairs(sized.where(F.col("_size") <= HOT).drop("_size"), percent), "pairs")
     hot = saved(sized.where(F.col("_size") > HOT).drop("_size"), "hot")
-    if not hot.isEmpty():
+    none = hot.isEmpty()
+    with partitioned_by_part_of_keys(docs.sparkSession):
+        # where some tokens are dealt with apart, pairs share tokens that are not counted here
+        pairs = saved(_cold_pairs(sized.where(F.col("_size") <= HOT).drop("_size"), percent, none), "pairs")
+    if not none:
         other = F.col("ha") != F.col("hb")
         place = lines.select("h1", F.col("at.doc").alias("_doc"))
-        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd", "odd2")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.odd", "p.odd2")
+        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.odd")
         met = saved(_met(_sides(hot, first, ["token"]), other, percent), "hot-first")
         gone = saved(losers(lines, similar(docs, met, percent)), "hot-gone")
         rest = hot.join(gone, "h1", "left_anti")
