@@ -177,15 +177,16 @@ def _cold_pairs(cold: DataFrame, percent: int, counted: bool) -> DataFrame:
 
 def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
-    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd")
-    post = post.where("n is not null").repartition("token")
-    sized = post.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1")
-    hot = saved(sized.where(F.col("_size") > HOT).drop("_size"), "hot")
-    none = hot.isEmpty()
+    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd").where("n is not null")
+    often = lines.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > HOT)
+    often = saved(often.select("token"), "hot-tokens")
+    none = often.isEmpty()
+    sized = post.repartition("token").withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_size > 1")
     with partitioned_by_part_of_keys(docs.sparkSession):
         # where some tokens are dealt with apart, pairs share tokens that are not counted here
         pairs = saved(_cold_pairs(sized.where(F.col("_size") <= HOT).drop("_size"), percent, none), "pairs")
     if not none:
+        hot = saved(post.join(often, "token"), "hot")
         other = F.col("ha") != F.col("hb")
         place = lines.select("h1", F.col("at.doc").alias("_doc"))
         first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.odd")
