@@ -5,6 +5,8 @@ Each check adds ``violations`` (codes in a fixed order); a null answer reads as
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,21 +106,24 @@ def style_phrases(df: DataFrame, key: str, text: str, phrases: DataFrame) -> Dat
     rows; it becomes one array literal, so that the answers are neither joined nor shuffled.
     """
     rows = phrases.select("phrase", "place", "kind").where("phrase is not null and phrase <> ''").distinct().orderBy("kind", "phrase").collect()
-    t = _fold(_text(text))
+    # the text is lowered once and its words are parted once; an opening is looked for at the start alone
+    t, words = F.col("_low"), F.col("_words")
+    d = df.select(key, F.lower(py_strip(_text(text))).alias("_low"))
+    if any(r["place"] != "opening" for r in rows):
+        d = d.withColumn("_words", F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}']+", " "), F.lit(" ")))
     hits = []
     for r in rows:
-        p = " ".join(r["phrase"].lower().split())
+        p = r["phrase"].lower().split()
         if r["place"] == "opening":
-            hit = t.startswith(p) & ~F.substring(t, len(p) + 1, 1).rlike(r"[\p{L}\p{N}]")
+            hit = t.rlike("^" + r"\s+".join(re.escape(x) for x in p) + r"(?![\p{L}\p{N}])")
         else:
-            hit = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}']+", " "), F.lit(" ")).contains(" " + _plain(p) + " ")
+            hit = words.contains(" " + _plain(" ".join(p)) + " ")
         hits.append(F.when(hit, F.lit(f"{r['kind']}:{r['phrase']}")))
     found = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    return df.select(key, found.alias("found"))
+    return d.select(key, found.alias("found"))
 
 
 def _plain(p: str) -> str:
-    import re
     return " ".join(re.sub(r"[^\w']+", " ", p).split())
 
 
