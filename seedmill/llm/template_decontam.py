@@ -42,21 +42,29 @@ UNITS = ["%", "c", "cm", "cents", "days", "degrees", "dollars", "euros", "f", "f
 _NAME, _JOIN, _UNIT = "\x01", "\x02", "\x04"
 
 
+# Looks for what is to change alone: runs, and single marks and white space other than a space.
+_GAPS = "[\t\n\x0B\f\r\x01-\x04][\\s\x01-\x04]*| [\\s\x01-\x04]+"
+
+
+def _split(t: Column) -> Column:
+    """The words of a text whose white space is spaces."""
+    return F.array_remove(F.split(t, " "), "")
+
+
 def marked_words(text: Column) -> Column:
     """Words in order; names start with a name mark (adjacent ones joined), units with a unit mark."""
-    t = F.regexp_replace(text, "[\\s\x01-\x04]+", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;:] )(\p{Lu})", f"{_NAME}$1")
+    t = F.regexp_replace(text, _GAPS, " ")
+    # the letter is looked for first: few places go on to look back
+    t = F.regexp_replace(t, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;:] )(\p{Lu})", f"{_NAME}$1")
     t = F.regexp_replace(t, f"({_NAME}[^\\s.!?;:,]+) (?={_NAME})", f"$1{_JOIN}")
     t = F.regexp_replace(t, r"(?i)(\p{N})( ?)(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])", f"$1 {_UNIT}$3")
-    t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s\x01-\x04%]+", ""), r"\s+", " "))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    return _split(F.regexp_replace(t, r"[^a-z\sA-Z0-9\p{L}\p{N}\x01-\x04%]+", ""))
 
 
 def plain_words(text: Column) -> Column:
     """Lower-cased words in order, without punctuation."""
-    t = F.regexp_replace(F.lower(text), "[\\s\x01-\x04]+", " ")
-    t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s%]+", ""), r"\s+", " "))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    t = F.regexp_replace(F.lower(text), _GAPS, " ")
+    return _split(F.regexp_replace(t, r"[^a-z\s0-9\p{L}\p{N}%]+", ""))
 
 
 def _head(w: Column) -> Column:

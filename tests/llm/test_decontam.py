@@ -49,3 +49,15 @@ def test_numbers_are_independent_slots(spark):
             (3, item.replace("5 plums", "3 plums").replace("Bob", "Alice"))]
     got = {r["doc_id"]: r["consistent"] for r in D.find_leaks(rows(spark, docs, "doc_id long, text string"), rows(spark, [(10, item)], "item_id long, text string")).collect()}
     assert got == {1: True, 2: True, 3: False}
+
+
+def test_words_of_odd_spacing_and_only_gaps_are_replaced(spark):
+    import re
+    from pyspark.sql import functions as F
+    assert not re.search(D._GAPS, "one two three") and re.sub(D._GAPS, " ", "a  b\t\tc \x01d\ne") == "a b c d e"
+    texts = [("", [], []), (" \t\n", [], []), ("He met  Bob\nStone, -- Al", ["He", "met", "\x01Bob\x02\x01Stone", "Al"], ["he", "met", "bob", "stone", "al"]),
+             (" a\x01b \x02\x03 5% 3kg", ["a", "b", "5", "\x04%", "3", "\x04kg"], ["a", "b", "5%", "3kg"]), ("x -\x0b- y.\U0001d400", ["x", "y\U0001d400"], ["x", "y\U0001d400"])]
+    df = rows(spark, [(i, t) for i, (t, _, _) in enumerate(texts)], "i int, t string")
+    got = {r["i"]: (r["m"], r["p"]) for r in df.select("i", D.marked_words(F.col("t")).alias("m"), D.plain_words(F.col("t")).alias("p")).collect()}
+    for i, (t, m, p) in enumerate(texts):
+        assert got[i] == (m, p), (t, got[i])
