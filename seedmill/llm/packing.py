@@ -23,9 +23,12 @@ a null doc_id stays null; empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -99,18 +102,21 @@ class WordIds:
         if len(self.words) > CACHE:
             self.words.clear()
         fresh = chunks.difference(self.cache)
+        bare = [c for c in fresh if c.isascii() and c.isalpha()]  # most words: no end marks to part
+        lows = list(map(str.lower, bare))
         simple: list[tuple[str, str, str]] = []
-        for chunk in fresh:
+        for chunk in fresh.difference(bare):
             core = chunk.rstrip(".,;:!?")
             if core.isalpha() and (core.isascii() or max(core) < "Ā"):
                 simple.append((chunk, core.lower(), chunk[len(core):]))
             else:
                 self.cache[chunk] = self._whole(chunk)
-        if new := list({low for _, low, _ in simple}.difference(self.words)):
+        if new := list({*lows, *(low for _, low, _ in simple)}.difference(self.words)):
             ranks = self.fast.encode_to_numpy(_MARK.join(new) + _MARK)
             raw = self.ids[ranks].astype("<u2").tobytes()
             stops = ((np.flatnonzero(self.ends[ranks]) + 1) * 2).tolist()
-            self.words.update(zip(new, (raw[i:j] for i, j in zip([0, *stops], stops))))
+            self.words.update(zip(new, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        self.cache.update(zip(bare, map(self.words.__getitem__, lows)))
         for chunk, low, tail in simple:
             if not tail:
                 self.cache[chunk] = self.words[low]
@@ -127,6 +133,24 @@ class WordIds:
         return [self._whole(t) if o else b"".join(map(get, ws)) for t, ws, o in zip(texts, words, odd)]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One per worker process: its tasks share the caches, which hold at most ``CACHE`` entries each."""
+    return WordIds(path)
+
+
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without the search for reference cycles: the caches hold none, and it would walk them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def rows_batch(out: list[tuple], names: list[str]) -> pa.RecordBatch:
     """Rows as an Arrow batch of longs and, for ``tokens``, bytes; missing values stay missing."""
     columns = list(zip(*out)) if out else [()] * len(names)
@@ -143,14 +167,15 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         base = (1 << 62) + (TaskContext.get().partitionId() << 36)
-        words, windows = WordIds(path), 0
+        words, windows = word_ids(path), 0
         end = np.array([END_ID], dtype="<u2").tobytes()
         for batch in batches:
             ids_of, part, size = [], [], 0
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for t in [*texts, None]:  # about a million characters at a time
                 if t is None or size > 1 << 20:
-                    ids_of += words.texts(part)
+                    with no_cycles():
+                        ids_of += words.texts(part)
                     part, size = [], 0
                 if t is not None:
                     part.append(t)
@@ -175,8 +200,14 @@ def frequencies(fragments: DataFrame, vocabulary: int = 1 << 16) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = np.zeros(vocabulary, np.int64)
         for pdf in batches:
-            for t in pdf["tokens"]:
-                count[np.unique(np.frombuffer(t, dtype="<u2"))] += 1
+            held = pdf["tokens"].tolist()
+            for at in range(0, len(held), 256):  # sorted together: fragment above id, each pair once
+                part = held[at:at + 256]
+                ids = np.frombuffer(b"".join(part), dtype="<u2").astype(np.uint32)
+                owner = np.repeat(np.arange(len(part), dtype=np.uint32), [len(t) // 2 for t in part])
+                pairs = np.sort(owner << np.uint32(16) | ids)
+                once = np.flatnonzero(np.diff(pairs, prepend=pairs[:1] ^ np.uint32(1)))
+                count += np.bincount(pairs[once] & np.uint32(0xFFFF), minlength=vocabulary)
         at = np.flatnonzero(count)
         yield pd.DataFrame({"id": at, "n": count[at]})
 

@@ -82,3 +82,20 @@ def test_neighbours_share_a_window():
         total += 1
         mixed += len(topics) > 1
     assert total >= 20 and mixed <= 6
+
+
+def test_caches_serve_all_tasks_of_a_worker_and_counts_equal_a_loop(spark):
+    import numpy as np
+    from seedmill.llm import packing
+    from seedmill.llm.queries import tokenizer_path
+    words = packing.word_ids(tokenizer_path())
+    assert words is packing.word_ids(tokenizer_path())
+    texts = ["Plain words, Plain WORDS plain", "Größe größe! 12 a-b", "", "same same same."]
+    assert words.texts(texts) == words.texts(texts) == packing.WordIds(tokenizer_path()).texts(texts)
+    rng = np.random.default_rng(5)
+    held = [rng.integers(0, 40 if i % 2 else 1 << 16, rng.integers(1, 900), dtype=np.uint16).astype("<u2").tobytes() for i in range(600)]
+    want = np.zeros(1 << 16, np.int64)
+    for t in held:
+        want[np.unique(np.frombuffer(t, dtype="<u2"))] += 1
+    df = spark.createDataFrame([(bytearray(t),) for t in held], "tokens binary")
+    assert (packing.frequencies(df) == want).all()
