@@ -11,8 +11,8 @@ part, however short; a line of a script without spaces is one word, so of those
    by rarity class and hash, of which the prefix n - ceil(t n) + 1 is kept. Lines of so few words that a similar
    one must be equal as a set keep one key of the whole set.
 3. Entries meet by prefix token, dealt once, and class of size: length and positional filters, then the parities of
-   64 classes of tokens, in as many of which the sets differ at least, and the number of prefix tokens that similar sets share at least.
-   What is left is verified on its words.
+   128 classes of tokens, in as many of which the sets differ at least (64 classes tell lines of over 100 words too seldom apart, and what they
+   leave is shuffled once a shared token), and the number of prefix tokens that similar sets share at least. What is left is verified on its words.
 4. A token of more than ``HOT`` entries makes no pairs of all of them: the first entry is compared with the
    rest, and only entries that no such first one removed are compared with all others of the token. No match is missed, and near
    copies of one line are not expanded into all pairs.
@@ -97,36 +97,43 @@ def entries(docs: DataFrame, table: bytes, min_tokens: int, percent: int) -> Dat
     n = F.size("t")
     one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
 
-    flip = lambda a, x: a.bitwiseXOR(one(x))
+    # parities of 128 classes: the first 64 and the others
+    flip = lambda half: lambda a, x: F.when(x.bitwiseAND(64) == half, a.bitwiseXOR(one(x))).otherwise(a)
+    odd = lambda half: F.aggregate("t", F.lit(0).cast("long"), flip(half))
     head = F.transform(F.slice("t", 1, n - F.ceil(n * percent / 100).cast("int") + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     whole = F.xxhash64("t").bitwiseAND(0x7FFFFFFF).cast("int")
     head = F.when(n <= tiny(percent), F.array(whole)).otherwise(head)
-    rows = rows.select("at", "h1", "h2", n.alias("n"), F.aggregate("t", F.lit(0).cast("long"), flip).alias("odd"), head.alias("head"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("head").alias("head"))
+    rows = rows.select("at", "h1", "h2", n.alias("n"), odd(0).alias("odd"), odd(64).alias("odd2"), head.alias("head"))
+    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("odd2").alias("odd2"), F.first("head").alias("head"))
     return found.where(F.col("n") >= min_tokens)  # after the aggregate, so that the tokens are not built twice for it
 
 
 def possible(percent: int) -> Column:
     """Length, positional and parity filters over the columns of ``_sides``: whether two entries with one prefix key can still be similar enough.
 
-    The parities count tokens in 64 classes modulo 2; the sets differ in at least as many tokens as the parities do.
+    The parities count tokens in 128 classes modulo 2; the sets differ in at least as many tokens as the parities do.
     """
     a, b, t = F.col("na"), F.col("nb"), percent
     most = F.least("pa", "pb") + 1 + F.least(a - F.col("pa") - 1, b - F.col("pb") - 1)
-    differ = F.bit_count(F.col("oa").bitwiseXOR(F.col("ob")))
+    differ = F.bit_count(F.col("oa").bitwiseXOR(F.col("ob"))) + F.bit_count(F.col("ea").bitwiseXOR(F.col("eb")))
     return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * differ <= (100 - t) * (a + b)) & ((100 + t) * most >= t * (a + b))
 
 
 def similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs of entries (by h1) whose word sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    ends = saved(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "ends")
     lines = line_rows(docs).select(F.xxhash64("line").alias("key"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
-    lines = possible_hits(lines, bloom_filter(ends, BLOCKS), BLOCKS).join(ends, "key", "left_semi")
-    lines = lines.groupBy("key", "h2").agg(F.first("line").alias("line"))
-    sets = saved(lines.select("key", F.array_distinct(F.filter(words_of(F.col("line")), lambda w: w != "")).alias("w")), "words")
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("w").alias("wa")), "a").join(sets.select(F.col("key").alias("b"), F.col("w").alias("wb")), "b")
-    common = F.size(F.array_intersect("wa", "wb"))
-    return both.where(100 * common >= percent * (F.size("wa") + F.size("wb") - common)).select("a", "b")
+    # the filter alone decides which lines travel: the planner would push a semi-join below it and shuffle every line.
+    # Lines travel as they are, since an array of words is three times as wide
+    blocks = max(BLOCKS, min(4 * BLOCKS, ends.count() // 16))
+    lines = possible_hits(lines, bloom_filter(ends, blocks), blocks).groupBy("key", "h2").agg(F.first("line").alias("line"))
+    lines = saved(lines.select("key", "line"), "lines-met")
+    both = pairs.join(lines.select(F.col("key").alias("a"), F.col("line").alias("la")), "a").join(lines.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
+    words = lambda c: F.array_remove(F.array_distinct(words_of(F.col(c))), "")
+    # rows of their own (outer explode of one array), so that the sets are made once
+    both = both.select("a", "b", F.explode_outer(F.array(F.struct(words("la").alias("wa"), words("lb").alias("wb")))).alias("w"))
+    common = F.size(F.array_intersect("w.wa", "w.wb"))
+    return both.where(100 * common >= percent * (F.size("w.wa") + F.size("w.wb") - common)).select("a", "b")
 
 
 def losers(lines: DataFrame, found: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def losers(lines: DataFrame, found: DataFrame) -> DataFrame:
 def _sides(x: DataFrame, y: DataFrame, keys: list) -> DataFrame:
     def side(df, end):
         return df.select(*keys, F.col("h1").alias(f"h{end}"), F.col("n").alias(f"n{end}"), F.col("pos").alias(f"p{end}"),
-                         F.col("odd").alias(f"o{end}"))
+                         F.col("odd").alias(f"o{end}"), F.col("odd2").alias(f"e{end}"))
     return side(x, "a").join(side(y, "b"), keys)
 
 
@@ -177,7 +184,7 @@ def _cold_pairs(cold: DataFrame, percent: int, counted: bool) -> DataFrame:
 
 def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """(h1) of the entries that have an earlier similar entry. lines: the saved entries."""
-    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd").where("n is not null")
+    post = lines.select(F.posexplode("head").alias("pos", "token"), "h1", "n", "odd", "odd2").where("n is not null")
     often = lines.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > HOT)
     often = saved(often.select("token"), "hot-tokens")
     none = often.isEmpty()
@@ -189,7 +196,7 @@ def later_matches(docs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
         hot = saved(post.join(often, "token"), "hot")
         other = F.col("ha") != F.col("hb")
         place = lines.select("h1", F.col("at.doc").alias("_doc"))
-        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd")).alias("p")).select("token", "p.h1", "p.n", "p.pos", "p.odd")
+        first = hot.join(place, "h1").groupBy("token").agg(F.min(F.struct("_doc", "h1", "n", "pos", "odd", "odd2")).alias("p")).select("token", "p.*").drop("_doc")
         met = saved(_met(_sides(hot, first, ["token"]), other, percent), "hot-first")
         gone = saved(losers(lines, similar(docs, met, percent)), "hot-gone")
         rest = hot.join(gone, "h1", "left_anti")

@@ -1,7 +1,10 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from seedmill.llm import line_dedup as L
-from seedmill.llm.common import rows
+from seedmill.llm.common import rows, saved
 from tests.conftest import SF0001
 
 
@@ -100,3 +103,28 @@ def test_sizes_that_need_equality():
     for percent in (50, 80, 85, 90):
         n = L.tiny(percent)
         assert all(100 * a < percent * (a + 1) for a in range(1, n + 1)) and 100 * (n + 1) >= percent * (n + 2)
+
+
+def test_only_lines_of_pairs_travel(spark):
+    """With no broadcast by size, the verification's own lines still pass the filter before any exchange of texts."""
+    docs = rows(spark, [(i, "\n".join(f"{w}{i} {w} of line {i}" for w in "abcdef")) for i in range(40)], "doc_id long, text string")
+    first = L.line_rows(docs).where("doc < 2 and line_no = 0").selectExpr("xxhash64(line) as key").collect()
+    pairs = rows(spark, [(first[0]["key"], first[1]["key"])], "a long, b long")
+    before, kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(L, "saved", lambda df, tag: kept.append((tag, df)) or saved(df, tag))
+            L.similar(docs, pairs, 80).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = next(df for tag, df in kept if "line" in df.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and next(df for tag, df in kept if "line" in df.columns).count() == 2
+
+
+def test_parities_of_128_classes_tell_long_lines_apart(spark):
+    docs = rows(spark, [(d, " ".join(f"w{d}x{i}" for i in range(160)) + " shared") for d in range(6)], "doc_id long, text string")
+    table = L.rarity(docs)
+    e = L.entries(docs, table, 1, 80).select("h1", "n", "odd", "odd2", F.lit(0).alias("pos"), F.lit(1).alias("token"))
+    met = L._sides(e, e, ["token"]).where("ha < hb")
+    assert met.count() == 15 and met.where(L.possible(80)).count() == 0
